@@ -34,7 +34,7 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     hs4 = F.lit(9018) + F.col("p_size") % 6
     return rows.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(F.col("l_extendedprice") * 100).cast("long")).alias("row_id"),
         F.concat_ws(" ", "p_name", "p_type", "p_brand").alias("description"),
         hs4.cast("string").alias("hs4"),
         (hs4 * 10000 + F.col("p_size") * 10).cast("string").alias("hs_code"),
@@ -51,7 +51,7 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The same view in DuckDB's SQL.
 SHIPMENTS_SQL = """
-SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_id,
+SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice * 100)::BIGINT) AS row_id,
   concat_ws(' ', p_name, p_type, p_brand) AS description,
   (9018 + p_size % 6)::VARCHAR AS hs4, ((9018 + p_size % 6) * 10000 + p_size * 10)::VARCHAR AS hs_code,
   c_name AS importer, s_name AS exporter, cn.n_name AS country, sn.n_name AS exporter_country,

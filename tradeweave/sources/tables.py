@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +12,21 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 
+def staged(df: DataFrame, label: str = "stage") -> DataFrame:
+    """``df`` written as Parquet to the shared folder (spark.checkpoint.dir) and read again.
+
+    What several later steps read is computed once, survives lost executors, and has a known size.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:  # one machine, as in tests
+        folder = tempfile.mkdtemp(prefix="tradeweave-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def require_columns(df: DataFrame, columns: Iterable[str], where: str = "table") -> DataFrame:
     """``df``, if it has the columns; else an error that lists what lacks and what is there."""
     lacks = [c for c in columns if c not in df.columns]
