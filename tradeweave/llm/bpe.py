@@ -19,6 +19,7 @@ import sys
 import tempfile
 import unicodedata
 import uuid
+from bisect import bisect_left
 from collections import Counter
 from functools import lru_cache
 
@@ -35,18 +36,23 @@ CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+_SHIFT, _NONE = 20, 1 << 60
+
+
 @lru_cache(None)
-def _classes() -> tuple[str, str]:
-    """Character classes of all letters and of all numbers, as ranges."""
+def _word_pattern(most: int) -> re.Pattern:
+    """The pre-tokenizer's pattern for texts of characters up to ``most``: letters, one number, a
+    contraction, or other signs. Classes over fewer characters compile to faster tables."""
     found: dict[str, list[str]] = {"L": [], "N": []}
     start = kind = None
-    for c in range(sys.maxunicode + 2):
-        now = unicodedata.category(chr(c))[0] if c <= sys.maxunicode else None
+    for c in range(most + 2):
+        now = unicodedata.category(chr(c))[0] if c <= most else None
         if now != kind:
             if kind in found:
                 found[kind].append(f"\\U{start:08x}-\\U{c - 1:08x}")
             start, kind = c, now
-    return "".join(found["L"]), "".join(found["N"])
+    letters, numbers = "".join(found["L"]), "".join(found["N"])
+    return re.compile(f"[{letters}]+|[{numbers}]|{'|'.join(CONTRACTIONS)}|[^{SPACE}{letters}{numbers}]+")
 
 
 def byte_characters() -> list[str]:
@@ -68,14 +74,15 @@ class WordBPE:
         self.end: str = model["end_of_word_suffix"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
-        self.rank = {}
+        self.first = [self.vocab[c] for c in byte_characters()]
+        self.last = [self.vocab[c + self.end] for c in byte_characters()]
+        #: The rank of the merge of two ids, by one number for both, and what each merge gives.
+        self.rank: dict[int, int] = {}
+        self.merged: list[int] = []
         for k, m in enumerate(model["merges"]):
-            self.rank.setdefault(tuple(m if isinstance(m, list) else m.split(" ")), k)
-        self.characters = byte_characters()
-        letters, numbers = _classes()
-        self._words = re.compile(
-            f"{'|'.join(CONTRACTIONS)}|[{letters}]+|[{numbers}]|[^{SPACE}{letters}{numbers}]+"
-        )
+            a, b = m if isinstance(m, list) else m.split(" ")
+            self.merged.append(self.vocab[a + b])
+            self.rank.setdefault(self.vocab[a] << _SHIFT | self.vocab[b], k)
         self._parts = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
 
     def words(self, text: str) -> list[str]:
@@ -88,55 +95,65 @@ class WordBPE:
         return out
 
     def _split(self, text: str) -> list[str]:
+        if text.isascii():
+            return _word_pattern(0x7F).findall(text.lower())
         # Each capital is lower-cased by itself: a sigma that ends a word isn't treated apart.
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return self._words.findall(text)
+        plane_0 = len(text.encode("utf-16-le")) == 2 * len(text)
+        return _word_pattern(0xFFFF if plane_0 else sys.maxunicode).findall(text)
 
     def merge(self, word: str) -> list[int]:
         """The ids of a word: the pair of least rank merges first, the leftmost of equals."""
         if word in self.special:
             return [self.special[word]]
-        part = [self.characters[b] for b in word.encode()]
-        part[-1] += self.end
-        return [self.vocab[p] for p in (_merged if len(part) > 40 else _merged_short)(part, self.rank)]
+        raw = word.encode()
+        ids = [self.first[b] for b in raw]
+        ids[-1] = self.last[raw[-1]]
+        return (_merge_long if len(ids) > 200 else _merge_short)(ids, self.rank, self.merged)
 
     def decode(self, ids) -> str:
         """The text of ids as the file's decoder gives it: there is none, so tokens and spaces."""
-        return " ".join(self.names[i] for i in ids)
-
-
-def _merged_short(part: list[str], rank: dict) -> list[str]:
-    while len(part) > 1:
-        best, at = min((rank.get(p, 1 << 60), k) for k, p in enumerate(zip(part, part[1:])))
-        if best == 1 << 60:
-            break
-        part[at : at + 2] = [part[at] + part[at + 1]]
-    return part
-
-
-def _merged(part: list[str], rank: dict) -> list[str]:
-    """The same for long words: a heap of pairs over a doubly linked list."""
-    n = len(part)
+        return " ".join([self.names[i] for i in ids])
+
+
+def _merge_short(ids: list[int], rank: dict[int, int], merged: list[int]) -> list[int]:
+    """Merges in place; the ranks of all neighbours are kept beside the ids."""
+    get = rank.get
+    ranks = [get(a << _SHIFT | b, _NONE) for a, b in zip(ids, ids[1:])]
+    while ranks and (best := min(ranks)) != _NONE:
+        k = ranks.index(best)
+        ids[k] = merged[best]
+        del ids[k + 1], ranks[k]
+        if k:
+            ranks[k - 1] = get(ids[k - 1] << _SHIFT | ids[k], _NONE)
+        if k < len(ranks):
+            ranks[k] = get(ids[k] << _SHIFT | ids[k + 1], _NONE)
+    return ids
+
+
+def _merge_long(ids: list[int], rank: dict[int, int], merged: list[int]) -> list[int]:
+    """The same for long words: a heap of ranks over a doubly linked list."""
+    n = len(ids)
     after, before = [*range(1, n), -1], list(range(-1, n - 1))
-    heap = [(rank[p], k, *p) for k, p in enumerate(zip(part, part[1:])) if p in rank]
+    heap = [(r, k) for k in range(n - 1) if (r := rank.get(ids[k] << _SHIFT | ids[k + 1])) is not None]
     heapq.heapify(heap)
 
-    def offer(k: int) -> None:
-        if k >= 0 and after[k] >= 0 and (p := (part[k], part[after[k]])) in rank:
-            heapq.heappush(heap, (rank[p], k, *p))
+    def of(k: int) -> int | None:
+        return rank.get(ids[k] << _SHIFT | ids[after[k]]) if k >= 0 and ids[k] >= 0 and after[k] >= 0 else None
 
     while heap:
-        _, k, a, b = heapq.heappop(heap)
-        if part[k] != a or after[k] < 0 or part[after[k]] != b:
+        r, k = heapq.heappop(heap)
+        if of(k) != r:
             continue
         gone = after[k]
-        part[k], part[gone] = a + b, ""
+        ids[k], ids[gone] = merged[r], -1
         after[k] = after[gone]
         if after[k] >= 0:
             before[after[k]] = k
-        offer(before[k])
-        offer(k)
-    return [p for p in part if p]
+        for x in (before[k], k):
+            if (new := of(x)) is not None:
+                heapq.heappush(heap, (new, x))
+    return [i for i in ids if i >= 0]
 
 
 # --- the transducer ---------------------------------------------------------------------------
@@ -176,20 +193,22 @@ def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
     below = []
     for final, arcs in states:  # targets come first
         below.append(final + sum(below[t] for _, t in arcs))
-    first, flat = [], []
+    first, labels, targets, before = [], [], [], []
     for final, arcs in states:
-        first.append(len(flat) // 3)
+        first.append(len(labels))
         n = int(final)
         for label, target in arcs:
-            flat += [label, target, n]
+            labels.append(label)
+            targets.append(target)
+            before.append(n)
             n += below[target]
-    first.append(len(flat) // 3)
+    first.append(len(labels))
     ids, starts = [], [0]
     for w in words:
         ids += entries[w]
         starts.append(len(ids))
     finals = [int(f) for f, _ in states]
-    parts = [first, finals, flat, starts, ids]
+    parts = [first, finals, labels, targets, before, starts, ids]
     head = [root, *map(len, parts)]
     return struct.pack(f"<{len(head)}i", *head) + b"".join(struct.pack(f"<{len(p)}i", *p) for p in parts)
 
@@ -199,12 +218,12 @@ class Lexicon:
 
     def __init__(self, buffer):
         numbers = memoryview(buffer).cast("i")
-        self.root, *sizes = numbers[:6].tolist()
-        views, at = [], 6
+        self.root, *sizes = numbers[:8].tolist()
+        views, at = [], 8
         for n in sizes:
             views.append(numbers[at : at + n])
             at += n
-        self.first, self.final, self.arcs, self.starts, self.ids = views
+        self.first, self.final, self.labels, self.targets, self.before, self.starts, self.ids = views
 
     @classmethod
     def of_file(cls, path: str) -> Lexicon:
@@ -213,14 +232,13 @@ class Lexicon:
 
     def get(self, word: bytes) -> list[int] | None:
         """The ids of a word, or None."""
-        s, index, first, arcs = self.root, 0, self.first, self.arcs
+        s, index, first, labels = self.root, 0, self.first, self.labels
         for c in word:
-            for a in range(3 * first[s], 3 * first[s + 1], 3):
-                if arcs[a] == c:
-                    s, index = arcs[a + 1], index + arcs[a + 2]
-                    break
-            else:
+            end = first[s + 1]
+            a = bisect_left(labels, c, first[s], end)
+            if a == end or labels[a] != c:
                 return None
+            s, index = self.targets[a], index + self.before[a]
         return self.ids[self.starts[index] : self.starts[index + 1]].tolist() if self.final[s] else None
 
 
@@ -275,6 +293,7 @@ class Encoder:
 
     def __init__(self, path: str, lexicon: Lexicon, most: int = 400_000):
         self.bpe, self.lexicon, self.most = _tokenizer(path), lexicon, most
+        self.decimal = {i: str(i) for i in self.bpe.names}
         self.ids: dict[str, str] = {}
         self.text: dict[str, str] = {}
 
@@ -289,7 +308,7 @@ class Encoder:
                 self.text.clear()
             for w in set(words).difference(self.ids):
                 ids = self.lexicon.get(w.encode()) or self.bpe.merge(w)
-                self.ids[w] = " ".join(map(str, ids))
+                self.ids[w] = " ".join([self.decimal[i] for i in ids])
                 self.text[w] = self.bpe.decode(ids)
             return self._joined(words)
 
