@@ -60,7 +60,6 @@ def map_rows(
 
 
 def gated_rows(mapped: DataFrame, strict: DataFrame, generic: DataFrame, rules: Rules) -> DataFrame:
-    """The gate over mapped rows."""
-    mapped = staged(mapped, "mapped")
-    keys = lexicon.build_reference_keys(strict, generic)
+    """The gate over mapped rows (a table: the gate reads it several times)."""
+    keys = {k: staged(d, k) for k, d in lexicon.build_reference_keys(strict, generic).items()}
     return gate.apply_gate(mapped, keys, "description", rules.scope_groups, rules.whitelist, rules.generic, rules.capital)

@@ -41,14 +41,36 @@ def curated(spark) -> DataFrame:
     return lexicon.as_rows(spark, fx.CURATED_PHRASES | {"odd thing": "nothing"}, "phrase", "product")
 
 
-def mapped(spark, sf_dir) -> DataFrame:
+_STAGES: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stage(spark, sf_dir, name: str, build) -> DataFrame:
+    """The stage table ``name`` over the tables of ``sf_dir``, built once in an application.
+
+    Many queries look at the same mapped and gated rows; as in a real run these are tables.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STAGES:
+        _STAGES[key] = tables.staged(build(spark, sf_dir), name)
+    return _STAGES[key]
+
+
+def build_mapped(spark, sf_dir) -> DataFrame:
     strict, _, _ = master_views(spark, sf_dir)
     return map_rows(fx.shipments(spark, sf_dir), strict, curated(spark), cores(spark, sf_dir), RULES, keywords(spark, sf_dir))
 
 
-def gated(spark, sf_dir) -> DataFrame:
+def build_gated(spark, sf_dir, rows: DataFrame | None = None) -> DataFrame:
     strict, generic, _ = master_views(spark, sf_dir)
-    return gated_rows(mapped(spark, sf_dir), strict, generic, RULES)
+    return gated_rows(mapped(spark, sf_dir) if rows is None else rows, strict, generic, RULES)
+
+
+def mapped(spark, sf_dir) -> DataFrame:
+    return stage(spark, sf_dir, "mapped", build_mapped)
+
+
+def gated(spark, sf_dir) -> DataFrame:
+    return stage(spark, sf_dir, "gated", build_gated)
 
 
 CTES = {
@@ -122,7 +144,8 @@ _BOUNDS = f"""SELECT {_DIMS}, coalesce(sum(CASE WHEN match_tier = 'family' THEN
 
 @query(sql(_BOUNDS))
 def flagship_value_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregate.value_bounds(gated(spark, sf_dir))
+    rows = tables.staged(build_mapped(spark, sf_dir), "mapped")
+    return aggregate.value_bounds(build_gated(spark, sf_dir, rows))
 
 
 # Dictionaries.
