@@ -54,6 +54,8 @@ _STEPS = (4, 8, 12, 16, 24, 48)
 def shape(token: str) -> tuple:
     """What a token's own features are made of: length, alphabet, case, digits, variety, changes."""
     n = len(token)
+    if n < 12 and token.islower() and token.isalpha():  # most words
+        return n, "hex" if _HEX.fullmatch(token) else "word", "low", False, -1, -1
     alphabet = "hex" if _HEX.fullmatch(token) else "word" if token.isalpha() else "other"
     case = "low" if token.islower() else "up" if token.isupper() else "title" if token.istitle() else "mixed"
     if n < 12:
@@ -176,37 +178,44 @@ def viterbi(e: np.ndarray, t: np.ndarray) -> list[int]:
 
 
 class Tagger:
-    """The trained field, with the scores of token types that it has met."""
+    """The trained field, with the classes of the tokens that it has met.
 
-    def __init__(self, weights: dict[str, tuple], t: np.ndarray, most: int = 300_000):
+    Tokens of one shape whose word is in no feature score alike: they share a row of the table.
+    """
+
+    def __init__(self, weights: dict[str, tuple], t: np.ndarray, most: int = 400_000):
         self.weights, self.t, self.most = weights, t, most
         self.gain = max(float(t[a, b] - t[O, O]) for a in range(3) for b in range(3) if a or b)
-        self.shapes: dict[tuple, tuple] = {}
+        self.words = {f.split(" ", 1)[1] for f in weights if f.startswith(("-1 ", "-2 ", "+1 ")) and " is " not in f} - {"?"}
         self.types: dict[str, int] = {}
-        self.table = np.zeros((1024, 4, 3))
+        self.classes: dict[tuple, int] = {}
+        self.table = np.zeros((0, 4, 3))
 
     def _sum(self, features) -> tuple[float, float, float]:
         rows = [self.weights[f] for f in features if f in self.weights]
         return (sum(r[0] for r in rows), sum(r[1] for r in rows), sum(r[2] for r in rows))
 
+    def _class(self, token: str) -> int:
+        s = shape(token)
+        word = token.lower() if s[0] <= 10 else ""
+        key = (s, token.isdigit(), word if word in self.words else s[0] <= 10)
+        found = self.classes.get(key)
+        if found is None:
+            found = self.classes[key] = len(self.classes)
+            row = [self._sum(shape_features(s)), *(self._sum(word_features(token, w)) for w in ("-1", "-2", "+1"))]
+            self.table = np.concatenate([self.table, np.array([row])])
+        return found
+
     def _codes(self, tokens: list[str]) -> np.ndarray:
-        if not self.types.keys() >= (kinds := set(tokens)):
-            if len(self.types) > self.most:
-                self.types.clear()
-                self.shapes.clear()
-            new = kinds.difference(self.types)
-            start = len(self.types)
-            while start + len(new) > len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            rows = []
-            for x in new:
-                self.types[x] = len(self.types)
-                own = self.shapes.get(s := shape(x))
-                if own is None:
-                    own = self.shapes[s] = self._sum(shape_features(s))
-                rows.append((own, *(self._sum(word_features(x, w)) for w in ("-1", "-2", "+1"))))
-            self.table[start : start + len(rows)] = rows
-        return np.fromiter(map(self.types.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+        types = self.types
+        try:
+            return np.fromiter(map(types.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+        except KeyError:
+            if len(types) > self.most:
+                types.clear()
+            for x in set(tokens).difference(types):
+                types[x] = self._class(x)
+            return np.fromiter(map(types.__getitem__, tokens), dtype=np.int64, count=len(tokens))
 
     def emissions(self, text: str, tokens: list[str]) -> np.ndarray:
         """Scores (tokens x tags)."""
