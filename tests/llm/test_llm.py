@@ -1,0 +1,291 @@
+"""The training-data operators against brute force, round trips and held-out accuracy."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tradeweave.llm import bpe, common, decontam, exact_dedup, jaccard_join, language_id, line_dedup, quality, queries, secret_scan, url_filter, warc
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, t string"
+
+
+def words(rng, n, k=40):
+    return " ".join(f"w{rng.randrange(k)}{chr(97 + rng.randrange(26))}" for _ in range(n))
+
+
+def documents(spark, rows):
+    """Rows (doc_id, text[, lang, source]); two further columns have names that operators use inside."""
+    full = [(r[0], r[1], *(r[2:] or ("en", "s0")), len(r[1]) if r[1] is not None else None, "x", "y") for r in rows]
+    return spark.createDataFrame(full, DOCS)
+
+
+ODD = [(1, None), (2, ""), (3, " \t\n"), (4, "…"), (None, "no id here at all, five words"), (5, "same text"), (5, "same text"), (6, "a" * 30_000)]
+
+
+def near_copies(seed=1):
+    rng, rows = random.Random(seed), []
+    for g in range(12):
+        base = [f"g{g}w{rng.randrange(400)}" for _ in range(rng.randrange(30, 120))]
+        for _ in range(rng.randrange(1, 9)):
+            w = list(base)
+            for _ in range(rng.randrange(0, 4)):
+                w[rng.randrange(len(w))] = f"edit{rng.randrange(10**6)}"
+            rows.append(" ".join(w))
+    rng.shuffle(rows)
+    return [(k + 10, t) for k, t in enumerate(rows)]
+
+
+def brute_components(rows):
+    sets = {}
+    for i, t in rows:
+        w = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    up = {i: i for i in sets}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[:k]:
+            both, union = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+            if union and sets[a] and sets[b] and 100 * both >= 80 * union:
+                x, y = sorted((root(a), root(b)))
+                up[y] = x
+    return {i: (len(sets[i]), root(i)) for i in ids}
+
+
+def test_jaccard_join_matches_brute_force(spark):
+    rows = near_copies() + [(900, None), (901, ""), (902, "Two words"), (903, "two WORDS"), (904, "two other")]
+    out = jaccard_join.jaccard_components(documents(spark, rows), most=7).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute_components(rows)
+    assert len(out) == len(rows)
+
+
+def test_jaccard_join_of_odd_and_no_rows(spark):
+    out = jaccard_join.jaccard_components(documents(spark, ODD)).collect()
+    assert len(out) == len(ODD) and {r.component_id for r in out if r.doc_id is None} == {None}
+    assert jaccard_join.jaccard_components(documents(spark, ODD).limit(0)).count() == 0
+
+
+def test_tree_finds_all_similar_sets():
+    rng = np.random.default_rng(3)
+    sets = [rng.choice(5000, size=rng.integers(20, 90), replace=False).astype(np.uint64) for _ in range(150)]
+    sets += [np.unique(np.concatenate([s[2:], [np.uint64(9000 + k)]])) for k, s in enumerate(sets[:60])]
+    sets = [np.unique(jaccard_join._mixed(s)) for s in sets]
+    tree = jaccard_join.RTree(np.array([jaccard_join.point(s) for s in sets]), np.array([len(s) for s in sets]))
+    for q in sets[::7]:
+        near = set(tree.query(jaccard_join.point(q), len(q), 80, 100).tolist())
+        assert {k for k, s in enumerate(sets) if jaccard_join.similar(q, s, 80, 100)} <= near
+
+
+def test_exact_dedup(spark):
+    rows = ODD + [(9, "same  text"), (7, "same\x0b text"), (8, " same text"), (10, "same\xa0text")]
+    out = exact_dedup.exact_dedup(documents(spark, rows), capacity=1).collect()
+    norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
+    for r in out:
+        t = [norm(t) for i, t in rows if i == r.doc_id and hashlib.sha256(norm(t).encode()).hexdigest() == r.text_sha256][0]
+        group = [i for i, x in rows if norm(x) == t]
+        keep = min((i for i in group if i is not None), default=None)
+        assert (r.keep_id, r.group_size, r.kept) == (keep, len(group), r.doc_id == keep)
+    assert len(out) == len(rows)
+    assert exact_dedup.exact_dedup(documents(spark, ODD).limit(0)).count() == 0
+
+
+def test_directory_splits_until_buckets_fit(spark):
+    keys = spark.range(4000).select(F.xxhash64("id").alias("key"))
+    rows = exact_dedup.directory(keys, capacity=200).collect()
+    g = rows[0].g
+    assert len(rows) == 2**g and max(r.n_keys for r in rows) <= 200
+    assert sum({(r.depth, r.bucket): r.n_keys for r in rows}.values()) == 4000
+    for r in rows:
+        assert r.leaf >> (g - r.depth) == r.bucket
+
+
+def test_line_dedup_keeps_first_copies(spark):
+    spread, rare = "this line stands on very many sites", "this line stands on a few sites only"
+    rows = [(k, f"{rare if k < 4 else 'own line number ' + str(k) * 9}\n{spread}\n\nshort", "en", f"s{k}") for k in range(8)]
+    out = {r.doc_id: r for r in line_dedup.line_dedup(documents(spark, rows + [(50, None), (51, "")]), min_sites=5).collect()}
+    assert out[0].text == rows[0][1] and out[0].n_removed == 0
+    assert out[1].text == f"{rare}\n\nshort" and out[1].n_removed == 1 and out[1].n_chars == len(out[1].text)
+    assert out[50].text is None and out[50].n_lines == 0 and out[51].text == "" and out[51].key == "x"
+
+
+def test_line_dedup_of_odd_and_no_rows(spark):
+    assert line_dedup.line_dedup(documents(spark, ODD)).count() == len(ODD)
+    assert line_dedup.line_dedup(documents(spark, ODD).limit(0)).count() == 0
+
+
+def brute_hits(text, items):
+    find = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    w, hit, names = find(text), set(), set()
+    for i, t in items:
+        x = find(t)
+        n = min(10, len(x))
+        windows = {tuple(x[k : k + n]) for k in range(len(x) - n + 1)} if n else set()
+        for k in range(len(w) - n + 1 if n else 0):
+            if tuple(w[k : k + n]) in windows:
+                hit.update(range(k, k + n))
+                names.add(str(i))
+    return len(w), len(hit), sorted(names)
+
+
+@pytest.mark.parametrize("most", [10_000, 25])
+def test_contamination_matches_brute_force(spark, most):
+    rng = random.Random(5)
+    items = [(k, words(rng, n, 6)) for k, n in enumerate([12, 30, 3, 10, 1, 40])] + [(70, None), (71, "…"), (72, "ß Ä straße 10")]
+    rows = ODD[:4] + [(k + 10, words(rng, 60, 6)) for k in range(25)] + [(90, f"x {items[1][1].upper()} y"), (91, "the ß ä STRASSE 10"), (92, "the ß Ä straße-10")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = decontam.find_contamination(documents(spark, rows), bench, max_words=most).collect()
+    given = dict(rows)
+    assert len(out) == len(rows)
+    for r in out:
+        n, h, k = brute_hits(given[r.doc_id], items)
+        assert (r.n_words, r.n_hit, list(r["items"]), r.contaminated) == (n, h, k, h > 0)
+
+
+def test_decontaminate_cuts_passages_and_drops_copies(spark):
+    rng = random.Random(6)
+    item = words(rng, 25)
+    own = words(random.Random(7), 80)
+    rows = [(1, own), (2, f"{own} {item} {own}"), (3, f"hello {item}"), (4, None), (5, "")]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    out = {r.doc_id: r for r in decontam.decontaminate(documents(spark, rows), bench).collect()}
+    assert set(out) == {1, 2, 4, 5} and out[1].text == own and out[2].text.split() == (own + " " + own).split()
+    assert out[2].n_chars == len(out[2].text) and out[2].source == "s0"
+
+
+def test_bpe_matches_the_library(spark):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    theirs = Tokenizer.from_file(path)
+    theirs.no_padding()
+    theirs.no_truncation()
+    rng = random.Random(2)
+    texts = [None, "", " ", "Hello, it's 2024!", "ΟΔΥΣΣΕΥΣ naïve É İ ﬁ 你好 😀", "<|endoftext|>a<|startoftext|>", "x" * 5000, "don'T'LL", words(rng, 300), "\x00\x1c\x85 a"]
+    docs = documents(spark, list(enumerate(texts)))
+    ids = bpe.encode(docs, path, lexicon_size=100)
+    got = {r.doc_id: r["ids"] for r in ids.collect()}
+    back = {r.doc_id: r.text for r in bpe.decode(ids, path).collect()}
+    for k, t in enumerate(texts):
+        want = theirs.encode(t or "", add_special_tokens=False).ids
+        assert got[k] == want and back[k] == theirs.decode(want, skip_special_tokens=False)
+    assert bpe.encode(docs.limit(0), path).count() == 0
+
+
+def test_lexicon_holds_its_words_only():
+    rng = random.Random(1)
+    entries = {bytes(rng.choices(b"abc\xc3\xa9", k=rng.randrange(1, 9))): [rng.randrange(9) for _ in range(rng.randrange(1, 4))] for _ in range(500)}
+    lexicon = bpe.Lexicon(bpe.compile_lexicon(entries))
+    assert all(lexicon.get(w) == i for w, i in entries.items())
+    assert all(lexicon.get(w) is None for w in (b"", b"zz", b"abcabcabcabc"))
+
+
+def test_languages_of_held_out_documents(spark):
+    rng = random.Random(3)
+    stems = {"aa": "ka lo mi tu".split(), "bb": "ster ing ough".split()}
+    rows = [(k, " ".join("".join(rng.choices(stems[lang], k=3)) for _ in range(40)), lang, "s") for k in range(120) for lang in ["aa" if k % 2 else "bb"]]
+    rows += [(500, None, "aa", "s"), (501, "12 !", None, "s"), (502, "kalomi tulo", None, "s")]
+    out = {r.doc_id: r for r in language_id.identify(documents(spark, rows)).collect()}
+    assert out[500].lang_pred == out[501].lang_pred == "und" and out[502].lang_pred == "aa"
+    for i, _, lang, _ in rows[:120]:
+        assert out[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2) and out[i].lang_pred == lang and 0 <= out[i].score <= 1
+    assert language_id.identify(documents(spark, ODD).limit(0)).count() == 0
+
+
+def test_secret_spans(spark):
+    rng = random.Random(4)
+    rows = [(k, f"{words(rng, 30)} {'password = ' + 'ab12' * 5 if k % 3 == 0 else ''} {words(rng, 30)}") for k in range(60)]
+    rows += [(100, "Token:'Abcdefghij12' AKIA" + "Z" * 14 + " ſecret=abcdefghijkl 0123456789abcdef0"), (101, None), (102, "api-key: abcdefghijklmn token: token=abcdefghijkl")]
+    out = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans if s.kind != "crf"] for r in secret_scan.scan(documents(spark, rows)).collect()}
+    text = rows[60][1]
+    assert out[100] == [("assign", 0, 19), ("access", text.index("AKIA"), text.index("AKIA") + 18), ("hex", len(text) - 17, len(text))]
+    assert out[101] == [] and [s[0] for s in out[102]] == ["assign"]
+    assert all((len(out[k]) == 2) == (k % 3 == 0) for k in range(60))  # the value is hex as well
+
+
+def test_pruned_viterbi_is_the_whole_one():
+    rng = random.Random(8)
+    texts = [f"{words(rng, 20)} secret: {'%x' % rng.getrandbits(80)} {words(rng, 20)}" for _ in range(40)]
+    w = [x[1:] for t in texts for x in secret_scan.windows_of(t)]
+    tagger = secret_scan.Tagger(*secret_scan.train(w, steps=30))
+    for t in texts:
+        at = [m.span() for m in secret_scan._TOKEN.finditer(t)]
+        tags = secret_scan.viterbi(tagger.emissions(t, [t[a:b] for a, b in at]), tagger.t)
+        spans = []
+        for k, tag in enumerate(tags):
+            if tag == secret_scan.B or tag == secret_scan.I and not (spans and spans[-1][1] == k - 1):
+                spans.append([k, k])
+            elif tag == secret_scan.I:
+                spans[-1][1] = k
+        assert tagger.spans(t) == [(at[a][0], at[b][1]) for a, b in spans]
+
+
+def test_warc_round_trip(spark):
+    big = "é" * 90_000
+    rows = [(1, "http://a/b", "x" * 999), (2, "http://a/b c\n", "x" * 999), (3, None, big), (9, "u", big), (4, "u", None), (5, "u", "y" * 1000), (6, "u", "y" * 1000), (None, "u", "y" * 1000), (7, "u", "a\r\n\r\nWARC/1.1\r\n")]
+    out = warc.archive_round_trip(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    got = sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, r.valid) for r in out), key=repr)
+    want = []
+    for i, _, h in rows:
+        data = (h or "").encode()
+        most = max((j for j, _, x in rows if (x or "") == (h or "") and j is not None), default=None)
+        again = len(data) >= 1000 and i is not None and i != most
+        want.append((i, len(data), hashlib.sha1(data).hexdigest(), "revisit" if again else "response", most if again else None, True))
+    assert got == sorted(want, key=repr)
+
+
+def test_incomplete_segments_are_told(spark, tmp_path):
+    path = str(tmp_path / "w")
+    warc.write_archives(spark.createDataFrame([(1, "u", "z" * 200_000)], "page_id long, url string, html string"), path)
+    found = warc.read_records(spark, path)
+    assert found.filter("number > 0").count() > 2
+    part = warc.payloads(warc.reassembled(found.filter("number <> 2"))).first()
+    assert part.payload is None and not part.valid
+
+
+def test_url_rules_and_models(spark):
+    rows = [(k, f"https://x{k}.{'com/fr/' if k % 2 else 'com/de/'}{'goodpage' if k % 2 else 'casino-spam'}{k}") for k in range(200)]
+    rows += [(500, None), (501, "nowhere"), (502, "http://ORG/"), (503, "http://example.org/es/1?x"), (504, "http://a.example.org/en/1"), (505, "http://x.net/goodpage7"), (506, "http://x.net/casino-spam8"), (507, "http://org?x"), (508, "http://xorg/")]
+    out = {r.page_id: r for r in url_filter.url_filter(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert (out[500].host, out[500].path, out[501].host) == ("", "", "")
+    assert (out[502].rule, out[502].verdict, out[503].rule, out[504].rule) == ("org/", "allow", "example.org/es/", "example.org/en/1")
+    assert out[507].rule is None and out[508].rule is None and out[1].verdict == "allow" and out[2].verdict == "block"
+    assert (out[505].verdict, out[506].verdict) == ("allow", "block")
+
+
+def test_quality_of_good_and_bad_texts(spark):
+    rng = random.Random(9)
+    rows = [(k, words(rng, 80) if k % 2 else "spam | " * 80, "en", f"s{k % 5}") for k in range(200)] + [(900, None, None, None)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(0, 120)] + [(None, 1), (3, None)], "doc_id long, quality int")
+    out = {r.doc_id: r for r in quality.classify(documents(spark, rows), labels).collect()}
+    assert len(out) == 201 and all(out[k].kept == bool(k % 2) for k in range(200))
+    none = quality.classify(documents(spark, rows), labels.limit(0)).filter("evidence <> 0").count()
+    assert none == 0 and quality.classify(documents(spark, rows).limit(0), labels).count() == 0
+
+
+def test_most_frequent_is_bounded(spark):
+    counts = spark.range(1, 1000).select("id", (F.lit(100_000) / F.col("id")).cast("long").alias("n"))
+    got = sorted(r.id for r in common.most_frequent(counts, "n", 50).collect())
+    assert 0 < len(got) <= 50 and got == list(range(1, len(got) + 1))
+
+
+def test_pipeline_over_odd_documents(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    item = words(rng, 20)
+    rows = [*ODD, (20, f"{words(rng, 60)} {item} {words(rng, 60)}", "en", "s1"), *near_copies()[:20]]
+    documents(spark, rows).drop("key", "t").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    ids = {r.doc_id for r in out}
+    assert 20 in ids and not ids & {1, 2, 3, 4} and len(out) < len(rows)
