@@ -41,12 +41,12 @@ _EV = {
       CASE WHEN contains(row_norm, 'gear') THEN 45.0 WHEN regexp_matches(row_norm, 'red|ring') THEN 30.0 ELSE 0.0 END::DOUBLE AS product_score,
       CASE WHEN contains(row_norm, 'cold') THEN 'n1' WHEN regexp_matches(row_norm, '\bbrand 7\b') THEN 'n2' ELSE '' END AS negative_group,
       CASE WHEN contains(row_norm, 'supplier 000000007') THEN 'Seven' ELSE '' END AS maker_alias,
-      mk NOT IN ('', 'nan', 'none', 'unspecified') AS known,
+      mk NOT IN ('', 'nan', 'none', 'unspecified') AS mk_known,
       lower(family) NOT IN ('', 'nan', 'none', 'unspecified', 'small ring', 'new gear') AND contains(row_norm, lower(family)) AS family_evidence,
       contains(row_norm, 'gizmo') OR lower(family) IN ('', 'nan', 'none', 'unspecified', 'small ring', 'new gear') AS generic_risk,
       CASE WHEN hs4 IN ('9018', '9019', '9021', '9022') THEN 'core' WHEN hs4 = '9020' THEN 'extended' ELSE 'outside' END AS code_scope FROM ev0""",
-    "ev2": """SELECT *, (known AND contains(row_norm, mk)) OR maker_alias <> '' AS maker_evidence FROM ev1""",
-    "ev": """SELECT *, CASE WHEN negative_group <> '' THEN 100.0 ELSE 0.0 END::DOUBLE AS exclusion_score, CASE WHEN maker_evidence THEN 24.0 WHEN known THEN 8.0 ELSE 0.0 END::DOUBLE AS maker_score,
+    "ev2": """SELECT *, (mk_known AND contains(row_norm, mk)) OR maker_alias <> '' AS maker_evidence FROM ev1""",
+    "ev": """SELECT *, CASE WHEN negative_group <> '' THEN 100.0 ELSE 0.0 END::DOUBLE AS exclusion_score, CASE WHEN maker_evidence THEN 24.0 WHEN mk_known THEN 8.0 ELSE 0.0 END::DOUBLE AS maker_score,
       CASE WHEN family_evidence THEN 28.0 ELSE 0.0 END::DOUBLE AS family_score, CASE WHEN generic_risk THEN 12.0 ELSE 0.0 END::DOUBLE AS generic_penalty,
       CASE code_scope WHEN 'core' THEN 16.0 WHEN 'extended' THEN 6.0 ELSE 0.0 END::DOUBLE AS code_score,
       CASE WHEN include = 'Y' THEN 0.95 WHEN product_score >= 40 AND code_scope = 'core' THEN 0.86 WHEN product_score > 0 AND code_scope <> 'outside' THEN 0.68 ELSE 0.0 END::DOUBLE AS category_confidence FROM ev2""",
@@ -313,7 +313,7 @@ def q21_decision_log(spark, sf_dir):
     return review.decision_log(gated(spark, sf_dir), "row_id", decision)
 
 
-@query(sql(f"SELECT signature, count(*) AS n_rows, {_VAL} FROM gated, (VALUES ('x', 'gear', 'red', 'promo'), ('y', 'ring', 'brand', 'small')) v(signature, a, b, c) WHERE contains(product, a) AND contains(lower(description), b) AND NOT contains(lower(description), c) GROUP BY signature"))
+@query(sql(f"SELECT signature, count(*) AS n_rows, {_VAL} FROM gated, (VALUES ('x', 'gear', 'red', 'promo'), ('y', 'ring', 'brand', 'small')) v(signature, a, b, c) WHERE contains(lower(product), a) AND contains(lower(description), b) AND NOT contains(lower(description), c) GROUP BY signature"))
 def q22_signature_impact(spark, sf_dir):
     return review.signature_impact(gated(spark, sf_dir), "product", "description", [("x", "gear", "red", "promo"), ("y", "ring", "brand", "small")])
 
@@ -553,7 +553,7 @@ _TOKS = "list_distinct(regexp_extract_all(lower({}), '[a-z]{{3,}}'))"
 
 def _short(k: int) -> str:
     return f"""a AS (SELECT doc_id, unnest({_TOKS.format('text')}) AS token FROM documents), b AS (SELECT item_id::VARCHAR AS object_id, unnest({_TOKS.format(r"trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'))")}) AS token FROM benchmark),
-  short AS (SELECT doc_id, object_id, count(*) AS shared FROM a JOIN b USING (token) GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, object_id) <= {k})"""
+  short AS (SELECT doc_id, object_id, count(*) AS shared FROM a JOIN b USING (token) GROUP BY doc_id, object_id QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, object_id) <= {k})"""
 
 
 @query(f"WITH {_short(5)} SELECT * FROM short")
