@@ -12,6 +12,7 @@ from tradeweave.llm.queries import table, tokenizer_path
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of no language: null texts, texts without letters, and texts that share no
     n-gram with any profile. Profiles are learned from all rows with a lang."""
+    common.small_batches(spark)
     profiles = language_id.train_profiles(docs)
     judged = language_id.predict(docs, profiles)
     rejected = F.col("score") <= 0 if profiles else F.coalesce(~F.col("text").rlike(r"\p{L}"), F.lit(True))

@@ -28,7 +28,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch
+from .common import batch, most_frequent, saved
 
 #: Fixed values of the vocabulary file's pre-tokenizer: contractions that stand alone.
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
@@ -275,8 +275,11 @@ def word_counts(docs: DataFrame, path: str, flush: int = 500_000) -> DataFrame:
 
 
 def build_lexicon(docs: DataFrame, path: str, size: int = 50_000) -> str:
-    """Compiles the ``size`` most frequent words and gives the file to all executors; its name."""
-    top = word_counts(docs, path).orderBy(F.desc("n"), "word").limit(size)
+    """Compiles up to ``size`` most frequent words and gives the file to all executors; its name.
+
+    A word that was seen once isn't frequent.
+    """
+    top = most_frequent(saved(word_counts(docs, path).filter("n > 1"), "word-counts"), "n", size)
     bpe = WordBPE(path)
     words = [r.word for r in top.collect() if r.word not in bpe.special]  # at most ``size``
     data = compile_lexicon({w.encode(): bpe.merge(w) for w in words})

@@ -7,6 +7,7 @@ import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Lower-cases A-Z and turns every ASCII byte that is neither a digit nor a letter into a space.
 _ALNUM = bytes(
@@ -44,6 +45,29 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def most_frequent(counts: DataFrame, n: str, size: int) -> DataFrame:
+    """The rows of ``counts`` with the largest ``n``, at most ``size`` of them.
+
+    A histogram over logarithmic bins of n (a thousand rows at most) gives the cut, so no task
+    sorts and none sends its own candidates to the driver; of a bin that doesn't fit, none is taken.
+    """
+    bin_ = F.floor(F.log2(F.col(n).cast("double")) * 16)
+    total, cut = 0, None
+    for r in sorted(counts.groupBy(bin_.alias("b")).agg(F.count("*").alias("c")).collect(), reverse=True):
+        if total + r.c > size:
+            break
+        total, cut = total + r.c, r.b
+    return counts.filter(bin_ >= cut) if cut is not None else counts.limit(0)
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Sees to it that texts reach Python in batches of at most ``rows``, unless the session says
+    otherwise: whole texts can be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":  # its default
+        spark.conf.set(name, str(rows))
+
+
 def alnum_words(text: str | None) -> list[bytes]:
     """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-cased, in UTF-8."""
     return text.encode().translate(_ALNUM).split() if text else []

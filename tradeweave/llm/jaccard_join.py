@@ -8,9 +8,10 @@ verified on the sets.
 
 One tree over a corpus would have to be in one place, and points of unrelated documents of a length
 lie close to each other; so documents are first dealt to neighbourhoods, in which every pair that
-can link meets: two sets with a Jaccard similarity of t share an element among the first
-n - ceil(t n) + 1 elements of each, in any order common to all (here: rare ones first). A
-neighbourhood takes in all sets that share such an element with its hub. Trees are built for
+can link meets: two sets with a Jaccard similarity of t share at least l elements among the first
+n - ceil(t n) + l elements of each, in any order common to all (here: rare ones first). A set that
+shares fewer of them with all others together links with none. A neighbourhood takes in all sets
+that share such an element with its hub. Trees are built for
 pieces of a neighbourhood of a bounded size. Only links between sets that aren't yet known to be
 connected are looked for, so the output is a forest, whatever the size of a group of copies.
 """
@@ -29,6 +30,9 @@ from .common import saved, space_words
 
 #: Counters of the frequency sketch, groups of a count vector, leaf and node sizes of a tree.
 _COUNTERS, _CHUNK, GROUPS, LEAF, FAN = 1 << 18, 1 << 12, 128, 16, 8
+#: A set of n elements gives n // _SPARE more of them than needed, so that partners share more.
+_SPARE = 20
+_BITS, _BIT_CHUNK = 1 << 25, 1 << 19
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -124,7 +128,7 @@ def _rare_elements(docs: DataFrame, n: int, num: int, den: int, levels: np.ndarr
                     continue
                 if len(seen) < 500_000:
                     seen.add(mark)
-                size = len(s) - -(-num * len(s) // den) + 1
+                size = min(len(s), len(s) - -(-num * len(s) // den) + 1 + len(s) // _SPARE)
                 keys.append(rare_first(s, given.value)[:size].view(np.int64))
                 of.append(np.full(size, mark[0], dtype=np.int64))
             if keys:
@@ -133,6 +137,35 @@ def _rare_elements(docs: DataFrame, n: int, num: int, den: int, levels: np.ndarr
     return docs.mapInArrow(run, "key bigint, s1 bigint")
 
 
+def _marked_ids(ids: DataFrame) -> np.ndarray:
+    """A bit for each hash of an id, set for those in ``ids`` (rid): 4 MB, whatever the input.
+
+    It spares most of the other documents the shuffle; those that it lets by do no harm.
+    """
+
+    def run(key, table):
+        bit = _bit(table.column("rid").to_numpy()) % _BIT_CHUNK
+        bits = np.zeros(_BIT_CHUNK, dtype=np.uint8)
+        bits[bit] = 1
+        return pa.table({"chunk": [key[0].as_py()], "bits": [np.packbits(bits).tobytes()]}, schema=pa.schema([("chunk", pa.int32()), ("bits", pa.binary())]))
+
+    def chunks(batches):
+        for b in batches:
+            chunk = (_bit(b.column(0).to_numpy()) // _BIT_CHUNK).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(chunk)], names=["rid", "chunk"])
+
+    rows = ids.mapInArrow(chunks, "rid bigint, chunk int").groupBy("chunk").applyInArrow(run, "chunk int, bits binary")
+    out = np.zeros(_BITS // 8, dtype=np.uint8)
+    for r in rows.toLocalIterator():
+        at = r.chunk * _BIT_CHUNK // 8
+        out[at : at + _BIT_CHUNK // 8] = np.frombuffer(r.bits, dtype=np.uint8)
+    return out
+
+
+def _bit(ids: np.ndarray) -> np.ndarray:
+    return (_mixed(ids.astype(np.int64).view(np.uint64)) % np.uint64(_BITS)).astype(np.int64)
+
+
 def _shared_keys(rows: DataFrame) -> DataFrame:
     """The distinct rows (key, s1) whose key has several s1; the sorted rows stream by."""
 
@@ -260,6 +293,12 @@ def _pieces(members: DataFrame, component: DataFrame, most: int) -> DataFrame:
     return left.unionByName(right)
 
 
+def _points(table: pa.Table) -> np.ndarray:
+    """The count vectors of a piece; those of small sets come in two bytes a group."""
+    rows = [np.frombuffer(x, dtype="<u2" if len(x) == 2 * GROUPS else "<u4") for x in table.column("point").to_pylist()]
+    return np.array(rows, dtype=np.int32).reshape(-1, GROUPS)
+
+
 def _candidates(pieces: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The rows of ``pieces`` that may be similar to one of the other side and another component."""
     schema = pa.schema([("hub", pa.int64()), ("i", pa.int64()), ("j", pa.int64()), ("left", pa.bool_()), ("rid", pa.int64()), ("c", pa.int64())])
@@ -267,7 +306,7 @@ def _candidates(pieces: DataFrame, sets: DataFrame, num: int, den: int) -> DataF
     def run(table):
         left = np.array(table.column("left").to_pylist(), dtype=bool)
         n, c, rid = (table.column(x).to_numpy() for x in ("n", "c", "rid"))
-        points = np.frombuffer(b"".join(table.column("point").to_pylist()), dtype=np.int32).reshape(-1, GROUPS)
+        points = _points(table)
         a, b, used = np.flatnonzero(left), np.flatnonzero(~left), np.zeros(len(n), dtype=bool)
         tree = RTree(points[a], n[a])
         for q in b:
@@ -288,7 +327,7 @@ def _links(candidates: DataFrame, sets: DataFrame, num: int, den: int) -> DataFr
     def run(table):
         left = np.array(table.column("left").to_pylist(), dtype=bool)
         n, c, rid = (table.column(x).to_numpy() for x in ("n", "c", "rid"))
-        points = np.frombuffer(b"".join(table.column("point").to_pylist()), dtype=np.int32).reshape(-1, GROUPS)
+        points = _points(table)
         elements = [np.frombuffer(x, dtype=np.uint64) for x in table.column("elements").to_pylist()]
         a, b, out, forest = np.flatnonzero(left), np.flatnonzero(~left), [], _Forest([])
         tree = RTree(points[a], n[a])
@@ -334,8 +373,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     ``n`` words, or the whole of fewer. Documents link when den * |A & B| >= num * |A | B|;
     component_id is the least doc_id reachable over links. A null text or one without words has no
     set, links with nothing and is its own component. Rows of equal sets are linked, rows that
-    repeat too. A null doc_id gets a null component_id and isn't a partner. An empty table gives no
-    rows; other columns are ignored.
+    repeat too. A null doc_id gets a null component_id and isn't a partner. Rows that
+    repeat a doc_id with other texts are one document, with the links of all of them. An empty table
+    gives no rows; other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("t"))
     known = rows.filter("id is not null")
@@ -345,22 +385,31 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     reps = marks.filter("n > 0 and id is not null").groupBy("s1", "s2", "n").agg(F.min("id").alias("rid"))
 
     blocks = saved(_shared_keys(_rare_elements(known, n, num, den, levels)), "blocks")
+    # A partner has at least num / den as many elements, and gives as many spare ones.
+    least = 1 + F.floor(F.col("n") * num / (den * _SPARE))
+    enough = blocks.groupBy("s1").agg(F.count("*").alias("keys")).join(reps, "s1").filter(F.col("keys") >= least)
+    blocks = saved(blocks.join(enough.select("s1").distinct(), "s1", "left_semi"), "blocks")
     near = saved(_neighbourhoods(blocks), "neighbourhoods")
     of = saved(near.select("s1").distinct().join(reps, "s1").select("s1", "s2", "n", "rid"), "members")
 
+    marked = docs.sparkSession.sparkContext.broadcast(_marked_ids(of.select("rid")))
+
     def run(batches):
+        bits = np.unpackbits(marked.value)
+        schema = pa.schema([("rid", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("n", pa.int64()), ("point", pa.binary()), ("elements", pa.binary())])
         for b in batches:
-            cols = b.to_pydict()
-            out = {"rid": [], "n": [], "point": [], "elements": []}
-            for i, t, s1, s2 in zip(cols["rid"], cols["t"], cols["s1"], cols["s2"]):
+            rows = b.filter(pa.array(bits[_bit(b.column(0).to_numpy())] == 1))
+            out = []
+            for i, t in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
                 s = shingles(t, n)
-                if _signature(s) == (s1, s2):  # a repeated doc_id may have another text
-                    for k, v in zip(out, (i, len(s), point(s).tobytes(), s.tobytes())):
-                        out[k].append(v)
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("rid", pa.int64()), ("n", pa.int64()), ("point", pa.binary()), ("elements", pa.binary())]))
+                s1, s2 = _signature(s)
+                out.append((i, s1, s2, len(s), point(s).astype("<u2" if len(s) < 1 << 16 else "<u4").tobytes(), s.tobytes()))
+            columns = zip(*out) if out else [[] for _ in schema]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    texts = known.join(of.select("rid", "s1", "s2"), known.id == F.col("rid")).select("rid", "t", "s1", "s2")
-    sets = saved(texts.mapInArrow(run, "rid bigint, n bigint, point binary, elements binary").dropDuplicates(["rid"]), "sets")
+    # The signature tells a member's own text from another with the same id.
+    every = known.mapInArrow(run, "rid bigint, s1 bigint, s2 bigint, n bigint, point binary, elements binary")
+    sets = saved(every.join(of.select("rid", "s1", "s2"), ["rid", "s1", "s2"], "left_semi").drop("s1", "s2"), "sets")
 
     ids = of.select("s1", "rid")
     members = near.join(ids, "s1").drop("s1").join(
@@ -370,9 +419,12 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
 
     # Each set against the hub with which it shares most, then what this leaves apart.
     best = members.filter("hub <> rid").groupBy("rid").agg(F.max(F.struct("shared", "hub"))["hub"].alias("hub"))
-    a, b = (sets.select(F.col("rid").alias(x), F.col("n").alias(f"n_{x}"), F.col("elements").alias(f"e_{x}")) for x in ("a", "b"))
-    pairs = best.select(F.col("rid").alias("a"), F.col("hub").alias("b")).join(a, "a").join(b, "b")
-    pairs = pairs.filter((den * F.col("n_a") >= num * F.col("n_b")) & (num * F.col("n_a") <= den * F.col("n_b")))
+    a, b = (sets.select(F.col("rid").alias(x), F.col("elements").alias(f"e_{x}")) for x in ("a", "b"))
+    size_a, size_b = of.select(F.col("rid").alias("a"), F.col("n").alias("n_a")), of.select(F.col("rid").alias("b"), F.col("n").alias("n_b"))
+    pairs = best.select(F.col("rid").alias("a"), F.col("hub").alias("b")).join(size_a, "a").join(size_b, "b")
+    pairs = saved(pairs.filter((den * F.col("n_a") >= num * F.col("n_b")) & (num * F.col("n_a") <= den * F.col("n_b"))).select("a", "b"), "pairs")
+    b = b.join(pairs.select("b").distinct(), "b", "left_semi")
+    pairs = pairs.join(a, "a").join(b, "b")
 
     def verify(batches):
         for t in batches:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from . import bpe, decontam, exact_dedup, jaccard_join, language_id, line_dedup, quality, secret_scan, url_filter, warc
 
+from .common import small_batches
+
 #: The vocabulary of the pipeline and of op8; a parameter of the operators.
 TOKENIZER = "word_bpe_49k.json"
 
@@ -19,6 +21,7 @@ def tokenizer_path() -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

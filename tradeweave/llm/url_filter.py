@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch
+from .common import batch, most_frequent, saved
 
 #: The rules (host and path) with their verdicts.
 RULES = {
@@ -132,7 +132,7 @@ def train_models(labelled: DataFrame, order: int, min_count: int, max_grams: int
     ``max_grams`` most frequent ones bound what the driver gets and broadcasts."""
     counts = gram_counts(labelled, order)
     kept = counts.filter((F.length("gram") <= 2) | (F.col("n") >= min_count))
-    top = kept.orderBy(F.desc("n"), F.length("gram"), "gram", "label").limit(max_grams)
+    top = most_frequent(saved(kept, "grams"), "n", max_grams)
     found: dict[str, dict[str, int]] = {"allow": {}, "block": {}}
     for r in top.collect():
         found[r.label][r.gram] = r.n
