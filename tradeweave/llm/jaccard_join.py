@@ -277,15 +277,16 @@ def _pieces(members: DataFrame, component: DataFrame, most: int) -> DataFrame:
     to pieces in which every pair of a stray and a member meets.
 
     Strays are the members outside of the neighbourhood's largest component. Members and strays are
-    cut into slices of about ``most``; piece (i, j) holds members of slice i and strays of slice j.
+    cut into slices of about ``most`` elements; piece (i, j) holds members of slice i and strays of
+    slice j.
     """
     rows = members.join(component, "rid", "left").withColumn("c", F.coalesce("c", "rid"))
-    sizes = rows.groupBy("hub", "c").agg(F.count("*").alias("n"))
+    sizes = rows.groupBy("hub", "c").agg(F.sum("n").alias("n"))
     hubs = sizes.groupBy("hub").agg(
         F.max(F.struct("n", "c"))["c"].alias("main"), F.sum("n").alias("n"), (F.sum("n") - F.max("n")).alias("stray")
     ).filter("stray > 0")
     hubs = hubs.select("hub", "main", F.ceil(F.col("n") / most).alias("ni"), F.ceil(F.col("stray") / most).alias("nj"))
-    rows = rows.join(hubs, "hub")
+    rows = rows.drop("n").join(hubs, "hub")
     i, j = F.pmod(F.xxhash64("rid"), F.col("ni")), F.pmod(F.xxhash64("rid", F.lit(1)), F.col("nj"))
     every_j, every_i = (F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)) for n in ("nj", "ni"))
     left = rows.select("hub", i.alias("i"), every_j.alias("j"), F.lit(True).alias("left"), "rid", "c")
@@ -366,7 +367,7 @@ def components(edges: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, most: int = 1000) -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, most: int = 4_000_000) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
     Words are runs without ASCII white space, A-Z lower-cased; a set holds the distinct runs of
@@ -411,10 +412,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     every = known.mapInArrow(run, "rid bigint, s1 bigint, s2 bigint, n bigint, point binary, elements binary")
     sets = saved(every.join(of.select("rid", "s1", "s2"), ["rid", "s1", "s2"], "left_semi").drop("s1", "s2"), "sets")
 
-    ids = of.select("s1", "rid")
+    ids = of.select("s1", "rid", "n")
     members = near.join(ids, "s1").drop("s1").join(
         ids.select(F.col("s1").alias("hub"), F.col("rid").alias("hub_rid")), "hub"
-    ).select(F.col("hub_rid").alias("hub"), "rid", "shared")
+    ).select(F.col("hub_rid").alias("hub"), "rid", "n", "shared")
     members = saved(members, "members")
 
     # Each set against the hub with which it shares most, then what this leaves apart.
