@@ -141,7 +141,8 @@ def family_features(c: Column | str, stop: Iterable[str] = ()) -> Column:
 def char_ngrams(c: Column | str, n: int = 3) -> Column:
     """Distinct n-grams of the squeezed text; a text that is no longer than n is its own."""
     s = squeeze(text(c))
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - n + 1, F.lit(1))), lambda i: F.substring(s, i, F.lit(n)))
+    # A look-ahead at each place: linear in the text, which substring by position isn't.
+    grams = F.regexp_extract_all(s, F.lit(f"(?s)(?=(.{{{n}}}))"), 1)
     return F.when(F.length(s) <= n, F.filter(F.array(s), lambda x: x != "")).otherwise(F.array_distinct(grams))
 
 
