@@ -15,6 +15,9 @@ _ALNUM = bytes(
     for b in range(256)
 )
 
+#: Spark's setting by which a query's shuffle files are removed when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
@@ -38,10 +41,16 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again; this cuts its lineage.
 
     The files survive the loss of any executor, so a later stage never recomputes what is above.
+    The shuffle files of the write go with its end, as nothing reads them again.
     """
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
@@ -203,6 +203,21 @@ def _neighbourhoods(blocks: DataFrame) -> DataFrame:
     return rows.groupBy("hub", "s1").agg(F.count("*").alias("shared"))
 
 
+def _needed(near: DataFrame, least: DataFrame) -> DataFrame:
+    """The rows of ``near`` in which every pair that can link still meets.
+
+    Two such sets share at least ``least`` keys (s1, least; either set's own figure holds). A set
+    leaves the neighbourhoods that have the fewest of its keys as long as these are less than half
+    of its figure. What both leave can't hold all keys that they share, so they meet in a
+    neighbourhood that neither leaves. This parts long texts that have a passage in common.
+    """
+    first = Window.partitionBy("s1").orderBy("shared", "hub").rowsBetween(Window.unboundedPreceding, 0)
+    rows = near.join(least, "s1").withColumn("left", F.sum("shared").over(first))
+    rows = rows.filter(2 * F.col("left") >= F.col("least")).select("hub", "s1", "shared")
+    several = rows.groupBy("hub").agg(F.count("*").alias("size")).filter("size > 1").select("hub")
+    return rows.join(several, "hub", "left_semi")
+
+
 # --- the tree ---------------------------------------------------------------------------------
 
 
@@ -367,7 +382,7 @@ def components(edges: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, most: int = 4_000_000) -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, most: int = 2_000_000) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
     Words are runs without ASCII white space, A-Z lower-cased; a set holds the distinct runs of
@@ -387,10 +402,11 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
 
     blocks = saved(_shared_keys(_rare_elements(known, n, num, den, levels)), "blocks")
     # A partner has at least num / den as many elements, and gives as many spare ones.
-    least = 1 + F.floor(F.col("n") * num / (den * _SPARE))
-    enough = blocks.groupBy("s1").agg(F.count("*").alias("keys")).join(reps, "s1").filter(F.col("keys") >= least)
-    blocks = saved(blocks.join(enough.select("s1").distinct(), "s1", "left_semi"), "blocks")
-    near = saved(_neighbourhoods(blocks), "neighbourhoods")
+    needs = reps.groupBy("s1").agg((1 + F.floor(F.min("n") * num / (den * _SPARE))).alias("least"))
+    enough = blocks.groupBy("s1").agg(F.count("*").alias("keys")).join(needs, "s1").filter("keys >= least")
+    enough = saved(enough.select("s1", "least"), "enough")
+    blocks = saved(blocks.join(enough, "s1", "left_semi"), "blocks")
+    near = saved(_needed(_neighbourhoods(blocks), enough), "neighbourhoods")
     of = saved(near.select("s1").distinct().join(reps, "s1").select("s1", "s2", "n", "rid"), "members")
 
     marked = docs.sparkSession.sparkContext.broadcast(_marked_ids(of.select("rid")))
@@ -413,13 +429,11 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     sets = saved(every.join(of.select("rid", "s1", "s2"), ["rid", "s1", "s2"], "left_semi").drop("s1", "s2"), "sets")
 
     ids = of.select("s1", "rid", "n")
-    members = near.join(ids, "s1").drop("s1").join(
-        ids.select(F.col("s1").alias("hub"), F.col("rid").alias("hub_rid")), "hub"
-    ).select(F.col("hub_rid").alias("hub"), "rid", "n", "shared")
-    members = saved(members, "members")
+    members = saved(near.join(ids, "s1").select("hub", "s1", "rid", "n", "shared"), "members")
 
     # Each set against the hub with which it shares most, then what this leaves apart.
-    best = members.filter("hub <> rid").groupBy("rid").agg(F.max(F.struct("shared", "hub"))["hub"].alias("hub"))
+    hubs = ids.select(F.col("s1").alias("hub"), F.col("rid").alias("hub_rid"))
+    best = members.filter("hub <> s1").join(hubs, "hub").groupBy("rid").agg(F.max(F.struct("shared", "hub_rid"))["hub_rid"].alias("hub"))
     a, b = (sets.select(F.col("rid").alias(x), F.col("elements").alias(f"e_{x}")) for x in ("a", "b"))
     size_a, size_b = of.select(F.col("rid").alias("a"), F.col("n").alias("n_a")), of.select(F.col("rid").alias("b"), F.col("n").alias("n_b"))
     pairs = best.select(F.col("rid").alias("a"), F.col("hub").alias("b")).join(size_a, "a").join(size_b, "b")
@@ -435,7 +449,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
 
     stars = saved(pairs.mapInArrow(verify, "a bigint, b bigint"), "stars")
     component = saved(components(stars), "components")
-    candidates = saved(_candidates(_pieces(members.drop("shared"), component, most), sets, num, den), "candidates")
+    candidates = saved(_candidates(_pieces(members.drop("shared", "s1"), component, most), sets, num, den), "candidates")
     links = _links(candidates, sets, num, den)
     final = saved(components(stars.unionByName(links)), "components")
 
