@@ -69,6 +69,20 @@ def test_jaccard_join_matches_brute_force(spark):
     assert len(out) == len(rows)
 
 
+def test_sets_leave_neighbourhoods_that_hold_few_of_their_keys(spark):
+    near = spark.createDataFrame([(1, 1, 9), (1, 2, 9), (2, 1, 1), (2, 3, 1), (2, 4, 2), (3, 4, 2)], "hub long, s1 long, shared long")
+    least = spark.createDataFrame([(1, 4), (2, 4), (3, 1), (4, 4)], "s1 long, least long")
+    rows = {(r.hub, r.s1) for r in jaccard_join._needed(near, least).collect()}
+    # 1 leaves hub 2 (one key of four); 4 may need either of its hubs, but is alone in hub 3
+    assert rows == {(1, 1), (1, 2), (2, 3), (2, 4)}
+
+
+def test_saved_leaves_no_setting_behind(spark):
+    before = spark.conf.get(common._CLEANUP, None)
+    out = common.saved(spark.range(10).groupBy((F.col("id") % 3).alias("k")).count(), "kept")
+    assert out.count() == 3 and spark.conf.get(common._CLEANUP, None) == before
+
+
 def test_jaccard_join_of_odd_and_no_rows(spark):
     out = jaccard_join.jaccard_components(documents(spark, ODD)).collect()
     assert len(out) == len(ODD) and {r.component_id for r in out if r.doc_id is None} == {None}
