@@ -165,6 +165,16 @@ def test_contamination_matches_brute_force(spark, most):
         assert (r.n_words, r.n_hit, list(r["items"]), r.contaminated) == (n, h, k, h > 0)
 
 
+def test_short_item_in_the_middle_of_a_longer_window(spark):
+    long = [f"long{k}" for k in range(10)]
+    items = [(1, " ".join(long)), (2, long[8]), (3, " ".join(long[3:6]))]
+    rows = [(1, f"before {' '.join(long)} after"), (2, f"only {long[8]} here"), (3, f"{long[8]} {' '.join(long[2:7])} {long[8]} {long[9]}")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = {r.doc_id: (r.n_words, r.n_hit, list(r["items"])) for r in decontam.find_contamination(documents(spark, rows), bench).collect()}
+    assert out == {i: brute_hits(t, items) for i, t in rows} and out[1] == (12, 10, ["1", "2", "3"])
+    assert {r.doc_id: r.text.split() for r in decontam.decontaminate(documents(spark, rows), bench, max_coverage=0.9).collect()}[1] == ["before", "after"]
+
+
 def test_decontaminate_cuts_passages_and_drops_copies(spark):
     rng = random.Random(6)
     item = words(rng, 25)

@@ -108,7 +108,7 @@ class SuffixAutomaton:
     def scan(self, words: list[bytes]) -> tuple[list[int], set[str]]:
         """The positions of the words inside windows, ascending, and the keys of their items."""
         codes = np.fromiter(map(self.ids.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        hits: list[int] = []
+        spans: list[tuple[int, int]] = []  # apart from each other, ascending
         found: set[str] = set()
         for start, end in self._runs(codes):
             s = n = 0
@@ -128,8 +128,10 @@ class SuffixAutomaton:
                     m = self.marked[up] if up >= 0 else -1
                 if most:
                     first = i - most + 1
-                    hits.extend(range(max(first, hits[-1] + 1) if hits else first, i + 1))
-        return hits, found
+                    while spans and spans[-1][1] >= first:  # a longer window may begin before
+                        first = min(first, spans.pop()[0])
+                    spans.append((first, i + 1))
+        return [k for a, b in spans for k in range(a, b)], found
 
 
 def _item_words(items: DataFrame) -> DataFrame:
