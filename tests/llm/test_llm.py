@@ -286,6 +286,27 @@ def test_url_rules_and_models(spark):
     assert (out[505].verdict, out[506].verdict) == ("allow", "block")
 
 
+def test_url_models_keep_all_grams(spark):
+    rng = random.Random(12)
+    part = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=40))
+    rows = [(k, f"http://x.{'com/fr' if k % 9 else 'com/de'}/{part()}") for k in range(3000)]
+    rows += [(5000 + k, f"http://y.net/{rows[7 * k][1][-30:]}") for k in range(200)] + [(9000, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    folds = {r.page_id: r.f for r in pages.select("page_id", F.pmod(F.xxhash64("url"), F.lit(4)).alias("f")).collect()}
+    counts = {"com/fr": {}, "com/de": {}}
+    for k, url in rows[:3000]:
+        for g in url_filter.grams(url, 5) if folds[k] else ():
+            own = counts[url[9:15]]
+            own[g] = own.get(g, 0) + 1
+    assert sum(map(len, counts.values())) > 200_000
+    allow, block = (url_filter.MarkovModel(counts[k], 5) for k in ("com/fr", "com/de"))
+    out = {r.page_id: r for r in url_filter.url_filter(pages, min_count=1).collect()}
+    assert len(out) == len(rows) and all(out[k].score is None for k in range(3000))
+    for k, url in rows[3000:]:
+        t = url_filter.framed(url or "")
+        assert out[k].score == pytest.approx((allow.log_likelihood(t) - block.log_likelihood(t)) / len(t), abs=1e-12)
+
+
 def test_quality_of_good_and_bad_texts(spark):
     rng = random.Random(9)
     rows = [(k, words(rng, 80) if k % 2 else "spam | " * 80, "en", f"s{k % 5}") for k in range(200)] + [(900, None, None, None)]

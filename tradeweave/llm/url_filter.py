@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, most_frequent, saved
+from .common import batch, saved
 
 #: The rules (host and path) with their verdicts.
 RULES = {
@@ -64,17 +64,25 @@ class MarkovModel:
 
     A context's own estimate is mixed with that of the context one shorter by the share of
     distinct characters seen after it (Witten-Bell); a context that isn't there leaves it to the
-    shorter one, down to the uniform distribution.
+    shorter one, down to the uniform distribution. ``total`` and ``kinds`` by context come with
+    the counts where these are a part of all.
     """
 
-    def __init__(self, counts: dict[str, int], order: int, alphabet: int = 256):
+    def __init__(
+        self,
+        counts: dict[str, int],
+        order: int,
+        alphabet: int = 256,
+        total: dict[str, int] | None = None,
+        kinds: dict[str, int] | None = None,
+    ):
         self.order, self.alphabet, self.counts = order, alphabet, counts
-        self.total: dict[str, int] = {}
-        self.kinds: dict[str, int] = {}
-        for gram, n in counts.items():
-            c = gram[:-1]
-            self.total[c] = self.total.get(c, 0) + n
-            self.kinds[c] = self.kinds.get(c, 0) + 1
+        self.total, self.kinds = total or {}, kinds or {}
+        if total is None:
+            for gram, n in counts.items():
+                c = gram[:-1]
+                self.total[c] = self.total.get(c, 0) + n
+                self.kinds[c] = self.kinds.get(c, 0) + 1
         self.probability = functools.lru_cache(1 << 18)(self._probability)
 
     def _probability(self, gram: str) -> float:
@@ -127,34 +135,60 @@ def gram_counts(labelled: DataFrame, order: int, flush: int = 300_000) -> DataFr
     return labelled.mapInArrow(run, "label string, gram string, n bigint").groupBy("label", "gram").agg(F.sum("n").alias("n"))
 
 
-def train_models(labelled: DataFrame, order: int, min_count: int, max_grams: int) -> tuple[MarkovModel, MarkovModel]:
-    """Models of allowed and blocked urls. Longer grams than two count from ``min_count`` on; the
-    ``max_grams`` most frequent ones bound what the driver gets and broadcasts."""
-    counts = gram_counts(labelled, order)
-    kept = counts.filter((F.length("gram") <= 2) | (F.col("n") >= min_count))
-    top = most_frequent(saved(kept, "grams"), "n", max_grams)
-    found: dict[str, dict[str, int]] = {"allow": {}, "block": {}}
-    for r in top.collect():
-        found[r.label][r.gram] = r.n
-    return tuple(MarkovModel(found[k], order) for k in ("allow", "block"))
-
+def train_models(labelled: DataFrame, order: int, min_count: int) -> DataFrame:
+    """The models of allowed and blocked urls as a table by string: for each label its count as a
+    gram (n), and as a context the sum of counts (total) and the number (kinds) of its grams.
 
-def scores(rows: DataFrame, models, order: int) -> DataFrame:
-    """``rows`` with score: the allowed model's log-likelihood less the blocked one's, by length."""
-    given = rows.sparkSession.sparkContext.broadcast([m.counts for m in models])
-    at = rows.columns.index("url")
-
-    def run(batches):
-        allow, block = (MarkovModel(c, order) for c in given.value)
-        for b in batches:
-            out = []
-            for url in b.column(at).to_pylist():
-                t = framed(url or "")
-                out.append((allow.log_likelihood(t) - block.log_likelihood(t)) / len(t))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.float64())], names=[*b.schema.names, "score"])
+    Longer grams than two count from ``min_count`` on; all of them are kept."""
+    counts = gram_counts(labelled, order)
+    kept = saved(counts.filter((F.length("gram") <= 2) | (F.col("n") >= min_count)), "grams")
+    none = F.lit(0).cast("long")
+    context = F.expr("substring(gram, 1, length(gram) - 1)")
+    parts = kept.groupBy("label", context.alias("gram")).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+    parts = parts.select("label", "gram", none.alias("n"), "total", "kinds")
+    parts = parts.unionByName(kept.select("label", "gram", "n", none.alias("total"), none.alias("kinds")))
+    sums = [
+        F.sum(F.when(F.col("label") == v, F.col(c)).otherwise(none)).alias(f"{v}_{c}")
+        for v in ("allow", "block")
+        for c in ("n", "total", "kinds")
+    ]
+    return saved(parts.groupBy("gram").agg(*sums), "models")
+
+
+def scores(rows: DataFrame, models: DataFrame, order: int) -> DataFrame:
+    """``rows`` with score: the allowed model's log-likelihood less the blocked one's, by length.
+
+    Blocks of at most 8,192 rows get the part of ``models`` that their urls need: contexts are
+    grams of the character before, so one join by string brings counts and contexts.
+    """
+    names = rows.columns
+    dealt = saved(rows.withColumn("_block", F.shiftright(F.monotonically_increasing_id(), 13)), "urls")
+
+    def strings(key, table):
+        found = {""}
+        for url in set(table.column("url").to_pylist()):
+            found.update(grams(url or "", order))
+        return pa.table({"_block": pa.array([key[0].as_py()] * len(found), pa.int64()), "gram": pa.array(list(found), pa.string())})
+
+    needs = dealt.select("_block", "url").groupBy("_block").applyInArrow(strings, "_block bigint, gram string").join(models, "gram")
+
+    def run(urls, part):
+        grams_, by_label = part.column("gram").to_pylist(), []
+        for v in ("allow", "block"):
+            n, total, kinds = (
+                {g: x for g, x in zip(grams_, part.column(f"{v}_{c}").to_pylist()) if x} for c in ("n", "total", "kinds")
+            )
+            by_label.append(MarkovModel(n, order, total=total, kinds=kinds))
+        allow, block = by_label
+        out: dict[str | None, float] = {}
+        texts = urls.column("url").to_pylist()
+        for url in set(texts):
+            t = framed(url or "")
+            out[url] = (allow.log_likelihood(t) - block.log_likelihood(t)) / len(t)
+        return urls.select(names).append_column("score", pa.array([out[url] for url in texts], pa.float64()))
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, f"{kept}, score double")
+    return dealt.groupBy("_block").cogroup(needs.groupBy("_block")).applyInArrow(run, f"{kept}, score double")
 
 
 def calibrate(scored: DataFrame, span: float = 4.0) -> float:
@@ -176,7 +210,7 @@ def calibrate(scored: DataFrame, span: float = 4.0) -> float:
 
 
 def url_filter(
-    pages: DataFrame, rules: dict[str, str] | None = None, order: int = 5, min_count: int = 3, max_grams: int = 200_000
+    pages: DataFrame, rules: dict[str, str] | None = None, order: int = 5, min_count: int = 3
 ) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict and score.
 
@@ -189,9 +223,10 @@ def url_filter(
     rows = judged_by_rules(pages, RULES if rules is None else rules)
     decided = rows.filter("by_rule is not null")
     fold = F.pmod(F.xxhash64("url"), F.lit(4))
-    models = train_models(decided.filter(fold != 0).select(F.col("by_rule").alias("label"), "url"), order, min_count, max_grams)
-    threshold = calibrate(scores(decided.filter(fold == 0).select("by_rule", "url"), models, order))
-    rest = scores(rows.filter("by_rule is null"), models, order)
+    models = train_models(decided.filter(fold != 0).select(F.col("by_rule").alias("label"), "url"), order, min_count)
+    scored = saved(scores(rows.filter((F.col("by_rule").isNull()) | (fold == 0)), models, order), "scores")
+    threshold = calibrate(scored.filter("by_rule is not null"))
+    rest = scored.filter("by_rule is null")
     judged = decided.withColumn("score", F.lit(None).cast("double")).unionByName(rest)
     by_model = F.when(F.col("score") >= threshold, "allow").otherwise("block")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("by_rule", by_model).alias("verdict"), "score")
