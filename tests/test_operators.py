@@ -151,3 +151,47 @@ def test_stream_of_rows(spark, tmp_path):
     rows = spark.readStream.schema("t string").parquet(src)
     map_stream(rows, lambda d: d.withColumn("k", X.norm_exact("t")), out, str(tmp_path / "cp")).awaitTermination()
     assert spark.read.parquet(out).first().k == "a b"
+
+
+def test_candidates_of_both_pools_match_brute_force(spark, tmp_path):
+    import difflib
+    import random
+    import re
+
+    from tradeweave.plans import audit_queries as q
+
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randrange(3, 7))) for _ in range(40)]
+    docs = [(k, " ".join(rng.choices(words, k=12))) for k in range(6)]
+    items = [(k, " ".join(rng.choices(words, k=8))) for k in range(100)] + [(201, docs[0][1]), (205, docs[1][1])]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+
+    sets = lambda t: set(re.findall("[a-z]{3,}", t))
+    chars = lambda t: {r.g for r in spark.createDataFrame([(t,)], "t string").select(F.explode(X.char_ngrams(F.col("t"))).alias("g")).collect()}
+    grams = {t: chars(t) for _, t in docs + items}
+    want, best = {}, {}
+    for d, x in docs:
+        for negative in (False, True):
+            pool = [(-len(sets(x) & sets(y)), str(i), y) for i, y in items if (i % 5 == 0) == negative and sets(x) & sets(y)]
+            assert len(pool) > 5
+            scored = []
+            for n, i, y in sorted(pool)[:60]:
+                cos, jac = -n / (len(sets(x)) * len(sets(y))) ** 0.5, -n / len(sets(x) | sets(y))
+                ch = len(grams[x] & grams[y]) / len(grams[x] | grams[y])
+                ph = 1.0 if f" {y} " in f" {x} " else min(difflib.SequenceMatcher(None, x, y).ratio(), 0.82)
+                s = 0.35 * cos + 0.2 * jac + 0.2 * ch + 0.25 * ph
+                want[d, i] = max(s, 0.75) if ph >= 1 else s
+                scored.append((-round(want[d, i], 4), i))
+            best[d, negative] = sorted(scored)[:3]
+    got = {(r.doc_id, r.object_id): r.score for r in q.t4_score_candidates(spark, str(tmp_path)).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-4 for k in want)
+    top = {(r.doc_id, r.pool, r.object_id) for r in q.t5_top_k(spark, str(tmp_path)).collect()}
+    assert top == {(d, "negative" if n else "positive", i) for (d, n), rows in best.items() for _, i in rows}
+    out = {r.doc_id: r for r in q.t6_decide(spark, str(tmp_path)).collect()}
+    for d, _ in docs:
+        pos, neg = (-best[d, n][0][0] for n in (False, True))
+        assert abs(out[d].positive - pos) < 2e-4 and abs(out[d].negative - neg) < 2e-4 and out[d].target_id == best[d, False][0][1]
+    assert (out[0].decision, out[1].decision) == ("map", "exclude")
+    m = q.t7_variant_metrics(spark, str(tmp_path)).first()
+    assert m.n_rows == len(docs) and m.n_mapped == sum(r.decision == "map" for r in out.values())

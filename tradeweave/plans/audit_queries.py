@@ -571,8 +571,12 @@ def t2_set_scores(spark, sf_dir):
     return _pairs(spark, sf_dir).select("doc_id", "object_id", F.round(retrieval.set_cosine(a, b), 6).alias("cosine"), F.round(retrieval.jaccard(a, b), 6).alias("jaccard"))
 
 
-def _scored(spark, sf_dir):
-    return retrieval.score_candidates(_pairs(spark, sf_dir), "text", with_ratio=False)
+def _scored(spark, sf_dir, k: int = 3):
+    """The scored candidates of each document: max(20 k, 60) of either pool by shared tokens."""
+    docs, objects = fx.table(spark, sf_dir, "documents"), _objects(spark, sf_dir)
+    short = [retrieval.shortlist(docs, "doc_id", "text", objects.filter(pool), max(20 * k, 60)) for pool in ("object_type = 'target'", "object_type = 'exclusion'")]
+    pairs = short[0].unionByName(short[1]).join(docs.select("doc_id", "text"), "doc_id").join(objects, "object_id")
+    return retrieval.score_candidates(pairs, "text")
 
 
 @query()
