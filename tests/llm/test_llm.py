@@ -186,6 +186,21 @@ def test_decontaminate_cuts_passages_and_drops_copies(spark):
     assert out[2].n_chars == len(out[2].text) and out[2].source == "s0"
 
 
+@pytest.mark.parametrize("most", [500_000, 12])
+def test_decontaminate_unites_automata(spark, most):
+    a, b, own = ([f"{x}{k}" for k in range(12)] for x in "abo")
+    bench = spark.createDataFrame([(1, " ".join(a)), (2, " ".join(b))], "item_id long, text string")
+    texts = {
+        1: [*a, *own, *b],  # a third each: two thirds go
+        2: [*own[:6], *a[:6], *b, *a[6:], *own, *own],  # the cut of b joins the halves of a
+        3: [*own[:6], *b[:6], *a, *b[6:], *own, *own],
+        4: [*own, *a, *own],
+    }
+    rows = [(k, " ".join(w)) for k, w in texts.items()]
+    out = {r.doc_id: r.text.split() for r in decontam.decontaminate(documents(spark, rows), bench, max_coverage=0.5, max_words=most).collect()}
+    assert out == {2: [*own[:6], *own, *own], 3: [*own[:6], *own, *own], 4: [*own, *own]}
+
+
 def test_bpe_matches_the_library(spark):
     from tokenizers import Tokenizer
 

@@ -8,7 +8,10 @@ deals out the documents; the items, which are few, go to all tasks in automata o
 from __future__ import annotations
 
 import functools
+import os
+import pickle
 import re
+import uuid
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -17,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, batch
+from .common import alnum_words, batch, shared_path
 
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -141,17 +144,69 @@ def _item_words(items: DataFrame) -> DataFrame:
     )
 
 
-def automata(items: DataFrame, window: int, max_words: int) -> list:
-    """Broadcast automata of at most ``max_words`` words each, or of one item, over all items."""
-    sc, out, part, n = items.sparkSession.sparkContext, [], [], 0
-    for row in _item_words(items).toLocalIterator():
-        words = alnum_words(row.t)
-        if part and n + len(words) > max_words:
-            out.append(sc.broadcast(SuffixAutomaton(part, window)))
-            part, n = [], 0
-        part.append((row.k, words))
-        n += len(words)
-    return [*out, sc.broadcast(SuffixAutomaton(part, window))]
+def automata(items: DataFrame, window: int, max_words: int) -> list[str]:
+    """Files, in the shared folder, of automata of at most ``max_words`` words each, or of one item,
+    over all items. Tasks build them, each from its share of the items."""
+    rows, folder = _item_words(items), shared_path(items.sparkSession, "automata").removeprefix("file:")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(alnum_words(t)) for t in b.column(1).to_pylist()], pa.int64())], names=["n"])
+
+    total = rows.mapInArrow(sizes, "n bigint").agg(F.sum("n")).first()[0] or 0
+    share = F.pmod(F.xxhash64("k", "t"), F.lit(max(1, -(-total // max_words))))
+
+    def build(table):
+        paths, part, n = [], [], 0
+
+        def write():
+            os.makedirs(folder, exist_ok=True)
+            paths.append(f"{folder}/{uuid.uuid4().hex}")
+            with open(paths[-1], "wb") as f:
+                pickle.dump(SuffixAutomaton(part, window), f, pickle.HIGHEST_PROTOCOL)
+
+        for k, t in zip(table.column("k").to_pylist(), table.column("t").to_pylist()):
+            words = alnum_words(t)
+            if part and n + len(words) > max_words:
+                write()
+                part, n = [], 0
+            part.append((k, words))
+            n += len(words)
+        write()
+        return pa.table({"path": pa.array(paths, pa.string())})
+
+    return sorted(r.path for r in rows.withColumn("p", share).groupBy("p").applyInArrow(build, "path string").collect())
+
+
+@functools.lru_cache(1)
+def _automaton(path: str) -> SuffixAutomaton:
+    with open(path, "rb") as f:
+        return pickle.load(f)
+
+
+def _scan_all(paths: list[str], texts: list[list[bytes]]) -> list[tuple[list[int], set[str]]]:
+    """What :meth:`SuffixAutomaton.scan` gives for each of ``texts``, united over all automata."""
+    hits: list[set[int]] = [set() for _ in texts]
+    found: list[set[str]] = [set() for _ in texts]
+    for path in paths:
+        automaton = _automaton(path)
+        for k, words in enumerate(texts):
+            h, f = automaton.scan(words)
+            hits[k].update(h)
+            found[k] |= f
+    return [(sorted(h), f) for h, f in zip(hits, found)]
+
+
+def _gathered(batches, paths: list[str], size: int = 1 << 24) -> Iterator[list[pa.RecordBatch]]:
+    """Batches one by one, or some together where each automaton must be read for them."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if len(paths) < 2 or sum(x.nbytes for x in held) >= size:
+            yield held
+            held = []
+    if held:
+        yield held
 
 
 _HITS = pa.schema(
@@ -159,29 +214,27 @@ _HITS = pa.schema(
 )
 
 
-def _hits(docs: DataFrame, automaton) -> DataFrame:
-    """``docs`` (id, t) with n_words, hits and items of one automaton."""
-    kept = docs.schema
+def _hits(docs: DataFrame, paths: list[str]) -> DataFrame:
+    """``docs`` (id, t) with n_words, hits and items of all automata, without t."""
 
     def run(batches):
-        for b in batches:
-            words = [alnum_words(t) for t in b.column("t").to_pylist()]
-            done = [automaton.value.scan(w) for w in words]
-            new = batch(
-                {
-                    "hits": [h for h, _ in done],
-                    "items": [sorted(k) for _, k in done],
-                    "n_words": [len(w) for w in words],
-                },
-                _HITS,
-            )
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, *new.columns], names=[*b.schema.names, *_HITS.names]
-            )
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return docs.mapInArrow(
-        run, f"{schema}, hits array<bigint>, items array<string>, n_words bigint"
+        for held in _gathered(batches, paths):
+            for b in [pa.Table.from_batches(held).combine_chunks().to_batches()[0]] if sum(len(x) for x in held) else []:
+                words = [alnum_words(t) for t in b.column(1).to_pylist()]
+                done = _scan_all(paths, words)
+                new = batch(
+                    {
+                        "hits": [h for h, _ in done],
+                        "items": [sorted(k) for _, k in done],
+                        "n_words": [len(w) for w in words],
+                    },
+                    _HITS,
+                )
+                yield pa.RecordBatch.from_arrays([b.column(0), *new.columns], names=["id", *_HITS.names])
+
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.select("id", "t").mapInArrow(
+        run, f"id {kind}, hits array<bigint>, items array<string>, n_words bigint"
     )
 
 
@@ -196,25 +249,7 @@ def find_contamination(
     are united. Without items or documents nothing is hit. Other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("t"))
-    parts = automata(items, window, max_words)
-    if len(parts) > 1:
-        rows = rows.withColumn("of", F.sha2("t", 256))
-        every = [_hits(rows, a).drop("t") for a in parts]
-        found = (
-            functools.reduce(DataFrame.unionByName, every)
-            .filter(F.size("hits") > 0)
-            .groupBy("id", "of")
-            .agg(
-                F.array_distinct(F.flatten(F.collect_set("hits"))).alias("hits"),
-                F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
-            )
-        )
-        base = _hits(rows, parts[0]).select("id", "of", "n_words")
-        found = base.join(
-            found, base.id.eqNullSafe(found.id) & (base.of == found.of), "left"
-        ).select(base.id, "n_words", "hits", "items")
-    else:
-        found = _hits(rows, parts[0]).select("id", "n_words", "hits", "items")
+    found = _hits(rows, automata(items, window, max_words))
     none_hit, none_item = F.expr("cast(array() as array<bigint>)"), F.expr("cast(array() as array<string>)")
     return found.select(
         F.col("id").alias("doc_id"),
@@ -226,27 +261,37 @@ def find_contamination(
     )
 
 
-def cut(text: str, scan) -> tuple[str, int, int]:
-    """The text without the words that ``scan`` hits, how many those are, and of how many words.
+def _without(raw: bytes, spans: list[tuple[int, int]], hits: list[int]) -> bytes:
+    """The text without the words at ``hits`` of ``spans``. A run of hits goes from its first word to
+    its last, with what stands between."""
+    out, at = [], 0
+    for k, h in enumerate(hits):
+        if not k or hits[k - 1] != h - 1:
+            out.append(raw[at : spans[h][0]])
+        at = spans[h][1]
+    return b"".join([*out, raw[at:]])
+
 
-    A span goes from its first word to its last, with what stands between; cutting repeats until
-    no window is left, since the two sides of a cut may form one.
+def cut_all(paths: list[str], texts: list[str | None]) -> list[tuple[str | None, int, int]]:
+    """Each text without the words that any automaton hits, how many those are, and of how many words.
+
+    The hits of all automata unite before a cut; cutting repeats over all of them until no window
+    is left, since the two sides of a cut may form one.
     """
-    total = removed = 0
-    while True:
-        raw = text.encode()
-        spans = [m.span() for m in _WORD.finditer(raw)]
-        hits, _ = scan([raw[a:b].lower() for a, b in spans])
-        total = total or len(spans)
-        if not hits:
-            return text, removed, total
-        removed += len(hits)
-        out, at = [], 0
-        for k, h in enumerate(hits):
-            if not k or hits[k - 1] != h - 1:
-                out.append(raw[at : spans[h][0]])
-            at = spans[h][1]
-        text = b"".join([*out, raw[at:]]).decode()
+    out: list[tuple[str | None, int, int]] = [(t, 0, 0) for t in texts]
+    left = [k for k, t in enumerate(texts) if t]
+    while left:
+        words = [alnum_words(out[k][0]) for k in left]
+        again = []
+        for k, w, (hits, _) in zip(left, words, _scan_all(paths, words)):
+            text, removed, total = out[k]
+            if hits:
+                raw = text.encode()
+                text = _without(raw, [m.span() for m in _WORD.finditer(raw)], hits).decode()
+                again.append(k)
+            out[k] = text, removed + len(hits), total or len(w)
+        left = again
+    return out
 
 
 def decontaminate(
@@ -259,28 +304,25 @@ def decontaminate(
     """``docs`` with all its columns, without the spans of item words in its texts.
 
     A document goes as a whole when more than ``max_coverage`` of its words were inside windows.
+    Both count the hits of all automata, to which items beyond ``max_words`` words go.
     Documents without hits, null and empty texts stay as they are. n_chars, where there is such a
     column, follows a changed text.
     """
-    out, names = docs, docs.columns
-    for automaton in automata(items, window, max_words):
-        at = names.index("text")
-
-        def run(batches, automaton=automaton, at=at):
-            for b in batches:
-                texts, keep = b.column(at).to_pylist(), []
-                for k, t in enumerate(texts):
-                    if t and automaton.value.scan(alnum_words(t))[0]:
-                        texts[k], removed, total = cut(t, automaton.value.scan)
-                        keep.append(removed <= max_coverage * total)
-                    else:
-                        keep.append(True)
+    names = docs.columns
+    at, paths = names.index("text"), automata(items, window, max_words)
+
+    def run(batches):
+        for held in _gathered(batches, paths):
+            done = iter(cut_all(paths, [t for b in held for t in b.column(at).to_pylist()]))
+            for b in held:
+                rows = [next(done) for _ in range(b.num_rows)]
                 columns = list(b.columns)
-                columns[at] = pa.array(texts, type=columns[at].type)
-                yield pa.RecordBatch.from_arrays(columns, schema=b.schema).filter(pa.array(keep))
+                columns[at] = pa.array([t for t, _, _ in rows], type=columns[at].type)
+                keep = pa.array([removed <= max_coverage * total for _, removed, total in rows], pa.bool_())
+                yield pa.RecordBatch.from_arrays(columns, schema=b.schema).filter(keep)
 
-        out = out.mapInArrow(run, docs.schema)
-    if "n_chars" in names and out is not docs:
+    out = docs.mapInArrow(run, docs.schema)
+    if "n_chars" in names:
         out = out.withColumn(
             "n_chars",
             F.when(F.col("n_chars").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)),
