@@ -25,12 +25,18 @@ def boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the least doc_id of each connected group; equal rows once."""
+    """Keeps one row, of the least doc_id, of each connected group; of rows with that doc_id the one
+    with the least digest. Rows without doc_id are no partners: one of each set of word runs stays,
+    or of each text that has no words."""
     groups = jaccard_join.jaccard_components(docs)
-    heads = groups.filter(F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id")))
-    heads = heads.select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(heads, docs["doc_id"].eqNullSafe(F.col("_keep")), "left_semi")
-    return kept.select(docs.columns)
+    heads = groups.filter("component_id = doc_id").select("doc_id").distinct()
+    digest = F.xxhash64(*docs.columns)
+    rows = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n"), F.min(digest).alias("_least"))
+    first = common.saved(rows.join(heads, "doc_id", "left_semi"), "heads")
+    once = docs.join(first.filter("_n = 1").select("doc_id"), "doc_id", "left_semi")
+    again = docs.withColumn("_least", digest).join(first.filter("_n > 1").select("doc_id", "_least"), ["doc_id", "_least"], "left_semi")
+    nameless = jaccard_join.one_of_each_set(docs.filter("doc_id is null"))
+    return once.select(docs.columns).unionByName(again.select(docs.columns).dropDuplicates(["doc_id"])).unionByName(nameless)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

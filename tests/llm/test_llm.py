@@ -338,6 +338,22 @@ def test_most_frequent_is_bounded(spark):
     assert 0 < len(got) <= 50 and got == list(range(1, len(got) + 1))
 
 
+def test_near_duplicates_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline
+
+    near = near_copies()
+    loaded = [*near, (7, "seven has a text of its own"), (7, "and another text of its own"), (3, ""), (4, None)]
+    nameless = [(None, "no id here at all, five words"), (None, "NO id here  at all, five words"), (None, "other words without id"), (None, "")]
+    docs = documents(spark, [*loaded, *loaded, *nameless, *nameless])
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    ids = [r.doc_id for r in out.collect()]
+    heads = {c for _, c in brute_components(near).values()} | {3, 4, 7}
+    assert sorted(i for i in ids if i is not None) == sorted(heads) and ids.count(None) == 3
+    again = corpus_pipeline.near_duplicates(spark, docs.repartition(7), "")
+    assert {r.text for r in again.filter("doc_id = 7").collect()} == {r.text for r in out.filter("doc_id = 7").collect()}
+
+
 def test_pipeline_over_odd_documents(spark, tmp_path):
     import corpus_pipeline
 

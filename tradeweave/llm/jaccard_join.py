@@ -460,3 +460,24 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNull(), F.lit(None)).when(F.col("n") == 0, F.col("id")).otherwise(F.col("c")).alias("component_id"),
     )
+
+
+def one_of_each_set(docs: DataFrame, n: int = 5) -> DataFrame:
+    """``docs`` with one row, of the least digest, of those with equal sets of runs of ``n`` words;
+    texts without words are told apart by their bytes."""
+    at, names = docs.columns.index("text"), docs.columns
+
+    def run(batches):
+        for b in batches:
+            of = []
+            for t in b.column(at).to_pylist():
+                s = shingles(t or "", n)
+                of.append(_signature(s) if len(s) else (None, None))
+            more = [pa.array([x[k] for x in of], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*b.columns, *more], names=[*b.schema.names, "_s1", "_s2"])
+
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    signed = docs.mapInArrow(run, f"{kept}, _s1 bigint, _s2 bigint")
+    wordless = F.when(F.col("_s1").isNull(), F.xxhash64("text"))
+    least = F.min(F.struct(F.xxhash64(*names).alias("h"), F.struct(*names).alias("row")))["row"]
+    return signed.groupBy("_s1", "_s2", wordless.alias("_t")).agg(least.alias("row")).select("row.*")
