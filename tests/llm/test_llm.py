@@ -251,6 +251,13 @@ def test_secret_spans(spark):
     assert all((len(out[k]) == 2) == (k % 3 == 0) for k in range(60))  # the value is hex as well
 
 
+def test_rare_secrets_are_in_the_sample(spark):
+    rng = random.Random(14)
+    rows = [(k, words(rng, 12)) for k in range(3000)] + [(9000, f"{words(rng, 12)} password = {'ab12' * 5} {words(rng, 12)}")]
+    found = secret_scan.sample_windows(documents(spark, rows), n_docs=2)
+    assert any(secret_scan.B in tags for _, tags in found) and len(found) < 60
+
+
 def test_pruned_viterbi_is_the_whole_one():
     rng = random.Random(8)
     texts = [f"{words(rng, 20)} secret: {'%x' % rng.getrandbits(80)} {words(rng, 20)}" for _ in range(40)]

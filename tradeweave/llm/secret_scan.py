@@ -299,17 +299,33 @@ def windows_of(text: str, reach: int = 6, spare: int = 3) -> Iterator[tuple[bool
 
 
 def sample_windows(docs: DataFrame, n_docs: int = 20_000, n_windows: int = 1_500) -> list:
-    """At most ``n_windows`` windows with a secret and as many without, from about ``n_docs``
-    documents; which ones, hashes of the texts decide."""
-    share = min(1.0, n_docs / max(1, docs.count()))
-    drawn = docs.select("text").filter(
-        (F.length("text") > 0) & (F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    )
+    """At most ``n_windows`` windows with a secret, from about ``n_docs`` of the documents with a
+    pattern's span, and as many without, from about ``n_docs`` of all; hashes of the texts decide."""
+    texts = docs.select("text").filter(F.length("text") > 0)
+    at = F.pmod(F.xxhash64("text"), F.lit(1 << 20))
+
+    def marked(batches):
+        for b in batches:
+            hit = [any(True for _ in base_spans(t)) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(hit, pa.bool_())], names=["at", "hit"])
+
+    places = texts.select("text", at.alias("at")).mapInArrow(marked, "at bigint, hit boolean")
+    n = places.agg(F.count("*").alias("all"), F.count(F.when(F.col("hit"), 1)).alias("hit")).first()
+    share, share_hit = (int(min(1.0, n_docs / max(1, x)) * (1 << 20)) + 1 for x in (n["all"], n["hit"]))
+    drawn = texts.filter(at < max(share, share_hit)).select("text", (at < share).alias("plain"), (at < share_hit).alias("labelled"))
+
     schema = pa.schema([("secret", pa.bool_()), ("features", pa.list_(pa.list_(pa.string()))), ("tags", pa.list_(pa.int32()))])
 
     def run(batches):
         for b in batches:
-            rows = [x for t in b.column(0).to_pylist() for x in windows_of(t)]
+            drawn_as = zip(*(b.column(k).to_pylist() for k in range(3)))
+            rows = [
+                x
+                for t, plain, labelled in drawn_as
+                if plain or any(True for _ in base_spans(t))
+                for x in windows_of(t)
+                if (labelled if x[0] else plain)
+            ]
             yield batch({"secret": [x[0] for x in rows], "features": [x[1] for x in rows], "tags": [x[2] for x in rows]}, schema)
 
     all_windows = drawn.mapInArrow(run, "secret boolean, features array<array<string>>, tags array<int>")
