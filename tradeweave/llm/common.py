@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -18,17 +19,21 @@ _ALNUM = bytes(
 #: Spark's setting by which a query's shuffle files are removed when it ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: Where the tables that :func:`saved` gave lie.
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Where the session has none (tests on one machine), a temporary folder becomes it.
+    Where it isn't set, a local master (tests) gets a temporary folder; a cluster is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="tradeweave-")
         spark.conf.set("spark.checkpoint.dir", found)
-        spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
@@ -51,7 +56,17 @@ def saved(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that :func:`saved` gave; call it once all that reads them is itself saved."""
+    for t in tables:
+        sc = t.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(_PATHS.pop(t))
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def most_frequent(counts: DataFrame, n: str, size: int) -> DataFrame:

@@ -11,14 +11,19 @@ lie close to each other; so documents are first dealt to neighbourhoods, in whic
 can link meets: two sets with a Jaccard similarity of t share at least l elements among the first
 n - ceil(t n) + l elements of each, in any order common to all (here: rare ones first). A set that
 shares fewer of them with all others together links with none. A neighbourhood takes in all sets
-that share such an element with its hub. Trees are built for
-pieces of a neighbourhood of a bounded size. Only links between sets that aren't yet known to be
-connected are looked for, so the output is a forest, whatever the size of a group of copies.
+that share such an element with its hub.
+
+A neighbourhood is cut into slices of a bounded size, each with the hub's own set, and a tree over
+each slice finds its links. Where there are several slices, trees find what links the slices: sets
+outside of the largest component so far ask the trees of all other slices. Only links between sets
+that aren't yet known to be connected are looked for, so the output is a forest, whatever the size of
+a group of copies. The sets themselves travel only where their points can't exclude a link.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from .common import saved, space_words
+from .common import dropped, saved, space_words
 
 #: Counters of the frequency sketch, groups of a count vector, leaf and node sizes of a tree.
 _COUNTERS, _CHUNK, GROUPS, LEAF, FAN = 1 << 18, 1 << 12, 128, 16, 8
@@ -42,17 +47,32 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def _folded(m: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of ``n`` mixed word hashes."""
+    h = m[: len(m) - n + 1].copy()
+    for k in range(1, n):
+        h = h * _P + m[k : len(m) - n + 1 + k]
+    return _mixed(h + np.uint64(n))
+
+
+def shingle_sets(texts: list[str | None], n: int = 5) -> list[np.ndarray]:
+    """For each text the distinct n-grams of its words as sorted 64-bit hashes; fewer words than n
+    are one n-gram, no words none. The texts are hashed together."""
+    words = [space_words(t) for t in texts]
+    ends = np.cumsum([len(w) for w in words])
+    total = int(ends[-1]) if len(ends) else 0
+    m = _mixed(np.fromiter(map(xxh3_64_intdigest, chain.from_iterable(words)), dtype=np.uint64, count=total))
+    runs, out = _folded(m, n) if total >= n else m[:0], []
+    for w, end in zip(words, ends.tolist()):
+        start = end - len(w)
+        s = np.sort(runs[start : end - n + 1]) if len(w) >= n else _folded(m[start:end], len(w)) if w else m[:0]
+        out.append(s[np.append(True, s[1:] != s[:-1])] if len(s) > 1 else s)
+    return out
+
+
 def shingles(text: str | None, n: int = 5) -> np.ndarray:
-    """The distinct n-grams of a text's words as sorted 64-bit hashes; fewer words are one n-gram."""
-    words = space_words(text)
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    w = np.fromiter(map(xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
-    n = min(n, len(w))
-    h = np.full(len(w) - n + 1, n, dtype=np.uint64)
-    for k in range(n):
-        h = (h * _P) ^ _mixed(w[k : len(w) - n + 1 + k] + np.uint64(k))
-    return np.unique(_mixed(h))
+    """The set of one text."""
+    return shingle_sets([text], n)[0]
 
 
 def point(s: np.ndarray) -> np.ndarray:
@@ -75,7 +95,7 @@ def _signatures(docs: DataFrame, n: int) -> DataFrame:
     def run(batches):
         sketch = np.zeros(_COUNTERS, dtype=np.int64)
         for b in batches:
-            sets = [shingles(t, n) for t in b.column(1).to_pylist()]
+            sets = shingle_sets(b.column(1).to_pylist(), n)
             sketch += np.bincount((np.concatenate(sets) % np.uint64(_COUNTERS)).astype(np.int64), minlength=_COUNTERS) if sets else 0
             marks = [_signature(s) for s in sets]
             none = [None] * len(sets)
@@ -121,8 +141,7 @@ def _rare_elements(docs: DataFrame, n: int, num: int, den: int, levels: np.ndarr
         seen = set()
         for b in batches:
             keys, of = [], []
-            for t in b.column(1).to_pylist():
-                s = shingles(t, n)
+            for s in shingle_sets(b.column(1).to_pylist(), n):
                 mark = _signature(s)
                 if not len(s) or mark in seen:
                     continue
@@ -261,103 +280,142 @@ class RTree:
 
 def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     """Whether den * |a & b| >= num * |a | b|."""
-    both = len(a) + len(b) - len(np.union1d(a, b))
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    both = int(np.count_nonzero(b[at] == a))
     return den * both >= num * (len(a) + len(b) - both)
 
 
-class _Forest:
-    """Which of some numbers are connected."""
-
-    def __init__(self, labels: list):
-        self.up: dict = {}
-        self.labels = labels
-
-    def root(self, x):
-        while (y := self.up.get(x, x)) != x:
-            self.up[x] = self.up.get(y, y)
-            x = y
-        return x
-
-    def join(self, x, y) -> bool:
-        x, y = self.root(x), self.root(y)
-        self.up[max(x, y)] = min(x, y)
-        return x != y
-
-
 # --- the join ---------------------------------------------------------------------------------
 
 
-def _pieces(members: DataFrame, component: DataFrame, most: int) -> DataFrame:
-    """(hub, i, j, left, rid, c): the members of neighbourhoods that have several components, dealt
-    to pieces in which every pair of a stray and a member meets.
-
-    Strays are the members outside of the neighbourhood's largest component. Members and strays are
-    cut into slices of about ``most`` elements; piece (i, j) holds members of slice i and strays of
-    slice j.
-    """
-    rows = members.join(component, "rid", "left").withColumn("c", F.coalesce("c", "rid"))
-    sizes = rows.groupBy("hub", "c").agg(F.sum("n").alias("n"))
-    hubs = sizes.groupBy("hub").agg(
-        F.max(F.struct("n", "c"))["c"].alias("main"), F.sum("n").alias("n"), (F.sum("n") - F.max("n")).alias("stray")
-    ).filter("stray > 0")
-    hubs = hubs.select("hub", "main", F.ceil(F.col("n") / most).alias("ni"), F.ceil(F.col("stray") / most).alias("nj"))
-    rows = rows.drop("n").join(hubs, "hub")
+_PIECE = ["hub", "i", "j", "stored", "asks", "rid", "s1", "s2", "n", "c"]
+_PIECES = "hub bigint, i bigint, j bigint, stored boolean, asks boolean, rid bigint, s1 bigint, s2 bigint, n bigint, c bigint"
+
+
+def _parts(n: str, rows: str, most: int, most_rows: int):
+    """How many parts hold at most about ``most`` elements and ``most_rows`` sets each."""
+    return F.greatest(F.ceil(F.col(n) / most), F.ceil(F.col(rows) / most_rows))
+
+
+def _slices(members: DataFrame, most: int, most_rows: int) -> DataFrame:
+    """The members of each neighbourhood in slices by hash, the hub in all; all ask all."""
+    sizes = members.groupBy("hub").agg(F.sum("n").alias("total"), F.count("*").alias("rows"))
+    rows = members.join(sizes.select("hub", _parts("total", "rows", most, most_rows).alias("parts")), "hub")
+    own = F.array(F.pmod(F.xxhash64("rid"), F.col("parts")))
+    every = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
+    rows = rows.withColumn("i", F.explode(F.when(F.col("hub") == F.col("s1"), every).otherwise(own)))
+    yes = F.lit(True)
+    return rows.withColumns({"j": F.lit(0).cast("long"), "stored": yes, "asks": yes, "c": F.col("rid")}).select(_PIECE)
+
+
+def _across(members: DataFrame, component: DataFrame, most: int, most_rows: int) -> DataFrame:
+    """Pieces of the neighbourhoods that have several slices and components: piece (i, j) holds the
+    members of slice i, and the strays of slice j ask. Strays are the members outside of the
+    neighbourhood's largest component, so every pair of one and a member meets."""
+    sizes = members.groupBy("hub").agg(F.sum("n").alias("total"), F.count("*").alias("rows"))
+    sizes = sizes.select("hub", _parts("total", "rows", most, most_rows).alias("ni")).filter("ni > 1")
+    rows = members.join(sizes, "hub").join(component, "rid", "left").withColumn("c", F.coalesce("c", "rid"))
+    of = rows.groupBy("hub", "c").agg(F.sum("n").alias("total"), F.count("*").alias("rows"))
+    hubs = of.groupBy("hub").agg(
+        F.max(F.struct("rows", "c"))["c"].alias("main"), F.max(F.struct("rows", "c", "total"))["total"].alias("kept"),
+        F.max("rows").alias("kept_rows"), F.sum("total").alias("total"), F.sum("rows").alias("rows"),
+    ).filter("rows > kept_rows")
+    hubs = hubs.withColumns({"total": F.col("total") - F.col("kept"), "rows": F.col("rows") - F.col("kept_rows")})
+    rows = rows.join(hubs.select("hub", "main", _parts("total", "rows", most, most_rows).alias("nj")), "hub")
     i, j = F.pmod(F.xxhash64("rid"), F.col("ni")), F.pmod(F.xxhash64("rid", F.lit(1)), F.col("nj"))
     every_j, every_i = (F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)) for n in ("nj", "ni"))
-    left = rows.select("hub", i.alias("i"), every_j.alias("j"), F.lit(True).alias("left"), "rid", "c")
-    right = rows.filter(F.col("c") != F.col("main")).select("hub", every_i.alias("i"), j.alias("j"), F.lit(False).alias("left"), "rid", "c")
-    return left.unionByName(right)
+    yes, no = F.lit(True), F.lit(False)
+    stored = rows.withColumns({"i": i, "j": every_j, "stored": yes, "asks": no})
+    asks = rows.filter("c <> main").withColumns({"i": every_i, "j": j, "stored": no, "asks": yes})
+    return stored.select(_PIECE).unionByName(asks.select(_PIECE))
+
 
+def _columns(table: pa.Table):
+    """Of a piece: the numbers of the stored and the asking sets, sizes, components and points.
 
-def _points(table: pa.Table) -> np.ndarray:
-    """The count vectors of a piece; those of small sets come in two bytes a group."""
+    The points of small sets come in two bytes a group."""
+    stored, asks = (np.flatnonzero(np.array(table.column(x).to_pylist(), dtype=bool)) for x in ("stored", "asks"))
+    n, c = table.column("n").to_numpy(), np.unique(table.column("c").to_numpy(), return_inverse=True)[1]
     rows = [np.frombuffer(x, dtype="<u2" if len(x) == 2 * GROUPS else "<u4") for x in table.column("point").to_pylist()]
-    return np.array(rows, dtype=np.int32).reshape(-1, GROUPS)
+    return stored, asks, n, c, np.array(rows, dtype=np.int32).reshape(-1, GROUPS)
 
 
-def _candidates(pieces: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The rows of ``pieces`` that may be similar to one of the other side and another component."""
-    schema = pa.schema([("hub", pa.int64()), ("i", pa.int64()), ("j", pa.int64()), ("left", pa.bool_()), ("rid", pa.int64()), ("c", pa.int64())])
+def _candidates(pieces: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
+    """The rows of ``pieces`` whose points don't exclude a link with another component."""
 
     def run(table):
-        left = np.array(table.column("left").to_pylist(), dtype=bool)
-        n, c, rid = (table.column(x).to_numpy() for x in ("n", "c", "rid"))
-        points = _points(table)
-        a, b, used = np.flatnonzero(left), np.flatnonzero(~left), np.zeros(len(n), dtype=bool)
-        tree = RTree(points[a], n[a])
-        for q in b:
-            found = a[tree.query(points[q], int(n[q]), num, den)]
+        stored, asks, n, c, points = _columns(table)
+        used = np.zeros(len(n), dtype=bool)
+        tree = RTree(points[stored], n[stored])
+        for q in asks.tolist():
+            if used.all():
+                break
+            found = stored[tree.query(points[q], int(n[q]), num, den)]
             found = found[c[found] != c[q]]
             if len(found):
                 used[found] = used[q] = True
-        return table.select(schema.names).filter(pa.array(used)).cast(schema)
+        return table.select([*_PIECE, "point"]).filter(pa.array(used))
 
-    rows = pieces.join(sets.select("rid", "n", "point"), "rid")
-    return rows.groupBy("hub", "i", "j").applyInArrow(run, "hub bigint, i bigint, j bigint, left boolean, rid bigint, c bigint")
+    rows = pieces.join(points, ["rid", "s1", "s2"]).select(*_PIECE, "point")
+    return rows.groupBy("hub", "i", "j").applyInArrow(run, f"{_PIECES}, point binary")
 
 
-def _links(candidates: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _links(candidates: DataFrame, elements: DataFrame, num: int, den: int) -> DataFrame:
     """Verified links (a, b) between components, enough to connect what they connect."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(table):
-        left = np.array(table.column("left").to_pylist(), dtype=bool)
-        n, c, rid = (table.column(x).to_numpy() for x in ("n", "c", "rid"))
-        points = _points(table)
-        elements = [np.frombuffer(x, dtype=np.uint64) for x in table.column("elements").to_pylist()]
-        a, b, out, forest = np.flatnonzero(left), np.flatnonzero(~left), [], _Forest([])
-        tree = RTree(points[a], n[a])
-        for q in b.tolist():
-            for x in a[tree.query(points[q], int(n[q]), num, den)].tolist():
-                if forest.root(int(c[x])) != forest.root(int(c[q])) and similar(elements[x], elements[q], num, den):
-                    forest.join(int(c[x]), int(c[q]))
-                    out.append((int(rid[x]), int(rid[q])))
-        return pa.Table.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], schema=schema)
-
-    rows = candidates.join(sets.select("rid", "n", "point", "elements"), "rid")
+        stored, asks, n, c, points = _columns(table)
+        rid, sets = table.column("rid").to_numpy(), [np.frombuffer(x, dtype=np.uint64) for x in table.column("elements").to_pylist()]
+        tree, left, a, b = RTree(points[stored], n[stored]), len(np.unique(c)), [], []
+        for q in asks.tolist():
+            if left < 2:
+                break
+            for x in stored[tree.query(points[q], int(n[q]), num, den)].tolist():
+                if c[x] != c[q] and similar(sets[x], sets[q], num, den):
+                    c[c == c[x]] = c[q]
+                    left -= 1
+                    a.append(rid[x])
+                    b.append(rid[q])
+        return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
+
+    rows = candidates.join(elements, ["rid", "s1", "s2"]).select(*_PIECE, "point", "elements")
     return rows.groupBy("hub", "i", "j").applyInArrow(run, "a bigint, b bigint")
 
 
+def _computed(docs: DataFrame, ids: DataFrame, n: int, name: str, value: Callable[[np.ndarray], bytes]) -> DataFrame:
+    """(rid, s1, s2, ``name``) of the sets of all rows (id, t) of ``docs`` whose id is in ``ids``, and
+    of a few others. The signature tells a set from another under the same id."""
+    marked = docs.sparkSession.sparkContext.broadcast(_marked_ids(ids.select("rid")))
+    schema = pa.schema([("rid", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), (name, pa.binary())])
+
+    def run(batches):
+        bits, seen = np.unpackbits(marked.value), set()
+        for b in batches:
+            rows, out = b.filter(pa.array(bits[_bit(b.column(0).to_numpy())] == 1)), []
+            for i, s in zip(rows.column(0).to_pylist(), shingle_sets(rows.column(1).to_pylist(), n)):
+                key = (i, *_signature(s))
+                if key not in seen:  # of rows that repeat, a task gives one
+                    out.append((*key, value(s)))
+                if len(seen) < 500_000:
+                    seen.add(key)
+            columns = zip(*out) if out else [[] for _ in schema]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    return docs.mapInArrow(run, f"rid bigint, s1 bigint, s2 bigint, {name} binary")
+
+
+def _linked(docs: DataFrame, pieces: DataFrame, points: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """The links that the trees of ``pieces`` find."""
+    candidates = saved(_candidates(pieces, points, num, den), "candidates")
+    elements = _computed(docs, candidates, n, "elements", np.ndarray.tobytes)
+    links = saved(_links(candidates, elements, num, den), "links")
+    dropped(candidates)
+    return links
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(rid, c) for all ends of ``edges`` (a, b): the least number connected with each.
 
@@ -372,17 +430,21 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         tied = large.join(small, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = saved(tied.unionByName(small.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "edges")
+        last, now = now, saved(tied.unionByName(small.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "edges")
+        dropped(last)
         state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if state == before:
             break
         before = state
-    return now.select(F.col("a").alias("rid"), F.col("b").alias("c")).unionByName(
-        now.select(F.col("b").alias("rid"), F.col("b").alias("c"))
-    ).distinct()
+    ends = now.select(F.col("a").alias("rid"), F.col("b").alias("c")).unionByName(now.select(F.col("b").alias("rid"), F.col("b").alias("c")))
+    out = saved(ends.distinct(), "components")
+    dropped(now)
+    return out
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, most: int = 2_000_000) -> DataFrame:
+def jaccard_components(
+    docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, most: int = 2_000_000, most_rows: int = 2_000
+) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
     Words are runs without ASCII white space, A-Z lower-cased; a set holds the distinct runs of
@@ -390,8 +452,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     component_id is the least doc_id reachable over links. A null text or one without words has no
     set, links with nothing and is its own component. Rows of equal sets are linked, rows that
     repeat too. A null doc_id gets a null component_id and isn't a partner. Rows that
-    repeat a doc_id with other texts are one document, with the links of all of them. An empty table
-    gives no rows; other columns are ignored.
+    repeat a doc_id with other texts are one document, with the links of all of them. Texts of any
+    length count as a whole. An empty table gives no rows; other columns are ignored.
+
+    A tree takes at most about ``most`` elements and ``most_rows`` sets; results don't depend on it.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("t"))
     known = rows.filter("id is not null")
@@ -400,58 +464,31 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     levels = _levels(first.filter("chunk is not null"))
     reps = marks.filter("n > 0 and id is not null").groupBy("s1", "s2", "n").agg(F.min("id").alias("rid"))
 
-    blocks = saved(_shared_keys(_rare_elements(known, n, num, den, levels)), "blocks")
+    keys = saved(_shared_keys(_rare_elements(known, n, num, den, levels)), "keys")
     # A partner has at least num / den as many elements, and gives as many spare ones.
     needs = reps.groupBy("s1").agg((1 + F.floor(F.min("n") * num / (den * _SPARE))).alias("least"))
-    enough = blocks.groupBy("s1").agg(F.count("*").alias("keys")).join(needs, "s1").filter("keys >= least")
+    enough = keys.groupBy("s1").agg(F.count("*").alias("keys")).join(needs, "s1").filter("keys >= least")
     enough = saved(enough.select("s1", "least"), "enough")
-    blocks = saved(blocks.join(enough, "s1", "left_semi"), "blocks")
+    blocks = saved(keys.join(enough, "s1", "left_semi"), "blocks")
+    dropped(keys)
     near = saved(_needed(_neighbourhoods(blocks), enough), "neighbourhoods")
-    of = saved(near.select("s1").distinct().join(reps, "s1").select("s1", "s2", "n", "rid"), "members")
-
-    marked = docs.sparkSession.sparkContext.broadcast(_marked_ids(of.select("rid")))
-
-    def run(batches):
-        bits = np.unpackbits(marked.value)
-        schema = pa.schema([("rid", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("n", pa.int64()), ("point", pa.binary()), ("elements", pa.binary())])
-        for b in batches:
-            rows = b.filter(pa.array(bits[_bit(b.column(0).to_numpy())] == 1))
-            out = []
-            for i, t in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
-                s = shingles(t, n)
-                s1, s2 = _signature(s)
-                out.append((i, s1, s2, len(s), point(s).astype("<u2" if len(s) < 1 << 16 else "<u4").tobytes(), s.tobytes()))
-            columns = zip(*out) if out else [[] for _ in schema]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+    dropped(blocks, enough)
+    members = saved(near.join(reps, "s1").select("hub", "s1", "s2", "n", "rid"), "members")
+    dropped(near)
 
-    # The signature tells a member's own text from another with the same id.
-    every = known.mapInArrow(run, "rid bigint, s1 bigint, s2 bigint, n bigint, point binary, elements binary")
-    sets = saved(every.join(of.select("rid", "s1", "s2"), ["rid", "s1", "s2"], "left_semi").drop("s1", "s2"), "sets")
-
-    ids = of.select("s1", "rid", "n")
-    members = saved(near.join(ids, "s1").select("hub", "s1", "rid", "n", "shared"), "members")
-
-    # Each set against the hub with which it shares most, then what this leaves apart.
-    hubs = ids.select(F.col("s1").alias("hub"), F.col("rid").alias("hub_rid"))
-    best = members.filter("hub <> s1").join(hubs, "hub").groupBy("rid").agg(F.max(F.struct("shared", "hub_rid"))["hub_rid"].alias("hub"))
-    a, b = (sets.select(F.col("rid").alias(x), F.col("elements").alias(f"e_{x}")) for x in ("a", "b"))
-    size_a, size_b = of.select(F.col("rid").alias("a"), F.col("n").alias("n_a")), of.select(F.col("rid").alias("b"), F.col("n").alias("n_b"))
-    pairs = best.select(F.col("rid").alias("a"), F.col("hub").alias("b")).join(size_a, "a").join(size_b, "b")
-    pairs = saved(pairs.filter((den * F.col("n_a") >= num * F.col("n_b")) & (num * F.col("n_a") <= den * F.col("n_b"))).select("a", "b"), "pairs")
-    b = b.join(pairs.select("b").distinct(), "b", "left_semi")
-    pairs = pairs.join(a, "a").join(b, "b")
-
-    def verify(batches):
-        for t in batches:
-            d = t.to_pydict()
-            ok = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), num, den) for x, y in zip(d["e_a"], d["e_b"])]
-            yield t.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    stars = saved(pairs.mapInArrow(verify, "a bigint, b bigint"), "stars")
-    component = saved(components(stars), "components")
-    candidates = saved(_candidates(_pieces(members.drop("shared", "s1"), component, most), sets, num, den), "candidates")
-    links = _links(candidates, sets, num, den)
-    final = saved(components(stars.unionByName(links)), "components")
+    points = saved(
+        _computed(known, members, n, "point", lambda s: point(s).astype("<u2" if len(s) < 1 << 16 else "<u4").tobytes()), "points"
+    )
+    within = _linked(known, _slices(members, most, most_rows), points, n, num, den)
+    component = components(within)
+    pieces = saved(_across(members, component, most, most_rows), "pieces")
+    if pieces.isEmpty():
+        final = component
+    else:
+        across = _linked(known, pieces, points, n, num, den)
+        final = components(within.unionByName(across))
+        dropped(across, component)
+    dropped(pieces, points, members, within)
 
     named = reps.join(final, "rid", "left").select("s1", "s2", F.coalesce("c", "rid").alias("c"))
     out = marks.join(named, ["s1", "s2"], "left")
@@ -469,10 +506,7 @@ def one_of_each_set(docs: DataFrame, n: int = 5) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            of = []
-            for t in b.column(at).to_pylist():
-                s = shingles(t or "", n)
-                of.append(_signature(s) if len(s) else (None, None))
+            of = [_signature(s) if len(s) else (None, None) for s in shingle_sets(b.column(at).to_pylist(), n)]
             more = [pa.array([x[k] for x in of], pa.int64()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays([*b.columns, *more], names=[*b.schema.names, "_s1", "_s2"])
 
