@@ -100,9 +100,10 @@ def test_tree_finds_all_similar_sets():
         assert {k for k, s in enumerate(sets) if jaccard_join.similar(q, s, 80, 100)} <= near
 
 
-def test_exact_dedup(spark):
-    rows = ODD + [(9, "same  text"), (7, "same\x0b text"), (8, " same text"), (10, "same\xa0text")]
-    out = exact_dedup.exact_dedup(documents(spark, rows), capacity=1).collect()
+@pytest.mark.parametrize("hash_", [F.xxhash64, lambda t: F.shiftleft(F.length(t).cast("long"), 55)])
+def test_exact_dedup(spark, hash_):
+    rows = ODD + [(9, "same  text"), (7, "same\x0b text"), (8, " same text"), (10, "same\xa0text"), (11, "came text"), (12, "came text")]
+    out = exact_dedup.exact_dedup(documents(spark, rows), hash_, capacity=1, owned=2).collect()
     norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
     for r in out:
         t = [norm(t) for i, t in rows if i == r.doc_id and hashlib.sha256(norm(t).encode()).hexdigest() == r.text_sha256][0]
@@ -110,17 +111,28 @@ def test_exact_dedup(spark):
         keep = min((i for i in group if i is not None), default=None)
         assert (r.keep_id, r.group_size, r.kept) == (keep, len(group), r.doc_id == keep)
     assert len(out) == len(rows)
-    assert exact_dedup.exact_dedup(documents(spark, ODD).limit(0)).count() == 0
+    assert exact_dedup.exact_dedup(documents(spark, ODD).limit(0), hash_).count() == 0
 
 
-def test_directory_splits_until_buckets_fit(spark):
+def test_colliding_texts_chain_in_one_bucket(spark):
+    rows = [(k, x * 9) for k, x in enumerate("abcabca")] + [(20, "longer than nine")]
+    index, _ = exact_dedup.build_index(documents(spark, rows), lambda t: F.length(t).cast("long"))
+    found = sorted((r.key, r.chain, r.keep_id, r.group_size) for r in index.collect())
+    assert found == [(9, 0, 0, 3), (9, 1, 1, 2), (9, 2, 2, 2), (16, 0, 20, 1)]
+    assert len({(r.owner, r.bucket) for r in index.filter("key = 9").collect()}) == 1
+
+
+def test_directory_doubles_until_buckets_fit(spark):
     keys = spark.range(4000).select(F.xxhash64("id").alias("key"))
-    rows = exact_dedup.directory(keys, capacity=200).collect()
-    g = rows[0].g
-    assert len(rows) == 2**g and max(r.n_keys for r in rows) <= 200
+    places, g = exact_dedup.directory(keys, capacity=200, owned=1000)
+    rows = sorted(places.collect(), key=lambda r: r.leaf)
+    assert len(rows) == 2**g and max(r.n_keys for r in rows) <= 200 and max(r.depth for r in rows) == g
     assert sum({(r.depth, r.bucket): r.n_keys for r in rows}.values()) == 4000
+    assert [r.owner for r in rows] == sorted(r.owner for r in rows) and {r.owner for r in rows} == {0, 1, 2, 3}
     for r in rows:
         assert r.leaf >> (g - r.depth) == r.bucket
+    halves = [sum(1 for x in keys.collect() if (x.key % 2**64) >> (64 - r.depth + 1) == r.bucket >> 1) for r in rows if r.depth]
+    assert min(halves) > 200  # none was split without need
 
 
 def test_line_dedup_keeps_first_copies(spark):

@@ -1,22 +1,22 @@
 """Exact duplicate removal through an extendible-hash index on shared files.
 
-Native: DataFrame operations only. Rows of equal bytes meet in one hash aggregate that combines
-before it shuffles, so a group that holds a third of all rows arrives as one row a task. Its
-entries (key, chain position, digest, keeper) are dealt to buckets by a directory over the key's
-leading bits: a bucket with more keys than its capacity is split by taking one bit more, which is
-what doubling the directory does. Owner tasks write one range of keys each.
+Native: DataFrame operations only. The directory maps the leading bits of a text's key to a bucket;
+it doubles as long as a bucket has more keys than its capacity, and only such buckets split. A run of
+buckets has one owner task, which gets all rows of its range of keys, compares their texts byte by
+byte, chains the different texts of one key, and writes its part of the index. Every document is then
+looked up by bucket, key and digest. Keys of many rows are combined by text before they go to their
+owner, so a text that makes up a third of all rows arrives as one row a task.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import saved, shared_path
+from .common import dropped, saved
 
 #: The white space that counts as equal.
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -27,87 +27,83 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), _SPACE, " ")
 
 
-def leading_bits(key: Column, n: Column) -> Column:
+def leading_bits(key: Column, n: int) -> Column:
     """The first ``n`` bits of a 64-bit key, as a long; 0 bits give 0."""
-    return F.when(n > 0, F.call_function("shiftrightunsigned", key, (64 - n).cast("int"))).otherwise(
-        F.lit(0).cast("long")
-    )
+    return F.call_function("shiftrightunsigned", key, F.lit(64 - n)) if n else F.lit(0).cast("long")
 
 
-def directory(keys: DataFrame, capacity: int, slack: int = 4, max_depth: int = 16) -> DataFrame:
-    """The buckets of an extendible-hash directory over ``keys.key``: (leaf, depth, bucket, n_keys).
+def directory(keys: DataFrame, capacity: int, max_depth: int = 16, owned: int = 1_000_000) -> tuple[DataFrame, int]:
+    """The directory over the distinct ``keys.key``, and its depth g.
 
-    A leaf is a value of the first ``g`` bits; ``depth`` is the least number of bits at which its
-    bucket holds at most ``capacity`` keys (``g``, if none does: the rest chains in that bucket).
-    ``g`` follows the number of keys, so the directory has at most ``2**max_depth`` leaves.
+    A row for each value ``leaf`` of the first g bits that occurs: (leaf, depth, bucket, n_keys,
+    owner). g grows, which doubles the directory, while a bucket has more than ``capacity`` keys; a
+    bucket's own depth is the least at which it holds no more (at ``max_depth`` it stays overfull). At
+    most ``2**max_depth`` rows. Owners have runs of buckets of about ``owned`` keys.
     """
-    n = keys.count()
-    g = min(max_depth, max(1, math.ceil(math.log2(max(1, n / capacity))) + slack))
-    leaves = keys.groupBy(leading_bits(F.col("key"), F.lit(g)).alias("leaf")).agg(
-        F.count("*").alias("n")
-    )
-    levels = leaves.select(
-        "leaf", "n", F.explode(F.sequence(F.lit(0), F.lit(g))).alias("depth")
-    ).withColumn(
-        "bucket", F.call_function("shiftright", F.col("leaf"), (g - F.col("depth")).cast("int"))
-    )
-    sizes = levels.groupBy("depth", "bucket").agg(F.sum("n").alias("n_keys"))
-    fits = (F.col("n_keys") <= capacity) | (F.col("depth") == g)
-    return (
-        levels.join(sizes.filter(fits), ["depth", "bucket"])
-        .groupBy("leaf")
-        .agg(F.min(F.struct("depth", "bucket", "n_keys")).alias("b"))
-        .select("leaf", "b.depth", "b.bucket", "b.n_keys", F.lit(g).alias("g"))
-    )
-
-
-def build_index(docs: DataFrame, capacity: int = 50_000) -> DataFrame:
-    """One entry for each distinct text of ``docs``, as an index on the shared files.
-
-    Columns: depth and bucket, key (a 64-bit hash of the text), chain (0, 1, ... among different
-    texts of one key), text_sha256, keep_id (the least doc_id) and group_size.
+    finest = saved(keys.groupBy(leading_bits(F.col("key"), max_depth).alias("f")).agg(F.count("*").alias("n")), "leaves")
+
+    def first(n: int) -> Column:
+        return F.shiftright("f", max_depth - n)
+
+    g = 0
+    while g < max_depth and not finest.groupBy(first(g)).agg(F.sum("n").alias("n")).filter(F.col("n") > capacity).isEmpty():
+        g += 1
+    levels = finest.select("n", first(g).alias("leaf"), F.posexplode(F.array(*map(first, range(g + 1)))).alias("depth", "bucket"))
+    levels = levels.groupBy("leaf", "depth", "bucket").agg(F.sum("n").alias("n"))
+    sizes = levels.groupBy("depth", "bucket").agg(F.sum("n").alias("n_keys"), F.min("leaf").alias("start"))
+    fits = sizes.filter((F.col("n_keys") <= capacity) | (F.col("depth") == g))
+    of_leaf = levels.join(fits, ["depth", "bucket"]).groupBy("leaf").agg(F.min(F.struct("depth", "bucket", "n_keys", "start")).alias("b"))
+    of_leaf = of_leaf.select("leaf", "b.*")
+    before = F.sum("n_keys").over(Window.orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+    owners = of_leaf.select("start", "n_keys").distinct().select("start", F.floor(F.coalesce(before, F.lit(0)) / owned).alias("owner"))
+    out = saved(of_leaf.join(owners, "start").drop("start"), "directory")
+    dropped(finest)
+    return out, g
+
+
+def build_index(
+    docs: DataFrame, hash_: Callable[[Column], Column] = F.xxhash64, capacity: int = 50_000, owned: int = 1_000_000
+) -> tuple[DataFrame, DataFrame]:
+    """The index over the texts of ``docs``, and its documents as (doc_id, bucket, key, text_sha256).
+
+    The index has an entry for each text: owner, depth, bucket, key (``hash_`` of the text), chain (0,
+    1, ... among different texts of one key), text_sha256, keep_id (the least doc_id) and group_size.
     """
-    text = normalised(F.col("text"))
-    same_bytes = (
-        docs.select(F.col("doc_id").alias("id"), text.alias("t"))
-        .groupBy(F.xxhash64("t").alias("key"), "t")
-        .agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"))
-    )
-    entries = saved(
-        same_bytes.select("key", F.sha2("t", 256).alias("text_sha256"), "keep_id", "group_size"),
-        "exact-entries",
-    )
-    chained = entries.withColumn(
-        "chain",
-        F.row_number().over(Window.partitionBy("key").orderBy("keep_id", "text_sha256")) - 1,
-    )
-    buckets = directory(entries, capacity)
-    g = buckets.select("g").first()
-    leaf = leading_bits(F.col("key"), F.lit(g.g if g else 1))
-    placed = chained.join(buckets.drop("g"), leaf == F.col("leaf")).drop("leaf", "n_keys")
-    spark, path = docs.sparkSession, shared_path(docs.sparkSession, "exact-index")
-    # (key ^ min long) has the order of the unsigned key, so a task owns whole runs of buckets.
-    unsigned = F.col("key").bitwiseXOR(F.lit(-(2**63)).cast(T.LongType()))
-    placed.repartitionByRange(unsigned).sortWithinPartitions(unsigned, "chain").write.parquet(path)
-    return spark.read.schema(placed.schema).parquet(path)
-
-
-def exact_dedup(docs: DataFrame, capacity: int = 50_000) -> DataFrame:
+    texts = docs.select("doc_id", normalised(F.col("text")).alias("t")).select("doc_id", hash_(F.col("t")).alias("key"), "t")
+    keyed = saved(texts.select("doc_id", "key", F.sha2("t", 256).alias("text_sha256")), "keyed")
+    keys = saved(keyed.groupBy("key").agg(F.count("*").alias("n")), "keys")
+    places, g = directory(keys, capacity, owned=owned)
+    leaf = leading_bits(F.col("key"), g)
+
+    # A key of more than a thousandth of all rows is hot: there are fewer than a thousand of them.
+    limit = keyed.count() / 1000
+    hot = F.broadcast(keys.filter(F.col("n") > limit).select("key"))
+    least, size = F.min("doc_id").alias("doc_id"), F.count("*").alias("n")
+    combined = texts.join(hot, "key", "left_semi").groupBy("key", "t").agg(least, size).select("doc_id", "key", "t", "n")
+    rows = texts.join(hot, "key", "left_anti").withColumn("n", F.lit(1).cast("long")).unionByName(combined)
+    rows = rows.join(F.broadcast(places), leaf == F.col("leaf")).drop("leaf", "n_keys").repartition("owner")
+    same_bytes = rows.groupBy("owner", "depth", "bucket", "key", "t").agg(F.min("doc_id").alias("keep_id"), F.sum("n").alias("group_size"))
+    entries = same_bytes.withColumn("text_sha256", F.sha2("t", 256)).drop("t")
+    chain = F.row_number().over(Window.partitionBy("owner", "bucket", "key").orderBy("keep_id", "text_sha256")) - 1
+    index = saved(entries.withColumn("chain", chain), "exact-index")
+    dropped(keys)
+    return index, keyed.join(F.broadcast(places.select("leaf", "bucket")), leaf == F.col("leaf")).drop("leaf")
+
+
+def exact_dedup(
+    docs: DataFrame, hash_: Callable[[Column], Column] = F.xxhash64, capacity: int = 50_000, owned: int = 1_000_000
+) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, key, bucket, chain.
 
     Texts are equal when identical after each run of white space became one space; the least
     doc_id of equal texts stays. A null text counts as empty. Rows that repeat a doc_id with the
     same text are one document given twice: each is returned, with the same verdict. A null doc_id
-    is never the keeper unless all of its group are null; then keep_id is null and all stay.
-    An empty table gives no rows; other columns are ignored.
+    is never the keeper unless all of its group are null; then keep_id is null and all stay. Texts of
+    any length count as a whole. An empty table gives no rows; other columns are ignored.
     """
-    index = build_index(docs, capacity)
-    text = normalised(F.col("text"))
-    keyed = (
-        docs.select(F.col("doc_id").alias("doc_id"), text.alias("t"))
-        .select("doc_id", F.xxhash64("t").alias("key"), F.sha2("t", 256).alias("text_sha256"))
-    )
-    return keyed.join(index, ["key", "text_sha256"]).select(
+    index, keyed = build_index(docs, hash_, capacity, owned)
+    entries = index.select("bucket", "key", "text_sha256", "keep_id", "group_size", "chain")
+    return keyed.join(entries, ["bucket", "key", "text_sha256"]).select(
         "doc_id",
         "keep_id",
         "group_size",
