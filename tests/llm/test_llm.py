@@ -1,6 +1,7 @@
 """The training-data operators against brute force, round trips and held-out accuracy."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -287,6 +288,59 @@ def test_pruned_viterbi_is_the_whole_one():
         assert tagger.spans(t) == [(at[a][0], at[b][1]) for a, b in spans]
 
 
+def prose(rng, n):
+    return " ".join("".join(rng.choices("tion the an er in st le".split(), k=rng.randrange(1, 5))) for _ in range(n))
+
+
+def test_field_finds_secrets_that_no_pattern_fits(spark):
+    rng = random.Random(21)
+    some = lambda alphabet, n: "".join(rng.choices(alphabet, k=n))
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    kinds = [
+        lambda: ("Authorization: Bearer ", some(alnum, 36), ""), lambda: ("", "sk-" + some(alnum, 40), ""), lambda: ("key id ", some(alnum + "+/", 40), ""),
+        lambda: ("", some(alnum + "+/", 40), ""), lambda: ("credential: ", some(alnum, 24), ""), lambda: ("postgres://admin:", some(alnum, 20), "@db.host/main"),
+        lambda: ("", "ghp_" + some(alnum, 36), ""),
+    ]
+    rows = [(k, f"{prose(rng, 30)} token = \"{some('0123456789abcdef', 40)}\" {prose(rng, 30)}") for k in range(150)]
+    rows += [(1000 + k, f"{prose(rng, 60)}. On 2024-05-17 call +49-170-5551234 or see https://www.{prose(rng, 1)}.com/2024/05/{prose(rng, 3).replace(' ', '-')}") for k in range(300)]
+    planted = {}
+    for k in range(140):
+        before, value, after = kinds[k % len(kinds)]()
+        text = f"{prose(rng, 30)} {before}{value}{after} {prose(rng, 30)}"
+        planted[2000 + k] = (text.index(value), text.index(value) + len(value))
+        rows.append((2000 + k, text))
+    found = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "crf"] for r in secret_scan.scan(documents(spark, rows)).collect()}
+    hit = [k % len(kinds) for i, (a, b) in planted.items() for k in [i - 2000] if any(s < b and e > a for s, e in found[i])]
+    assert all(hit.count(k) >= 16 for k in range(len(kinds))), [hit.count(k) for k in range(len(kinds))]
+    assert sum(bool(found[1000 + k]) for k in range(300)) <= 6
+
+
+def test_viterbi_and_likelihood_against_all_paths():
+    rng = np.random.default_rng(2)
+    e, t = rng.normal(size=(5, 3)), rng.normal(size=(3, 3))
+    score = lambda p: sum(e[k, x] for k, x in enumerate(p)) + t[0, p[0]] + sum(t[x, y] for x, y in zip(p, p[1:])) + t[p[-1], 0]
+    paths = list(itertools.product(range(3), repeat=5))
+    assert secret_scan.viterbi(e, t) == list(max(paths, key=score))
+    # What training raises is the likelihood of the given tags among all tags.
+    windows = [([[f"w{k % 3}"] for k in range(4)], [0, 1, 2, 0]), ([["w1"], ["w1"], ["w2"]], [0, 0, 0])]
+
+    def likelihood(weights, t):
+        out = 0.0
+        for x, tags in windows:
+            own = lambda p: sum(weights[f][y] for s, y in zip(x, p) for f in s) + sum(t[a, b] for a, b in zip((0, *p), (*p, 0)))
+            out += own(tags) - np.log(sum(np.exp(own(p)) for p in itertools.product(range(3), repeat=len(x))))
+        return out
+
+    steps = [likelihood(*secret_scan.train(windows, steps=n, l2=0)) for n in (1, 10, 60)]
+    assert steps == sorted(steps) and steps[-1] > -2
+
+
+def test_secret_scan_of_odd_and_no_rows(spark):
+    out = secret_scan.scan(documents(spark, [*ODD, (7, "password: abcdefgh1234 " * 3000)])).collect()
+    assert len(out) == len(ODD) + 1 and sum(len(r.spans) for r in out) == 3000
+    assert secret_scan.scan(documents(spark, ODD).limit(0)).count() == 0
+
+
 def test_warc_round_trip(spark):
     big = "é" * 90_000
     rows = [(1, "http://a/b", "x" * 999), (2, "http://a/b c\n", "x" * 999), (3, None, big), (9, "u", big), (4, "u", None), (5, "u", "y" * 1000), (6, "u", "y" * 1000), (None, "u", "y" * 1000), (7, "u", "a\r\n\r\nWARC/1.1\r\n")]

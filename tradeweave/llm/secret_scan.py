@@ -2,13 +2,20 @@
 
 The field tags each token as the beginning, the inside or the outside of a secret, from the
 token's shape, its neighbours and features of the whole file, and is decoded by Viterbi. It is
-trained on a bounded sample of documents in which the patterns mark secrets, so it learns what
-such values look like and finds them where no pattern fits.
+trained on windows of a bounded sample of documents in which the patterns mark secrets. So that
+neither the few alphabets that the patterns know nor the words before a value explain all, each
+secret comes again with its value drawn anew, and drawn anew in a place of plain text; paths, names,
+addresses, dates and numbers come as no secrets. The cost of a beginning is calibrated on
+windows that took no part in training.
 """
 
 from __future__ import annotations
 
+import math
+import random
 import re
+import string
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,26 +55,38 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
 
 _HEX = re.compile(r"[0-9a-f]+")
 _DIGIT = re.compile(r"\d")
+_PARTS = re.compile(r"[-_/+]+")
+_LETTERS = re.compile(r"[^\W\d_]+")
 _STEPS = (4, 8, 12, 16, 24, 48)
 
 
 def shape(token: str) -> tuple:
-    """What a token's own features are made of: length, alphabet, case, digits, variety, changes."""
+    """What a token's own features are made of: length, alphabet, case, digits, variety, changes
+    between letters and digits, changes of case, the longest run of letters, entropy, the number of
+    parts between signs, and whether one of them has letters and digits."""
     n = len(token)
     if n < 12 and token.islower() and token.isalpha():  # most words
-        return n, "hex" if _HEX.fullmatch(token) else "word", "low", False, -1, -1
+        return n, "hex" if _HEX.fullmatch(token) else "word", "low", False, -1, -1, -1, -1, -1, 0, False
     alphabet = "hex" if _HEX.fullmatch(token) else "word" if token.isalpha() else "other"
     case = "low" if token.islower() else "up" if token.isupper() else "title" if token.istitle() else "mixed"
     if n < 12:
-        return n, alphabet, case, bool(_DIGIT.search(token)), -1, -1
-    digits = len(_DIGIT.findall(token))
-    changes = sum(x.isdigit() != y.isdigit() or x.isupper() != y.isupper() for x, y in zip(token, token[1:]))
-    length = max(x for x in _STEPS if x <= n)
-    return length, alphabet, case, 4 * digits // n, 3 * len(set(token)) // min(n, 36), min(4, 8 * changes // n)
+        return n, alphabet, case, bool(_DIGIT.search(token)), -1, -1, -1, -1, -1, 0, False
+    pairs, counts = list(zip(token, token[1:])), [token.count(c) for c in set(token)]
+    turns = sum(x.isdigit() != y.isdigit() for x, y in pairs)
+    cases = sum(x.isalpha() and y.isalpha() and x.isupper() != y.isupper() for x, y in pairs)
+    run = max(map(len, _LETTERS.findall(token)), default=0)
+    parts = _PARTS.split(token)
+    mixed = any(_DIGIT.search(x) and _LETTERS.search(x) for x in parts)
+    entropy = sum(k * math.log2(n / k) for k in counts) / n
+    return (
+        max(x for x in _STEPS if x <= n), alphabet, case, 4 * len(_DIGIT.findall(token)) // n, 3 * len(counts) // min(n, 36),
+        min(4, turns), min(4, 8 * cases // n), min(4, 4 * run // n), int(2 * entropy),
+        min(4, len(parts)), mixed,
+    )
 
 
 def shape_features(s: tuple) -> list[str]:
-    length, alphabet, case, digits, variety, changes = s
+    length, alphabet, case, digits, variety, turns, cases, run, entropy, parts, mixed = s
     long = length >= 12
     return [
         "bias",
@@ -76,7 +95,10 @@ def shape_features(s: tuple) -> list[str]:
         f"case {case} {long}",
         f"digits {digits} {long}",
         f"variety {variety}",
-        f"changes {changes}",
+        f"turns {turns} {cases}",
+        f"run {run} {digits}",
+        f"entropy {entropy}",
+        f"parts {parts} {mixed}",
         f"all {alphabet} {case} {digits} {long}",
     ]
 
@@ -177,6 +199,24 @@ def viterbi(e: np.ndarray, t: np.ndarray) -> list[int]:
     return out[::-1]
 
 
+def calibrated(weights: dict[str, tuple], t: np.ndarray, windows: list[tuple[list[list[str]], list[int]]], allowed: float = 0.01) -> np.ndarray:
+    """Transitions whose way into a secret costs so much that of the windows without one at most the
+    share ``allowed`` is tagged. Training has as many windows with a secret as without; texts haven't."""
+    margins = []
+    for x, tags in windows:
+        if any(tags) or not x:
+            continue
+        e = np.array([[sum(weights[f][k] for f in s if f in weights) for k in range(3)] for s in x])
+        score = e[0] + t[O]
+        for row in e[1:]:
+            score = (score[:, None] + t).max(axis=0) + row
+        margins.append((score + t[:, O]).max() - e[:, O].sum() - (len(e) + 1) * t[O, O])
+    t = t.copy()
+    if margins:
+        t[O, B:] -= max(0.0, float(np.quantile(margins, 1 - allowed, method="higher"))) + 1e-6
+    return t
+
+
 class Tagger:
     """The trained field, with the classes of the tokens that it has met.
 
@@ -260,45 +300,98 @@ class Tagger:
         return [(at[x][0], at[y][1]) for x, y in found]
 
 
-def recased(token: str) -> str:
-    """The token in mixed case: the patterns know secrets of one case only, many kinds mix both."""
-    return "".join(c.upper() if k % 5 in (0, 2) else c.lower() for k, c in enumerate(token))
+_DIGITS, _LETTER = string.digits, string.ascii_letters
+#: Alphabets of values drawn anew.
+_ALPHABETS = (
+    _LETTER + _DIGITS, _LETTER + _DIGITS + "+/", _LETTER + _DIGITS + "-_", string.ascii_lowercase + _DIGITS, string.ascii_uppercase + _DIGITS,
+    "0123456789ABCDEF", "0123456789abcdef",
+)
+
+
+def drawn_value(rng: random.Random) -> str:
+    """A random string, now and then in parts as keys have them."""
+    alphabet = rng.choice(_ALPHABETS)
+    part = lambda n: "".join(rng.choices(alphabet, k=n))
+    kind = rng.randrange(6)
+    if kind == 0:
+        return f"{''.join(rng.choices(string.ascii_lowercase, k=rng.randrange(2, 5)))}{rng.choice('-_')}{part(rng.randrange(16, 44))}"
+    if kind == 1:
+        return ".".join(part(rng.randrange(12, 40)) for _ in range(3))
+    return part(rng.randrange(12, 50))
+
+
+def plain_token(words: list[str], rng: random.Random) -> str:
+    """A long string that is no secret: words as a path, a name with hyphens or underscores or in
+    mixed case, an address, or short groups of digits as in dates and numbers."""
+    picked, number = rng.choices(words, k=rng.randrange(2, 6)), lambda n: "".join(rng.choices(_DIGITS, k=n))
+    kind = rng.randrange(4)
+    if kind == 0:
+        return "".join(w.title() for w in picked)
+    if kind == 1:
+        if rng.random() < 0.3:
+            return f"20{number(2)}-{number(2)}-{number(2)}T{number(2)}:{number(2)}:{number(2)}Z"
+        return rng.choice(["", "+"]) + rng.choice("-/.:+").join(number(rng.randrange(1, 8)) for _ in range(rng.randrange(2, 6)))
+    if kind == 2:
+        parts = [rng.choice([w, number(rng.randrange(1, 5)), f"{w}-{v}"]) for w, v in zip(picked, reversed(picked))]
+        return f"{rng.choice(['http://', 'https://', 'www.', 'mailto:'])}{picked[0]}{rng.choice('.@')}{picked[1]}.{picked[0][:3]}/{'/'.join(parts)}"
+    return rng.choice("-_/+").join([*picked, number(rng.randrange(1, 5))][: None if rng.random() < 0.3 else -1])
 
 
 def windows_of(text: str, reach: int = 6, spare: int = 3) -> Iterator[tuple[bool, list, list]]:
-    """Training windows of a text: around each secret that the patterns mark, and ``spare`` others,
-    of which the first are around tokens with digits; a secret comes a second time in mixed case. (has a secret, features, tags)."""
+    """Training windows of a text as (has a secret, features, tags).
+
+    One stands around each secret that the patterns mark, two with its value drawn anew there
+    and four with values in places of plain text. ``spare`` others of three kinds have none: around tokens with
+    digits or of 12 characters, around words by steps, and around words joined to one token. What is
+    drawn depends on the text alone.
+    """
     at = [m.span() for m in _TOKEN.finditer(text)]
     if not at:
         return
-    tokens = [text[a:b] for a, b in at]
-    tags, centres, end = [O] * len(at), [], -1
+    tokens, rng = [text[a:b] for a, b in at], random.Random(zlib.crc32(text.encode()))
+    tags, secrets, end = [O] * len(at), [], -1
     for _, _, stop, start in base_spans(text):
         inside = [k for k, (a, b) in enumerate(at) if a < stop and b > start]
         if inside and inside[0] > end:
-            tags[inside[0]] = B
-            for k in inside[1:]:
-                tags[k] = I
-            centres.append((inside[0] + inside[-1]) // 2)
             end = inside[-1]
-    odd = [k for k, x in enumerate(tokens) if tags[k] == O and (len(x) >= 12 or any(c.isdigit() for c in x))]
-    step = max(1, len(at) // (spare + 1))
+            tags[inside[0] : end + 1] = [B] + [I] * (len(inside) - 1)
+            secrets.append((inside[0], end + 1))
     whole = file_features(text, len(tokens))
-    varied = [recased(x) if tag != O else x for x, tag in zip(tokens, tags)] if centres else tokens
-    plain = [*centres, *odd[: 2 * spare], *range(step, len(at), step)[:spare]]
-    for k, tokens in [*((k, tokens) for k in plain), *((k, varied) for k in centres)]:
-        a, b = max(0, k - reach), min(len(at), k + reach + 1)
+
+    def window(first: int, stop: int, value: list[str], labels: list[int]):
+        """Around ``value`` in place of the tokens from ``first`` to ``stop``."""
+        xs = [*tokens[max(0, first - reach - 2) : first], *value, *tokens[stop : stop + reach + 1]]
+        ys = [*tags[max(0, first - reach - 2) : first], *labels, *tags[stop : stop + reach + 1]]
+        before = min(first, reach + 2) - min(first, reach)
         features = []
-        for j in range(a, b):
-            f = [*shape_features(shape(tokens[j])), *whole]
-            f += word_features(tokens[j - 1], "-1") if j else ()
-            f += word_features(tokens[j - 2], "-2") if j > 1 else ()
-            f += word_features(tokens[j + 1], "+1") if j + 1 < len(at) else ()
+        for j in range(before, min(len(xs), min(first, reach + 2) + len(value) + reach)):
+            f = [*shape_features(shape(xs[j])), *whole]
+            f += word_features(xs[j - 1], "-1") if j else ()
+            f += word_features(xs[j - 2], "-2") if j > 1 else ()
+            f += word_features(xs[j + 1], "+1") if j + 1 < len(xs) else ()
             features.append(f)
-        yield any(tags[a:b]), features, tags[a:b]
-
-
-def sample_windows(docs: DataFrame, n_docs: int = 20_000, n_windows: int = 1_500) -> list:
+        ys = ys[before : before + len(features)]
+        return any(ys), features, ys
+
+    doubtful = {k for k, x in enumerate(tokens) if tags[k] == O and len(x) >= 12 and _DIGIT.search(x) and _LETTERS.search(x)}
+    plain = [k for k in range(len(at)) if tags[k] == O and not doubtful.intersection(range(k - reach, k + reach + 1))]
+    step = max(1, len(plain) // (spare + 1))
+    for first, stop in secrets:
+        yield window(first, stop, tokens[first:stop], tags[first:stop])
+        places = [(k, k) for k in rng.choices(plain or [first], k=4)]
+        for a, b in [(first, stop)] * 2 + places:
+            value = _TOKEN.findall(drawn_value(rng))
+            yield window(a, b, value, [B] + [I] * (len(value) - 1))
+    odd = [k for k in plain if len(tokens[k]) >= 12 or any(c.isdigit() for c in tokens[k])]
+    for k in [*odd[: 2 * spare], *plain[step::step][:spare]]:
+        yield window(k, k + 1, [tokens[k]], [O])
+    words = [tokens[k] for k in plain[:1000] if tokens[k].isalpha()]
+    for k in rng.sample(plain, min(2 * spare, len(plain))) if words else ():
+        value = _TOKEN.findall(plain_token(words, rng))
+        yield window(k, k, value, [O] * len(value))
+
+
+def sample_windows(docs: DataFrame, n_docs: int = 2_000, n_windows: int = 1_500) -> list:
     """At most ``n_windows`` windows with a secret, from about ``n_docs`` of the documents with a
     pattern's span, and as many without, from about ``n_docs`` of all; hashes of the texts decide."""
     texts = docs.select("text").filter(F.length("text") > 0)
@@ -339,7 +432,7 @@ def sample_windows(docs: DataFrame, n_docs: int = 20_000, n_windows: int = 1_500
 _SPANS = "doc_id {}, spans array<struct<kind:string,start:bigint,end:bigint>>"
 
 
-def scan(docs: DataFrame, n_docs: int = 20_000, n_windows: int = 1_500, min_chars: int = 12) -> DataFrame:
+def scan(docs: DataFrame, n_docs: int = 2_000, n_windows: int = 1_500, min_chars: int = 12) -> DataFrame:
     """One row per document: doc_id and spans (kind, start, end) in code points, end exclusive.
 
     Spans are those of the patterns, and ``crf`` for what the field tags beside them: at least
@@ -349,7 +442,9 @@ def scan(docs: DataFrame, n_docs: int = 20_000, n_windows: int = 1_500, min_char
     ignored.
     """
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(train(sample_windows(docs, n_docs, n_windows)))
+    windows = sample_windows(docs, n_docs, n_windows)
+    weights, t = train([w for k, w in enumerate(windows) if k % 5])
+    model = spark.sparkContext.broadcast((weights, calibrated(weights, t, windows[::5])))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
