@@ -12,11 +12,9 @@ import hashlib
 import heapq
 import json
 import mmap
-import os
 import re
 import struct
 import sys
-import tempfile
 import unicodedata
 import uuid
 from bisect import bisect_left
@@ -28,7 +26,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, most_frequent, saved
+from .common import batch, dropped, most_frequent, saved, shared_path, write_file
 
 #: Fixed values of the vocabulary file's pre-tokenizer: contractions that stand alone.
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
@@ -277,17 +275,18 @@ def word_counts(docs: DataFrame, path: str, flush: int = 500_000) -> DataFrame:
 def build_lexicon(docs: DataFrame, path: str, size: int = 50_000) -> str:
     """Compiles up to ``size`` most frequent words and gives the file to all executors; its name.
 
-    A word that was seen once isn't frequent.
+    Words that were seen once or have more than 100 characters aren't compiled but merged.
     """
-    top = most_frequent(saved(word_counts(docs, path).filter("n > 1"), "word-counts"), "n", size)
+    counts = saved(word_counts(docs, path).filter("n > 1 and length(word) <= 100"), "word-counts")
+    top = most_frequent(counts, "n", size)
     bpe = WordBPE(path)
-    words = [r.word for r in top.collect() if r.word not in bpe.special]  # at most ``size``
+    words = [r.word for r in top.collect() if r.word not in bpe.special]  # at most ``size`` of bounded length
+    dropped(counts)
     data = compile_lexicon({w.encode(): bpe.merge(w) for w in words})
     name = f"lexicon-{uuid.uuid4().hex}.bin"
-    file = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
-    with open(file, "wb") as f:
-        f.write(data)
-    docs.sparkSession.sparkContext.addFile(file)
+    file = f"{shared_path(docs.sparkSession, 'lexicon')}/{name}"
+    write_file(file, data)
+    docs.sparkSession.sparkContext.addFile(file)  # executors fetch it from the shared folder
     return name
 
 
@@ -332,7 +331,8 @@ def encode(docs: DataFrame, path: str, lexicon_size: int = 50_000, digests: bool
     The ids are those of the tokenizer file at ``path`` with the special tokens that the text
     itself holds and no others. A null or empty text has no tokens. ``digests`` gives ids_sha256
     (decimal ids joined by one space) and decoded_sha256 in place of ids. Rows that repeat are
-    encoded each; other columns are ignored; an empty table gives no rows.
+    encoded each; texts of any length are encoded as a whole; other columns are ignored; an empty
+    table gives no rows.
     """
     name = build_lexicon(docs, path, lexicon_size)
     rest = (
@@ -365,7 +365,10 @@ def encode(docs: DataFrame, path: str, lexicon_size: int = 50_000, digests: bool
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """``encoded`` (doc_id, ids) as doc_id and text; null or empty ids give the empty text."""
+    """``encoded`` (doc_id, ids) as doc_id and text; null or empty ids give the empty text.
+
+    Rows that repeat are decoded each; other columns are ignored; an empty table gives no rows.
+    """
 
     def run(batches):
         bpe = _tokenizer(path)

@@ -7,6 +7,7 @@ import uuid
 import weakref
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +43,21 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def write_file(path: str, data: bytes) -> None:
+    """A small file in the shared folder, from the driver or a task."""
+    store, where = fs.FileSystem.from_uri(path)
+    store.create_dir(where.rsplit("/", 1)[0], recursive=True)
+    with store.open_output_stream(where) as out:
+        out.write(data)
+
+
+def read_file(path: str) -> bytes:
+    """The bytes that :func:`write_file` wrote."""
+    store, where = fs.FileSystem.from_uri(path)
+    with store.open_input_stream(where) as data:
+        return data.read()
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again; this cuts its lineage.
 
@@ -72,16 +88,21 @@ def dropped(*tables: DataFrame) -> None:
 def most_frequent(counts: DataFrame, n: str, size: int) -> DataFrame:
     """The rows of ``counts`` with the largest ``n``, at most ``size`` of them.
 
-    A histogram over logarithmic bins of n (a thousand rows at most) gives the cut, so no task
-    sorts and none sends its own candidates to the driver; of a bin that doesn't fit, none is taken.
+    A histogram over logarithmic bins of n (a thousand rows at most) gives the cut, so no task sorts
+    all. Of the bin that doesn't fit, the largest go in, of equals those first by the other columns.
     """
     bin_ = F.floor(F.log2(F.col(n).cast("double")) * 16)
-    total, cut = 0, None
+    total, whole, partly = 0, None, None
     for r in sorted(counts.groupBy(bin_.alias("b")).agg(F.count("*").alias("c")).collect(), reverse=True):
         if total + r.c > size:
+            partly = r.b
             break
-        total, cut = total + r.c, r.b
-    return counts.filter(bin_ >= cut) if cut is not None else counts.limit(0)
+        total, whole = total + r.c, r.b
+    out = counts.filter(bin_ >= whole) if whole is not None else counts.limit(0)
+    if partly is None or total == size:
+        return out
+    order = [F.desc(n), *(c for c in counts.columns if c != n)]
+    return out.unionByName(counts.filter(bin_ == partly).orderBy(*order).limit(size - total))
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

@@ -8,7 +8,6 @@ deals out the documents; the items, which are few, go to all tasks in automata o
 from __future__ import annotations
 
 import functools
-import os
 import pickle
 import re
 import uuid
@@ -20,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, batch, shared_path
+from .common import alnum_words, batch, read_file, shared_path, write_file
 
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -147,7 +146,7 @@ def _item_words(items: DataFrame) -> DataFrame:
 def automata(items: DataFrame, window: int, max_words: int) -> list[str]:
     """Files, in the shared folder, of automata of at most ``max_words`` words each, or of one item,
     over all items. Tasks build them, each from its share of the items."""
-    rows, folder = _item_words(items), shared_path(items.sparkSession, "automata").removeprefix("file:")
+    rows, folder = _item_words(items), shared_path(items.sparkSession, "automata")
 
     def sizes(batches):
         for b in batches:
@@ -160,10 +159,8 @@ def automata(items: DataFrame, window: int, max_words: int) -> list[str]:
         paths, part, n = [], [], 0
 
         def write():
-            os.makedirs(folder, exist_ok=True)
             paths.append(f"{folder}/{uuid.uuid4().hex}")
-            with open(paths[-1], "wb") as f:
-                pickle.dump(SuffixAutomaton(part, window), f, pickle.HIGHEST_PROTOCOL)
+            write_file(paths[-1], pickle.dumps(SuffixAutomaton(part, window), pickle.HIGHEST_PROTOCOL))
 
         for k, t in zip(table.column("k").to_pylist(), table.column("t").to_pylist()):
             words = alnum_words(t)
@@ -180,8 +177,7 @@ def automata(items: DataFrame, window: int, max_words: int) -> list[str]:
 
 @functools.lru_cache(1)
 def _automaton(path: str) -> SuffixAutomaton:
-    with open(path, "rb") as f:
-        return pickle.load(f)
+    return pickle.loads(read_file(path))
 
 
 def _scan_all(paths: list[str], texts: list[list[bytes]]) -> list[tuple[list[int], set[str]]]:
@@ -246,7 +242,8 @@ def find_contamination(
     Words are runs of digits, a-z (A-Z is lower-cased) and characters beyond ASCII. A null or empty
     text has no words and no hits; a null item text is no window; a null item_id is the key ''.
     Equal item_ids count once. Items beyond ``max_words`` words go to further automata, whose hits
-    are united. Without items or documents nothing is hit. Other columns are ignored.
+    are united. Texts of any length count as a whole, and rows that repeat are judged each. Without
+    items nothing is hit; an empty table gives no rows. Other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("t"))
     found = _hits(rows, automata(items, window, max_words))
@@ -305,8 +302,9 @@ def decontaminate(
 
     A document goes as a whole when more than ``max_coverage`` of its words were inside windows.
     Both count the hits of all automata, to which items beyond ``max_words`` words go.
-    Documents without hits, null and empty texts stay as they are. n_chars, where there is such a
-    column, follows a changed text.
+    Documents without hits, null and empty texts stay as they are; without items all do. Texts of any
+    length count as a whole, rows that repeat are judged each, an empty table gives no rows. n_chars,
+    where there is such a column, follows a changed text; other columns stay as they are.
     """
     names = docs.columns
     at, paths = names.index("text"), automata(items, window, max_words)

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 from .common import dropped, saved, space_words
@@ -502,16 +503,15 @@ def jaccard_components(
 def one_of_each_set(docs: DataFrame, n: int = 5) -> DataFrame:
     """``docs`` with one row, of the least digest, of those with equal sets of runs of ``n`` words;
     texts without words are told apart by their bytes."""
-    at, names = docs.columns.index("text"), docs.columns
 
     def run(batches):
         for b in batches:
-            of = [_signature(s) if len(s) else (None, None) for s in shingle_sets(b.column(at).to_pylist(), n)]
-            more = [pa.array([x[k] for x in of], pa.int64()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*b.columns, *more], names=[*b.schema.names, "_s1", "_s2"])
-
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    signed = docs.mapInArrow(run, f"{kept}, _s1 bigint, _s2 bigint")
-    wordless = F.when(F.col("_s1").isNull(), F.xxhash64("text"))
-    least = F.min(F.struct(F.xxhash64(*names).alias("h"), F.struct(*names).alias("row")))["row"]
-    return signed.groupBy("_s1", "_s2", wordless.alias("_t")).agg(least.alias("row")).select("row.*")
+            of = [_signature(s) if len(s) else (None, None) for s in shingle_sets(b.column(1).to_pylist(), n)]
+            marks = [pa.array([x[k] for x in of], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*b.columns, *marks], names=["row", "text", "s1", "s2"])
+
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    signed = rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField("s1", T.LongType()), T.StructField("s2", T.LongType())]))
+    wordless = F.when(F.col("s1").isNull(), F.xxhash64("text"))
+    least = F.min(F.struct(F.xxhash64("row").alias("h"), "row"))["row"]
+    return signed.groupBy("s1", "s2", wordless.alias("t")).agg(least.alias("row")).select("row.*")

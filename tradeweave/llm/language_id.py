@@ -25,21 +25,22 @@ _BITS = 21
 
 @lru_cache(None)
 def _letters() -> np.ndarray:
-    """Whether each code point is a letter or a mark that combines with one."""
-    kinds = np.frompyfunc(lambda c: unicodedata.category(chr(c))[0] in "LM", 1, 1)
-    return kinds(np.arange(sys.maxunicode + 1)).astype(bool)
+    """For each code point 2 for a letter, 1 for a mark, which may combine with one, else 0."""
+    kinds = np.frompyfunc(lambda c: " ML".find(unicodedata.category(chr(c))[0]), 1, 1)
+    return np.maximum(0, kinds(np.arange(sys.maxunicode + 1)).astype(np.int8))
 
 
 def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """The codes of the n-grams of a text's words and their counts.
 
     Words are runs of letters in lower case with a space on either side; an n-gram lies in one word
-    with its spaces. A text without letters has none.
+    with its spaces. Marks belong to words, but a text without letters has none.
     """
     c = np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), dtype="<u4").astype(np.int64)
-    ok = _letters()[c] if len(c) else np.zeros(0, dtype=bool)
-    if not ok.any():
+    kind = _letters()[c] if len(c) else np.zeros(0, dtype=np.int8)
+    if not (kind == 2).any():
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    ok = kind > 0
     c = np.where(ok, c, 32)
     c = np.concatenate([[32], c[ok | np.append(False, ok[:-1])], [32]])
     word = c != 32
@@ -161,7 +162,8 @@ def identify(docs: DataFrame, top: int = 300) -> DataFrame:
     Profiles come from the text and non-null lang of all documents that aren't held out. A null
     text or one without letters is ``und`` with score 0, and so is every text if no profile could
     be learned. Equal distances go to the first language by name. A null doc_id isn't held out.
-    Rows that repeat are judged each; an empty table gives no rows; other columns are ignored.
+    Texts of any length count as a whole. Rows that repeat are judged each; an empty table gives no
+    rows; other columns are ignored.
     """
     profiles = train_profiles(docs.filter(~held_out("doc_id")), top)
     rows = docs.select("doc_id", held_out("doc_id").alias("held_out"), "text")

@@ -123,7 +123,8 @@ def classify(
     classifier's probability. score is the posterior probability of good quality; kept is score >=
     ``threshold``. A null text counts as empty, a null site or section as ''. A document with several
     labels counts by their mean; labels that are null or of no document are ignored. Without labels
-    of both kinds, evidence is 0 and the prior rate 0.5. An empty table gives no rows.
+    of both kinds, evidence is 0 and the prior rate 0.5. Texts of any length count as a whole. Rows
+    that repeat are judged each; an empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
     truth = labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("label_id")).agg(
@@ -132,7 +133,7 @@ def classify(
     n_labels = truth.count()
     share = min(1.0, max_labels / max(1, n_labels))
     drawn = truth.filter(F.pmod(F.xxhash64("label_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).limit(max_labels)
-    train = described(docs.join(drawn, F.col("doc_id") == F.col("label_id")).select("y", "text"), ["y"])
+    train = described(docs.select("doc_id", "text").join(drawn, F.col("doc_id") == F.col("label_id")).select("y", "text"), ["y"])
     rows = train.collect()  # at most max_labels rows of a dozen numbers
     y = np.array([float(r.y >= 0.5) for r in rows])
     w = fit(np.array([r.x for r in rows]), y)

@@ -16,10 +16,10 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, shared_path
+from .common import batch, saved, shared_path
 
 END = "\r\n\r\n"
 _DATE = "2024-01-01T00:00:00Z"
@@ -75,11 +75,14 @@ def _one_line(value: str) -> str:
 
 
 def records(
-    page_id, url, html: str, refers_to, digest: str, token: str, chunk: int, segment: int
+    page_id, url, html: str, refers_to, digest: str, chunk: int, segment: int
 ) -> Iterator[str]:
-    """The records of one page: a revisit, or a response and its continuations."""
+    """The records of one page: a revisit, or a response and its continuations.
+
+    Ids are made of page_id and digest, so a revisit names the id of the response that it refers to.
+    """
     fields = {
-        "WARC-Record-ID": f"<urn:page:{page_id}:{token}>",
+        "WARC-Record-ID": f"<urn:page:{page_id}:{digest}>",
         "WARC-Date": _DATE,
         "WARC-Target-URI": _one_line(url) if url else f"urn:page:{page_id}",
         "WARC-Payload-Digest": "sha1:" + base64.b32encode(bytes.fromhex(digest)).decode(),
@@ -89,7 +92,7 @@ def records(
             "WARC-Type": "revisit",
             **fields,
             "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-            "WARC-Refers-To": f"<urn:page:{refers_to}>",
+            "WARC-Refers-To": f"<urn:page:{refers_to}:{digest}>",
             "Content-Type": "application/http;msgtype=response",
             "Content-Length": len(_HTTP),
         }
@@ -99,7 +102,7 @@ def records(
     pieces = list(cut_points(block, segment))
     for k, (a, b) in enumerate(pieces, 1):
         last = len(pieces) > 1 and k == len(pieces)
-        own = fields if k == 1 else {**fields, "WARC-Record-ID": f"<urn:page:{page_id}:{token}:{k}>"}
+        own = fields if k == 1 else {**fields, "WARC-Record-ID": f"<urn:page:{page_id}:{digest}:{k}>"}
         yield header(
             {
                 "WARC-Type": "response" if k == 1 else "continuation",
@@ -139,7 +142,7 @@ def write_archives(
     revisit = F.col("keep").isNotNull() & F.col("page_id").isNotNull() & (F.col("keep") != F.col("page_id"))
     rows = with_originals(pages, min_bytes).select(
         "page_id", "url", F.when(revisit, F.lit(None)).otherwise(F.col("html")).alias("html"),
-        F.when(revisit, F.col("keep")).alias("keep"), "digest", F.uuid().alias("token"),
+        F.when(revisit, F.col("keep")).alias("keep"), "digest",
     )
 
     def run(batches):
@@ -148,7 +151,7 @@ def write_archives(
             for r in zip(*(c.to_pylist() for c in b.columns)):
                 yield batch({"value": list(records(*r, chunk, segment))}, schema)
 
-    text = rows.select("page_id", "url", "html", "keep", "digest", "token").mapInArrow(run, "value string")
+    text = rows.mapInArrow(run, "value string")
     text.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
 
 
@@ -202,11 +205,12 @@ def reassembled(found: DataFrame) -> DataFrame:
     """Whole records: (id, kind, digest, refers, block, complete).
 
     Segments meet by the id of their origin, in order of their number; a record is complete if
-    none is missing and their lengths sum up to the total that the last one gives.
+    none is missing and their lengths sum up to the total that the last one gives. Records of one id
+    are equal (rows that repeat); there are as many whole ones as of each segment.
     """
     whole = found.filter("number = 0").select("id", "kind", "digest", "refers", "block", F.lit(True).alias("complete"))
-    parts = F.array_sort(F.collect_list(F.struct("number", "total", "block", "kind", "digest")))
-    joined = found.filter("number > 0").groupBy(F.coalesce("origin", "id").alias("id")).agg(parts.alias("p"))
+    parts = F.array_sort(F.collect_set(F.struct("number", "total", "block", "kind", "digest")))
+    joined = found.filter("number > 0").groupBy(F.coalesce("origin", "id").alias("id")).agg(parts.alias("p"), F.count("*").alias("n"))
     size = F.aggregate("p", F.lit(0).cast("long"), lambda n, x: n + F.octet_length(x["block"]))
     numbers = F.transform("p", lambda x: x["number"])
     complete = (numbers == F.sequence(F.lit(1).cast("long"), F.size("p").cast("long"))) & (
@@ -215,8 +219,8 @@ def reassembled(found: DataFrame) -> DataFrame:
     block = F.unhex(F.array_join(F.transform("p", lambda x: F.hex(x["block"])), ""))
     return whole.unionByName(
         joined.select(
-            "id", F.col("p")[0]["kind"].alias("kind"), F.col("p")[0]["digest"].alias("digest"),
-            F.lit(None).cast("string").alias("refers"), block.alias("block"), complete.alias("complete"),
+            "id", F.explode(F.array_repeat(block, F.ceil(F.col("n") / F.size("p")).cast("int"))).alias("block"), F.col("p")[0]["kind"].alias("kind"), F.col("p")[0]["digest"].alias("digest"),
+            F.lit(None).cast("string").alias("refers"), complete.alias("complete"),
         )
     )
 
@@ -252,31 +256,37 @@ def archive_round_trip(pages: DataFrame, min_bytes: int = 1000, path: str | None
     at least ``min_bytes`` bytes that of the largest page_id is the response, the others revisit it
     and get length and digest from the record that they refer to. A null html is an empty payload;
     a null url becomes a urn; a page with a null page_id is always a response. Rows that repeat the
-    page_id of the response are responses too. An empty table gives no rows; other columns are
-    ignored.
+    page_id of the response are responses too. Payloads of any length count as a whole. An empty table
+    gives no rows; other columns are ignored.
     """
     spark = pages.sparkSession
     path = path or shared_path(spark, "warc")
     write_archives(pages, path, min_bytes, **options)
     found = payloads(reassembled(read_records(spark, path)))
-    rows = found.select("page", "kind", "digest", "refers", "valid", F.octet_length("payload").alias("n"))
-    targets = (
-        rows.filter("kind = 'response'").groupBy(F.col("page").alias("refers"))
-        .agg(F.max(F.struct("n", "digest", "valid")).alias("target"))
+    rows = saved(found.select("page", "kind", "digest", "refers", "valid", F.octet_length("payload").alias("n")), "records")
+    revisits, responses = (rows.filter(F.col("kind") == k) for k in ("revisit", "response"))
+    asked = saved(revisits.groupBy("refers").agg(F.count("*").alias("asked")), "asked")
+    targets = responses.drop("refers").withColumnRenamed("page", "of").join(asked, F.col("of") == F.col("refers")).groupBy("of", "asked")
+    targets = targets.agg(F.max(F.struct("n", "digest", "valid")).alias("target"))
+    # A response with more than a thousandth of all revisits is hot; there are fewer than a thousand.
+    limit = (asked.agg(F.sum("asked")).first()[0] or 0) / 1000
+    hot = targets.filter(F.col("asked") > limit).select("of", F.col("target").alias("hot"))
+    rest = targets.filter(F.col("asked") <= limit).select(F.col("of").alias("rest_of"), F.col("target").alias("rest"))
+    revisits = revisits.join(F.broadcast(hot), F.col("refers") == F.col("of"), "left")
+    at = F.when(F.col("hot").isNull(), F.col("refers")).otherwise(F.concat(F.lit("-"), "page"))  # no page has that name
+    revisits = revisits.withColumn("at", at).join(rest, F.col("at") == F.col("rest_of"), "left").withColumn("target", F.coalesce("hot", "rest"))
+    revisits = revisits.select(
+        "page", "kind", "refers", F.col("target.n").alias("n"), F.col("target.digest").alias("digest"),
+        (F.coalesce(F.col("target.valid"), F.lit(False)) & F.coalesce(F.col("target.digest") == F.col("digest"), F.lit(False))).alias("valid"),
     )
+    joined = responses.select(revisits.columns).unionByName(revisits)
     kind = pages.schema["page_id"].dataType
     page = F.when(F.col("page") != "None", F.col("page"))
-    joined = rows.join(targets, "refers", "left")
-    revisit = F.col("kind") == "revisit"
-
-    def of(own: str) -> Column:
-        return F.when(revisit, F.col(f"target.{own}")).otherwise(F.col(own))
-
     return joined.select(
         page.cast(kind).alias("page_id"),
-        of("n").cast("long").alias("payload_bytes"),
-        of("digest").alias("payload_digest"),
+        F.col("n").cast("long").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
         F.col("kind").alias("record_type"),
         F.col("refers").cast(kind).alias("refers_to"),
-        (F.when(revisit, F.col("target.digest") == F.col("digest")).otherwise(F.lit(True)) & F.coalesce(of("valid"), F.lit(False))).alias("valid"),
+        "valid",
     )
