@@ -2,13 +2,12 @@
 
 A text is cut into few windows or word runs that can equal a dictionary entry; these join the
 dictionary on a derived key. What the dictionary's size allows, Spark broadcasts; beyond that
-the same plan shuffles both sides. Texts never ride along through the explosion: only the row's
-key does.
+the same plan shuffles both sides. Equal texts of many rows are matched once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,26 +24,36 @@ def max_words(dictionary: DataFrame, column: str) -> int:
     return int(n or 1)
 
 
+def by_text(df: DataFrame, key: str, text: Column, find: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``find``, a function of distinct texts (t) that gives rows with t, for each row: key and the
+    others. Texts of transactions repeat often, so each is matched once."""
+    rows = df.select(F.col(key), text.alias("t"))
+    return rows.join(find(rows.select("t").distinct()), "t").drop("t")
+
+
 def match_keywords(df: DataFrame, key: str, text: str, keywords: DataFrame, allowed: Column | None = None) -> DataFrame:
     """M1: (key, keyword, pos): the leftmost keyword that stands in the lower-cased text between
     characters that are no letters or digits; at one place the longest.
 
     Keywords begin with a letter or digit. Rows for which ``allowed`` doesn't hold and rows without
-    a hit are not in the result.
+    a hit are not in the result. Windows of words join the keywords on their first word.
     """
     rows = df.filter(allowed) if allowed is not None else df
     n = max_words(keywords, "keyword") + 1
-    words = F.regexp_extract_all(F.lower(X.text(text)), F.lit(_WORD), 1)
-    words = rows.select(F.col(key), words.alias("_w")).filter(F.size("_w") > 0)
-    windows = F.transform(F.sequence(F.lit(1), F.size("_w")), lambda i: F.array_join(F.slice("_w", i, n), ""))
-    windows = words.select(key, F.posexplode_outer(windows).alias("pos", "window"))
-    windows = windows.filter("window is not null").withColumn("prefix", F.substring("window", 1, 4))
-    short = keywords.select("keyword", F.substring("keyword", 1, 4).alias("prefix"))
-    hits = windows.join(short, "prefix").filter(F.col("window").startswith(F.col("keyword")))
-    after = F.expr("substring(window, length(keyword) + 1, 1)")
-    hits = hits.filter(~after.rlike(r"[\p{L}\p{N}]"))
-    best = hits.groupBy(key).agg(F.min(F.struct("pos", (-F.length("keyword")).alias("l"), "keyword")).alias("b"))
-    return best.select(key, F.col("b.keyword").alias("keyword"), F.col("b.pos").alias("pos"))
+    first = lambda c: F.regexp_extract(c, r"^[\p{L}\p{N}]+", 0)
+    short = keywords.select("keyword", first("keyword").alias("first"))
+
+    def find(texts):
+        words = texts.select("t", F.regexp_extract_all("t", F.lit(_WORD), 1).alias("w")).filter(F.size("w") > 0)
+        windows = F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.array_join(F.slice("w", i, n), ""))
+        windows = words.select("t", F.posexplode(windows).alias("pos", "window")).withColumn("first", first("window"))
+        hits = windows.join(short, "first").filter(F.col("window").startswith(F.col("keyword")))
+        after = F.expr("substring(window, length(keyword) + 1, 1)")
+        hits = hits.filter(~after.rlike(r"[\p{L}\p{N}]"))
+        best = hits.groupBy("t").agg(F.min(F.struct("pos", (-F.length("keyword")).alias("l"), "keyword")).alias("b"))
+        return best.select("t", "b.keyword", "b.pos")
+
+    return by_text(rows, key, F.lower(X.text(text)), find)
 
 
 def word_runs(df: DataFrame, key: str, words: Column, most: int) -> DataFrame:
@@ -64,9 +73,12 @@ def match_phrases(df: DataFrame, key: str, text: str, phrases: DataFrame, allowe
     """M2: (key, phrase): the longest phrase whose words stand in the text; of equals the first."""
     rows = df.filter(allowed) if allowed is not None else df
     most = int(phrases.agg(F.max("n_tokens")).first()[0] or 1)
-    hits = word_runs(rows, key, X.norm_phrase(text), most).join(phrases.select("phrase"), F.col("run") == F.col("phrase"))
-    best = hits.groupBy(key).agg(F.min(F.struct((-F.length("phrase")).alias("l"), "phrase"))["phrase"].alias("phrase"))
-    return best
+
+    def find(texts):
+        hits = word_runs(texts, "t", F.col("t"), most).join(phrases.select("phrase"), F.col("run") == F.col("phrase"))
+        return hits.groupBy("t").agg(F.min(F.struct((-F.length("phrase")).alias("l"), "phrase"))["phrase"].alias("phrase"))
+
+    return by_text(rows, key, X.norm_phrase(text), find)
 
 
 def code_segments(matched: DataFrame, code: str, segment: str = "segment") -> DataFrame:
@@ -108,13 +120,16 @@ def match_party(df: DataFrame, key: str, columns: Iterable[str], cores: DataFram
     """M5: (key, core, maker): the longest core whose words stand in the party columns; a row with
     an exclusion cue has none."""
     blob = X.norm_party(X.row_text(*columns))
-    rows = df.withColumn("_blob", blob).filter(~P.has_cue("_blob", exclude))
-    if allowed is not None:
-        rows = rows.filter(allowed)
+    rows = df.filter(allowed) if allowed is not None else df
     most = int(cores.agg(F.max("n_tokens")).first()[0] or 1)
-    hits = word_runs(rows, key, F.col("_blob"), most).join(cores.select("core", "canonical"), F.col("run") == F.col("core"))
-    best = hits.groupBy(key).agg(F.min(F.struct((-F.length("core")).alias("l"), "core", "canonical")).alias("b"))
-    return best.select(key, F.col("b.core").alias("core"), F.col("b.canonical").alias("maker"))
+
+    def find(texts):
+        texts = texts.filter(~P.has_cue("t", exclude))
+        hits = word_runs(texts, "t", F.col("t"), most).join(cores.select("core", "canonical"), F.col("run") == F.col("core"))
+        best = hits.groupBy("t").agg(F.min(F.struct((-F.length("core")).alias("l"), "core", "canonical")).alias("b"))
+        return best.select("t", "b.core", F.col("b.canonical").alias("maker"))
+
+    return by_text(rows, key, blob, find)
 
 
 def cascade(df: DataFrame, key: str, family, category, maker, staged=lambda d: d) -> DataFrame:
@@ -138,16 +153,39 @@ def derive_maker(df: DataFrame, key: str, columns: Iterable[str], cores: DataFra
 
 
 def phrase_hits(df: DataFrame, key: str, text: str, terms: DataFrame) -> DataFrame:
-    """M8: (key, hits): all terms (term) in the text, sorted: single words whole, others anywhere.
+    """M8: (key, hits): all terms (term) in the text, sorted: single words whole, others anywhere, also
+    where they begin or end within a word.
 
-    Terms of several words join on the text's runs of their first two words, which is exact for
-    terms that begin and end with whole words.
+    Terms of several words join the texts on up to three characters on either side of their first
+    space; what joins is checked.
     """
-    normal = X.norm_text(text)
     terms = terms.select(X.norm_text("term").alias("term")).filter("term <> ''").distinct()
-    most = int(terms.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 1)
-    hits = word_runs(df, key, normal, most).join(terms, F.col("run") == F.col("term"))
-    return hits.groupBy(key).agg(F.array_sort(F.collect_set("term")).alias("hits"))
+    single, several = (terms.filter(F.col("term").contains(" ") == x) for x in (False, True))
+    parts = F.split("term", " ", 3)
+    several = several.withColumns({"a": F.right(parts[0], F.lit(3)), "b": F.left(parts[1], F.lit(3))})
+    several = several.select("term", F.concat_ws(" ", "a", "b").alias("gap"), F.length("a").alias("a"), F.length("b").alias("b"))
+    sides = several.select("a", "b").distinct().collect()  # nine at most
+
+    def find(texts):
+        words = texts.select("t", F.explode(F.array_distinct(F.split("t", " "))).alias("term")).join(single, "term").select("t", "term")
+        if not sides:
+            return words.groupBy("t").agg(F.array_sort(F.collect_set("term")).alias("hits"))
+        gaps = F.flatten(F.array(*(F.regexp_extract_all("t", F.lit(f"(?=([^ ]{{{r.a}}} [^ ]{{{r.b}}}))"), 1) for r in sides)))
+        found = texts.select("t", F.explode(F.array_distinct(gaps)).alias("gap")).join(several.select("term", "gap"), "gap")
+        found = words.unionByName(found.filter(F.col("t").contains(F.col("term"))).select("t", "term"))
+        return found.groupBy("t").agg(F.array_sort(F.collect_set("term")).alias("hits"))
+
+    return by_text(df, key, X.norm_text(text), find)
+
+
+def _shortened(word: str, twice: Column) -> Column:
+    """The word without any one letter after its first, where ``twice`` holds without any two, and whole."""
+    def without(w):
+        return F.transform(F.sequence(F.lit(2), F.length(w)), lambda i: F.concat(F.left(w, i - 1), F.substr(w, i + 1)))
+
+    once = without(F.col(word))
+    two = F.when(twice, F.flatten(F.transform(once, without)))
+    return F.array_distinct(F.concat(F.array(F.col(word)), once, F.coalesce(two, F.expr("cast(array() as array<string>)"))))
 
 
 def fuzzy_match(
@@ -157,7 +195,8 @@ def fuzzy_match(
 
     Tokens of 6 to 18 letters that are rare enough, not a name and not blacklisted; a name of under
     ten letters may differ by one edit, a longer one by two, with the same first letter. Distinct
-    tokens join the names on first letter and a near length; each row then looks its tokens up.
+    tokens join the names on what is left of either after up to that many deletions, which two words
+    within that many edits share; each row then looks its tokens up.
     """
     words = F.array_distinct(F.regexp_extract_all(X.norm_text(text), F.lit("([a-z]{6,18})"), 1))
     words = F.filter(words, lambda w: (F.length(w) >= 6) & (F.length(w) <= 18))
@@ -169,8 +208,9 @@ def fuzzy_match(
     names = names.select("name", F.length("name").alias("len")).distinct()
     seen = seen.join(names.select(F.col("name").alias("token")), "token", "left_anti")
     most = F.when(F.length("name") < 10, 1).otherwise(2)
-    near = names.select("name", F.substring("name", 1, 1).alias("first"), F.explode(F.sequence(F.col("len") - most, F.col("len") + most)).alias("n"))
-    found = seen.select("token", F.substring("token", 1, 1).alias("first"), F.length("token").alias("n")).join(near, ["first", "n"])
+    near = names.select("name", most.alias("most")).select("name", F.explode(_shortened("name", F.col("most") > 1)).alias("left"))
+    pairs_of = seen.select("token", F.explode(_shortened("token", F.length("token") >= 8)).alias("left"))
+    found = pairs_of.join(near, "left").select("token", "name").distinct().filter(F.left("token", F.lit(1)) == F.left("name", F.lit(1)))
     found = found.withColumn("distance", F.levenshtein("token", "name", 2)).filter((F.col("distance") >= 1) & (F.col("distance") <= most))
     best = found.groupBy("token").agg(F.min(F.struct("distance", "name")).alias("b"))
     hits = pairs.join(best, "token").groupBy(key).agg(F.min(F.struct("b.distance", "b.name", "token")).alias("h"))

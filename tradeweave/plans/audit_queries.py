@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tradeweave.functions import predicates as P
 from tradeweave.functions import text as X
-from tradeweave.operators import aggregate, audit, evaluate, evidence, gate, governance, lexicon, retrieval, review, validate
+from tradeweave.operators import aggregate, audit, evaluate, evidence, gate, governance, lexicon, match, retrieval, review, validate
 from tradeweave.sources import fixtures as fx
 from tradeweave.sources import tables
 
@@ -571,23 +571,49 @@ def t2_set_scores(spark, sf_dir):
     return _pairs(spark, sf_dir).select("doc_id", "object_id", F.round(retrieval.set_cosine(a, b), 6).alias("cosine"), F.round(retrieval.jaccard(a, b), 6).alias("jaccard"))
 
 
-def _scored(spark, sf_dir, k: int = 3):
+_FLAGS = {"evidence": r"\b(ether|rein|chen|entre|amente)", "generic": r"\b(the|und|les|que)\b", "excluded": r"(keit|cion|tion)\b"}
+
+
+def _flagged(spark, sf_dir):
+    """Documents as rows to be matched: normalised text, and flags by cues as stand-ins of a domain's."""
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", X.norm_text("text").alias("text"))
+    return docs.select("doc_id", "text", *(F.coalesce(F.col("text").rlike(p), F.lit(False)).alias(c) for c, p in _FLAGS.items()))
+
+
+def _typed_objects(spark, sf_dir):
+    """Benchmark items as objects of four kinds whose labels are words of their texts."""
+    objects = _objects(spark, sf_dir)
+    words, kind = F.split("retrieval_text", " "), F.col("object_id").cast("long") % 5
+    some = lambda a, n: F.array_join(F.slice(words, a, n), " ")
+    return objects.select(
+        "object_id", F.when(kind != 4, F.col("target_id")).alias("target_id"), "retrieval_text", some(1, 1).alias("maker"), some(2, 2).alias("family"), some(4, 3).alias("alias"),
+        F.when(kind == 0, "hard_exclusion_term").when(kind == 1, "reviewed_mapping_example").when(kind == 4, "product_family_alias").otherwise("canonical_tuple").alias("object_type"),
+    )
+
+
+def _scored(spark, sf_dir, variant: str = "D", k: int = 3):
     """The scored candidates of each document: max(20 k, 60) of either pool by shared tokens."""
-    docs, objects = fx.table(spark, sf_dir, "documents"), _objects(spark, sf_dir)
-    short = [retrieval.shortlist(docs, "doc_id", "text", objects.filter(pool), max(20 * k, 60)) for pool in ("object_type = 'target'", "object_type = 'exclusion'")]
-    pairs = short[0].unionByName(short[1]).join(docs.select("doc_id", "text"), "doc_id").join(objects, "object_id")
-    return retrieval.score_candidates(pairs, "text")
+    rows, objects = _flagged(spark, sf_dir), _typed_objects(spark, sf_dir)
+    against = F.col("object_type").isin(*retrieval.AGAINST)
+    short = [retrieval.shortlist(rows, "doc_id", "text", objects.filter(pool), max(20 * k, 60)) for pool in (~against, against)]
+    pairs = short[0].unionByName(short[1]).join(rows, "doc_id").join(objects, "object_id")
+    return retrieval.score_candidates(pairs, variant)
+
+
+def _decided(spark, sf_dir, variant: str = "D"):
+    top = retrieval.top_k(_scored(spark, sf_dir, variant), "doc_id", 3)
+    return retrieval.decide(_flagged(spark, sf_dir), top, "doc_id", variant)
 
 
 @query()
 def t3_phrase_score(spark, sf_dir):
     parts = fx.table(spark, sf_dir, "part")
-    return parts.select("p_partkey", F.round(retrieval.phrase_score(X.norm_text(F.concat_ws(" ", "p_name", "p_type")), X.norm_text("p_brand")), 6).alias("score"))
+    return parts.select("p_partkey", F.round(retrieval.phrase_score(X.norm_text(F.concat_ws(" ", "p_name", "p_type")), F.array("p_brand", "p_type")), 6).alias("score"))
 
 
 @query()
 def t4_score_candidates(spark, sf_dir):
-    return _scored(spark, sf_dir).select("doc_id", "object_id", "score", "methods")
+    return _scored(spark, sf_dir).select("doc_id", "object_id", *retrieval.WEIGHTS, "score", "methods")
 
 
 @query()
@@ -597,13 +623,28 @@ def t5_top_k(spark, sf_dir):
 
 @query()
 def t6_decide(spark, sf_dir):
-    return retrieval.decide(retrieval.top_k(_scored(spark, sf_dir), "doc_id", 3), "doc_id")
+    return _decided(spark, sf_dir)
+
+
+def _truth(spark, sf_dir):
+    """(doc_id, target_id): documents with the first eight words of an item."""
+    runs = match.word_runs(fx.table(spark, sf_dir, "documents"), "doc_id", X.norm_text("text"), 8)
+    first = _objects(spark, sf_dir).select("target_id", F.array_join(F.slice(F.split("retrieval_text", " "), 1, 8), " ").alias("run"))
+    return runs.join(first, "run").select("doc_id", "target_id").distinct()
 
 
 @query()
 def t7_variant_metrics(spark, sf_dir):
-    out = retrieval.decide(retrieval.top_k(_scored(spark, sf_dir), "doc_id", 3), "doc_id").withColumn("variant", F.lit("lexical"))
-    return retrieval.variant_metrics(out, "variant", F.col("positive") >= 0.75)
+    out = _decided(spark, sf_dir, "B").withColumn("variant", F.lit("B")).unionByName(_decided(spark, sf_dir).withColumn("variant", F.lit("D")))
+    truth = _truth(spark, sf_dir).withColumn("is_right", F.lit(True))
+    out = out.join(truth, ["doc_id", "target_id"], "left")
+    return retrieval.variant_metrics(out, "variant", F.coalesce("is_right", F.lit(False)))
+
+
+@query()
+def t7_candidate_recall(spark, sf_dir):
+    top = retrieval.top_k(_scored(spark, sf_dir), "doc_id", 10)
+    return retrieval.candidate_recall(top, _truth(spark, sf_dir), "doc_id")
 
 
 @query(sql(f"""SELECT split_part(description, ' ', 1) AS term, count(*) AS n_rows, {_VAL}, array_to_string(list_sort(list_distinct(list(country))), ',') AS countries, array_to_string(list_sort(list_distinct(list(hs4))), ',') AS reasons FROM ship GROUP BY 1""", "ship"))
