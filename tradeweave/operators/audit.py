@@ -1,8 +1,14 @@
-"""The audit mart: row facts, stage paths, cubes, samples and reconciliation."""
+"""The audit mart: row facts, stage paths, cubes, samples and reconciliation.
+
+What an audit looks at is declared, not coded: a list of rules, in order of precedence, and a list of
+stages, in the order in which rows pass them. ``mapping_rules`` and ``mapping_stages`` are those of
+mapped rows; an audit of other rows gives its own. A registry (U15) adds labels to stage names.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,93 +16,138 @@ from pyspark.sql.window import Window
 
 from tradeweave.functions import text as X
 
-#: The stages in order.
-STAGES = (
-    "S00_EXTRACTION", "S01_ELIGIBILITY", "S03_FAMILY_MATCH", "S04_CATEGORY_FALLBACK", "S05_MANUFACTURER_FALLBACK", "S06_STANDARDIZATION",
-    "S07_REFERENCE_VALIDATION", "S08_SCOPE", "S09_GENERIC_ANOMALY", "S11_PRIOR", "S12_GUARDS", "S13_TERMINAL_ROUTING",
-)
+TIERS = ("Trusted", "Review", "Excluded")
+#: What counts as a valid reference in lower case, and other names of the tiers.
+VALID = ("valid", "y", "yes", "true", "1", "reference-valid")
+TIER_NAMES = {"Trusted_Dashboard": "Trusted", "Review_Queue": "Review", "Excluded_Unmapped": "Excluded"}
+#: Tiers of matches that are kept for review though they don't name a product by themselves.
+NON_STANDARD = {"manufacturer": "maker", "hs_prior": "prior"}
+#: The stage at which every row ends.
+LAST = "routing"
+
+
+@dataclass(frozen=True)
+class Rule:
+    """A rule that speaks against a row: where it belongs, whom it hits, by what. One with a reason can be
+    a row's primary reason; one that doesn't count as a hit can only be that."""
+
+    name: str
+    stage: str
+    hits: Column
+    evidence: Column
+    reason: Column | None = None
+    counts: bool = True
+
+
+@dataclass(frozen=True)
+class Stage:
+    """A stage: whom it concerns (null: all), what becomes of them there, and why."""
+
+    name: str
+    concerns: Column | None
+    outcome: Column
+    reason: Column
+
+
+def _flag(df: DataFrame, name: str) -> Column:
+    """A flag that a table may lack."""
+    return F.coalesce(F.col(name).cast("boolean"), F.lit(False)) if name in df.columns else F.lit(False)
 
 
 def terminal_tier(explicit: Column, include: Column, status: Column) -> Column:
     """The explicit tier, else by the include flag, else by the status."""
-    named = {"Trusted_Dashboard": "Trusted", "Review_Queue": "Review", "Excluded_Unmapped": "Excluded"}
-    out = F.when(explicit.isin("Trusted", "Review", "Excluded"), explicit)
-    for k, v in named.items():
+    out = F.when(explicit.isin(*TIERS), explicit)
+    for k, v in TIER_NAMES.items():
         out = out.when(explicit == k, v)
     return out.when(F.upper(include) == "Y", "Trusted").when(F.lower(status).rlike("^(review|audit)"), "Review").otherwise("Excluded")
 
 
-def primary_reason(tier: Column) -> Column:
-    """(reason, stage) by precedence: trusted, negative group, scope flag, generic risk, status."""
-    status = X.text("qa_status")
-
+def mapping_rules(df: DataFrame, guard_words: Sequence[str] = ()) -> list[Rule]:
+    """The rules for mapped rows in order of precedence: guard conflict (a flag, or a word of the
+    status), invalid reference, scope, negative group, generic token, unsupported extended code, and
+    last, never a primary reason, tiers that aren't standard."""
+    status, reference = F.lower(X.text("qa_status")), F.lower(X.text("ref_valid"))
+    guard = _flag(df, "guard_risk")
+    for w in guard_words:
+        guard = guard | status.contains(w)
+    one, negative, scope = F.lit("1"), F.col("negative_group"), F.col("scope_flag")
+    rules = [
+        Rule("guard_conflict", "guards", guard, one, F.lit("guard_conflict")),
+        Rule("reference_invalid", "reference", (reference != "") & ~reference.isin(*VALID), reference, F.lit("reference_invalid"), counts=False),
+        Rule("scope_flag", "scope", scope != "", scope, F.lit("scope_exclusion")),
+        Rule("negative_conflict", "category", negative != "", negative, F.concat(F.lit("negative:"), negative)),
+        Rule("generic_token", "generic", F.col("generic_risk"), one, F.lit("generic_token")),
+        Rule("extended_unsupported", "extended", _flag(df, "extended_risk"), one, F.lit("extended_unsupported")),
+    ]
+    return rules + [Rule("nonstandard_tier", s, F.col("match_tier") == t, F.col("match_tier")) for t, s in NON_STANDARD.items()]
+
+
+def primary_reason(tier: Column, rules: Sequence[Rule]) -> Column:
+    """(reason, stage) of the first rule that hits; else the status, else by tier. A trusted row is
+    accepted."""
     def pair(reason, stage):
-        reason = reason if isinstance(reason, Column) else F.lit(reason)
-        return F.struct(reason.alias("reason"), F.lit(stage).alias("stage"))
-
-    return (
-        F.when(tier == "Trusted", pair("accepted", "S13_TERMINAL_ROUTING"))
-        .when(F.col("negative_group") != "", pair(F.concat(F.lit("negative:"), F.col("negative_group")), "S04_CATEGORY_FALLBACK"))
-        .when(F.col("scope_flag") != "", pair(F.concat(F.lit("scope:"), F.col("scope_flag")), "S08_SCOPE"))
-        .when(F.col("generic_risk"), pair("generic_token", "S09_GENERIC_ANOMALY"))
-        .when(status != "", pair(status, "S13_TERMINAL_ROUTING"))
-        .otherwise(pair(F.when(tier == "Review", "review_required").otherwise("no_accepted_candidate"), "S13_TERMINAL_ROUTING"))
-    )
-
+        return F.struct((reason if isinstance(reason, Column) else F.lit(reason)).alias("reason"), F.lit(stage).alias("stage"))
 
-def stage_path(tier: Column, reason: Column) -> Column:
-    """The ordered stages that apply to a row: (stage_id, outcome, reason, continues)."""
-    t = F.col("match_tier")
-
-    def stage(k, outcome, why, goes_on=True, when=None):
-        outcome = outcome if isinstance(outcome, Column) else F.lit(outcome)
-        why = why if isinstance(why, Column) else F.lit(why)
-        s = F.struct(F.lit(STAGES[k]).alias("stage_id"), outcome.alias("outcome"), why.alias("reason"), F.lit(goes_on).alias("continues"))
-        return s if when is None else F.when(when, s)
-
-    negative, ok = F.col("negative_group") != "", F.col("ref_valid") == "Y"
-    path = F.array(
-        stage(0, "Passed", "loaded"),
-        stage(1, "Passed", "eligible"),
-        stage(2, "Passed", "family_match", when=t == "family"),
-        stage(3, F.when(negative, "Suppressed").otherwise("Passed"), F.when(negative, F.concat(F.lit("negative:"), F.col("negative_group"))).otherwise("category_match"), when=(t == "category") | negative),
-        stage(4, F.when(tier == "Trusted", "Passed").otherwise("Review"), "manufacturer_fallback", when=t == "manufacturer"),
-        stage(5, "Passed", "standardized", when=t != ""),
-        stage(6, F.when(ok, "Passed").otherwise("Review"), F.when(ok, "reference_valid").otherwise("reference_invalid"), when=t != ""),
-        stage(7, "Suppressed", "scope_exclusion", when=F.col("scope_flag") != ""),
-        stage(8, "Review", "generic_token", when=F.col("generic_risk")),
-        stage(9, F.when(tier == "Trusted", "Recovered").otherwise("Review"), "prior_recovery", when=t == "hs_prior"),
-        stage(10, F.when(tier == "Trusted", "Passed").when(tier == "Review", "Review").otherwise("Suppressed"), reason),
-        stage(11, tier, reason, goes_on=False),
-    )
-    return F.filter(path, lambda s: s.isNotNull())
-
-
-def row_facts(df: DataFrame, key: str) -> DataFrame:
-    """One fact per row: tier, reason, path, numbers with status, and the source text's hash."""
-    df = df.withColumn("tier", terminal_tier(F.lit(""), F.col("include"), F.col("qa_status"))).withColumn("why", primary_reason(F.col("tier")))
+    status = X.text("qa_status")
+    default = F.when(status != "", status).when(tier == "Review", "review_required").otherwise("no_accepted_candidate")
+    first = [F.when(r.hits, pair(r.reason, r.stage)) for r in rules if r.reason is not None]
+    return F.when(tier == "Trusted", pair("accepted", LAST)).otherwise(F.coalesce(*first, pair(default, LAST)))
+
+
+def mapping_stages(df: DataFrame, tier: Column, reason: Column) -> list[Stage]:
+    """The stages of mapped rows. Where a table has the flags cue_suppressed and signal, rows with a
+    suppressing cue pass through a stage of their own, from which a signal recovers them."""
+    t, negative, extended = F.col("match_tier"), F.col("negative_group") != "", _flag(df, "extended_risk")
+    signal, valid, trusted = _flag(df, "signal"), F.lower(X.text("ref_valid")).isin(*VALID), tier == "Trusted"
+    scope = F.col("match_scope") == "extended" if "match_scope" in df.columns else F.lit(False)
+    passed, review = F.lit("Passed"), F.lit("Review")
+    either = lambda c, a, b: F.when(c, a).otherwise(b)
+    return [
+        Stage("load", None, passed, F.lit("loaded")),
+        Stage("eligibility", None, passed, F.lit("eligible")),
+        Stage("cues", _flag(df, "cue_suppressed"), either(signal, "Recovered", "Suppressed"), either(signal, "cue_with_signal", "cue_only")),
+        Stage("family", t == "family", passed, F.lit("family_match")),
+        Stage("category", (t == "category") | negative, either(negative, "Suppressed", "Passed"), either(negative, F.concat(F.lit("negative:"), F.col("negative_group")), "category_match")),
+        Stage("maker", t == "manufacturer", either(trusted, "Passed", "Review"), F.lit("manufacturer_fallback")),
+        Stage("labels", t != "", passed, F.lit("standardized")),
+        Stage("reference", t != "", either(valid, "Passed", "Review"), either(valid, "reference_valid", "reference_invalid")),
+        Stage("scope", F.col("scope_flag") != "", F.lit("Suppressed"), F.lit("scope_exclusion")),
+        Stage("generic", F.col("generic_risk"), review, F.lit("generic_token")),
+        Stage("extended", scope | extended, either(extended, "Suppressed", "Passed"), either(extended, "extended_unsupported", "extended_supported")),
+        Stage("prior", t == "hs_prior", either(trusted, "Recovered", "Review"), F.lit("prior_recovery")),
+        Stage("guards", None, F.when(trusted, "Passed").when(tier == "Review", "Review").otherwise("Suppressed"), reason),
+        Stage(LAST, None, tier, reason),
+    ]
+
+
+def stage_path(stages: Sequence[Stage]) -> Column:
+    """The stages that concern a row, in order: (stage_id, outcome, reason, continues)."""
+    def step(s):
+        one = F.struct(F.lit(s.name).alias("stage_id"), s.outcome.alias("outcome"), s.reason.alias("reason"), F.lit(s is not stages[-1]).alias("continues"))
+        return one if s.concerns is None else F.when(s.concerns, one)
+
+    return F.filter(F.array(*map(step, stages)), lambda x: x.isNotNull())
+
+
+def row_facts(df: DataFrame, key: str, guard_words: Sequence[str] = ()) -> DataFrame:
+    """One fact per row: tier, reason, path, rule hits, numbers with status, the source text's hash."""
+    rules = mapping_rules(df, guard_words)
+    df = df.withColumn("tier", terminal_tier(F.lit(""), F.col("include"), F.col("qa_status"))).withColumn("why", primary_reason(F.col("tier"), rules))
+    hits = [F.when(r.hits, F.struct(F.lit(r.stage).alias("stage_id"), F.lit(r.name).alias("rule_id"), r.evidence.alias("evidence"))) for r in rules if r.counts]
     v, q = X.number_status("value"), X.number_status("quantity")
     return df.select(
         F.col(key).alias("row_id"), F.col("country").alias("output_id"), "maker", "family", "product", "match_tier", "tier",
         F.col("why.reason").alias("primary_reason"), F.col("why.stage").alias("removal_stage"),
         v["value"].cast("decimal(18,2)").alias("value"), v["status"].alias("value_status"), q["value"].cast("decimal(18,2)").alias("volume"), q["status"].alias("volume_status"),
-        X.source_hash(X.row_text("description", "importer", "exporter")).alias("source_hash"), stage_path(F.col("tier"), F.col("why.reason")).alias("path"),
+        X.source_hash(X.row_text("description", "importer", "exporter")).alias("source_hash"),
+        stage_path(mapping_stages(df, F.col("tier"), F.col("why.reason"))).alias("path"), F.filter(F.array(*hits), lambda h: h.isNotNull()).alias("hits"),
         "negative_group", "scope_flag", "generic_risk",
     )
 
 
 def rule_hits(facts: DataFrame) -> DataFrame:
     """U4: (row_id, stage_id, rule_id, evidence): one row for each rule that a fact hits."""
-    def hit(condition, stage, rule, evidence):
-        return F.when(condition, F.struct(F.lit(stage).alias("stage_id"), F.lit(rule).alias("rule_id"), evidence.alias("evidence")))
-
-    hits = F.array(
-        hit(F.col("negative_group") != "", "S04_CATEGORY_FALLBACK", "NEGATIVE_CONFLICT", F.col("negative_group")),
-        hit(F.col("scope_flag") != "", "S08_SCOPE", "SCOPE_FLAG", F.col("scope_flag")),
-        hit(F.col("generic_risk"), "S09_GENERIC_ANOMALY", "GENERIC_TOKEN_RISK", F.lit("1")),
-        hit(F.col("match_tier").isin("manufacturer", "hs_prior"), "S05_MANUFACTURER_FALLBACK", "NONSTANDARD_TIER", F.col("match_tier")),
-    )
-    return facts.select("row_id", F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("h")).select("row_id", "h.*")
+    return facts.select("row_id", F.explode("hits").alias("h")).select("row_id", "h.*")
 
 
 def risk_inventory(facts: DataFrame) -> DataFrame:
@@ -155,52 +206,88 @@ def removal_cube(facts: DataFrame) -> DataFrame:
     return cube(primary, "Primary").unionByName(cube(hits, "Secondary"))
 
 
-def review_sample(facts: DataFrame, targeted: int = 12, random: Mapping[str, int] | None = None) -> DataFrame:
+#: Multiplier, increment and mask of the sample's random order, and its sizes.
+_MULTIPLIER, _INCREMENT, _MASK = 1103515245, 12345, 2147483647
+TARGETED = 12
+RANDOM = {"Trusted": 5, "Review": 4, "Excluded": 4}
+
+
+def review_sample(facts: DataFrame, targeted: int = TARGETED, random: Mapping[str, int] | None = None) -> DataFrame:
     """(output_id, row_id, sample_type, stratum): per output the riskiest rows, then a
     pseudo-random choice of each tier without those.
 
-    Random order is that of a linear congruence over a 31-bit number from the row's hash.
+    Random order is that of a linear congruence over a 28-bit number from the row's hash.
     """
-    random = {"Trusted": 5, "Review": 4, "Excluded": 4} if random is None else random
-    non_standard = F.col("match_tier").isin("manufacturer", "hs_prior")
-    risky = F.col("generic_risk") | non_standard | (F.col("tier") != "Trusted")
-    stratum = F.when(F.col("generic_risk"), "Generic token").when(non_standard, "Non-standard tier").otherwise("High-value Review/Excluded")
-    order = [F.desc("generic_risk"), non_standard.desc(), F.desc_nulls_last("value"), F.asc("row_id")]
+    random = RANDOM if random is None else random
+    odd = F.col("match_tier").isin(*NON_STANDARD)
+    stratum = F.when(F.col("generic_risk"), "Generic token").when(odd, "Non-standard tier").otherwise("High-value Review/Excluded")
+    order = [F.desc("generic_risk"), odd.desc(), F.desc_nulls_last("value"), F.asc("row_id")]
     w = Window.partitionBy("output_id").orderBy(*order)
-    first = facts.filter(risky).withColumns({"n": F.row_number().over(w), "stratum": stratum}).filter(F.col("n") <= targeted)
+    first = facts.filter(_risky()).withColumns({"n": F.row_number().over(w), "stratum": stratum}).filter(F.col("n") <= targeted)
     first = first.select("output_id", "row_id", F.lit("Targeted risk").alias("sample_type"), "stratum")
     rest = facts.join(first.select("output_id", "row_id"), ["output_id", "row_id"], "left_anti")
     seed = F.conv(F.substring(F.md5("row_id"), 1, 7), 16, 10).cast("bigint")
-    lcg = (seed * 1103515245 + 12345).bitwiseAND(F.lit(2147483647))
-    n = F.row_number().over(Window.partitionBy("output_id", "tier").orderBy("lcg", "row_id"))
-    quota = F.lit(0)
-    for t, k in random.items():
-        quota = F.when(F.col("tier") == t, k).otherwise(quota)
-    second = rest.withColumn("lcg", lcg).withColumn("n", n).filter(F.col("n") <= quota)
+    place = (seed * _MULTIPLIER + _INCREMENT).bitwiseAND(F.lit(_MASK))
+    n = F.row_number().over(Window.partitionBy("output_id", "tier").orderBy("place", "row_id"))
+    quota = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in random.items() for x in kv]), F.col("tier")), F.lit(0))
+    second = rest.withColumn("place", place).withColumn("n", n).filter(F.col("n") <= quota)
     second = second.select("output_id", "row_id", F.lit("Deterministic random").alias("sample_type"), F.concat(F.lit("Random "), F.col("tier")).alias("stratum"))
     return first.unionByName(second)
 
 
-def reconciliation(facts: DataFrame, sample: DataFrame, funnel_rows: DataFrame, expected: DataFrame) -> DataFrame:
-    """(output_id, check_name, observed, expected, status): rows as expected, one terminal tier
-    each, the sample's size, and the funnel's total over all outputs."""
-    e = expected.select("output_id", F.col("n_rows").alias("want"))
-    rows = facts.groupBy("output_id").agg(F.count("*").alias("n"), F.count(F.when(F.col("tier").isin("Trusted", "Review", "Excluded"), 1)).alias("t"))
-    drawn = sample.groupBy("output_id").agg(F.count("*").alias("s"))
-    j = e.join(rows, "output_id", "left").join(drawn, "output_id", "left").fillna(0)
-    most = F.least(F.lit(25).cast("bigint"), F.col("want"))
-    checks = F.array(
-        *[F.struct(F.lit(n).alias("check_name"), a.alias("observed"), b.alias("expected")) for n, a, b in (
-            ("source rows", F.col("n"), F.col("want")), ("one terminal tier", F.col("t"), F.col("want")), ("sample size", F.least(F.col("s"), most), most))]
-    )
-    each = j.select("output_id", F.explode(checks).alias("c")).select("output_id", "c.*")
-    terminal = funnel_rows.filter("stage_id = 'S13_TERMINAL_ROUTING'")
-    total = terminal.agg(
-        F.lit("OVERALL").alias("output_id"), F.lit("outputs add up").alias("check_name"),
-        F.coalesce(F.sum(F.when(F.col("output_id") != "OVERALL", F.col("n_rows"))), F.lit(0)).alias("observed"),
-        F.coalesce(F.sum(F.when(F.col("output_id") == "OVERALL", F.col("n_rows"))), F.lit(0)).alias("expected"),
+def _risky() -> Column:
+    return F.col("generic_risk") | F.col("match_tier").isin(*NON_STANDARD) | (F.col("tier") != "Trusted")
+
+
+def reconciliation(
+    facts: DataFrame, sample: DataFrame, funnel_rows: DataFrame, risks: DataFrame, expected: DataFrame,
+    targeted: int = TARGETED, random: Mapping[str, int] | None = None, last: str = LAST,
+) -> DataFrame:
+    """(output_id, check_name, observed, expected, status).
+
+    For each output of ``expected`` (output_id, n_rows): its rows; rows with one terminal tier; the
+    sample's design (as many targeted and random rows as its sizes allow); value and volume at the last
+    stage against the facts; rows of non-standard tiers kept in the risk inventory. Over all: the last
+    stage's rows, value and volume against the sum of the outputs.
+    """
+    random = RANDOM if random is None else random
+    count = lambda c: F.count(F.when(c, 1)).cast("double")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("double")
+    picked = facts.join(sample.select("output_id", "row_id", "sample_type"), ["output_id", "row_id"], "left")
+    one = F.col("sample_type") == "Targeted risk"
+    odd = F.col("match_tier").isin(*NON_STANDARD) & (F.col("tier") != "Trusted")
+    kept = risks.filter("risk_type = 'nonstandard_tier'").select("row_id", F.lit(True).alias("kept"))
+    by = picked.join(kept, "row_id", "left").groupBy("output_id").agg(
+        F.count("*").cast("double").alias("rows"), count(F.col("tier").isin(*TIERS)).alias("tiers"), count(one).alias("targeted"), count(F.col("sample_type").isNotNull() & ~one).alias("random"),
+        count(_risky()).alias("risky"), total("value").alias("value"), total("volume").alias("volume"), count(odd).alias("odd"), count(F.col("kept").isNotNull()).alias("kept"),
+        *(count((F.col("tier") == t) & ~F.coalesce(one, F.lit(False))).alias(f"free_{t}") for t in random),
     )
-    return each.unionByName(total).withColumn("status", F.when(F.col("observed") == F.col("expected"), "PASS").otherwise("FAIL"))
+    ends = funnel_rows.filter(F.col("stage_id") == last)
+    per = ends.filter("output_id <> 'OVERALL'").groupBy("output_id").agg(total("value").alias("end_value"), total("volume").alias("end_volume"))
+    rows = expected.select("output_id", F.col("n_rows").cast("double").alias("want")).join(by, "output_id", "left").join(per, "output_id", "left").fillna(0.0)
+    design = sum((F.least(F.lit(float(n)), F.col(f"free_{t}")) for t, n in random.items()), F.lit(0.0))
+    checks = {
+        "source rows": ("rows", F.col("want")), "one terminal tier": ("tiers", F.col("want")), "targeted sample": ("targeted", F.least(F.lit(float(targeted)), F.col("risky"))),
+        "random sample": ("random", design), "value": ("end_value", F.col("value")), "volume": ("end_volume", F.col("volume")), "non-standard tiers kept": ("kept", F.col("odd")),
+    }
+    each = rows.select("output_id", F.explode(F.array(*(_check(n, F.col(a), b) for n, (a, b) in checks.items()))).alias("c")).select("output_id", "c.*")
+    overall = F.col("output_id") == "OVERALL"
+    sums = ends.agg(*(total(F.when(overall == side, F.col(c))).alias(f"{c}_{side}") for c in ("n_rows", "value", "volume") for side in (True, False)))
+    both = F.array(*(_check(f"outputs add up: {n}", F.col(f"{c}_False"), F.col(f"{c}_True")) for n, c in (("rows", "n_rows"), ("value", "value"), ("volume", "volume"))))
+    out = each.unionByName(sums.select(F.lit("OVERALL").alias("output_id"), F.explode(both).alias("c")).select("output_id", "c.*"))
+    return out.withColumn("status", F.when(F.abs(F.col("observed") - F.col("expected")) < 0.005, "PASS").otherwise("FAIL"))
+
+
+def _check(name: str, observed: Column, expected: Column) -> Column:
+    return F.struct(F.lit(name).alias("check_name"), observed.alias("observed"), expected.alias("expected"))
+
+
+def require_passed(checks: DataFrame) -> DataFrame:
+    """``checks``, if none failed; else an error that names the first twenty."""
+    failed = checks.filter("status = 'FAIL'").orderBy("output_id", "check_name").limit(20).collect()
+    if failed:
+        raise ValueError("failed: " + "; ".join(f"{r.output_id} {r.check_name}: {r.observed} for {r.expected}" for r in failed))
+    return checks
 
 
 def sample_view(sample: DataFrame, facts: DataFrame) -> DataFrame:

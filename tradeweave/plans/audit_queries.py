@@ -388,23 +388,40 @@ def c09_status_summary(spark, sf_dir):
 
 
 def facts(spark, sf_dir):
-    return stage(spark, sf_dir, "facts", lambda s, d: audit.row_facts(routed(s, d), "row_id"))
+    return stage(spark, sf_dir, "facts", lambda s, d: audit.row_facts(_with_flags(routed(s, d)), "row_id", ("precision",)))
+
+
+def _with_flags(rows):
+    """Routed rows with the flags that an audit heeds where a table has them."""
+    return rows.withColumns({
+        "extended_risk": (F.col("match_scope") == "extended") & (F.col("product_score") == 0),
+        "cue_suppressed": F.col("description").contains("plate"), "signal": F.col("product_score") > 0,
+    })
 
 
 _FACTS = {
-    "facts0": "SELECT *, CASE WHEN include = 'Y' THEN 'Trusted' WHEN qa_status LIKE 'Review%' OR qa_status LIKE 'Audit%' THEN 'Review' ELSE 'Excluded' END AS tier FROM routed",
-    "facts": """SELECT row_id, country AS output_id, maker, family, product, match_tier, tier, negative_group, scope_flag, generic_risk, value::DECIMAL(18,2) AS value, quantity::DECIMAL(18,2) AS volume, ref_valid, description, importer, exporter,
-      CASE WHEN tier = 'Trusted' THEN 'accepted' WHEN negative_group <> '' THEN 'negative:' || negative_group WHEN scope_flag <> '' THEN 'scope:' || scope_flag WHEN generic_risk THEN 'generic_token' ELSE qa_status END AS primary_reason,
-      CASE WHEN tier = 'Trusted' THEN 'S13_TERMINAL_ROUTING' WHEN negative_group <> '' THEN 'S04_CATEGORY_FALLBACK' WHEN scope_flag <> '' THEN 'S08_SCOPE' WHEN generic_risk THEN 'S09_GENERIC_ANOMALY' ELSE 'S13_TERMINAL_ROUTING' END AS removal_stage FROM facts0""",
+    "facts0": """SELECT *, CASE WHEN include = 'Y' THEN 'Trusted' WHEN qa_status LIKE 'Review%' OR qa_status LIKE 'Audit%' THEN 'Review' ELSE 'Excluded' END AS tier,
+      contains(lower(qa_status), 'precision') AS guard, match_scope = 'extended' AND product_score = 0 AS extended_risk, lower(coalesce(ref_valid, '')) AS rv FROM routed""",
+    "facts1": """SELECT *, CASE WHEN tier = 'Trusted' THEN ['accepted', 'routing'] WHEN guard THEN ['guard_conflict', 'guards'] WHEN rv <> '' AND rv NOT IN ('valid', 'y', 'yes', 'true', '1', 'reference-valid') THEN ['reference_invalid', 'reference']
+      WHEN scope_flag <> '' THEN ['scope_exclusion', 'scope'] WHEN negative_group <> '' THEN ['negative:' || negative_group, 'category'] WHEN generic_risk THEN ['generic_token', 'generic'] WHEN extended_risk THEN ['extended_unsupported', 'extended']
+      WHEN qa_status <> '' THEN [qa_status, 'routing'] WHEN tier = 'Review' THEN ['review_required', 'routing'] ELSE ['no_accepted_candidate', 'routing'] END AS why FROM facts0""",
+    "facts": """SELECT row_id, country AS output_id, maker, family, product, match_tier, match_scope, product_score, tier, negative_group, scope_flag, generic_risk, guard, extended_risk, value::DECIMAL(18,2) AS value, quantity::DECIMAL(18,2) AS volume,
+      rv = 'y' AS valid, description, importer, exporter, why[1] AS primary_reason, why[2] AS removal_stage FROM facts1""",
     "states": """SELECT * FROM (
-      SELECT row_id, 'S00_EXTRACTION' AS stage_id, 'Passed' AS outcome FROM facts UNION ALL SELECT row_id, 'S01_ELIGIBILITY', 'Passed' FROM facts UNION ALL SELECT row_id, 'S03_FAMILY_MATCH', 'Passed' FROM facts WHERE match_tier = 'family'
-      UNION ALL SELECT row_id, 'S04_CATEGORY_FALLBACK', CASE WHEN negative_group <> '' THEN 'Suppressed' ELSE 'Passed' END FROM facts WHERE match_tier = 'category' OR negative_group <> ''
-      UNION ALL SELECT row_id, 'S05_MANUFACTURER_FALLBACK', CASE WHEN tier = 'Trusted' THEN 'Passed' ELSE 'Review' END FROM facts WHERE match_tier = 'manufacturer'
-      UNION ALL SELECT row_id, 'S06_STANDARDIZATION', 'Passed' FROM facts WHERE match_tier <> '' UNION ALL SELECT row_id, 'S07_REFERENCE_VALIDATION', CASE WHEN ref_valid = 'Y' THEN 'Passed' ELSE 'Review' END FROM facts WHERE match_tier <> ''
-      UNION ALL SELECT row_id, 'S08_SCOPE', 'Suppressed' FROM facts WHERE scope_flag <> '' UNION ALL SELECT row_id, 'S09_GENERIC_ANOMALY', 'Review' FROM facts WHERE generic_risk
-      UNION ALL SELECT row_id, 'S12_GUARDS', CASE tier WHEN 'Trusted' THEN 'Passed' WHEN 'Review' THEN 'Review' ELSE 'Suppressed' END FROM facts UNION ALL SELECT row_id, 'S13_TERMINAL_ROUTING', tier FROM facts)""",
-    "hits_": """SELECT row_id, 'S04_CATEGORY_FALLBACK' AS stage_id, 'NEGATIVE_CONFLICT' AS rule_id, negative_group AS evidence FROM facts WHERE negative_group <> '' UNION ALL SELECT row_id, 'S08_SCOPE', 'SCOPE_FLAG', scope_flag FROM facts WHERE scope_flag <> ''
-      UNION ALL SELECT row_id, 'S09_GENERIC_ANOMALY', 'GENERIC_TOKEN_RISK', '1' FROM facts WHERE generic_risk UNION ALL SELECT row_id, 'S05_MANUFACTURER_FALLBACK', 'NONSTANDARD_TIER', match_tier FROM facts WHERE match_tier IN ('manufacturer', 'hs_prior')""",
+      SELECT row_id, 1 AS o, 'load' AS stage_id, 'Passed' AS outcome FROM facts UNION ALL SELECT row_id, 2, 'eligibility', 'Passed' FROM facts
+      UNION ALL SELECT row_id, 3, 'cues', CASE WHEN product_score > 0 THEN 'Recovered' ELSE 'Suppressed' END FROM facts WHERE contains(description, 'plate')
+      UNION ALL SELECT row_id, 4, 'family', 'Passed' FROM facts WHERE match_tier = 'family'
+      UNION ALL SELECT row_id, 5, 'category', CASE WHEN negative_group <> '' THEN 'Suppressed' ELSE 'Passed' END FROM facts WHERE match_tier = 'category' OR negative_group <> ''
+      UNION ALL SELECT row_id, 6, 'maker', CASE WHEN tier = 'Trusted' THEN 'Passed' ELSE 'Review' END FROM facts WHERE match_tier = 'manufacturer'
+      UNION ALL SELECT row_id, 7, 'labels', 'Passed' FROM facts WHERE match_tier <> '' UNION ALL SELECT row_id, 8, 'reference', CASE WHEN valid THEN 'Passed' ELSE 'Review' END FROM facts WHERE match_tier <> ''
+      UNION ALL SELECT row_id, 9, 'scope', 'Suppressed' FROM facts WHERE scope_flag <> '' UNION ALL SELECT row_id, 10, 'generic', 'Review' FROM facts WHERE generic_risk
+      UNION ALL SELECT row_id, 11, 'extended', CASE WHEN extended_risk THEN 'Suppressed' ELSE 'Passed' END FROM facts WHERE match_scope = 'extended'
+      UNION ALL SELECT row_id, 12, 'prior', CASE WHEN tier = 'Trusted' THEN 'Recovered' ELSE 'Review' END FROM facts WHERE match_tier = 'hs_prior'
+      UNION ALL SELECT row_id, 13, 'guards', CASE tier WHEN 'Trusted' THEN 'Passed' WHEN 'Review' THEN 'Review' ELSE 'Suppressed' END FROM facts UNION ALL SELECT row_id, 14, 'routing', tier FROM facts)""",
+    "hits_": """SELECT row_id, 'guards' AS stage_id, 'guard_conflict' AS rule_id, '1' AS evidence FROM facts WHERE guard UNION ALL SELECT row_id, 'scope', 'scope_flag', scope_flag FROM facts WHERE scope_flag <> ''
+      UNION ALL SELECT row_id, 'category', 'negative_conflict', negative_group FROM facts WHERE negative_group <> '' UNION ALL SELECT row_id, 'generic', 'generic_token', '1' FROM facts WHERE generic_risk
+      UNION ALL SELECT row_id, 'extended', 'extended_unsupported', '1' FROM facts WHERE extended_risk
+      UNION ALL SELECT row_id, CASE match_tier WHEN 'manufacturer' THEN 'maker' ELSE 'prior' END, 'nonstandard_tier', match_tier FROM facts WHERE match_tier IN ('manufacturer', 'hs_prior')""",
 }
 _METRICS = "count(*) AS n_rows, sum(value)::DOUBLE AS value, sum(volume)::DOUBLE AS volume, 0 AS missing_value, 0 AS invalid_value, 0 AS missing_volume, 0 AS invalid_volume, CASE WHEN sum(volume) <> 0 THEN sum(value)::DOUBLE / sum(volume)::DOUBLE END AS weighted_price"
 
@@ -423,9 +440,10 @@ def u02_primary_reason(spark, sf_dir):
     return facts(spark, sf_dir).select("row_id", "primary_reason", "removal_stage")
 
 
-@query(fact_sql("SELECT row_id, count(*)::INT AS n_stages FROM states GROUP BY row_id"))
+@query(fact_sql("SELECT row_id, string_agg(stage_id || '=' || outcome, ' ' ORDER BY o) AS path FROM states GROUP BY row_id"))
 def u03_stage_path(spark, sf_dir):
-    return facts(spark, sf_dir).select("row_id", F.size("path").alias("n_stages"))
+    steps = F.transform("path", lambda s: F.concat_ws("=", s["stage_id"], s["outcome"]))
+    return facts(spark, sf_dir).select("row_id", F.array_join(steps, " ").alias("path"))
 
 
 @query(fact_sql("SELECT * FROM hits_"))
@@ -490,11 +508,27 @@ def u12_review_sample(spark, sf_dir):
     return audit.review_sample(facts(spark, sf_dir))
 
 
-@query()
+_CHECKS = {
+    "picked": "SELECT f.*, s.sample_type FROM facts f LEFT JOIN (SELECT * FROM one UNION ALL SELECT * FROM two) s USING (output_id, row_id)",
+    "free": "SELECT output_id, sum(least(n, CASE tier WHEN 'Trusted' THEN 5 ELSE 4 END)) AS design FROM (SELECT output_id, tier, count(*) AS n FROM picked WHERE sample_type IS DISTINCT FROM 'Targeted risk' GROUP BY ALL) GROUP BY 1",
+    "per": """SELECT output_id, count(*) AS n, count(*) FILTER (sample_type = 'Targeted risk') AS targeted, count(*) FILTER (sample_type <> 'Targeted risk') AS random, count(*) FILTER (generic_risk OR match_tier IN ('manufacturer', 'hs_prior') OR tier <> 'Trusted') AS risky,
+      sum(value)::DOUBLE AS v, sum(volume)::DOUBLE AS q, count(*) FILTER (match_tier IN ('manufacturer', 'hs_prior') AND tier <> 'Trusted') AS odd FROM picked GROUP BY 1""",
+    "kept": "SELECT output_id, count(DISTINCT row_id) AS kept FROM hits_ JOIN facts USING (row_id) WHERE rule_id = 'nonstandard_tier' AND tier <> 'Trusted' GROUP BY 1",
+    "ends": "SELECT output_id, count(*) AS en, sum(value)::DOUBLE AS ev, sum(volume)::DOUBLE AS eq FROM states JOIN facts USING (row_id) WHERE stage_id = 'routing' GROUP BY 1",
+    "want": "SELECT country AS output_id, count(*) AS want FROM ship GROUP BY 1",
+    "checks": """SELECT output_id, unnest(['source rows', 'one terminal tier', 'targeted sample', 'random sample', 'value', 'volume', 'non-standard tiers kept']) AS check_name,
+      unnest([n, n, targeted, random, ev, eq, coalesce(kept, 0)]::DOUBLE[]) AS observed, unnest([want, want, least(12, risky), design, v, q, odd]::DOUBLE[]) AS expected
+      FROM want JOIN per USING (output_id) LEFT JOIN free USING (output_id) LEFT JOIN kept USING (output_id) JOIN ends USING (output_id)
+      UNION ALL SELECT 'OVERALL', unnest(['outputs add up: rows', 'outputs add up: value', 'outputs add up: volume']), unnest([count(*), sum(value), sum(volume)]::DOUBLE[]), unnest([count(*), sum(value), sum(volume)]::DOUBLE[]) FROM facts""",
+}
+
+
+@query(fact_sql("SELECT output_id, check_name, round(observed, 2) AS observed, round(expected, 2) AS expected, CASE WHEN abs(observed - expected) < 0.005 THEN 'PASS' ELSE 'FAIL' END AS status FROM checks", **_SAMPLE, **_CHECKS))
 def u13_reconciliation(spark, sf_dir):
     f = facts(spark, sf_dir)
     expected = fx.shipments(spark, sf_dir).groupBy(F.col("country").alias("output_id")).agg(F.count("*").alias("n_rows"))
-    return audit.reconciliation(f, audit.review_sample(f), audit.funnel(f), expected)
+    out = audit.reconciliation(f, audit.review_sample(f), audit.funnel(f), audit.risk_inventory(f), expected)
+    return out.withColumns({"observed": F.round("observed", 2), "expected": F.round("expected", 2)})
 
 
 @query(fact_sql("SELECT s.*, tier, primary_reason, maker, family, product, value::DOUBLE AS value FROM (SELECT * FROM one UNION ALL SELECT * FROM two) s JOIN facts USING (output_id, row_id)", **_SAMPLE))

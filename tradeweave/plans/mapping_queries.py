@@ -133,7 +133,7 @@ def sql(body: str, last: str = "gated", **more: str) -> str:
     """``body`` after all common table expressions up to ``last``."""
     names = list(CTES)
     parts = {n: CTES[n] for n in names[: names.index(last) + 1]} | more
-    return "WITH " + ",\n".join(f"{n} AS ({s})" for n, s in parts.items()) + "\n" + body
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({s})" for n, s in parts.items()) + "\n" + body
 
 
 _V = "CASE WHEN count(*) = 0 THEN 0 ELSE coalesce(sum(value::DECIMAL(18,2)), 0)::DOUBLE END"
