@@ -15,7 +15,8 @@ NAMES = [
     "n03_norm_phrase", "n14_family_features", "n20_number_status", "n26_row_key", "n27_hash_bucket", "p09_risk_token", "p11_product_evidence",
     "flagship_value_bounds", "l04_canonical_labels", "l10_cue_shares", "m01_match_keywords", "m02_match_phrases", "m09_fuzzy_match", "g02_inconsistent",
     "r01_validate_families", "r07_gate", "d04_roll_up", "k12_score_families", "k13_apply_product_prior", "e10_route_rows", "e13_apply_guards",
-    "q02_top_candidates", "q18_gold_template", "v04_by_dimension", "c06_compare_aggregates", "u02_primary_reason", "u03_stage_path", "u04_rule_hits", "u06_risk_inventory", "u10_funnel", "u12_review_sample", "u13_reconciliation", "u14_sample_view", "t1_shortlist", "s05_active_terms",
+    "q02_top_candidates", "q18_gold_template", "v04_by_dimension", "c06_compare_aggregates", "u02_primary_reason", "u03_stage_path", "u04_rule_hits", "u06_risk_inventory", "u10_funnel", "u12_review_sample", "u13_reconciliation", "u14_sample_view", "t1_shortlist", "s05_active_terms", "c01_output_invariants", "c04_partition_reconciliation", "v02_agrees", "k08_transfer_prior_contained",
+    "s01_read_delimited", "s10_write_and_read_slices", "s11_ground_truth", "u15_registry_stages",
 ]
 
 

@@ -35,11 +35,11 @@ def overall(df: DataFrame, predicted: str, actual: str, by: Iterable[str] = ())
     return out.withColumns({"recall": F.when(F.col("n") > 0, F.col("right") / F.col("n")), "precision": F.when(F.col("fired") > 0, F.col("right") / F.col("fired"))})
 
 
-def worst_buckets(df: DataFrame, predicted: str, actual: str, k: int) -> DataFrame:
-    """V5, V6: the confusions (predicted, actual, n_rows) of most rows."""
+def worst_buckets(df: DataFrame, predicted: str, actual: str, k: int, by: Iterable[str] = ()) -> DataFrame:
+    """V5, V6: the confusions (predicted, actual, n_rows) of most rows, also by other columns."""
     wrong = df.filter((X.text(actual) != "") & (X.text(predicted) != "") & ~agrees(predicted, actual))
-    out = wrong.groupBy(F.col(predicted).alias("predicted"), F.col(actual).alias("actual")).agg(F.count("*").alias("n_rows"))
-    return out.orderBy(F.desc("n_rows"), "predicted", "actual").limit(k)
+    out = wrong.groupBy(*by, F.col(predicted).alias("predicted"), F.col(actual).alias("actual")).agg(F.count("*").alias("n_rows"))
+    return out.orderBy(F.desc("n_rows"), "predicted", "actual", *by).limit(k)
 
 
 def keyword_precision(df: DataFrame, keyword: str, right: Column, least: int = 15, low: float = 0.5, high: float = 0.8) -> DataFrame:

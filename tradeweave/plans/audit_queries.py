@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tradeweave.functions import predicates as P
@@ -327,31 +329,73 @@ def v10_snapshot(spark, sf_dir):
 # Validation.
 
 
-@query(sql("SELECT unnest(['tier vocabulary', 'unmatched has no tier', 'category has product', 'manufacturer has maker', 'included is core', 'included is valid', 'included has no flag', 'included is mapped']) AS check_name, 0 AS violations, 'PASS' AS status WHERE EXISTS (SELECT 1 FROM ship)", "ship"))
+#: What damages gated rows so that checks fail, as SQL that Spark and DuckDB share.
+_DAMAGE = {
+    "match_tier": "CASE WHEN month = '1' THEN 'odd' ELSE match_tier END", "include": "CASE WHEN month = '2' THEN 'Y' ELSE include END", "product": "CASE WHEN month = '3' THEN '' ELSE product END",
+    "maker": "CASE WHEN month = '4' THEN '' ELSE maker END", "match_status": "CASE WHEN month = '5' THEN 'Unmatched' ELSE match_status END",
+}
+_DAMAGED = {
+    "damaged": "SELECT * REPLACE (" + ", ".join(f"{e} AS {c}" for c, e in _DAMAGE.items()) + ") FROM gated",
+    "broken": """SELECT unnest(['tier vocabulary', 'unmatched has no tier', 'category has product', 'manufacturer has maker', 'included is core', 'included is valid', 'included has no flag', 'included is mapped']) AS check_name,
+      unnest([count(*) FILTER (match_tier NOT IN ('family', 'category', 'manufacturer', 'hs_prior', '')), count(*) FILTER (match_status <> 'Matched' AND match_tier <> ''), count(*) FILTER (match_tier = 'category' AND product = ''),
+      count(*) FILTER (match_tier = 'manufacturer' AND maker = ''), count(*) FILTER (include = 'Y' AND match_scope <> 'core'), count(*) FILTER (include = 'Y' AND ref_valid <> 'Y'),
+      count(*) FILTER (include = 'Y' AND scope_flag <> ''), count(*) FILTER (include = 'Y' AND qa_status <> 'Mapped')]) AS violations FROM damaged""",
+    "checks": "SELECT *, CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM broken",
+}
+
+
+def damaged(spark, sf_dir):
+    return gated(spark, sf_dir).withColumns({c: F.expr(e) for c, e in _DAMAGE.items()})
+
+
+@query(sql("SELECT * FROM checks", **_DAMAGED))
 def c01_output_invariants(spark, sf_dir):
-    return validate.violations(gated(spark, sf_dir), validate.output_invariants())
+    return validate.violations(damaged(spark, sf_dir), validate.output_invariants())
 
 
-@query(sql(f"SELECT country, count(*) AS n_rows, {_VAL}, count(*) AS pin_rows, {_VAL.replace('AS value', 'AS pin_value')}, 'PASS' AS status FROM ship GROUP BY country", "ship"))
+_PINS = {
+    "seen": "SELECT country, count(*) AS n_rows, sum(value::DECIMAL(18,2))::DOUBLE AS value FROM ship GROUP BY country",
+    "pins": """SELECT n_name AS country, count(*) + (n_nationkey % 3 = 0)::BIGINT AS pin_rows, round(sum(l_extendedprice) * CASE n_nationkey % 4 WHEN 1 THEN 1.003 WHEN 2 THEN 1.01 ELSE 1 END, 2) AS pin_value
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, n_nationkey""",
+}
+
+
+@query(sql("SELECT country, n_rows, value, pin_rows, pin_value, CASE WHEN n_rows = pin_rows AND abs(value - pin_value) <= 0.005 * abs(pin_value) THEN 'PASS' ELSE 'FAIL' END AS status FROM seen JOIN pins USING (country)", "ship", **_PINS))
 def c02_anchors(spark, sf_dir):
+    t = lambda n: fx.table(spark, sf_dir, n)
     seen = fx.shipments(spark, sf_dir).groupBy("country").agg(F.count("*").alias("n_rows"), aggregate.total(aggregate.money("value")).alias("value"))
-    return validate.anchors(seen, seen, ["country"])
+    lines = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    by = lines.join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).groupBy(F.col("n_name").alias("country"), "n_nationkey")
+    off = F.when(F.col("n_nationkey") % 4 == 1, 1.003).when(F.col("n_nationkey") % 4 == 2, 1.01).otherwise(1.0)
+    pins = by.agg((F.count("*") + (F.any_value("n_nationkey") % 3 == 0).cast("bigint")).alias("n_rows"), F.sum("l_extendedprice").alias("v"))
+    return validate.anchors(seen, pins.select("country", "n_rows", F.round(F.col("v") * off, 2).alias("value")), ["country"])
 
 
-@query(ev_sql("SELECT 'trusted has evidence' AS check_name, v AS violations, CASE WHEN v = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (SELECT count(*) FILTER (include = 'Y' AND product_score = 0 AND NOT maker_evidence) AS v FROM routed) UNION ALL SELECT 'trusted has no conflict', 0, 'PASS'"))
+@query(ev_sql("SELECT 'trusted has evidence' AS check_name, v AS violations, CASE WHEN v = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (SELECT count(*) FILTER (include = 'Y' AND product_score = 0 AND NOT maker_evidence) AS v FROM routed) UNION ALL SELECT 'matched has no conflict', v, CASE WHEN v = 0 THEN 'PASS' ELSE 'FAIL' END FROM (SELECT count(*) FILTER (match_tier <> '' AND negative_group <> '') AS v FROM routed)"))
 def c03_trusted_validations(spark, sf_dir):
     t = F.col("include") == "Y"
-    return validate.violations(routed(spark, sf_dir), {"trusted has evidence": t & (F.col("product_score") == 0) & ~F.col("maker_evidence"), "trusted has no conflict": t & (F.col("negative_group") != "")})
+    return validate.violations(routed(spark, sf_dir), {"trusted has evidence": t & (F.col("product_score") == 0) & ~F.col("maker_evidence"), "matched has no conflict": (F.col("match_tier") != "") & (F.col("negative_group") != "")})
 
 
-@query(sql("SELECT unnest(['rows', 'value', 'ids', 'duplicates']) AS check_name, 0 AS violations, 'PASS' AS status WHERE EXISTS (SELECT 1 FROM ship)", "ship"))
+_PARTS = {
+    "parts": "SELECT row_id, value FROM gated WHERE month <> '1' UNION ALL SELECT row_id, value FROM gated WHERE month = '2'",
+    "found": """SELECT abs((SELECT count(*) FROM ship) - (SELECT count(*) FROM parts)) AS a, ((SELECT sum(value::DECIMAL(18,2)) FROM ship) IS DISTINCT FROM (SELECT sum(value::DECIMAL(18,2)) FROM parts))::BIGINT AS b,
+      (SELECT count(*) FROM ship FULL OUTER JOIN (SELECT DISTINCT row_id FROM parts) p USING (row_id) WHERE ship.row_id IS NULL OR p.row_id IS NULL) AS c, (SELECT count(*) FROM (SELECT row_id FROM parts GROUP BY 1 HAVING count(*) > 1)) AS d""",
+}
+
+
+@query(sql("SELECT check_name, violations, CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (SELECT unnest(['rows', 'value', 'ids', 'duplicates']) AS check_name, unnest([a, b, c, d]) AS violations FROM found)", **_PARTS))
 def c04_partition_reconciliation(spark, sf_dir):
-    return validate.partition_reconciliation(fx.shipments(spark, sf_dir), gated(spark, sf_dir), "row_id")
+    rows = gated(spark, sf_dir)
+    parts = rows.filter("month <> '1'").unionByName(rows.filter("month = '2'"))
+    return validate.partition_reconciliation(fx.shipments(spark, sf_dir), parts, "row_id")
 
 
-@query(ev_sql("SELECT 'promo trusted' AS check_name, 0 AS violations, 'PASS' AS status WHERE EXISTS (SELECT 1 FROM ship)"))
+@query(ev_sql("""SELECT check_name, violations, CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (SELECT unnest(['promo trusted', 'gear mapped']) AS check_name,
+  unnest([count(*) FILTER (s.description LIKE '%promo%' AND g.qa_status = 'Mapped' AND g.scope_flag = ''), count(*) FILTER (contains(s.description, 'gear') AND g.qa_status = 'Mapped')]) AS violations FROM guarded g JOIN ship s USING (row_id))""", **_GUARD))
 def c05_guard_validations(spark, sf_dir):
-    return validate.violations(guarded(spark, sf_dir), {"promo trusted": (F.col("include") == "Y") & F.lower("description").contains("promo")})
+    low, mapped_ = F.lower("description"), F.col("qa_status") == "Mapped"
+    return validate.violations(guarded(spark, sf_dir), {"promo trusted": mapped_ & (F.col("scope_flag") == "") & low.contains("promo"), "gear mapped": mapped_ & low.contains("gear")})
 
 
 _BY = "SELECT product, count(*) AS n_rows, sum(value::DECIMAL(18,2)) AS value FROM gated WHERE {} GROUP BY product"
@@ -373,15 +417,16 @@ def c07_unknown_keys(spark, sf_dir):
     return validate.unknown_keys(gated(spark, sf_dir).filter("match_tier = 'category'"), key, lexicon.build_reference_keys(strict, generic)["category_exact"], "row_id")
 
 
-@query(sql("SELECT 8 AS n_checks, 0 AS n_failed, true AS accepted WHERE EXISTS (SELECT 1 FROM ship)", "ship"))
+@query(sql("SELECT count(*) AS n_checks, count(*) FILTER (status = 'FAIL') AS n_failed, count(*) FILTER (status = 'FAIL') = 0 AS accepted FROM checks", **_DAMAGED))
 def c08_acceptance(spark, sf_dir):
-    return validate.acceptance(validate.violations(gated(spark, sf_dir), validate.output_invariants()))
+    return validate.acceptance(validate.violations(damaged(spark, sf_dir), validate.output_invariants()))
 
 
-@query(sql("SELECT * FROM (SELECT 'gate' AS source, 'PASS' AS status, 8 AS n_checks, NULL::VARCHAR AS check_name UNION ALL SELECT 'probe', 'FAIL', 1, NULL UNION ALL SELECT 'probe', 'FAIL', NULL, 'rows exist') WHERE EXISTS (SELECT 1 FROM ship)", "ship"))
+@query(sql("""SELECT 'gate' AS source, status, count(*) AS n_checks, NULL::VARCHAR AS check_name FROM checks GROUP BY status UNION ALL SELECT 'gate', status, NULL, check_name FROM checks WHERE status = 'FAIL'
+  UNION ALL SELECT 'rows', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END, 1, NULL FROM (SELECT count(*) FILTER (value::DOUBLE < 0) AS n FROM ship) UNION ALL SELECT 'rows', 'FAIL', NULL, 'negative value' FROM (SELECT count(*) FILTER (value::DOUBLE < 0) AS n FROM ship) WHERE n > 0""", **_DAMAGED))
 def c09_status_summary(spark, sf_dir):
-    rows = gated(spark, sf_dir)
-    return validate.status_summary({"gate": validate.violations(rows, validate.output_invariants()), "probe": validate.violations(rows, {"rows exist": F.lit(True)})})
+    rows = damaged(spark, sf_dir)
+    return validate.status_summary({"gate": validate.violations(rows, validate.output_invariants()), "rows": validate.violations(rows, {"negative value": X.safe_number("value") < 0})})
 
 
 # The audit mart.
@@ -541,10 +586,10 @@ def u14_sample_view(spark, sf_dir):
 
 
 @query(sql("""SELECT lower(p.product) AS product, lower(p.maker) AS maker, coalesce(n_rows, 0) AS n_rows, coalesce(value, 0)::DOUBLE AS value, CASE WHEN coalesce(n_rows, 0) = 0 THEN 'error: no rows' WHEN p.ok THEN 'ok' ELSE 'error: not in master' END AS status
-  FROM (SELECT DISTINCT product, maker, p_ok AS ok FROM (SELECT split_part(p_name, ' ', 2) || CASE WHEN p_size % 2 = 0 THEN ' (unspecified)' ELSE '' END AS product, 'Unspecified' AS maker, p_size % 3 <> 0 AS p_ok FROM part WHERE p_size < 7)) p
+  FROM (SELECT DISTINCT product, maker, p_ok AS ok FROM (SELECT split_part(p_name, ' ', 2) || CASE WHEN p_size % 2 = 0 THEN ' (unspecified)' ELSE '' END AS product, 'Unspecified' AS maker, p_size % 3 <> 0 AS p_ok FROM part)) p
   LEFT JOIN (SELECT lower(product) AS product, lower(maker) AS maker, count(*) AS n_rows, sum(value::DECIMAL(18,2)) AS value FROM gated WHERE qa_status LIKE 'Review%' GROUP BY ALL) g ON g.product = lower(p.product) AND g.maker = lower(p.maker)"""))
 def b01_build_proposals(spark, sf_dir):
-    s = fx.table(spark, sf_dir, "part").filter("p_size < 7").selectExpr(
+    s = fx.table(spark, sf_dir, "part").selectExpr(
         "concat(split_part(p_name, ' ', 2), CASE WHEN p_size % 2 = 0 THEN ' (unspecified)' ELSE '' END) AS product", "'Unspecified' AS maker", "CASE WHEN p_size % 3 = 0 THEN 'nowhere' ELSE 'bolt' END AS proposed"
     ).distinct()
     m = fx.table(spark, sf_dir, "part").select(F.lit("bolt").alias("proposed")).distinct()
@@ -552,20 +597,22 @@ def b01_build_proposals(spark, sf_dir):
     return out.select("product", "maker", "n_rows", "value", "status")
 
 
-@query("SELECT 'alias' AS map_name, 'x ' || p_name AS key, count(*) AS n FROM (SELECT DISTINCT p_name FROM part WHERE p_size < 10) GROUP BY ALL")
+@query("SELECT 'alias' AS map_name, 'x ' || p_name AS key, count(*) AS n FROM (SELECT DISTINCT p_name FROM part) GROUP BY ALL")
 def b02_ingest_approved(spark, sf_dir):
     part = fx.table(spark, sf_dir, "part")
-    p = part.filter("p_size < 10").select(F.lit("term_mappings").alias("target_table"), F.col("p_brand").alias("player"), F.col("p_name").alias("family"), F.concat(F.lit("X "), F.col("p_name"), F.lit(";")).alias("alias_entries"))
+    p = part.select(F.lit("term_mappings").alias("target_table"), F.col("p_brand").alias("player"), F.col("p_name").alias("family"), F.concat(F.lit("X "), F.col("p_name"), F.lit(";")).alias("alias_entries"))
     empty_maps = spark.createDataFrame([], "map_name string, key string, value string")
     empty_terms = spark.createDataFrame([], "list_name string, term string")
     out = governance.ingest_approved(p, fx.master(spark, sf_dir), empty_maps, empty_terms)["map_rows"]
     return out.groupBy("map_name", "key").agg(F.count("*").alias("n"))
 
 
-@query("SELECT DISTINCT p_name AS k FROM part")
+@query("SELECT s_name AS k, 'known' AS note FROM supplier UNION ALL SELECT k, 'new' FROM (SELECT DISTINCT c_name AS k FROM customer UNION SELECT s_name FROM supplier) WHERE k NOT IN (SELECT s_name FROM supplier)")
 def b03_append_new(spark, sf_dir):
-    names = fx.table(spark, sf_dir, "part").select(F.col("p_name").alias("k"), "p_size")
-    return governance.append_new(names.filter("p_size < 20").select("k").distinct(), names.select("k"), ["k"])
+    known = fx.table(spark, sf_dir, "supplier").select(F.col("s_name").alias("k"))
+    offered = fx.table(spark, sf_dir, "customer").select(F.col("c_name").alias("k")).unionByName(known)
+    note = lambda d, n: d.withColumn("note", F.lit(n))
+    return governance.append_new(note(known, "known"), note(offered, "new"), ["k"])
 
 
 # Retrieval: documents as rows, benchmark items as objects.
@@ -725,11 +772,13 @@ def s06_active_map(spark, sf_dir):
     return tables.active_map(fx.table(spark, sf_dir, "part").selectExpr("p_brand AS map_name", "p_name AS key", "p_type AS value", "p_partkey AS ord"))
 
 
-@query(f"SELECT p_brand AS list_name, coalesce(max(a), 0)::BIGINT AS n_active, coalesce(max(n), 0) AS n_total FROM part LEFT JOIN (SELECT list_name, count(*) FILTER (status = 'Active') AS a, count(*) AS n FROM ({_TERM_ROWS}) GROUP BY 1) ON list_name = p_brand GROUP BY p_brand")
+@query(f"""SELECT c.list_name, coalesce(a, 0)::BIGINT AS n_active, coalesce(n, 0) AS n_total FROM (SELECT DISTINCT p_brand AS list_name FROM part UNION SELECT DISTINCT 'map ' || p_type FROM part UNION SELECT 'empty' FROM part) c
+  LEFT JOIN (SELECT list_name, count(*) FILTER (status = 'Active') AS a, count(*) AS n FROM ({_TERM_ROWS}) GROUP BY 1 UNION ALL SELECT 'map ' || p_type, count(*), count(*) FROM part GROUP BY 1) USING (list_name)""")
 def s07_list_catalog_counts(spark, sf_dir):
     part = fx.table(spark, sf_dir, "part")
-    maps = part.limit(0).selectExpr("p_brand AS map_name")
-    return tables.list_catalog_counts(part.select(F.col("p_brand").alias("list_name")).distinct(), _terms(spark, sf_dir), maps)
+    maps = part.selectExpr("concat('map ', p_type) AS map_name")
+    names = part.selectExpr("explode(array(p_brand, concat('map ', p_type), 'empty')) AS list_name").distinct()
+    return tables.list_catalog_counts(names, _terms(spark, sf_dir), maps)
 
 
 @query("SELECT p_name || '#' || row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS id, p_partkey FROM part")
@@ -749,8 +798,62 @@ def s14_combine_tables(spark, sf_dir):
     return tables.combine_tables({"part": p, "supplier": s})
 
 
-@query("SELECT o_orderkey, 'Nation' AS market, year(o_orderdate)::VARCHAR AS year FROM orders WHERE year(o_orderdate) >= 2000")
+@query("SELECT o_orderkey, 'Nation' AS market, CASE WHEN year(o_orderdate) >= 2000 THEN year(o_orderdate)::VARCHAR END AS year FROM orders")
 def s15_parse_market_year(spark, sf_dir):
-    o = fx.table(spark, sf_dir, "orders").filter("year(o_orderdate) >= 2000")
+    o = fx.table(spark, sf_dir, "orders")
     path = F.concat(F.lit("/data/in/Nation_FY"), F.year("o_orderdate").cast("string"), F.lit("_x.csv"))
     return o.select("o_orderkey", tables.parse_market_year(path).alias("m")).select("o_orderkey", "m.market", "m.year")
+
+
+def _shared(spark, label):
+    """A new path in the shared folder."""
+    return f"{tables.shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@query("SELECT p_partkey::VARCHAR AS p_partkey, CASE WHEN p_size % 2 = 0 THEN p_name || ' \"x\"' ELSE p_name || ' é' END AS p_name, p_size::VARCHAR AS p_size FROM part")
+def s01_read_delimited(spark, sf_dir):
+    path = _shared(spark, "delimited")
+    name = F.when(F.col("p_size") % 2 == 0, F.concat("p_name", F.lit(' "x"'))).otherwise(F.concat("p_name", F.lit(" é")))
+    fx.table(spark, sf_dir, "part").select("p_partkey", name.alias("p_name"), "p_size").write.csv(path, sep="\t", header=True, quote='"', escape='"')
+    return tables.read_delimited(spark, path, "\t", ["p_partkey", "p_name", "p_size"])
+
+
+@query("SELECT CASE WHEN n_nationkey % 2 = 0 THEN n_name ELSE upper(n_name) END AS country, n_regionkey::VARCHAR AS segment, n_nationkey::DOUBLE AS upper_value FROM nation")
+def s10_write_and_read_slices(spark, sf_dir):
+    path, nation = _shared(spark, "slices"), fx.table(spark, sf_dir, "nation")
+    none = F.lit("").alias
+    rows = nation.select(
+        F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")).otherwise(F.upper("n_name")).alias("country"), F.col("n_regionkey").cast("string").alias("segment"),
+        F.col("n_nationkey").cast("double").alias("upper_value"), *map(none, ("sub_segment", "product", "family", "maker")), "n_nationkey",
+    )
+    tables.write_slice(rows.withColumn("upper_value", F.lit(-1.0)).drop("n_nationkey"), path)
+    for odd in (0, 1):  # two runs replace each its own slices
+        tables.write_slice(rows.filter(F.col("n_nationkey") % 2 == odd).drop("n_nationkey"), path)
+    return tables.read_slices(spark, path).select("country", "segment", "upper_value")
+
+
+@query(r"""SELECT src_file, maker, desc_key, code, value_key FROM (SELECT CASE WHEN p_size % 2 = 0 THEN 'even' ELSE 'odd' END AS src_file, CASE WHEN p_size % 2 = 0 THEN p_brand END AS maker, trim(regexp_replace(lower(p_name || '-' || p_type), '[^a-z0-9]+', ' ', 'g')) AS desc_key,
+  p_partkey::VARCHAR AS code, round_even(p_retailprice, 0)::BIGINT AS value_key, p_size FROM part) WHERE p_size % 3 = 1""")
+def s11_ground_truth(spark, sf_dir):
+    part = fx.table(spark, sf_dir, "part").select(
+        F.concat_ws("-", "p_name", "p_type").alias("description"), F.col("p_partkey").cast("string").alias("hs_code"), F.col("p_retailprice").cast("string").alias("value"),
+        (F.col("p_size") % 3 + 2000).cast("string").alias("year"), F.col("p_brand").alias("maker"), "p_size",
+    )
+    files = {"even": part.filter("p_size % 2 = 0").drop("p_size"), "odd": part.filter("p_size % 2 = 1").drop("p_size", "maker")}
+    out = tables.build_ground_truth(files, ["description", "hs_code", "value", "year", "maker"], "year", "2001")
+    return out.select("src_file", "maker", "desc_key", "code", "value_key")
+
+
+@query("SELECT n_name AS country, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
+def s12_row_count_gate(spark, sf_dir):
+    rows = fx.shipments(spark, sf_dir)
+    return tables.assert_row_count(rows, fx.table(spark, sf_dir, "lineitem").count(), "shipments").groupBy("country").agg(F.count("*").alias("n"))
+
+
+@query("SELECT r_name AS stage_id, r_regionkey * 10 AS execution_order, 'Region ' || r_name AS label, CASE WHEN r_regionkey = 4 THEN 'terminal' ELSE 'candidate' END AS stage_type FROM region")
+def u15_registry_stages(spark, sf_dir):
+    path, region = _shared(spark, "registry"), fx.table(spark, sf_dir, "region")
+    kind = F.when(F.col("r_regionkey") == 4, "terminal").otherwise("candidate")
+    one = F.struct(F.col("r_name").alias("stage_id"), (F.col("r_regionkey") * 10).alias("execution_order"), F.concat(F.lit("Region "), "r_name").alias("documentation_label"), kind.alias("stage_type"))
+    region.agg(F.collect_list(one).alias("stages")).write.json(path)  # a registry has a few stages
+    return audit.registry_stages(spark, path)

@@ -89,6 +89,18 @@ def k08_transfer_prior(spark, sf_dir):
     return _transfer(spark, sf_dir)
 
 
+_PART_TOK = """tok AS (SELECT coarse, label, unnest(list_distinct(regexp_extract_all(lower(t), '[a-z]{3,}'))) AS token
+  FROM (SELECT p_size % 6 AS coarse, split_part(p_name, ' ', 2) AS label, p_name || ' ' || p_type AS t FROM part)), vocab AS (SELECT DISTINCT unnest(regexp_extract_all(lower(p_name), '[a-z]{3,}')) AS token FROM part)"""
+
+
+@query(f"WITH {_PART_TOK}, voc AS (SELECT * FROM tok JOIN vocab USING (token)), {_SAFE}, st AS (SELECT * FROM voc JOIN safe USING (token)) SELECT * FROM ("
+       + _dominant_sql("coarse, token", "label", "st", "AND n >= 5 AND n / total >= 0.7") + ") WHERE list_contains(regexp_extract_all(lower(label), '[a-z]{3,}'), token)")
+def k08_transfer_prior_contained(spark, sf_dir):
+    part = fx.table(spark, sf_dir, "part")
+    rows = part.select((F.col("p_size") % 6).alias("coarse"), F.split("p_name", " ")[1].alias("label"), F.concat_ws(" ", "p_name", "p_type").alias("text"))
+    return priors.transfer_prior(rows, "text", "coarse", lexicon.vocabulary(part, ["p_name"]))
+
+
 @query(f"WITH {_TRAIN}, {_TOK} " + _dominant_sql("code, token", "maker", "tok", "AND n >= 5 AND n / total >= 0.7"))
 def k09_token_maker_prior(spark, sf_dir):
     return priors.token_prior(train(spark, sf_dir), "text", "code", "maker")
@@ -193,17 +205,22 @@ def k18_ceiling(spark, sf_dir):
 
 # Evaluation.
 
-_P = "CASE p_size % 4 WHEN 0 THEN '' WHEN 1 THEN p_name WHEN 2 THEN split_part(p_name, ' ', 2) || ' ' || p_type ELSE 'thing' END"
+_P = "CASE p_size % 4 WHEN 0 THEN '' WHEN 1 THEN p_name WHEN 2 THEN split_part(p_name, ' ', 2) || ' ' || p_type WHEN 3 THEN left(split_part(p_name, ' ', 2), 4) || 'x' ELSE 'thing' END"
 _A = "CASE WHEN p_size % 5 = 0 THEN '' ELSE p_name END"
 _PAIR = f"SELECT p_partkey, p_size, {_P} AS predicted, {_A} AS actual, p_retailprice AS value FROM part"
-_AGREE = "(CASE p_size % 4 WHEN 0 THEN false WHEN 1 THEN actual <> '' WHEN 2 THEN actual <> '' ELSE false END)"
+_NORM = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
+_WORDS = f"list_filter(string_split({_NORM}, ' '), lambda w: length(w) > 2)"
+_PREFIXES = f"list_transform(list_filter({_WORDS}, lambda w: length(w) >= 4), lambda w: left(w, 4))"
+_OVERLAP = f"(list_has_any({_WORDS.format('predicted')}, {_WORDS.format('actual')}) OR list_has_any({_PREFIXES.format('predicted')}, {_PREFIXES.format('actual')}))"
+_AGREE = f"""({_NORM.format('predicted')} <> '' AND {_NORM.format('actual')} <> '' AND (contains({_NORM.format('predicted')}, {_NORM.format('actual')})
+  OR contains({_NORM.format('actual')}, {_NORM.format('predicted')}) OR {_OVERLAP}))"""
 
 
 def _pairs(spark, sf_dir):
     return fx.table(spark, sf_dir, "part").selectExpr("p_partkey", "p_size", f"{_P} AS predicted", f"{_A} AS actual", "p_retailprice AS value")
 
 
-@query(f"SELECT p_partkey, {_AGREE} AS same FROM ({_PAIR})")
+@query(f"SELECT p_partkey, {_OVERLAP} AS same FROM ({_PAIR})")
 def v01_overlap(spark, sf_dir):
     return _pairs(spark, sf_dir).select("p_partkey", evaluate.overlap("predicted", "actual").alias("same"))
 
@@ -235,9 +252,10 @@ def v05_worst_buckets(spark, sf_dir):
     return evaluate.worst_buckets(_pairs(spark, sf_dir), "predicted", "actual", 20)
 
 
-@query(f"SELECT predicted, actual, count(*) AS n_rows FROM ({_PAIR}) WHERE actual <> '' AND predicted <> '' AND NOT {_AGREE} AND p_size > 25 GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 20")
+@query(f"SELECT p_size % 4 AS tier, predicted, actual, count(*) AS n_rows FROM ({_PAIR}) WHERE actual <> '' AND predicted <> '' AND NOT {_AGREE} GROUP BY ALL ORDER BY 4 DESC, 2, 3, 1 LIMIT 20")
 def v06_wrong_anatomy(spark, sf_dir):
-    return evaluate.worst_buckets(_pairs(spark, sf_dir).filter("p_size > 25"), "predicted", "actual", 20)
+    pairs = _pairs(spark, sf_dir).withColumn("tier", F.col("p_size") % 4)
+    return evaluate.worst_buckets(pairs, "predicted", "actual", 20, by=("tier",))
 
 
 @query(f"""SELECT *, CASE WHEN precision >= 0.8 THEN 'keep' WHEN precision >= 0.5 THEN 'watch' ELSE 'drop' END AS verdict FROM (

@@ -147,7 +147,7 @@ def n31_alias_entries(spark, sf_dir):
     return rows.select("p_partkey", "e.term", "e.target")
 
 
-register("n31_alias_entries", n31_alias_entries, "SELECT p_partkey, p_name AS term, '' AS target FROM part UNION ALL SELECT p_partkey, p_type, p_brand FROM part")
+register("n31_alias_entries", n31_alias_entries, f"""SELECT p_partkey, trim(split_part(e, '=>', 1)) AS term, trim(split_part(e, '=>', 2)) AS target FROM (SELECT p_partkey, unnest(string_split({_ALIAS}, ';')) AS e FROM part) WHERE trim(e) <> ''""")
 _text_query("n32_target_id", lambda t: X.target_id(t, F.lit(" A  b"), F.lit(None)), f"lower({_squeeze('t')}) || '|a b|'")
 _text_query("n33_target_list", lambda t: X.target_list(F.concat(F.lit("term_lists: "), F.regexp_replace(X.norm_party(t), " ", "_"), F.lit(" (note)"))), f"replace({_party('t')}, ' ', '_')")
 

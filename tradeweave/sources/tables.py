@@ -12,17 +12,27 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir of the session.
+
+    Where it isn't set, a local master (tests) gets a temporary folder; a cluster is an error.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="tradeweave-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
-    """``df`` written as Parquet to the shared folder (spark.checkpoint.dir) and read again.
+    """``df`` written as Parquet to the shared folder and read again.
 
     What several later steps read is computed once, survives lost executors, and has a known size.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:  # one machine, as in tests
-        folder = tempfile.mkdtemp(prefix="tradeweave-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -35,18 +45,16 @@ def require_columns(df: DataFrame, columns: Iterable[str], where: str = "table")
     return df
 
 
-def read_delimited(spark: SparkSession, path: str, sep: str = "\t", required: Iterable[str] = ()) -> DataFrame:
-    """A delimited file with a header as strings: UTF-8, or Latin-1 if a value isn't UTF-8."""
-    read = lambda encoding: spark.read.csv(path, sep=sep, header=True, encoding=encoding, quote='"', escape='"', multiLine=True)
-    df = read("UTF-8")
-    df = df.withColumnsRenamed({c: c.lstrip("﻿") for c in df.columns})
-    require_columns(df, required, path)
-    broken = F.lit(False)
-    for c in df.columns:
-        broken = broken | F.coalesce(F.col(f"`{c}`").contains("�"), F.lit(False))
-    if df.filter(broken).limit(1).count():
-        df = require_columns(read("ISO-8859-1"), required, path)
-    return df
+def read_delimited(spark: SparkSession, path: str, sep: str = "\t", required: Iterable[str] = (), multi_line: bool = False) -> DataFrame:
+    """Delimited files with a header as strings: UTF-8, or Latin-1 if the bytes of any aren't UTF-8.
+
+    Line breaks within quotes need ``multi_line``, which makes each file one task; without it Spark
+    splits large files. The bytes are looked at line by line.
+    """
+    broken = not spark.read.text(path).filter("NOT is_valid_utf8(value)").isEmpty()
+    df = spark.read.csv(path, sep=sep, header=True, encoding="ISO-8859-1" if broken else "UTF-8", quote='"', escape='"', multiLine=multi_line)
+    df = df.withColumnsRenamed({c: c.lstrip("\ufeff") for c in df.columns})
+    return require_columns(df, required, path)
 
 
 def narrow(df: DataFrame, columns: Sequence[str]) -> DataFrame:
