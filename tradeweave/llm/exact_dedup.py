@@ -32,7 +32,7 @@ def leading_bits(key: Column, n: int) -> Column:
     return F.call_function("shiftrightunsigned", key, F.lit(64 - n)) if n else F.lit(0).cast("long")
 
 
-def directory(keys: DataFrame, capacity: int, max_depth: int = 16, owned: int = 1_000_000) -> tuple[DataFrame, int]:
+def directory(keys: DataFrame, capacity: int, owned: int, max_depth: int = 18) -> tuple[DataFrame, int]:
     """The directory over the distinct ``keys.key``, and its depth g.
 
     A row for each value ``leaf`` of the first g bits that occurs: (leaf, depth, bucket, n_keys,
@@ -62,21 +62,25 @@ def directory(keys: DataFrame, capacity: int, max_depth: int = 16, owned: int =
 
 
 def build_index(
-    docs: DataFrame, hash_: Callable[[Column], Column] = F.xxhash64, capacity: int = 50_000, owned: int = 1_000_000
+    docs: DataFrame, hash_: Callable[[Column], Column] = F.xxhash64, capacity: int = 2_000, owned: int = 10_000
 ) -> tuple[DataFrame, DataFrame]:
     """The index over the texts of ``docs``, and its documents as (doc_id, bucket, key, text_sha256).
 
     The index has an entry for each text: owner, depth, bucket, key (``hash_`` of the text), chain (0,
     1, ... among different texts of one key), text_sha256, keep_id (the least doc_id) and group_size.
+    Buckets hold up to ``capacity`` keys and owners about ``owned``, or more where there would be over
+    about 2**16 buckets.
     """
     texts = docs.select("doc_id", normalised(F.col("text")).alias("t")).select("doc_id", hash_(F.col("t")).alias("key"), "t")
     keyed = saved(texts.select("doc_id", "key", F.sha2("t", 256).alias("text_sha256")), "keyed")
     keys = saved(keyed.groupBy("key").agg(F.count("*").alias("n")), "keys")
-    places, g = directory(keys, capacity, owned=owned)
+    counts = keys.agg(F.count("*").alias("keys"), F.sum("n").alias("rows")).first()
+    scale = max(1.0, counts["keys"] / (capacity << 15))
+    places, g = directory(keys, int(capacity * scale), int(owned * scale))
     leaf = leading_bits(F.col("key"), g)
 
     # A key of more than a thousandth of all rows is hot: there are fewer than a thousand of them.
-    limit = keyed.count() / 1000
+    limit = (counts["rows"] or 0) / 1000
     hot = F.broadcast(keys.filter(F.col("n") > limit).select("key"))
     least, size = F.min("doc_id").alias("doc_id"), F.count("*").alias("n")
     combined = texts.join(hot, "key", "left_semi").groupBy("key", "t").agg(least, size).select("doc_id", "key", "t", "n")
@@ -91,7 +95,7 @@ def build_index(
 
 
 def exact_dedup(
-    docs: DataFrame, hash_: Callable[[Column], Column] = F.xxhash64, capacity: int = 50_000, owned: int = 1_000_000
+    docs: DataFrame, hash_: Callable[[Column], Column] = F.xxhash64, capacity: int = 2_000, owned: int = 10_000
 ) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, key, bucket, chain.
 
