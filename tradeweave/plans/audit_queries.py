@@ -183,14 +183,22 @@ def q01_candidates(spark, sf_dir):
     return out.select("row_id", "proposed_segment", "reason")
 
 
-@query(ev_sql("""SELECT row_id, method, label, value FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY rank, label) AS r3 FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY row_id, label ORDER BY rank) AS r2 FROM (
-  SELECT *, row_number() OVER (PARTITION BY method ORDER BY value DESC, row_id) AS r1 FROM (
-    SELECT row_id, value::DOUBLE AS value, 0 AS rank, 'product' AS method, candidate_segment AS label FROM ev WHERE product_score > 0
-    UNION ALL SELECT row_id, value::DOUBLE, 1, 'alias', maker_alias FROM ev WHERE maker_alias <> '' UNION ALL SELECT row_id, value::DOUBLE, 2, 'family', family FROM ev WHERE family_evidence)) WHERE r1 <= 300) WHERE r2 = 1)) WHERE r3 <= 2)
+#: Methods that propose candidates: condition and label, as SQL that Spark and DuckDB share.
+_METHODS = {
+    "product": ("product_score > 0", "candidate_segment"), "alias": ("maker_alias <> ''", "maker_alias"), "family": ("family_evidence", "family"), "maker": ("maker_evidence", "maker"),
+    "category": ("match_tier = 'category'", "product"), "core code": ("code_scope = 'core' AND product_score > 0", "hs4"), "extended code": ("code_scope = 'extended'", "hs4"),
+    "generic token": ("generic_risk", "family"), "conflict": ("negative_group <> ''", "negative_group"), "confident": ("category_confidence >= 0.86", "segment"),
+    "high value": ("CAST(value AS DOUBLE) >= 50000", "hs_code"), "no reference": ("ref_valid <> 'Y' AND match_tier <> ''", "product"),
+}
+_FIRED = " UNION ALL ".join(f"SELECT row_id, value::DOUBLE AS value, {k} AS rank, '{n}' AS method, {label} AS label FROM ev WHERE {c}" for k, (n, (c, label)) in enumerate(_METHODS.items()))
+
+
+@query(ev_sql(f"""SELECT row_id, method, label, value FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY rank, label) AS r3 FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY row_id, label ORDER BY rank) AS r2 FROM (
+  SELECT *, row_number() OVER (PARTITION BY method ORDER BY value DESC, row_id) AS r1 FROM ({_FIRED})) WHERE r1 <= 300) WHERE r2 = 1)) WHERE r3 <= 4)
   ORDER BY value DESC, row_id, rank LIMIT 500"""))
 def q02_top_candidates(spark, sf_dir):
-    methods = {"product": (F.col("product_score") > 0, F.col("candidate_segment")), "alias": (F.col("maker_alias") != "", F.col("maker_alias")), "family": (F.col("family_evidence"), F.col("family"))}
-    return review.top_candidates(evidenced(spark, sf_dir), "row_id", methods, 300, 2, 500)
+    methods = {n: (F.expr(c), F.col(label)) for n, (c, label) in _METHODS.items()}
+    return review.top_candidates(evidenced(spark, sf_dir), "row_id", methods, 300, 4, 500)
 
 
 _REQ = "SELECT product, maker, CASE WHEN ref_valid = 'Y' THEN 'scope' ELSE 'reference' END AS issue, count(*) AS n_rows, sum(value::DECIMAL(18,2))::DOUBLE AS value, arg_min(description, (-value::DOUBLE, row_id)) AS sample FROM gated WHERE {w} GROUP BY ALL"

@@ -130,12 +130,15 @@ def k11_family_postings(spark, sf_dir):
     return postings.groupBy("code", "family").agg(F.count("*").alias("n_features"), F.sum("cnt").alias("n"), F.sum("df").alias("df"))
 
 
-@query(f"""WITH {_TRAIN}, {_F % 'train'}, {_POST}, {_FAM}, tf AS (SELECT doc_id, code, feature, count(*) AS times FROM ({(_F % 'test').split(' AS ', 1)[1][1:-1]}) GROUP BY ALL),
+_K12_SQL = f"""WITH {_TRAIN}, {_F % 'train'}, {_POST}, {_FAM}, tf AS (SELECT doc_id, code, feature, count(*) AS times FROM ({(_F % 'test').split(' AS ', 1)[1][1:-1]}) GROUP BY ALL),
   s AS (SELECT doc_id, family, rows, sum(round(CASE WHEN feature LIKE 'C\\_%' ESCAPE '\\' THEN 4.0 WHEN contains(feature, '_') THEN 2.0 ELSE 1.0 END::DOUBLE * (ln((nf + 1) / (df + 1)) + 0.1::DOUBLE) * ln(1.0::DOUBLE + cnt) * times * 1e9)::HUGEINT) AS s
     FROM tf JOIN post USING (code, feature) JOIN fam USING (code, family) GROUP BY ALL),
   b AS (SELECT doc_id, family FROM (SELECT doc_id, family, row_number() OVER (PARTITION BY doc_id ORDER BY round(s::DOUBLE / 1e9 + 0.01::DOUBLE * ln(1.0::DOUBLE + rows), 6) DESC, family) AS r FROM s) WHERE r = 1),
   common AS (SELECT code, family FROM fam QUALIFY row_number() OVER (PARTITION BY code ORDER BY rows DESC, family) = 1)
-  SELECT doc_id, family FROM b UNION ALL SELECT doc_id, family FROM test JOIN common USING (code) WHERE doc_id NOT IN (SELECT doc_id FROM b)""")
+  SELECT doc_id, family FROM b UNION ALL SELECT doc_id, family FROM test JOIN common USING (code) WHERE doc_id NOT IN (SELECT doc_id FROM b)"""
+
+
+@query(_K12_SQL)
 def k12_score_families(spark, sf_dir):
     rows = train(spark, sf_dir).withColumn("family", F.col("maker"))
     postings, families = priors.family_postings(rows, "text", "code", "family")
@@ -174,11 +177,12 @@ def k14_fill_maker(spark, sf_dir):
     return priors.fill_maker(rows, "doc_id", "text", "code", "coarse", "maker", priors.token_prior(train(spark, sf_dir), "text", "code", "maker")).select("doc_id", "maker")
 
 
-@query()
+@query(f"""WITH {_TRAIN} SELECT doc_id, CASE WHEN maker = 'en' THEN 'Unspecified' WHEN maker = 'de' THEN 'own' ELSE coalesce(k.family, 'Unspecified') END AS family FROM test LEFT JOIN ({_K12_SQL}) k USING (doc_id)""")
 def k15_fill_family(spark, sf_dir):
     rows = train(spark, sf_dir).withColumn("family", F.col("maker"))
     postings, families = priors.family_postings(rows, "text", "code", "family")
-    blank = test(spark, sf_dir).withColumns({"match_tier": F.lit(""), "family": F.lit("Unspecified")})
+    tier = F.when(F.col("maker") == "en", "family").otherwise("")  # tier 1's own blanks stay
+    blank = test(spark, sf_dir).withColumns({"match_tier": tier, "family": F.when(F.col("maker") == "de", "own").otherwise("Unspecified")})
     return priors.fill_family(blank, "doc_id", "text", "code", postings, families, "family").select("doc_id", "family")
 
 
