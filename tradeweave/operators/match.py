@@ -2,7 +2,8 @@
 
 A text is cut into few windows or word runs that can equal a dictionary entry; these join the
 dictionary on a derived key. What the dictionary's size allows, Spark broadcasts; beyond that
-the same plan shuffles both sides. Equal texts of many rows are matched once.
+the same plan shuffles both sides. Equal texts of many rows are matched once, and a short id takes a
+text's place in the explosion.
 """
 
 from __future__ import annotations
@@ -24,36 +25,42 @@ def max_words(dictionary: DataFrame, column: str) -> int:
     return int(n or 1)
 
 
-def by_text(df: DataFrame, key: str, text: Column, find: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``find``, a function of distinct texts (t) that gives rows with t, for each row: key and the
-    others. Texts of transactions repeat often, so each is matched once."""
-    rows = df.select(F.col(key), text.alias("t"))
-    return rows.join(find(rows.select("t").distinct()), "t").drop("t")
+def by_text(df: DataFrame, key: str, text: Column, find: Callable[[DataFrame], DataFrame], keep: Iterable[str] = (), how: str = "inner") -> DataFrame:
+    """``find``, a function of distinct texts (id, t) that gives rows with id, for each row: key, the
+    columns to keep, and what was found. Texts of transactions repeat often, so each is matched once;
+    their ids are digests of 16 bytes, which take the texts' place in explosions and joins."""
+    own = df.select(F.col(key), *keep, text.alias("_t"))
+    texts = own.select(F.unhex(F.md5("_t")).alias("id"), F.col("_t").alias("t")).dropDuplicates(["id"])
+    return own.withColumn("id", F.unhex(F.md5("_t"))).drop("_t").join(find(texts), "id", how).drop("id")
 
 
-def match_keywords(df: DataFrame, key: str, text: str, keywords: DataFrame, allowed: Column | None = None) -> DataFrame:
+def match_keywords(df: DataFrame, key: str, text: str, keywords: DataFrame, allowed: Column | None = None, keep: Iterable[str] = ()) -> DataFrame:
     """M1: (key, keyword, pos): the leftmost keyword that stands in the lower-cased text between
     characters that are no letters or digits; at one place the longest.
 
     Keywords begin with a letter or digit. Rows for which ``allowed`` doesn't hold and rows without
-    a hit are not in the result. Windows of words join the keywords on their first word.
+    a hit are not in the result. Words join the keywords on their first word; only where that fits
+    are keywords of several words compared.
     """
     rows = df.filter(allowed) if allowed is not None else df
-    n = max_words(keywords, "keyword") + 1
-    first = lambda c: F.regexp_extract(c, r"^[\p{L}\p{N}]+", 0)
-    short = keywords.select("keyword", first("keyword").alias("first"))
+    n = max_words(keywords, "keyword")
+    one = r"([\p{L}\p{N}]+)"
+    short = keywords.select("keyword", F.regexp_extract("keyword", one, 1).alias("word"))
+    short = short.withColumn("several", F.col("keyword") != F.col("word"))
 
     def find(texts):
-        words = texts.select("t", F.regexp_extract_all("t", F.lit(_WORD), 1).alias("w")).filter(F.size("w") > 0)
-        windows = F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.array_join(F.slice("w", i, n), ""))
-        windows = words.select("t", F.posexplode(windows).alias("pos", "window")).withColumn("first", first("window"))
-        hits = windows.join(short, "first").filter(F.col("window").startswith(F.col("keyword")))
-        after = F.expr("substring(window, length(keyword) + 1, 1)")
-        hits = hits.filter(~after.rlike(r"[\p{L}\p{N}]"))
-        best = hits.groupBy("t").agg(F.min(F.struct("pos", (-F.length("keyword")).alias("l"), "keyword")).alias("b"))
-        return best.select("t", "b.keyword", "b.pos")
+        words = texts.select("id", F.posexplode(F.regexp_extract_all("t", F.lit(one), 1)).alias("pos", "word"))
+        hits = words.join(short, "word").select("id", "pos", "keyword", "several")
+        if n > 1 or not short.filter("several").isEmpty():
+            parts = texts.select(F.col("id").alias("_of"), F.regexp_extract_all("t", F.lit(_WORD), 1).alias("w"))
+            hits = hits.join(parts, (F.col("id") == F.col("_of")) & F.col("several"), "left")
+            window = F.array_join(F.slice("w", F.col("pos") + 1, n + 1), "")
+            after = F.expr(f"substring(array_join(slice(w, pos + 1, {n + 1}), ''), length(keyword) + 1, 1)")
+            hits = hits.filter(~F.col("several") | (window.startswith(F.col("keyword")) & ~after.rlike(r"[\p{L}\p{N}]")))
+        best = hits.groupBy("id").agg(F.min(F.struct("pos", (-F.length("keyword")).alias("l"), "keyword")).alias("b"))
+        return best.select("id", "b.keyword", "b.pos")
 
-    return by_text(rows, key, F.lower(X.text(text)), find)
+    return by_text(rows, key, F.lower(X.text(text)), find, keep)
 
 
 def word_runs(df: DataFrame, key: str, words: Column, most: int) -> DataFrame:
@@ -69,16 +76,18 @@ def word_runs(df: DataFrame, key: str, words: Column, most: int) -> DataFrame:
     return rows.select(key, F.explode_outer(F.array_distinct(runs)).alias("run")).filter("run is not null")
 
 
-def match_phrases(df: DataFrame, key: str, text: str, phrases: DataFrame, allowed: Column | None = None) -> DataFrame:
+def match_phrases(
+    df: DataFrame, key: str, text: str, phrases: DataFrame, allowed: Column | None = None, keep: Iterable[str] = (), how: str = "inner"
+) -> DataFrame:
     """M2: (key, phrase): the longest phrase whose words stand in the text; of equals the first."""
     rows = df.filter(allowed) if allowed is not None else df
     most = int(phrases.agg(F.max("n_tokens")).first()[0] or 1)
 
     def find(texts):
-        hits = word_runs(texts, "t", F.col("t"), most).join(phrases.select("phrase"), F.col("run") == F.col("phrase"))
-        return hits.groupBy("t").agg(F.min(F.struct((-F.length("phrase")).alias("l"), "phrase"))["phrase"].alias("phrase"))
+        hits = word_runs(texts, "id", F.col("t"), most).join(phrases.select("phrase"), F.col("run") == F.col("phrase"))
+        return hits.groupBy("id").agg(F.min(F.struct((-F.length("phrase")).alias("l"), "phrase"))["phrase"].alias("phrase"))
 
-    return by_text(rows, key, X.norm_phrase(text), find)
+    return by_text(rows, key, X.norm_phrase(text), find, keep, how)
 
 
 def code_segments(matched: DataFrame, code: str, segment: str = "segment") -> DataFrame:
@@ -88,32 +97,40 @@ def code_segments(matched: DataFrame, code: str, segment: str = "segment") -> Da
     return dominant(matched, [code], segment).select(code, F.col(segment).alias("code_segment"), "share")
 
 
+def _head(text: Column, heads: Iterable[str]) -> Column:
+    """The first head that is a word of the text in phrase form."""
+    words = F.split(text, " ")
+    return F.coalesce(*[F.when(F.array_contains(words, h), F.lit(h)) for h in heads])
+
+
+def _of_head(head: Column, min_share: float) -> dict[str, Column]:
+    """Product and segment of a head; the segment is the code's, if dominant enough."""
+    segment = F.when(F.col("share") >= min_share, F.col("code_segment")).otherwise("")
+    return {"product": F.concat(F.initcap(head), F.lit(" (unspecified)")), "segment": segment}
+
+
 def match_heads(df: DataFrame, key: str, text: str, code: str, heads: Iterable[str], segments: DataFrame, min_share: float = 0.5) -> DataFrame:
     """M3: (key, phrase, product, segment): the first head that is a word of the text, its product
     marked as unspecified; the segment is the code's, if dominant enough, else ''."""
-    words = F.split(X.norm_phrase(text), " ")
-    head = F.coalesce(*[F.when(F.array_contains(words, h), F.lit(h)) for h in heads])
-    rows = df.select(key, code, head.alias("phrase")).filter("phrase is not null")
+    rows = df.select(key, code, _head(X.norm_phrase(text), heads).alias("phrase")).filter("phrase is not null")
     rows = rows.join(segments, code, "left")
-    return rows.select(
-        key, "phrase", F.concat(F.initcap("phrase"), F.lit(" (unspecified)")).alias("product"),
-        F.when(F.col("share") >= min_share, F.col("code_segment")).otherwise("").alias("segment"),
-    )
+    return rows.select(key, "phrase", *(c.alias(n) for n, c in _of_head(F.col("phrase"), min_share).items()))
 
 
 def match_category(
     df: DataFrame, key: str, text: str, code: str, phrases: DataFrame, heads: Iterable[str], segments: DataFrame,
     negative: Iterable[str] = (), allowed: Column | None = None, min_share: float = 0.5,
 ) -> DataFrame:
-    """M4: (key, phrase, product, segment, sub_segment, confidence) by phrase, else by head."""
+    """M4: (key, phrase, product, segment, sub_segment, confidence) by phrase, else by head. Rows are
+    read once: phrases and segments are joined to them."""
     ok = ~P.has_cue(text, negative)
     rows = df.filter(ok & allowed if allowed is not None else ok)
-    by_phrase = match_phrases(rows, key, text, phrases).join(phrases.drop("n_tokens"), "phrase")
-    rest = rows.join(by_phrase.select(key), key, "left_anti")
-    by_head = match_heads(rest, key, text, code, heads, segments, min_share)
-    by_head = by_head.withColumns({"sub_segment": F.lit(""), "confidence": F.lit("low")})
-    columns = [key, "phrase", "product", "segment", "sub_segment", "confidence"]
-    return by_phrase.select(columns).unionByName(by_head.select(columns))
+    rows = match_phrases(rows, key, text, phrases, keep=(code, text), how="left").join(phrases.drop("n_tokens"), "phrase", "left").join(segments, code, "left")
+    rows = rows.withColumn("head", F.when(F.col("phrase").isNull(), _head(X.norm_phrase(text), heads)))
+    by_head = _of_head(F.col("head"), min_share) | {"phrase": F.col("head"), "sub_segment": F.lit(""), "confidence": F.lit("low")}
+    rows = rows.filter(F.col("phrase").isNotNull() | F.col("head").isNotNull())
+    columns = ["phrase", "product", "segment", "sub_segment", "confidence"]
+    return rows.select(key, *(F.when(F.col("head").isNotNull(), by_head[c]).otherwise(F.col(c)).alias(c) for c in columns))
 
 
 def match_party(df: DataFrame, key: str, columns: Iterable[str], cores: DataFrame, exclude: Iterable[str] = (), allowed: Column | None = None) -> DataFrame:
@@ -125,9 +142,9 @@ def match_party(df: DataFrame, key: str, columns: Iterable[str], cores: DataFram
 
     def find(texts):
         texts = texts.filter(~P.has_cue("t", exclude))
-        hits = word_runs(texts, "t", F.col("t"), most).join(cores.select("core", "canonical"), F.col("run") == F.col("core"))
-        best = hits.groupBy("t").agg(F.min(F.struct((-F.length("core")).alias("l"), "core", "canonical")).alias("b"))
-        return best.select("t", "b.core", F.col("b.canonical").alias("maker"))
+        hits = word_runs(texts, "id", F.col("t"), most).join(cores.select("core", "canonical"), F.col("run") == F.col("core"))
+        best = hits.groupBy("id").agg(F.min(F.struct((-F.length("core")).alias("l"), "core", "canonical")).alias("b"))
+        return best.select("id", "b.core", F.col("b.canonical").alias("maker"))
 
     return by_text(rows, key, blob, find)
 
@@ -135,12 +152,12 @@ def match_party(df: DataFrame, key: str, columns: Iterable[str], cores: DataFram
 def cascade(df: DataFrame, key: str, family, category, maker, staged=lambda d: d) -> DataFrame:
     """M6: (key, tier, keyword, phrase, maker, ...): each tier is a function of the rows that no
     tier before it matched. ``family`` gives (key, keyword), ``category`` (key, phrase, product,
-    segment, sub_segment, confidence), ``maker`` (key, maker). ``staged`` keeps a tier's matches,
-    which later tiers read again."""
+    segment, sub_segment, confidence), ``maker`` (key, maker). ``staged`` keeps a tier's matches and
+    what it left, which are read several times."""
     one = staged(family(df))
-    rest = df.join(one.select(key), key, "left_anti")
+    rest = staged(df.join(one.select(key), key, "left_anti"))
     two = staged(category(rest, one))
-    three = maker(rest.join(two.select(key), key, "left_anti"))
+    three = maker(staged(rest.join(two.select(key), key, "left_anti")))
     tiers = [d.withColumn("tier", F.lit(t)) for t, d in (("family", one), ("category", two), ("manufacturer", three))]
     out = tiers[0].unionByName(tiers[1], allowMissingColumns=True).unionByName(tiers[2], allowMissingColumns=True)
     return out
@@ -167,13 +184,13 @@ def phrase_hits(df: DataFrame, key: str, text: str, terms: DataFrame) -> DataFra
     sides = several.select("a", "b").distinct().collect()  # nine at most
 
     def find(texts):
-        words = texts.select("t", F.explode(F.array_distinct(F.split("t", " "))).alias("term")).join(single, "term").select("t", "term")
-        if not sides:
-            return words.groupBy("t").agg(F.array_sort(F.collect_set("term")).alias("hits"))
-        gaps = F.flatten(F.array(*(F.regexp_extract_all("t", F.lit(f"(?=([^ ]{{{r.a}}} [^ ]{{{r.b}}}))"), 1) for r in sides)))
-        found = texts.select("t", F.explode(F.array_distinct(gaps)).alias("gap")).join(several.select("term", "gap"), "gap")
-        found = words.unionByName(found.filter(F.col("t").contains(F.col("term"))).select("t", "term"))
-        return found.groupBy("t").agg(F.array_sort(F.collect_set("term")).alias("hits"))
+        words = texts.select("id", F.explode(F.array_distinct(F.split("t", " "))).alias("term")).join(single, "term").select("id", "term")
+        if sides:
+            gaps = F.flatten(F.array(*(F.regexp_extract_all("t", F.lit(f"(?=([^ ]{{{r.a}}} [^ ]{{{r.b}}}))"), 1) for r in sides)))
+            near = texts.select("id", F.explode(F.array_distinct(gaps)).alias("gap")).join(several.select("term", "gap"), "gap")
+            near = near.join(texts, "id").filter(F.col("t").contains(F.col("term")))
+            words = words.unionByName(near.select("id", "term"))
+        return words.groupBy("id").agg(F.array_sort(F.collect_set("term")).alias("hits"))
 
     return by_text(df, key, X.norm_text(text), find)
 

@@ -40,10 +40,8 @@ def map_rows(
     allowed = P.match_allowed("hs4", rules.core, rules.exclude)
 
     def family(df):
-        hits = match.match_keywords(df, key, "description", keywords, allowed)
-        if not rules.guard_rules:
-            return hits.drop("pos")
-        labelled = hits.join(keywords.select("keyword", "product"), "keyword").join(df.select(key, "description"), key)
+        hits = match.match_keywords(df, key, "description", keywords, allowed, ["description"])
+        labelled = hits.join(keywords.select("keyword", "product"), "keyword")
         return labelled.filter(~guards.conflict("product", "description", rules.guard_rules)).select(key, "keyword")
 
     def category(df, one):
