@@ -303,7 +303,9 @@ def _parts(n: str, rows: str, most: int, most_rows: int):
 def _slices(members: DataFrame, most: int, most_rows: int) -> DataFrame:
     """The members of each neighbourhood in slices by hash, the hub in all; all ask all."""
     sizes = members.groupBy("hub").agg(F.sum("n").alias("total"), F.count("*").alias("rows"))
-    rows = members.join(sizes.select("hub", _parts("total", "rows", most, most_rows).alias("parts")), "hub")
+    large = sizes.select("hub", _parts("total", "rows", most, most_rows).alias("parts")).filter("parts > 1")
+    # Few hubs have several slices, so Spark broadcasts them and a hub's rows needn't meet here.
+    rows = members.join(large, "hub", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
     own = F.array(F.pmod(F.xxhash64("rid"), F.col("parts")))
     every = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
     rows = rows.withColumn("i", F.explode(F.when(F.col("hub") == F.col("s1"), every).otherwise(own)))
