@@ -24,7 +24,7 @@ def one(spark, expression, *values):
     "f, given, want",
     [
         (X.norm_exact, "  A \t b\n", "a b"), (X.norm_exact, None, ""), (X.norm_loose, "Foo™_bar – Baz/qux\\z", "foo bar baz qux z"),
-        (X.norm_phrase, "Screws_and Plates/2", "screw and plate 2"), (X.norm_text, "R&D, Ltd.", "r and d ltd"), (X.normalize_text, "Éclair & Co./x", "eclair and co./x"),
+        (X.norm_phrase, "Screws_and Plates/2", "screw and plate 2"), (X.norm_text, "R&D, Ltd.", "r and d ltd"), (X.normalize_text, "Éclair & Co./x", "eclair and co./x"), (X.normalize_text, "a\u20d0b \u0301c", "ab c"), (X.normalize_text, None, ""),
         (X.canon_sep, "a | b - c_d e-f", "a_b_c_d e-f"), (X.hs8, " 12.0 ", "12"), (X.hs8, "abc", "<NA>"), (X.hs8, "NaN", "<NA>"), (X.safe_number, "inf", 0.0), (X.safe_number, "1e3", 1000.0),
     ],
 )

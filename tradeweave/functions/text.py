@@ -7,6 +7,7 @@ decomposition, and takes batches.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterable, Mapping
 
 import pandas as pd
@@ -62,9 +63,14 @@ def norm_text(c: Column | str) -> Column:
 desc_key = norm_party  # N6: the form in which descriptions are joined
 
 
+def _without_marks(t: str) -> str:
+    """The text in compatibility decomposition without combining characters."""
+    return t if t.isascii() else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+
+
 @F.pandas_udf(StringType())
 def _folded(s: pd.Series) -> pd.Series:
-    plain = s.fillna("").str.normalize("NFKD").str.replace("[̀-ͯ]", "", regex=True)
+    plain = s.fillna("").map(_without_marks).astype("object")
     plain = plain.str.lower().str.replace("&", " and ", regex=False)
     return plain.str.replace(r"[^a-z0-9./+\-]+", " ", regex=True).str.strip()
 
