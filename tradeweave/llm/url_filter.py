@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, saved
+from .common import batch, dropped, saved
 
 #: The rules (host and path) with their verdicts.
 RULES = {
@@ -152,7 +152,9 @@ def train_models(labelled: DataFrame, order: int, min_count: int) -> DataFrame:
         for v in ("allow", "block")
         for c in ("n", "total", "kinds")
     ]
-    return saved(parts.groupBy("gram").agg(*sums), "models")
+    models = saved(parts.groupBy("gram").agg(*sums), "models")
+    dropped(kept)
+    return models
 
 
 def scores(rows: DataFrame, models: DataFrame, order: int) -> DataFrame:
@@ -225,6 +227,7 @@ def url_filter(
     fold = F.pmod(F.xxhash64("url"), F.lit(4))
     models = train_models(decided.filter(fold != 0).select(F.col("by_rule").alias("label"), "url"), order, min_count)
     scored = saved(scores(rows.filter((F.col("by_rule").isNull()) | (fold == 0)), models, order), "scores")
+    dropped(models)
     threshold = calibrate(scored.filter("by_rule is not null"))
     rest = scored.filter("by_rule is null")
     judged = decided.withColumn("score", F.lit(None).cast("double")).unionByName(rest)
