@@ -80,7 +80,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``, each written as Parquet and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = common.saved(stage(spark, docs, sf_dir), f"stage-{name}")
+        common.dropped(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
