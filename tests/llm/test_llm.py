@@ -63,9 +63,10 @@ def brute_components(rows):
     return {i: (len(sets[i]), root(i)) for i in ids}
 
 
-def test_jaccard_join_matches_brute_force(spark):
+@pytest.mark.parametrize("size", [{"most": 500}, {"most_rows": 3}, {}])
+def test_jaccard_join_matches_brute_force(spark, size):
     rows = near_copies() + [(900, None), (901, ""), (902, "Two words"), (903, "two WORDS"), (904, "two other")]
-    out = jaccard_join.jaccard_components(documents(spark, rows), most=500).collect()
+    out = jaccard_join.jaccard_components(documents(spark, rows), **size).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute_components(rows)
     assert len(out) == len(rows)
 
