@@ -31,7 +31,8 @@ def by_text(df: DataFrame, key: str, text: Column, find: Callable[[DataFrame], D
     their ids are digests of 16 bytes, which take the texts' place in explosions and joins."""
     own = df.select(F.col(key), *keep, text.alias("_t"))
     texts = own.select(F.unhex(F.md5("_t")).alias("id"), F.col("_t").alias("t")).dropDuplicates(["id"])
-    return own.withColumn("id", F.unhex(F.md5("_t"))).drop("_t").join(find(texts), "id", how).drop("id")
+    found = find(texts).withColumnRenamed("id", "_text_id")
+    return own.withColumn("_text_id", F.unhex(F.md5("_t"))).drop("_t").join(found, "_text_id", how).drop("_text_id")
 
 
 def match_keywords(df: DataFrame, key: str, text: str, keywords: DataFrame, allowed: Column | None = None, keep: Iterable[str] = ()) -> DataFrame:
