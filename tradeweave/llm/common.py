@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 import weakref
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Lower-cases A-Z and turns every ASCII byte that is neither a digit nor a letter into a space.
 _ALNUM = bytes(
@@ -27,14 +27,14 @@ _PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Where it isn't set, a local master (tests) gets a temporary folder; a cluster is an error.
+    Where it isn't set and the master is local, a folder below the session's warehouse; on a cluster that
+    is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        found = tempfile.mkdtemp(prefix="tradeweave-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        found = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared"
     return found.rstrip("/")
 
 
@@ -105,6 +105,38 @@ def most_frequent(counts: DataFrame, n: str, size: int) -> DataFrame:
     return out.unionByName(counts.filter(bin_ == partly).orderBy(*order).limit(size - total))
 
 
+def own(name: str) -> Column:
+    """The column of exactly that name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def numbered_names(df: DataFrame) -> DataFrame:
+    """``df`` with columns c0, c1, ...: Arrow functions take columns by name, and names may have dots."""
+    return df.toDF(*(f"c{k}" for k in range(len(df.columns))))
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)
+
+
+def row_digest(df: DataFrame) -> Column:
+    """A 64-bit digest of all columns of a row, of any names and types; maps count by their JSON."""
+    return F.xxhash64(*(F.to_json(F.struct(own(f.name).alias("v"))) if _has_map(f.dataType) else own(f.name) for f in df.schema))
+
+
+def hot_apart(rows: DataFrame, table: DataFrame, on: list[str], n: str, total: int, share: int = 1000, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table`` (one row per key ``on``, of which ``n`` rows are) without its column n.
+
+    A key of more than 1 / ``share`` of ``total`` rows is hot: as the rows of all keys are at most ``total``,
+    there are fewer than ``share`` of them. They are sent to all tasks; the rows of the others meet by key.
+    """
+    hot, rest = (table.filter(c).drop(n) for c in (F.col(n) > total / share, F.col(n) <= total / share))
+    hot = F.broadcast(hot)
+    return rows.join(hot, on).unionByName(rows.join(hot.select(*on), on, "left_anti").join(rest, on, how))
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Sees to it that texts reach Python in batches of at most ``rows``, unless the session says
     otherwise: whole texts can be long."""

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, batch, read_file, shared_path, write_file
+from .common import alnum_words, batch, numbered_names, read_file, shared_path, write_file
 
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -215,7 +215,7 @@ def _hits(docs: DataFrame, paths: list[str]) -> DataFrame:
 
     def run(batches):
         for held in _gathered(batches, paths):
-            for b in [pa.Table.from_batches(held).combine_chunks().to_batches()[0]] if sum(len(x) for x in held) else []:
+            for b in pa.Table.from_batches(held).combine_chunks().to_batches():
                 words = [alnum_words(t) for t in b.column(1).to_pylist()]
                 done = _scan_all(paths, words)
                 new = batch(
@@ -301,12 +301,12 @@ def decontaminate(
     """``docs`` with all its columns, without the spans of item words in its texts.
 
     A document goes as a whole when more than ``max_coverage`` of its words were inside windows.
-    Both count the hits of all automata, to which items beyond ``max_words`` words go.
+    Columns may have any names and types. Both count the hits of all automata, to which items beyond ``max_words`` words go.
     Documents without hits, null and empty texts stay as they are; without items all do. Texts of any
     length count as a whole, rows that repeat are judged each, an empty table gives no rows. n_chars,
     where there is such a column, follows a changed text; other columns stay as they are.
     """
-    names = docs.columns
+    names, rows = docs.columns, numbered_names(docs)
     at, paths = names.index("text"), automata(items, window, max_words)
 
     def run(batches):
@@ -319,7 +319,7 @@ def decontaminate(
                 keep = pa.array([removed <= max_coverage * total for _, removed, total in rows], pa.bool_())
                 yield pa.RecordBatch.from_arrays(columns, schema=b.schema).filter(keep)
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = rows.mapInArrow(run, rows.schema).toDF(*names)
     if "n_chars" in names:
         out = out.withColumn(
             "n_chars",

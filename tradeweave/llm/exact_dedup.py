@@ -5,7 +5,8 @@ it doubles as long as a bucket has more keys than its capacity, and only such bu
 buckets has one owner task, which gets all rows of its range of keys, compares their texts byte by
 byte, chains the different texts of one key, and writes its part of the index. Every document is then
 looked up by bucket, key and digest. Keys of many rows are combined by text before they go to their
-owner, so a text that makes up a third of all rows arrives as one row a task.
+owner, so a text that makes up a third of all rows arrives as one row a task; entries of such texts go
+to all tasks for the lookup.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import dropped, saved
+from .common import dropped, hot_apart, saved
 
 #: The white space that counts as equal.
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -106,8 +107,9 @@ def exact_dedup(
     any length count as a whole. An empty table gives no rows; other columns are ignored.
     """
     index, keyed = build_index(docs, hash_, capacity, owned)
-    entries = index.select("bucket", "key", "text_sha256", "keep_id", "group_size", "chain")
-    return keyed.join(entries, ["bucket", "key", "text_sha256"]).select(
+    entries = index.select("bucket", "key", "text_sha256", "keep_id", "group_size", "chain", F.col("group_size").alias("n"))
+    total = index.agg(F.sum("group_size")).first()[0] or 0
+    return hot_apart(keyed, entries, ["bucket", "key", "text_sha256"], "n", total).select(
         "doc_id",
         "keep_id",
         "group_size",

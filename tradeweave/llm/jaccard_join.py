@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from .common import dropped, saved, space_words
+from .common import dropped, hot_apart, own, row_digest, saved, space_words
 
 #: Counters of the frequency sketch, groups of a count vector, leaf and node sizes of a tree.
 _COUNTERS, _CHUNK, GROUPS, LEAF, FAN = 1 << 18, 1 << 12, 128, 16, 8
@@ -493,8 +493,13 @@ def jaccard_components(
         dropped(across, component)
     dropped(pieces, points, members, within)
 
-    named = reps.join(final, "rid", "left").select("s1", "s2", F.coalesce("c", "rid").alias("c"))
-    out = marks.join(named, ["s1", "s2"], "left")
+    copies = marks.filter("n > 0 and id is not null").groupBy("s1", "s2").agg(F.min("id").alias("rid"), F.count("*").alias("copies"))
+    named = saved(copies.join(final, "rid", "left").select("s1", "s2", F.coalesce("c", "rid").alias("c"), "copies"), "named")
+    total = named.agg(F.sum("copies")).first()[0] or 0
+    # Rows without a set or an id have no name to look up, and those of a hot set don't meet.
+    asks = marks.filter("n > 0 and id is not null")
+    rest = marks.filter("n = 0 or id is null").withColumn("c", F.col("id"))
+    out = hot_apart(asks, named, ["s1", "s2"], "copies", total).unionByName(rest)
     return out.select(
         F.col("id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
@@ -510,10 +515,10 @@ def one_of_each_set(docs: DataFrame, n: int = 5) -> DataFrame:
         for b in batches:
             of = [_signature(s) if len(s) else (None, None) for s in shingle_sets(b.column(1).to_pylist(), n)]
             marks = [pa.array([x[k] for x in of], pa.int64()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*b.columns, *marks], names=["row", "text", "s1", "s2"])
+            yield pa.RecordBatch.from_arrays([*b.columns, *marks], names=["row", "text", "h", "s1", "s2"])
 
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    rows = docs.select(F.struct(*(own(c).alias(c) for c in docs.columns)).alias("row"), "text", row_digest(docs).alias("h"))
     signed = rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField("s1", T.LongType()), T.StructField("s2", T.LongType())]))
     wordless = F.when(F.col("s1").isNull(), F.xxhash64("text"))
-    least = F.min(F.struct(F.xxhash64("row").alias("h"), "row"))["row"]
-    return signed.groupBy("s1", "s2", wordless.alias("t")).agg(least.alias("row")).select("row.*")
+    # min_by takes rows with maps, which have no order of their own.
+    return signed.groupBy("s1", "s2", wordless.alias("t")).agg(F.min_by("row", "h").alias("row")).select("row.*")

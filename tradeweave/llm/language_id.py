@@ -15,9 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import batch
+from .common import batch, numbered_names
 
 #: N-grams of 1 to 3 characters; a code point takes 21 bits of a 64-bit code.
 _BITS = 21
@@ -140,11 +141,17 @@ def held_out(doc_id):
 
 
 def predict(docs: DataFrame, profiles: dict[str, np.ndarray], top: int = 300) -> DataFrame:
-    """``docs`` with all its columns, and lang_pred and score, which replace columns so named."""
+    """``docs`` with all its columns, and lang_pred and score, which replace columns so named.
+
+    A null text, one without letters, and every text if there are no profiles is ``und`` with score 0.
+    Equal distances go to the first language by name. Texts of any length count as a whole; rows that
+    repeat are judged each; an empty table gives no rows; columns may have any names and types.
+    """
     sc = docs.sparkSession.sparkContext
     model = sc.broadcast(Profiles(profiles, top))  # at most ``top`` numbers a language
     docs = docs.drop("lang_pred", "score")
-    at = docs.columns.index("text")
+    names, at = docs.columns, docs.columns.index("text")
+    rows = numbered_names(docs)
 
     def run(batches):
         for b in batches:
@@ -152,8 +159,8 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], top: int = 300) ->
             new = [pa.array([x for x, _ in done], pa.string()), pa.array([x for _, x in done], pa.float64())]
             yield pa.RecordBatch.from_arrays([*b.columns, *new], names=[*b.schema.names, "lang_pred", "score"])
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{kept}, lang_pred string, score double")
+    schema = T.StructType([*rows.schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(run, schema).toDF(*names, "lang_pred", "score")
 
 
 def identify(docs: DataFrame, top: int = 300) -> DataFrame:

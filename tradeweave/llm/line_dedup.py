@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, saved
+from .common import dropped, own, saved
 
 
 def _lines(docs: DataFrame, site: str, min_chars: int) -> DataFrame:
@@ -99,7 +99,7 @@ def line_dedup(
     spread = spread_lines(lines, min_sites, lg_k)
     gone = removable(lines, spread).groupBy("id", "of").agg(F.collect_set("pos").alias("gone"))
     # All columns of docs travel in one, so none clashes with those in here.
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"))
+    rows = docs.select(F.struct(*(own(c).alias(c) for c in names)).alias("row"))
     text = F.col("row.text")
     same = F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.md5(F.coalesce(text, F.lit(""))) == F.col("of"))
     pieces = F.split(text, "\n", -1)
@@ -114,10 +114,10 @@ def line_dedup(
 
 def _changed(out: DataFrame, name: str) -> Column:
     """A column of ``docs`` after the removal."""
-    own = F.col(f"row.`{name}`")
+    before = F.col("row").getField(name)
     if name == "text":
         return F.col("cut").alias("text")
     if name == "n_chars":
         kind = out.schema["row"].dataType[name].dataType
-        return F.when(F.col("gone").isNull(), own).otherwise(F.length("cut").cast(kind)).alias(name)
-    return own.alias(name)
+        return F.when(F.col("gone").isNull(), before).otherwise(F.length("cut").cast(kind)).alias(name)
+    return before.alias(name)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import dropped, saved
+from .common import dropped, own, saved
 
 ARITY = 8
 #: Levels that are reduced within a superblock: 512 leaves.
@@ -39,7 +39,7 @@ def field_text(value: Column, kind: T.DataType | None = None) -> Column:
 def leaf(docs: DataFrame, columns: Sequence[str], claimed: Mapping[str, Column] | None = None) -> Column:
     """The digest of a row over ``columns`` in this order; ``claimed`` has other values for some."""
     values = claimed or {}
-    return F.sha2(F.concat(*(field_text(values.get(c, F.col(f"`{c}`")), docs.schema[c].dataType) for c in columns)), 256)
+    return F.sha2(F.concat(*(field_text(values.get(c, own(c)), docs.schema[c].dataType) for c in columns)), 256)
 
 
 def numbered(rows: DataFrame, group: str, order: Sequence[str]) -> DataFrame:
@@ -158,9 +158,9 @@ def manifest(
     texts of any length count as a whole, other columns are ignored, whatever they are called. An empty
     table gives no rows.
     """
-    own, other = leaf(docs, columns), leaf(docs, columns, claimed)
-    tree = F.coalesce(F.concat(F.lit("="), F.col(f"`{group}`").cast("string")), F.lit(""))
-    rows = docs.select(tree.alias("tree"), F.col(f"`{key}`").alias("k"), own.alias("digest"), F.nullif(other, own).alias("other"))
+    mine, other = leaf(docs, columns), leaf(docs, columns, claimed)
+    tree = F.coalesce(F.concat(F.lit("="), own(group).cast("string")), F.lit(""))
+    rows = docs.select(tree.alias("tree"), own(key).alias("k"), mine.alias("digest"), F.nullif(other, mine).alias("other"))
     leaves = numbered(rows, "tree", ("k", "digest"))
     levels = _up(leaves.select("tree", "pos", "size", "digest"), height)
 

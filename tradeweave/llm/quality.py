@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, saved
+from .common import batch, hot_apart, saved
 
 FEATURES = (
     "log words", "mean word length", "distinct words", "most frequent word", "repeated neighbours",
@@ -173,8 +173,8 @@ def classify(
     sections = by_section.join(sites, F.col("site") == F.col("of")).drop("of")
     s2 = strength_of(sections, F.col("site_rate"))
     rate = F.round(posterior(F.col("good"), F.col("n"), F.col("site_rate"), F.lit(s2)), 9)
-    sections = sections.select(F.col("site").alias("s"), F.col("section").alias("t"), "site_rate", rate.alias("section_rate"))
-    joined = scored.join(sections, (F.col("site") == F.col("s")) & (F.col("section") == F.col("t")))
+    sections = sections.select("site", "section", "site_rate", rate.alias("section_rate"), "n")
+    joined = hot_apart(scored, sections, ["site", "section"], "n", total.n or 0)
     bounded = F.greatest(F.least(F.col("section_rate"), F.lit(1 - 1e-6)), F.lit(1e-6))
     score = 1 / (1 + F.exp(-(F.col("evidence") + F.log(bounded / (1 - bounded)))))
     return joined.select(

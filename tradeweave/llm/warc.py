@@ -14,6 +14,7 @@ import base64
 import hashlib
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -79,8 +80,11 @@ def records(
 ) -> Iterator[str]:
     """The records of one page: a revisit, or a response and its continuations.
 
-    Ids are made of page_id and digest, so a revisit names the id of the response that it refers to.
+    Ids are made of page_id and digest, so a revisit names the id of the response that it refers to. A
+    page_id stands percent-encoded, with ``=`` before it; a null one is empty.
     """
+    page_id, refers_to = (None if i is None else "=" + quote(str(i), safe="") for i in (page_id, refers_to))
+    page_id = page_id or ""
     fields = {
         "WARC-Record-ID": f"<urn:page:{page_id}:{digest}>",
         "WARC-Date": _DATE,
@@ -119,8 +123,9 @@ def records(
 def with_originals(pages: DataFrame, min_bytes: int) -> DataFrame:
     """(page_id, url, html, digest, keep): keep is the largest page_id of an equal payload.
 
-    Payloads below ``min_bytes`` have none. Keys are combined in each task before the shuffle; the
-    join on them is one that Spark splits where a key has many rows.
+    Payloads below ``min_bytes`` have none. Keys are combined in each task before the shuffle. A payload of
+    more than a thousandth of all copies is hot; there are fewer than a thousand, which go to all tasks, so
+    the pages of one don't meet.
     """
     html = F.coalesce("html", F.lit(""))
     raw = F.encode(html, "UTF-8")
@@ -128,11 +133,17 @@ def with_originals(pages: DataFrame, min_bytes: int) -> DataFrame:
         "page_id", "url", html.alias("html"), F.sha1(raw).alias("digest"), F.sha2(raw, 256).alias("same"),
         F.octet_length(html).alias("n"),
     )
-    best = (
+    best = saved(
         rows.filter(F.col("n") >= min_bytes).groupBy("same").agg(F.max("page_id").alias("keep"), F.count("*").alias("copies"))
-        .filter(F.col("copies") > 1)
+        .filter(F.col("copies") > 1), "originals"
     )
-    return rows.join(best.select("same", "keep"), "same", "left")
+    limit = (best.agg(F.sum("copies")).first()[0] or 0) / 1000
+    hot = best.filter(F.col("copies") > limit).select("same", F.col("keep").alias("hot"))
+    rest = best.filter(F.col("copies") <= limit).select(F.col("same").alias("of"), F.col("keep").alias("rest"))
+    rows = rows.join(F.broadcast(hot), "same", "left")
+    alone = F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string"))  # no payload has that digest
+    rows = rows.withColumn("at", F.when(F.col("hot").isNull(), F.col("same")).otherwise(alone))
+    return rows.join(rest, F.col("at") == F.col("of"), "left").withColumn("keep", F.coalesce("hot", "rest")).drop("hot", "rest", "of", "at")
 
 
 def write_archives(
@@ -160,6 +171,12 @@ _READ = pa.schema(
 )
 
 
+def page_of(record_id: str | None) -> str | None:
+    """The page_id, as text, in a record id; None for a null one."""
+    part = record_id.removesuffix(">").split(":")[2] if record_id else ""
+    return unquote(part[1:]) if part else None
+
+
 def parse(data: bytes) -> Iterator[dict]:
     """The records of an unpacked archive."""
     at = 0
@@ -241,8 +258,8 @@ def payloads(whole: DataFrame) -> DataFrame:
                     payload = dechunked(r["block"][r["block"].index(b"\r\n\r\n") + 4 :])
                 valid = not response or payload is not None and hashlib.sha1(payload).hexdigest() == r["digest"]
                 rows.append(
-                    {"page": r["id"].split(":")[2], "kind": r["kind"], "digest": r["digest"], "payload": payload, "valid": valid,
-                     "refers": r["refers"] and r["refers"].removesuffix(">").split(":")[2]}
+                    {"page": page_of(r["id"]), "kind": r["kind"], "digest": r["digest"], "payload": payload, "valid": valid,
+                     "refers": page_of(r["refers"])}
                 )
             yield pa.RecordBatch.from_pylist(rows, schema)
 
@@ -273,7 +290,7 @@ def archive_round_trip(pages: DataFrame, min_bytes: int = 1000, path: str | None
     hot = targets.filter(F.col("asked") > limit).select("of", F.col("target").alias("hot"))
     rest = targets.filter(F.col("asked") <= limit).select(F.col("of").alias("rest_of"), F.col("target").alias("rest"))
     revisits = revisits.join(F.broadcast(hot), F.col("refers") == F.col("of"), "left")
-    at = F.when(F.col("hot").isNull(), F.col("refers")).otherwise(F.concat(F.lit("-"), "page"))  # no page has that name
+    at = F.when(F.col("hot").isNull(), F.col("refers")).otherwise(F.concat(F.lit("-"), F.coalesce("page", F.lit(""))))  # a minus before a page's own name isn't looked up
     revisits = revisits.withColumn("at", at).join(rest, F.col("at") == F.col("rest_of"), "left").withColumn("target", F.coalesce("hot", "rest"))
     revisits = revisits.select(
         "page", "kind", "refers", F.col("target.n").alias("n"), F.col("target.digest").alias("digest"),
@@ -281,9 +298,8 @@ def archive_round_trip(pages: DataFrame, min_bytes: int = 1000, path: str | None
     )
     joined = responses.select(revisits.columns).unionByName(revisits)
     kind = pages.schema["page_id"].dataType
-    page = F.when(F.col("page") != "None", F.col("page"))
     return joined.select(
-        page.cast(kind).alias("page_id"),
+        F.col("page").cast(kind).alias("page_id"),
         F.col("n").cast("long").alias("payload_bytes"),
         F.col("digest").alias("payload_digest"),
         F.col("kind").alias("record_type"),
