@@ -3,6 +3,7 @@
 import difflib
 import hashlib
 import math
+import os
 import random
 import re
 
@@ -64,6 +65,33 @@ def test_leftmost_longest_keyword(spark, text, want):
     assert (found.keyword if found else None) == want
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_occurrences_over_a_trie_match_brute_force(spark, seed):
+    rng = random.Random(seed)
+    words, gaps = ["a", "b", "ab", "é1", "7", "x"], [" ", "-", "  ", "+", ". ", ""]
+    text = lambda n: "".join(rng.choice(words) + rng.choice(gaps) for _ in range(n))
+    texts = [(k, rng.choice(["", "-", " "]) + text(rng.randrange(0, 14))) for k in range(80)]
+    entries = sorted({e for e in (text(rng.randrange(1, 5)) for _ in range(120)) if e and e[0].isalnum()})
+    want = set()
+    for k, t in texts:
+        starts = [m.start() for m in re.finditer(r"[^\W_]+", t)]
+        for pos, at in enumerate(starts):
+            for e in entries:
+                end = at + len(e)
+                if t.startswith(e, at) and not (end < len(t) and t[end].isalnum()):
+                    want.add((k, pos, e))
+    out = match.occurrences(spark.createDataFrame(texts, "id long, t string"), spark.createDataFrame([(e,) for e in entries], "e string"), "e")
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_many_entries_with_one_first_word_multiply_nothing(spark):
+    """30,000 entries begin with a word that stands 4,000 times: all pairs would be 120 million."""
+    entries = spark.range(30_000).select(F.concat(F.lit("common part "), F.col("id").cast("string")).alias("e"))
+    texts = spark.range(200).select("id", F.concat_ws(" ", *[F.concat(F.lit("common part "), (F.col("id") * 20 + k).cast("string")) for k in range(20)]).alias("t"))
+    assert match.occurrences(texts, entries, "e").count() == 4000
+
+
 def test_party_exclusion_and_longest_core(spark):
     rows = spark.createDataFrame([(1, "Acme Medical Ltd"), (2, "ACME vet"), (3, None)], "id int, p string")
     cores = spark.createDataFrame([("acme", 1, 4, "A"), ("acme medical", 2, 12, "AM")], "core string, n_tokens int, len int, canonical string")
@@ -230,6 +258,53 @@ def test_read_delimited_falls_back_to_latin_1(spark, tmp_path):
         tables.read_delimited(spark, str(path), "\t", ["zz"])
 
 
+def test_each_file_has_its_own_encoding(spark, tmp_path):
+    (tmp_path / "a b.tsv").write_bytes("k\tname\n1\tMéxico\n2\tÅse ™\n".encode())
+    (tmp_path / "b.tsv").write_bytes("k\tname\n3\tcafé\n4\tplain\n".encode("latin-1"))
+    (tmp_path / "c.tsv").write_bytes("\ufeffk\tname\n5\tñ\n".encode())
+    (tmp_path / "d.tsv").write_bytes(b"k\tname\n6\tascii\n")
+    out = {r.k: r.name for r in tables.read_delimited(spark, str(tmp_path), "\t", ["k", "name"]).collect()}
+    assert out == {"1": "México", "2": "Åse ™", "3": "café", "4": "plain", "5": "ñ", "6": "ascii"}
+
+
+def test_large_files_of_either_encoding_stay_split(spark, tmp_path):
+    for name, encoding in (("u.tsv", "utf-8"), ("l.tsv", "latin-1")):
+        (tmp_path / name).write_bytes(("k\tv\n" + "".join(f"{n}\té{n}\n" for n in range(40_000))).encode(encoding))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        df = tables.read_delimited(spark, str(tmp_path))
+        assert df.rdd.getNumPartitions() > 6
+        assert df.filter("v <> concat('é', k)").count() == 0 and df.count() == 80_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_state_of_files_follows_any_of_them(spark, tmp_path):
+    for name in ("a", "b"):
+        spark.range(3).write.parquet(str(tmp_path / name))
+    paths = [str(tmp_path / n) for n in ("a", "b")]
+    first = tables.file_state(spark, paths)
+    assert first == tables.file_state(spark, paths)
+    spark.range(4).write.mode("overwrite").parquet(paths[1])
+    assert first != tables.file_state(spark, paths)
+
+
+def test_stages_follow_every_table_that_they_read(spark, tmp_path):
+    """Mapped shipments show the new names of suppliers whose file was replaced."""
+    from tradeweave.plans import mapping_queries as mq
+
+    source = "/root/testdata/sf0.001"
+    if not os.path.isdir(source):
+        pytest.skip("no test tables")
+    for t in ("lineitem", "part", "orders", "supplier", "customer", "nation"):
+        spark.read.parquet(f"{source}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    assert mq.mapped(spark, str(tmp_path)).filter("exporter like 'New%'").count() == 0
+    spark.read.parquet(f"{source}/supplier.parquet").withColumn("s_name", F.concat(F.lit("New "), "s_name")).write.mode("overwrite").parquet(f"{tmp_path}/supplier.parquet")
+    rows = mq.mapped(spark, str(tmp_path))
+    assert rows.filter("exporter like 'New%'").count() == rows.count() > 0
+
+
 def test_slices_replace_only_their_own(spark, tmp_path):
     row = lambda c, v: (c, "s", "t", v, "p", "f", "m")
     schema = "country string, segment string, sub_segment string, upper_value double, product string, family string, maker string"
@@ -239,6 +314,62 @@ def test_slices_replace_only_their_own(spark, tmp_path):
     assert [(r.country, r.upper_value) for r in tables.read_slices(spark, path).collect()] == [("A", 9.0), ("B", 2.0)]
 
 
+def test_a_version_is_published_only_if_its_counts_are_right(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "p"), "country string, v double"
+    read = lambda: sorted((r.country, r.v) for r in tables.read_published(spark, path).collect())
+    df = lambda *rows: spark.createDataFrame(list(rows), schema)
+    tables.publish_slices(df(("A", 1.0), ("A", 2.0), ("B", 3.0)), path, {"A": 2, "B": 1}, value="v", totals={"A": 3.0})
+    assert read() == [("A", 1.0), ("A", 2.0), ("B", 3.0)]
+    for rows, expected, totals, said in (
+        ([("A", 9.0)], {"A": 2}, None, "A: 1 rows, expected 2"), ([("A", 9.0), ("C", 1.0)], {"A": 1}, None, "1 rows of other slices"),
+        ([("A", 9.0), (None, 1.0)], {"A": 1}, None, "1 rows of other slices"), ([("A", 9.0)], {"A": 1}, {"A": 8.0}, "v 9.0, expected 8.0"), ([], {"A": 1}, None, "A: 0 rows"),
+    ):
+        with pytest.raises(ValueError, match=said):
+            tables.publish_slices(df(*rows), path, expected, value="v", totals=totals)
+        assert read() == [("A", 1.0), ("A", 2.0), ("B", 3.0)]
+
+    with monkeypatch.context() as m:  # lost after the rows are written, before they are published
+
+        def lost(*_):
+            raise RuntimeError("lost")
+
+        m.setattr(tables, "_publish", lost)
+        with pytest.raises(RuntimeError):
+            tables.publish_slices(df(("A", 9.0)), path, {"A": 1})
+    assert read() == [("A", 1.0), ("A", 2.0), ("B", 3.0)]
+    tables.publish_slices(df(("A", 9.0)), path, {"A": 1})
+    assert read() == [("A", 9.0), ("B", 3.0)]
+    tables.publish_slices(df(), path, {"B": 0})
+    assert read() == [("A", 9.0)]
+
+
+def test_only_buckets_that_differ_are_joined(spark):
+    from tradeweave.operators import fingerprint, review, validate
+
+    rows = [(k, f"s{k % 5}", float(k)) for k in range(20_000)]
+    before = spark.createDataFrame(rows, "k long, s string, v double")
+    after = before.filter("k <> 7").withColumn("s", F.when(F.col("k").isin(11, 12_345), "new").otherwise(F.col("s"))).unionByName(spark.createDataFrame([(50_000, None, None)], before.schema))
+    a, b = fingerprint.rows_of_differing(before, after, ["k"], ["s", "v"])
+    assert {7, 11, 12_345} <= {r.k for r in a.collect()} and {11, 12_345, 50_000} <= {r.k for r in b.collect()}
+    assert a.count() < 40 and b.count() < 40  # of 20,000
+    assert sorted((r.k, r.before_s, r.s) for r in review.changed_rows(before, after, "k", ["s"]).collect()) == [(11, "s1", "new"), (12_345, "s0", "new")]
+    assert tuple(validate.compare_aggregates(before, after.fillna(4.5), ["k"], ["v"]).first()) == (1, 1, 11.5)
+    assert review.changed_rows(before, before, "k", ["s", "v"]).count() == 0
+    halves = [fingerprint.fingerprints(before.filter(c), ["k"], ["s"]) for c in ("k < 9999", "k >= 9999")]
+    whole = fingerprint.fingerprints(before, ["k"], ["s"])
+    assert fingerprint.differing_buckets(fingerprint.merged(halves[0].unionByName(halves[1])), whole).count() == 0
+
+
+def test_capped_buckets_keep_their_top_rows(spark):
+    from tradeweave.operators import review
+
+    df = spark.createDataFrame([(k, str(k % 50)) for k in range(200)], "k long, value string")
+    buckets = {"even": F.col("k") % 2 == 0, "all": F.col("k") >= 0, "late": F.col("k") > 190}
+    out = {r.k: r.bucket for r in review.gold_template(df, "k", buckets, {"even": 3, "all": 2, "late": None}, ["label"]).collect()}
+    assert sorted(k for k, b in out.items() if b == "even") == [48, 98, 148] and {k for k, b in out.items() if b == "all"} == {49, 99}
+    assert {k for k, b in out.items() if b == "late"} == set(range(191, 200))
+
+
 def test_row_count_gate(spark):
     tables.assert_row_count(spark.range(3), 3)
     with pytest.raises(ValueError, match="expected 4"):
@@ -251,14 +382,6 @@ def test_ground_truth(spark):
     assert (out.desc_key, out.code, out.value_key, out.src_file, out.maker) == ("screw big", "90", 2, "f", None)
 
 
-def test_registry_stages(spark, tmp_path):
-    from tradeweave.operators import audit
-
-    path = tmp_path / "r.json"
-    path.write_text('{"stages": [{"stage_id": "S", "execution_order": 1, "documentation_label": "L", "stage_type": "terminal"}]}')
-    assert tuple(audit.registry_stages(spark, str(path)).first()) == ("S", 1, "L", "terminal")
-
-
 def test_stream_of_rows(spark, tmp_path):
     from tradeweave.streaming.incremental import map_stream
 

@@ -47,11 +47,13 @@ def line_items(df: DataFrame, dims: Sequence[str]) -> DataFrame:
 
 
 def roll_up(df: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """The line items' sums at each level of the hierarchy; ``level`` counts its dimensions."""
+    """The line items' sums at each level of the hierarchy; ``level`` counts its dimensions. One pass sums the
+    finest level; the others are made of its sums, so groups are expanded and not rows."""
     q = X.safe_number("quantity").cast("decimal(18,2)")
-    return df.rollup(*dims).agg(
-        total(money("value")).alias("revenue"), total(q).alias("volume"), F.min("unit_price").alias("min_price"), F.max("unit_price").alias("max_price"),
-        F.count("*").alias("shipments"), (len(dims) - F.bit_count(F.grouping_id())).cast("int").alias("level"),
+    fine = df.groupBy(*dims).agg(F.sum(money("value")).alias("_v"), F.sum(q).alias("_q"), F.min("unit_price").alias("_a"), F.max("unit_price").alias("_b"), F.count("*").alias("_n"))
+    return fine.rollup(*dims).agg(
+        total(F.col("_v")).alias("revenue"), total(F.col("_q")).alias("volume"), F.min("_a").alias("min_price"), F.max("_b").alias("max_price"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("shipments"), (len(dims) - F.bit_count(F.grouping_id())).cast("int").alias("level"),
     ).filter("shipments > 0")
 
 

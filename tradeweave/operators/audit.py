@@ -1,14 +1,13 @@
 """The audit mart: row facts, stage paths, cubes, samples and reconciliation.
 
-What an audit looks at is declared, not coded: a list of rules, in order of precedence, and a list of
-stages, in the order in which rows pass them. ``mapping_rules`` and ``mapping_stages`` are those of
-mapped rows; an audit of other rows gives its own. A registry (U15) adds labels to stage names.
+What an audit looks at is data: a :class:`~tradeweave.operators.registry.Registry` of stages and rules that
+the caller brings, and a :class:`Sample` of what to review. Nothing of a domain is in here.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,42 +15,12 @@ from pyspark.sql.window import Window
 
 from tradeweave.functions import text as X
 
+from .registry import Registry
+
+#: The tiers, other names of them, and reasons where no rule and no status gives one.
 TIERS = ("Trusted", "Review", "Excluded")
-#: What counts as a valid reference in lower case, and other names of the tiers.
-VALID = ("valid", "y", "yes", "true", "1", "reference-valid")
 TIER_NAMES = {"Trusted_Dashboard": "Trusted", "Review_Queue": "Review", "Excluded_Unmapped": "Excluded"}
-#: Tiers of matches that are kept for review though they don't name a product by themselves.
-NON_STANDARD = {"manufacturer": "maker", "hs_prior": "prior"}
-#: The stage at which every row ends.
-LAST = "routing"
-
-
-@dataclass(frozen=True)
-class Rule:
-    """A rule that speaks against a row: where it belongs, whom it hits, by what. One with a reason can be
-    a row's primary reason; one that doesn't count as a hit can only be that."""
-
-    name: str
-    stage: str
-    hits: Column
-    evidence: Column
-    reason: Column | None = None
-    counts: bool = True
-
-
-@dataclass(frozen=True)
-class Stage:
-    """A stage: whom it concerns (null: all), what becomes of them there, and why."""
-
-    name: str
-    concerns: Column | None
-    outcome: Column
-    reason: Column
-
-
-def _flag(df: DataFrame, name: str) -> Column:
-    """A flag that a table may lack."""
-    return F.coalesce(F.col(name).cast("boolean"), F.lit(False)) if name in df.columns else F.lit(False)
+NO_REASON = {"Trusted": "accepted", "Review": "review_required", "Excluded": "no_accepted_candidate"}
 
 
 def terminal_tier(explicit: Column, include: Column, status: Column) -> Column:
@@ -62,86 +31,29 @@ def terminal_tier(explicit: Column, include: Column, status: Column) -> Column:
     return out.when(F.upper(include) == "Y", "Trusted").when(F.lower(status).rlike("^(review|audit)"), "Review").otherwise("Excluded")
 
 
-def mapping_rules(df: DataFrame, guard_words: Sequence[str] = ()) -> list[Rule]:
-    """The rules for mapped rows in order of precedence: guard conflict (a flag, or a word of the
-    status), invalid reference, scope, negative group, generic token, unsupported extended code, and
-    last, never a primary reason, tiers that aren't standard."""
-    status, reference = F.lower(X.text("qa_status")), F.lower(X.text("ref_valid"))
-    guard = _flag(df, "guard_risk")
-    for w in guard_words:
-        guard = guard | status.contains(w)
-    one, negative, scope = F.lit("1"), F.col("negative_group"), F.col("scope_flag")
-    rules = [
-        Rule("guard_conflict", "guards", guard, one, F.lit("guard_conflict")),
-        Rule("reference_invalid", "reference", (reference != "") & ~reference.isin(*VALID), reference, F.lit("reference_invalid"), counts=False),
-        Rule("scope_flag", "scope", scope != "", scope, F.lit("scope_exclusion")),
-        Rule("negative_conflict", "category", negative != "", negative, F.concat(F.lit("negative:"), negative)),
-        Rule("generic_token", "generic", F.col("generic_risk"), one, F.lit("generic_token")),
-        Rule("extended_unsupported", "extended", _flag(df, "extended_risk"), one, F.lit("extended_unsupported")),
-    ]
-    return rules + [Rule("nonstandard_tier", s, F.col("match_tier") == t, F.col("match_tier")) for t, s in NON_STANDARD.items()]
-
-
-def primary_reason(tier: Column, rules: Sequence[Rule]) -> Column:
-    """(reason, stage) of the first rule that hits; else the status, else by tier. A trusted row is
-    accepted."""
-    def pair(reason, stage):
-        return F.struct((reason if isinstance(reason, Column) else F.lit(reason)).alias("reason"), F.lit(stage).alias("stage"))
-
-    status = X.text("qa_status")
-    default = F.when(status != "", status).when(tier == "Review", "review_required").otherwise("no_accepted_candidate")
-    first = [F.when(r.hits, pair(r.reason, r.stage)) for r in rules if r.reason is not None]
-    return F.when(tier == "Trusted", pair("accepted", LAST)).otherwise(F.coalesce(*first, pair(default, LAST)))
-
-
-def mapping_stages(df: DataFrame, tier: Column, reason: Column) -> list[Stage]:
-    """The stages of mapped rows. Where a table has the flags cue_suppressed and signal, rows with a
-    suppressing cue pass through a stage of their own, from which a signal recovers them."""
-    t, negative, extended = F.col("match_tier"), F.col("negative_group") != "", _flag(df, "extended_risk")
-    signal, valid, trusted = _flag(df, "signal"), F.lower(X.text("ref_valid")).isin(*VALID), tier == "Trusted"
-    scope = F.col("match_scope") == "extended" if "match_scope" in df.columns else F.lit(False)
-    passed, review = F.lit("Passed"), F.lit("Review")
-    either = lambda c, a, b: F.when(c, a).otherwise(b)
-    return [
-        Stage("load", None, passed, F.lit("loaded")),
-        Stage("eligibility", None, passed, F.lit("eligible")),
-        Stage("cues", _flag(df, "cue_suppressed"), either(signal, "Recovered", "Suppressed"), either(signal, "cue_with_signal", "cue_only")),
-        Stage("family", t == "family", passed, F.lit("family_match")),
-        Stage("category", (t == "category") | negative, either(negative, "Suppressed", "Passed"), either(negative, F.concat(F.lit("negative:"), F.col("negative_group")), "category_match")),
-        Stage("maker", t == "manufacturer", either(trusted, "Passed", "Review"), F.lit("manufacturer_fallback")),
-        Stage("labels", t != "", passed, F.lit("standardized")),
-        Stage("reference", t != "", either(valid, "Passed", "Review"), either(valid, "reference_valid", "reference_invalid")),
-        Stage("scope", F.col("scope_flag") != "", F.lit("Suppressed"), F.lit("scope_exclusion")),
-        Stage("generic", F.col("generic_risk"), review, F.lit("generic_token")),
-        Stage("extended", scope | extended, either(extended, "Suppressed", "Passed"), either(extended, "extended_unsupported", "extended_supported")),
-        Stage("prior", t == "hs_prior", either(trusted, "Recovered", "Review"), F.lit("prior_recovery")),
-        Stage("guards", None, F.when(trusted, "Passed").when(tier == "Review", "Review").otherwise("Suppressed"), reason),
-        Stage(LAST, None, tier, reason),
-    ]
-
-
-def stage_path(stages: Sequence[Stage]) -> Column:
-    """The stages that concern a row, in order: (stage_id, outcome, reason, continues)."""
-    def step(s):
-        one = F.struct(F.lit(s.name).alias("stage_id"), s.outcome.alias("outcome"), s.reason.alias("reason"), F.lit(s is not stages[-1]).alias("continues"))
-        return one if s.concerns is None else F.when(s.concerns, one)
-
-    return F.filter(F.array(*map(step, stages)), lambda x: x.isNotNull())
-
-
-def row_facts(df: DataFrame, key: str, guard_words: Sequence[str] = ()) -> DataFrame:
+def primary_reason(tier: Column, registry: Registry, status: Column) -> Column:
+    """(reason, stage). A trusted row is accepted at the last stage; else the first rule of the registry
+    that hits; else the status, or a reason by tier, at the last stage."""
+    def last(reason):
+        return F.struct(reason.alias("reason"), F.lit(registry.last).alias("stage"))
+
+    by_tier = F.when(tier == "Review", NO_REASON["Review"]).otherwise(NO_REASON["Excluded"])
+    rest = last(F.when(F.coalesce(status, F.lit("")) != "", status).otherwise(by_tier))
+    return F.when(tier == "Trusted", last(F.lit(NO_REASON["Trusted"]))).otherwise(F.coalesce(registry.first_reason(), rest))
+
+
+def row_facts(df: DataFrame, key: str, registry: Registry, carried: Sequence[str] = ()) -> DataFrame:
     """One fact per row: tier, reason, path, rule hits, numbers with status, the source text's hash."""
-    rules = mapping_rules(df, guard_words)
-    df = df.withColumn("tier", terminal_tier(F.lit(""), F.col("include"), F.col("qa_status"))).withColumn("why", primary_reason(F.col("tier"), rules))
-    hits = [F.when(r.hits, F.struct(F.lit(r.stage).alias("stage_id"), F.lit(r.name).alias("rule_id"), r.evidence.alias("evidence"))) for r in rules if r.counts]
+    df = registry.prepared(df)
+    df = df.withColumn("tier", terminal_tier(F.lit(""), F.col("include"), F.col("qa_status")))
+    df = df.withColumn("why", primary_reason(F.col("tier"), registry, F.col("qa_status"))).withColumn("primary_reason", F.col("why.reason"))
     v, q = X.number_status("value"), X.number_status("quantity")
     return df.select(
         F.col(key).alias("row_id"), F.col("country").alias("output_id"), "maker", "family", "product", "match_tier", "tier",
-        F.col("why.reason").alias("primary_reason"), F.col("why.stage").alias("removal_stage"),
+        "primary_reason", F.col("why.stage").alias("removal_stage"),
         v["value"].cast("decimal(18,2)").alias("value"), v["status"].alias("value_status"), q["value"].cast("decimal(18,2)").alias("volume"), q["status"].alias("volume_status"),
         X.source_hash(X.row_text("description", "importer", "exporter")).alias("source_hash"),
-        stage_path(mapping_stages(df, F.col("tier"), F.col("why.reason"))).alias("path"), F.filter(F.array(*hits), lambda h: h.isNotNull()).alias("hits"),
-        "negative_group", "scope_flag", "generic_risk",
+        registry.path().alias("path"), registry.hits().alias("hits"), *carried,
     )
 
 
@@ -168,6 +80,20 @@ def metrics() -> list[Column]:
 
 
 _MEASURES = ("value", "volume", "value_status", "volume_status")
+_SUMS = ("n_rows", "missing_value", "invalid_value", "missing_volume", "invalid_volume")
+
+
+def _partial(rows: DataFrame, *keys: str) -> DataFrame:
+    """The metrics' parts at the finest level, value and volume as decimals."""
+    status = [F.count(F.when(F.col(f"{c}_status") == s, 1)).alias(f"{s}_{c}") for c in ("value", "volume") for s in ("missing", "invalid")]
+    return rows.groupBy(*keys).agg(F.count("*").alias("n_rows"), F.sum("value").alias("value"), F.sum("volume").alias("volume"), *status)
+
+
+def _merged() -> list[Column]:
+    """The metrics of a coarser level out of :func:`_partial` ones."""
+    v, q = F.sum("value"), F.sum("volume")
+    price = F.when(q != 0, v.cast("double") / q.cast("double")).alias("weighted_price")
+    return [*(F.sum(c).alias(c) for c in _SUMS), v.cast("double").alias("value"), q.cast("double").alias("volume"), price]
 
 
 def risk_summary(facts: DataFrame) -> DataFrame:
@@ -175,12 +101,13 @@ def risk_summary(facts: DataFrame) -> DataFrame:
     return risk_inventory(facts).join(facts.select("row_id", *_MEASURES), "row_id").groupBy("risk_type").agg(F.count("*").alias("n_rows"), F.sum("value").cast("double").alias("value"))
 
 
-def funnel(facts: DataFrame, registry: DataFrame | None = None) -> DataFrame:
-    """Metrics by output and over all, stage and outcome, in one grouping-set pass."""
-    rows = stage_states(facts, ["output_id", *_MEASURES])
-    out = rows.groupingSets([["output_id", "stage_id", "outcome"], ["stage_id", "outcome"]], "output_id", "stage_id", "outcome").agg(*metrics())
-    out = out.withColumn("output_id", F.coalesce("output_id", F.lit("OVERALL")))
-    return out.join(registry, "stage_id", "left") if registry is not None else out
+def funnel(facts: DataFrame, stages: DataFrame | None = None) -> DataFrame:
+    """Metrics by output and over all, stage and outcome; with the registry's stages (U15) their order
+    and label. The facts are read once; what is over all comes from the sums of the outputs."""
+    fine = _partial(stage_states(facts, ["output_id", *_MEASURES]), "output_id", "stage_id", "outcome")
+    out = fine.groupingSets([["output_id", "stage_id", "outcome"], ["stage_id", "outcome"]], "output_id", "stage_id", "outcome").agg(*_merged(), F.grouping_id().alias("g"))
+    out = out.withColumn("output_id", F.when(F.col("g") > 0, "OVERALL").otherwise(F.col("output_id"))).drop("g")
+    return out.join(stages.select("stage_id", "execution_order", "label", "stage_type"), "stage_id", "left") if stages is not None else out
 
 
 _LEVELS = [[], ["maker"], ["family"], ["product"], ["maker", "family"], ["maker", "family", "product"]]
@@ -188,87 +115,111 @@ _LEVELS = [[], ["maker"], ["family"], ["product"], ["maker", "family"], ["maker"
 
 def removal_cube(facts: DataFrame) -> DataFrame:
     """Metrics of removed rows at six levels, by primary reason (which add up) and by rule hits
-    (which don't), by output and over all; a label that a level lacks is ''."""
-    def cube(rows, kind):
-        keys = ["stage", "tier", "reason"]
-        sets = [[*o, *keys, *level] for o in ([], ["output_id"]) for level in _LEVELS]
-        out = rows.groupingSets(sets, "output_id", *keys, "maker", "family", "product").agg(*metrics(), F.grouping_id().alias("gid"))
-        bits = {"output_id": 6, "maker": 2, "family": 1, "product": 0}
-        lacks = lambda c: F.col("gid").bitwiseAND(F.lit(1 << bits[c])) != 0
-        names = {c: F.when(lacks(c), "OVERALL" if c == "output_id" else "").otherwise(F.col(c)) for c in bits}
-        level = F.concat_ws("+", *[F.when(~lacks(c), F.lit(c)) for c in ("maker", "family", "product")])
-        return out.withColumn("level", level).withColumns(names).drop("gid").withColumn("kind", F.lit(kind))
-
-    removed = facts.filter("tier <> 'Trusted'")
-    base = ["output_id", "tier", "maker", "family", "product", *_MEASURES]
-    primary = removed.select(*base, F.col("removal_stage").alias("stage"), F.col("primary_reason").alias("reason"))
-    hits = rule_hits(facts).join(facts.select("row_id", *base), "row_id").select(*base, F.col("stage_id").alias("stage"), F.col("rule_id").alias("reason"))
-    return cube(primary, "Primary").unionByName(cube(hits, "Secondary"))
-
-
-#: Multiplier, increment and mask of the sample's random order, and its sizes.
-_MULTIPLIER, _INCREMENT, _MASK = 1103515245, 12345, 2147483647
+    (which don't), by output and over all; a label that a level lacks is ''.
+
+    A lattice: one pass over the facts sums the finest level of both kinds, and coarser levels are made of
+    those sums, so it is the groups that multiply by twelve and not the rows.
+    """
+    keys, labels = ["kind", "stage", "tier", "reason"], ["maker", "family", "product"]
+    def one(kind, stage, reason):
+        return F.struct(F.lit(kind).alias("kind"), stage.alias("stage"), reason.alias("reason"))
+
+    primary = F.when(F.col("tier") != "Trusted", F.array(one("Primary", F.col("removal_stage"), F.col("primary_reason")))).otherwise(F.array())
+    each = F.concat(primary, F.transform("hits", lambda h: one("Secondary", h["stage_id"], h["rule_id"])))
+    rows = facts.select("output_id", "tier", *labels, *_MEASURES, F.explode(each).alias("e")).select("*", "e.*")
+    fine = _partial(rows, "output_id", *keys, *labels)
+    sets = [[*o, *keys, *level] for o in ([], ["output_id"]) for level in _LEVELS]
+    out = fine.groupingSets(sets, "output_id", *keys, *labels).agg(*_merged(), F.grouping_id().alias("gid"))
+    bits = {"output_id": 7, "maker": 2, "family": 1, "product": 0}
+    lacks = lambda c: F.col("gid").bitwiseAND(F.lit(1 << bits[c])) != 0
+    names = {c: F.when(lacks(c), "OVERALL" if c == "output_id" else "").otherwise(F.col(c)) for c in bits}
+    level = F.concat_ws("+", *[F.when(~lacks(c), F.lit(c)) for c in labels])
+    return out.withColumn("level", level).withColumns(names).drop("gid")
+
+
+#: Multiplier, increment and mask of the sample's random order; sizes of its parts; how
+#: rows of either part are called.
+MULTIPLIER, INCREMENT, MASK = 1103515245, 12345, 2147483647
 TARGETED = 12
 RANDOM = {"Trusted": 5, "Review": 4, "Excluded": 4}
+TARGETED_TYPE, RANDOM_TYPE = "Targeted risk", "Deterministic stratified-random"
+RANDOM_STRATUM = "Deterministic random — "
 
 
-def review_sample(facts: DataFrame, targeted: int = TARGETED, random: Mapping[str, int] | None = None) -> DataFrame:
-    """(output_id, row_id, sample_type, stratum): per output the riskiest rows, then a
-    pseudo-random choice of each tier without those.
+@dataclass(frozen=True)
+class Sample:
+    """What a review looks at: strata of risky rows as SQL over the facts, first ones first, and how many
+    rows of them and, at random, of each tier."""
+
+    strata: Mapping[str, str]
+    targeted: int = TARGETED
+    random: Mapping[str, int] = field(default_factory=lambda: dict(RANDOM))
 
-    Random order is that of a linear congruence over a 28-bit number from the row's hash.
+    def flags(self) -> list[Column]:
+        return [F.coalesce(F.expr(s), F.lit(False)) for s in self.strata.values()]
+
+    def risky(self) -> Column:
+        out = F.lit(False)
+        for f in self.flags():
+            out = out | f
+        return out
+
+
+def review_sample(facts: DataFrame, sample: Sample) -> DataFrame:
+    """(output_id, row_id, sample_type, stratum): per output the riskiest rows, in the order of the
+    strata, then by value; then a pseudo-random choice of each tier without those.
+
+    Random order is that of a linear congruence over a 28-bit number from the row's hash. Both windows have
+    a fixed limit, so each task passes on only that many rows of an output and tier.
     """
-    random = RANDOM if random is None else random
-    odd = F.col("match_tier").isin(*NON_STANDARD)
-    stratum = F.when(F.col("generic_risk"), "Generic token").when(odd, "Non-standard tier").otherwise("High-value Review/Excluded")
-    order = [F.desc("generic_risk"), odd.desc(), F.desc_nulls_last("value"), F.asc("row_id")]
-    w = Window.partitionBy("output_id").orderBy(*order)
-    first = facts.filter(_risky()).withColumns({"n": F.row_number().over(w), "stratum": stratum}).filter(F.col("n") <= targeted)
-    first = first.select("output_id", "row_id", F.lit("Targeted risk").alias("sample_type"), "stratum")
+    flags = sample.flags()
+    stratum = F.coalesce(*(F.when(f, F.lit(n)) for n, f in zip(sample.strata, flags)))
+    w = Window.partitionBy("output_id").orderBy(*(f.desc() for f in flags), F.desc_nulls_last("value"), F.asc("row_id"))
+    first = facts.filter(sample.risky()).withColumns({"n": F.row_number().over(w), "stratum": stratum}).filter(F.col("n") <= sample.targeted)
+    first = first.select("output_id", "row_id", F.lit(TARGETED_TYPE).alias("sample_type"), "stratum")
     rest = facts.join(first.select("output_id", "row_id"), ["output_id", "row_id"], "left_anti")
     seed = F.conv(F.substring(F.md5("row_id"), 1, 7), 16, 10).cast("bigint")
-    place = (seed * _MULTIPLIER + _INCREMENT).bitwiseAND(F.lit(_MASK))
+    place = (seed * MULTIPLIER + INCREMENT).bitwiseAND(F.lit(MASK))
     n = F.row_number().over(Window.partitionBy("output_id", "tier").orderBy("place", "row_id"))
-    quota = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in random.items() for x in kv]), F.col("tier")), F.lit(0))
-    second = rest.withColumn("place", place).withColumn("n", n).filter(F.col("n") <= quota)
-    second = second.select("output_id", "row_id", F.lit("Deterministic random").alias("sample_type"), F.concat(F.lit("Random "), F.col("tier")).alias("stratum"))
+    quota = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in sample.random.items() for x in kv]), F.col("tier")), F.lit(0))
+    most = max(sample.random.values())
+    second = rest.select("output_id", "tier", "row_id", place.alias("place")).withColumn("n", n).filter((F.col("n") <= most) & (F.col("n") <= quota))
+    second = second.select("output_id", "row_id", F.lit(RANDOM_TYPE).alias("sample_type"), F.concat(F.lit(RANDOM_STRATUM), F.col("tier")).alias("stratum"))
     return first.unionByName(second)
 
 
-def _risky() -> Column:
-    return F.col("generic_risk") | F.col("match_tier").isin(*NON_STANDARD) | (F.col("tier") != "Trusted")
-
-
 def reconciliation(
-    facts: DataFrame, sample: DataFrame, funnel_rows: DataFrame, risks: DataFrame, expected: DataFrame,
-    targeted: int = TARGETED, random: Mapping[str, int] | None = None, last: str = LAST,
+    facts: DataFrame, sample_rows: DataFrame, funnel_rows: DataFrame, risks: DataFrame, expected: DataFrame, sample: Sample, last: str, retained: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """(output_id, check_name, observed, expected, status).
 
     For each output of ``expected`` (output_id, n_rows): its rows; rows with one terminal tier; the
     sample's design (as many targeted and random rows as its sizes allow); value and volume at the last
-    stage against the facts; rows of non-standard tiers kept in the risk inventory. Over all: the last
-    stage's rows, value and volume against the sum of the outputs.
+    stage against the facts; for each of ``retained`` (a risk, SQL over facts) the rows that it speaks of
+    and that are in the risk inventory. Over all: the last stage's rows, value and volume against the sum
+    of the outputs.
     """
-    random = RANDOM if random is None else random
+    retained = retained or {}
     count = lambda c: F.count(F.when(c, 1)).cast("double")
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("double")
-    picked = facts.join(sample.select("output_id", "row_id", "sample_type"), ["output_id", "row_id"], "left")
-    one = F.col("sample_type") == "Targeted risk"
-    odd = F.col("match_tier").isin(*NON_STANDARD) & (F.col("tier") != "Trusted")
-    kept = risks.filter("risk_type = 'nonstandard_tier'").select("row_id", F.lit(True).alias("kept"))
+    picked = facts.join(sample_rows.select("output_id", "row_id", "sample_type"), ["output_id", "row_id"], "left")
+    one = F.col("sample_type") == TARGETED_TYPE
+    kept = risks.filter(F.col("risk_type").isin(*retained)).groupBy("row_id").agg(F.collect_set("risk_type").alias("kept"))
+    has = lambda r: F.coalesce(F.array_contains("kept", r), F.lit(False))
     by = picked.join(kept, "row_id", "left").groupBy("output_id").agg(
         F.count("*").cast("double").alias("rows"), count(F.col("tier").isin(*TIERS)).alias("tiers"), count(one).alias("targeted"), count(F.col("sample_type").isNotNull() & ~one).alias("random"),
-        count(_risky()).alias("risky"), total("value").alias("value"), total("volume").alias("volume"), count(odd).alias("odd"), count(F.col("kept").isNotNull()).alias("kept"),
-        *(count((F.col("tier") == t) & ~F.coalesce(one, F.lit(False))).alias(f"free_{t}") for t in random),
+        count(sample.risky()).alias("risky"), total("value").alias("value"), total("volume").alias("volume"),
+        *(count(F.expr(c)).alias(f"odd_{r}") for r, c in retained.items()), *(count(has(r)).alias(f"kept_{r}") for r in retained),
+        *(count((F.col("tier") == t) & ~F.coalesce(one, F.lit(False))).alias(f"free_{t}") for t in sample.random),
     )
     ends = funnel_rows.filter(F.col("stage_id") == last)
     per = ends.filter("output_id <> 'OVERALL'").groupBy("output_id").agg(total("value").alias("end_value"), total("volume").alias("end_volume"))
     rows = expected.select("output_id", F.col("n_rows").cast("double").alias("want")).join(by, "output_id", "left").join(per, "output_id", "left").fillna(0.0)
-    design = sum((F.least(F.lit(float(n)), F.col(f"free_{t}")) for t, n in random.items()), F.lit(0.0))
+    design = sum((F.least(F.lit(float(n)), F.col(f"free_{t}")) for t, n in sample.random.items()), F.lit(0.0))
     checks = {
-        "source rows": ("rows", F.col("want")), "one terminal tier": ("tiers", F.col("want")), "targeted sample": ("targeted", F.least(F.lit(float(targeted)), F.col("risky"))),
-        "random sample": ("random", design), "value": ("end_value", F.col("value")), "volume": ("end_volume", F.col("volume")), "non-standard tiers kept": ("kept", F.col("odd")),
+        "source rows": ("rows", F.col("want")), "one terminal tier": ("tiers", F.col("want")), "targeted sample": ("targeted", F.least(F.lit(float(sample.targeted)), F.col("risky"))),
+        "random sample": ("random", design), "value": ("end_value", F.col("value")), "volume": ("end_volume", F.col("volume")),
+        **{f"retained: {r}": (f"kept_{r}", F.col(f"odd_{r}")) for r in retained},
     }
     each = rows.select("output_id", F.explode(F.array(*(_check(n, F.col(a), b) for n, (a, b) in checks.items()))).alias("c")).select("output_id", "c.*")
     overall = F.col("output_id") == "OVERALL"
@@ -296,8 +247,5 @@ def sample_view(sample: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def registry_stages(spark: SparkSession, path: str) -> DataFrame:
-    """The rule registry's stages (stage_id, execution_order, label, stage_type) from JSON."""
-    raw = spark.read.json(path, multiLine=True)
-    return raw.select(F.explode("stages").alias("s")).select(
-        "s.stage_id", F.col("s.execution_order").cast("int").alias("execution_order"), F.col("s.documentation_label").alias("label"), "s.stage_type"
-    )
+    """The stages of the registry at ``path``."""
+    return Registry.read(spark, path).stage_table(spark)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tradeweave.functions import predicates as P
 from tradeweave.functions import text as X
+from tradeweave.sources.tables import staged
 
 #: The statuses.
 MAPPED = "Mapped"
@@ -89,25 +90,28 @@ def disposition(df: DataFrame, keys: Mapping[str, DataFrame] | None) -> DataFram
     """R1-R3 over all rows: relabelled, with ref_valid and qa_status.
 
     Maker-tier rows go to audit, unmatched ones are unmapped; without a reference matched rows are
-    parked for review.
+    parked for review. Rows are read twice: for their distinct combinations of labels, which become a
+    table and are judged, and for the join with the verdicts.
     """
     if keys is None:
         bound = F.col("match_tier").isin("family", "category", "hs_prior")
         status = F.when(bound & P.unspecified("product", "segment", "sub_segment"), REVIEW_UNSPECIFIED).when(bound, PARKED)
         status = status.when(F.col("match_tier") == "manufacturer", AUDIT_MAKER).otherwise(UNMAPPED)
         return df.withColumns({"ref_valid": F.lit(""), "qa_status": status})
-    tier = F.col("match_tier")
-    family = validate_families(df.filter(tier == "family"), keys).withColumn("match_tier", F.lit("family"))
-    category = validate_categories(df.filter(tier.isin("category", "hs_prior")), keys)
-    for prefix, found in (("f", family), ("c", category)):
-        renamed = {c: f"{prefix}_{c}" for c in found.columns if c.startswith("new_") or c in ("ref_valid", "qa_status")}
-        on = [c for c in found.columns if c not in renamed]
-        df = df.join(found.withColumnsRenamed(renamed), on, "left")
-    labels = {n: F.coalesce(f"f_new_{n}", *([f"c_new_{n}"] if n in LABELS[:3] else []), n) for n in LABELS}
-    status = F.coalesce("f_qa_status", "c_qa_status", F.when(tier == "manufacturer", AUDIT_MAKER).otherwise(UNMAPPED))
-    valid = F.coalesce("f_ref_valid", "c_ref_valid", F.lit(""))
-    out = df.withColumns({**labels, "ref_valid": valid, "qa_status": status})
-    return out.drop(*[c for c in out.columns if c.startswith(("f_new_", "c_new_"))], "f_ref_valid", "c_ref_valid", "f_qa_status", "c_qa_status")
+    tier, judged = F.col("match_tier"), ("family", "category", "hs_prior")
+    combos = staged(df.filter(tier.isin(*judged)).select("match_tier", *LABELS).distinct(), "combinations")
+    family = validate_families(combos.filter("match_tier = 'family'"), keys).withColumn("match_tier", F.lit("family"))
+    other = combos.filter("match_tier <> 'family'")
+    three = validate_categories(other, keys)
+    category = other.join(three, ["match_tier", *LABELS[:3]]).withColumns({f"new_{c}": F.col(c) for c in LABELS[3:]})
+    found = family.unionByName(category)
+    renamed = {c: f"_{c}" for c in ("match_tier", *LABELS, "ref_valid", "qa_status")}
+    found = staged(found.withColumnsRenamed(renamed), "verdicts")
+    same = [F.col(c) == F.col(f"_{c}") for c in ("match_tier", *LABELS)]
+    out = df.join(found, same, "left")
+    status = F.coalesce("_qa_status", F.when(tier == "manufacturer", AUDIT_MAKER).otherwise(UNMAPPED))
+    out = out.withColumns({**{n: F.coalesce(f"new_{n}", n) for n in LABELS}, "ref_valid": F.coalesce("_ref_valid", F.lit("")), "qa_status": status})
+    return out.drop(*renamed.values(), *(f"new_{n}" for n in LABELS))
 
 
 def scope_exclusion(df: DataFrame, text: str, groups: Mapping[str, str], whitelist: str | None) -> DataFrame:

@@ -20,10 +20,11 @@ def first_by(df: DataFrame, keys: Iterable[str], order: Iterable[Column | str])
     return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
-def dominant(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+def dominant(df: DataFrame, keys: list[str], value: str, weight: str | None = None) -> DataFrame:
     """K3: for each key its most frequent non-blank value (the first by name of equals), with n,
-    total and share."""
-    counts = df.filter(~X.is_blank(value, ("",))).groupBy(*keys, value).agg(F.count("*").alias("n"))
+    total and share. A row counts as many times as its ``weight``, or once."""
+    n = F.count("*") if weight is None else F.sum(weight)
+    counts = df.filter(~X.is_blank(value, ("",))).groupBy(*keys, value).agg(n.alias("n"))
     # Of equal counts the smaller value: min over (-n, value).
     top = counts.groupBy(*keys).agg(F.min(F.struct((-F.col("n")).alias("m"), value)).alias("t"), F.sum("n").alias("total"))
     return top.select(

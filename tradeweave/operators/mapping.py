@@ -13,15 +13,18 @@ from tradeweave.functions import text as X
 BOUND = ("family", "category")
 
 
-def assemble(df: DataFrame, key: str, matches: DataFrame, keywords: DataFrame, hs4: str, scope: Iterable[int]) -> DataFrame:
-    """A1: ``df`` with labels, status, tier, confidence and scope from the cascade's matches."""
+_FILLED = ("segment", "sub_segment", "product", "maker", "family", "match_tier", "match_confidence")
+
+
+def match_labels(matches: DataFrame, key: str, keywords: DataFrame) -> DataFrame:
+    """A1: (key, labels, match_tier, match_confidence) of the cascade's matches."""
     labels = keywords.select(
         "keyword", F.col("segment").alias("_seg"), F.col("sub_segment").alias("_sub"), F.col("product").alias("_prod"),
         F.col("player").alias("_player"), F.col("family").alias("_fam"),
     )
     m = matches.join(labels, "keyword", "left")
     family = F.col("tier") == "family"
-    m = m.select(
+    return m.select(
         key,
         F.when(family, F.col("_seg")).otherwise(X.text("segment")).alias("segment"),
         F.when(family, F.col("_sub")).otherwise(X.text("sub_segment")).alias("sub_segment"),
@@ -31,9 +34,28 @@ def assemble(df: DataFrame, key: str, matches: DataFrame, keywords: DataFrame, h
         F.col("tier").alias("match_tier"),
         F.when(family, "high").when(F.col("tier") == "manufacturer", "low").otherwise(X.text("confidence")).alias("match_confidence"),
     )
-    out = df.join(m, key, "left").withColumn("match_status", F.when(F.col("match_tier").isNull(), "Unmatched").otherwise("Matched"))
-    filled = ("segment", "sub_segment", "product", "maker", "family", "match_tier", "match_confidence")
-    return out.fillna("", list(filled)).withColumn("match_scope", P.scope_label(hs4, scope))
+
+
+def _finished(df: DataFrame, hs4: str, scope: Iterable[int]) -> DataFrame:
+    out = df.withColumn("match_status", F.when(F.col("match_tier").isNull(), "Unmatched").otherwise("Matched"))
+    return out.fillna("", list(_FILLED)).withColumn("match_scope", P.scope_label(hs4, scope))
+
+
+def assemble(df: DataFrame, key: str, matches: DataFrame, keywords: DataFrame, hs4: str, scope: Iterable[int]) -> DataFrame:
+    """A1: ``df`` with labels, status, tier, confidence and scope from the cascade's matches."""
+    return _finished(df.join(match_labels(matches, key, keywords), key, "left"), hs4, scope)
+
+
+def assemble_by_text(
+    df: DataFrame, text: str, labels: DataFrame, party: str, makers: DataFrame, allowed: Column, hs4: str, scope: Iterable[int]
+) -> DataFrame:
+    """A1 where texts and parties were judged once each: ``labels`` by text id; where that has none and
+    the row may be matched, the maker of its parties (party id, maker)."""
+    found = F.col("match_tier").isNull() & allowed & F.col("_maker").isNotNull()
+    out = df.join(labels, text, "left").join(makers.select(party, F.col("maker").alias("_maker")), party, "left")
+    given = {"maker": F.when(found, F.col("_maker")).otherwise(F.col("maker")), "match_confidence": F.when(found, "low").otherwise(F.col("match_confidence"))}
+    out = out.withColumns({**given, "match_tier": F.when(found, "manufacturer").otherwise(F.col("match_tier"))})
+    return _finished(out.drop("_maker", text, party), hs4, scope)
 
 
 def standardize(df: DataFrame, value: str, quantity: str, label: str = "Unspecified") -> DataFrame:

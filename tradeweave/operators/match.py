@@ -1,21 +1,23 @@
 """Text-to-dictionary matching as equi-joins.
 
-A text is cut into few windows or word runs that can equal a dictionary entry; these join the
-dictionary on a derived key. What the dictionary's size allows, Spark broadcasts; beyond that
-the same plan shuffles both sides. Equal texts of many rows are matched once, and a short id takes a
-text's place in the explosion.
+The places of a text follow the dictionary, a trie of words kept as a table, by joins on a derived key.
+What the dictionary's size allows, Spark broadcasts; beyond that the same plan shuffles both sides. Equal
+texts of many rows are matched once, and a short id takes a text's place in the explosion.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeweave.functions import predicates as P
 from tradeweave.functions import text as X
+from tradeweave.sources.tables import staged
 
+#: A word, and a word with what stands between it and the next.
+_ONE = r"([\p{L}\p{N}]+)"
 _WORD = r"([\p{L}\p{N}]+[^\p{L}\p{N}]*)"
 
 
@@ -35,29 +37,59 @@ def by_text(df: DataFrame, key: str, text: Column, find: Callable[[DataFrame], D
     return own.withColumn("_text_id", F.unhex(F.md5("_t"))).drop("_t").join(found, "_text_id", how).drop("_text_id")
 
 
+def occurrences(texts: DataFrame, entries: DataFrame, column: str) -> DataFrame:
+    """(id, pos, ``column``): each place at which an entry stands in a text (id, t) between characters that
+    are no letters or digits. Entries begin with a letter or digit.
+
+    The entries form a trie over words, each with the separators after it, kept as a table of its inner
+    nodes. A place of a text follows it word by word, one join a word, and only places at an inner node go on.
+    As a place is at one node at most, many entries with a common beginning don't multiply it.
+    """
+    entries = entries.select(column).distinct()
+    parts, stem = F.regexp_extract_all(column, F.lit(_WORD), 1), F.regexp_extract(column, r"(?s)^(.*[\p{L}\p{N}])", 1)
+    tail = F.regexp_extract(column, r"([^\p{L}\p{N}]*)$", 1)
+    ends = entries.select(column, stem.alias("_stem"), tail.alias("_tail"))
+    before = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda k: F.array_join(F.slice(parts, F.lit(1), k), ""))
+    inner = entries.filter(F.size(parts) > 1).select(F.explode(before).alias("_node")).distinct()
+    depth = max_words(entries, column)
+
+    words, tokens = F.regexp_extract_all("t", F.lit(_ONE), 1), F.regexp_extract_all("t", F.lit(_WORD), 1)
+    start = texts.select("id", F.posexplode(tokens).alias("pos", "token"), F.lit("").alias("node"), F.size(tokens).alias("left"))
+    start = start.withColumns({"word": F.regexp_extract("token", _ONE, 1), "left": F.col("left") - F.col("pos") - 1})
+
+    def found(places):
+        # What follows the entry's own last separators must not be a word.
+        rest = F.expr("substring(token, length(word) + 1)")
+        fits = (F.col("_tail") == "") | (rest.startswith(F.col("_tail")) & ((rest != F.col("_tail")) | (F.col("left") == 0)))
+        at = F.concat("node", "word")
+        return places.withColumn("_at", at).join(ends, F.col("_at") == F.col("_stem")).filter(fits).select("id", "pos", column)
+
+    out, places = found(start), start
+    if depth > 1:
+        on = start.withColumn("node", F.col("token")).join(inner, F.col("node") == F.col("_node"), "left_semi").select("id", "pos", "node")
+        places = on.join(texts.select("id", words.alias("w"), tokens.alias("s")), "id")
+        for k in range(1, depth):
+            places = staged(places, "places")
+            now = F.col("pos") + k + 1
+            here = places.filter(F.size("s") >= now).select(
+                "id", "pos", "node", F.element_at("s", now).alias("token"), F.element_at("w", now).alias("word"), (F.size("s") - now).alias("left"), "w", "s"
+            )
+            out = out.unionByName(found(here))
+            places = here.withColumn("node", F.concat("node", "token")).join(inner, F.col("node") == F.col("_node"), "left_semi").select("id", "pos", "node", "w", "s")
+    return out
+
+
 def match_keywords(df: DataFrame, key: str, text: str, keywords: DataFrame, allowed: Column | None = None, keep: Iterable[str] = ()) -> DataFrame:
     """M1: (key, keyword, pos): the leftmost keyword that stands in the lower-cased text between
     characters that are no letters or digits; at one place the longest.
 
     Keywords begin with a letter or digit. Rows for which ``allowed`` doesn't hold and rows without
-    a hit are not in the result. Words join the keywords on their first word; only where that fits
-    are keywords of several words compared.
+    a hit are not in the result.
     """
     rows = df.filter(allowed) if allowed is not None else df
-    n = max_words(keywords, "keyword")
-    one = r"([\p{L}\p{N}]+)"
-    short = keywords.select("keyword", F.regexp_extract("keyword", one, 1).alias("word"))
-    short = short.withColumn("several", F.col("keyword") != F.col("word"))
 
     def find(texts):
-        words = texts.select("id", F.posexplode(F.regexp_extract_all("t", F.lit(one), 1)).alias("pos", "word"))
-        hits = words.join(short, "word").select("id", "pos", "keyword", "several")
-        if n > 1 or not short.filter("several").isEmpty():
-            parts = texts.select(F.col("id").alias("_of"), F.regexp_extract_all("t", F.lit(_WORD), 1).alias("w"))
-            hits = hits.join(parts, (F.col("id") == F.col("_of")) & F.col("several"), "left")
-            window = F.array_join(F.slice("w", F.col("pos") + 1, n + 1), "")
-            after = F.expr(f"substring(array_join(slice(w, pos + 1, {n + 1}), ''), length(keyword) + 1, 1)")
-            hits = hits.filter(~F.col("several") | (window.startswith(F.col("keyword")) & ~after.rlike(r"[\p{L}\p{N}]")))
+        hits = occurrences(texts, keywords, "keyword")
         best = hits.groupBy("id").agg(F.min(F.struct("pos", (-F.length("keyword")).alias("l"), "keyword")).alias("b"))
         return best.select("id", "b.keyword", "b.pos")
 
@@ -82,20 +114,19 @@ def match_phrases(
 ) -> DataFrame:
     """M2: (key, phrase): the longest phrase whose words stand in the text; of equals the first."""
     rows = df.filter(allowed) if allowed is not None else df
-    most = int(phrases.agg(F.max("n_tokens")).first()[0] or 1)
 
     def find(texts):
-        hits = word_runs(texts, "id", F.col("t"), most).join(phrases.select("phrase"), F.col("run") == F.col("phrase"))
+        hits = occurrences(texts, phrases, "phrase")
         return hits.groupBy("id").agg(F.min(F.struct((-F.length("phrase")).alias("l"), "phrase"))["phrase"].alias("phrase"))
 
     return by_text(rows, key, X.norm_phrase(text), find, keep, how)
 
 
-def code_segments(matched: DataFrame, code: str, segment: str = "segment") -> DataFrame:
+def code_segments(matched: DataFrame, code: str, segment: str = "segment", weight: str | None = None) -> DataFrame:
     """(code, code_segment, share): the dominant segment of each code's tier-1 matches."""
     from .lexicon import dominant
 
-    return dominant(matched, [code], segment).select(code, F.col(segment).alias("code_segment"), "share")
+    return dominant(matched, [code], segment, weight).select(code, F.col(segment).alias("code_segment"), "share")
 
 
 def _head(text: Column, heads: Iterable[str]) -> Column:
@@ -139,11 +170,9 @@ def match_party(df: DataFrame, key: str, columns: Iterable[str], cores: DataFram
     an exclusion cue has none."""
     blob = X.norm_party(X.row_text(*columns))
     rows = df.filter(allowed) if allowed is not None else df
-    most = int(cores.agg(F.max("n_tokens")).first()[0] or 1)
 
     def find(texts):
-        texts = texts.filter(~P.has_cue("t", exclude))
-        hits = word_runs(texts, "id", F.col("t"), most).join(cores.select("core", "canonical"), F.col("run") == F.col("core"))
+        hits = occurrences(texts.filter(~P.has_cue("t", exclude)), cores, "core").join(cores.select("core", "canonical"), "core")
         best = hits.groupBy("id").agg(F.min(F.struct((-F.length("core")).alias("l"), "core", "canonical")).alias("b"))
         return best.select("id", "b.core", F.col("b.canonical").alias("maker"))
 
@@ -164,6 +193,19 @@ def cascade(df: DataFrame, key: str, family, category, maker, staged=lambda d: d
     return out
 
 
+def with_ids(df: DataFrame, ids: Mapping[str, Sequence[str]]) -> DataFrame:
+    """``df`` with ids: a digest of 16 bytes of some columns under each name, nulls told from texts."""
+    def part(c):
+        return F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-"))
+
+    return df.withColumns({name: F.unhex(F.md5(F.concat(*map(part, columns)))) for name, columns in ids.items()})
+
+
+def distinct_by(df: DataFrame, id_: str, columns: Sequence[str], key: str) -> DataFrame:
+    """(key, columns, n): one row per id of :func:`with_ids`, and how many rows have it."""
+    return df.groupBy(F.col(id_).alias(key)).agg(*(F.first(c).alias(c) for c in columns), F.count("*").alias("n"))
+
+
 def derive_maker(df: DataFrame, key: str, columns: Iterable[str], cores: DataFrame, maker: str) -> DataFrame:
     """M7: ``df`` with ``maker`` replaced by the one found in parties and description, if any."""
     found = match_party(df, key, columns, cores).select(key, F.col("maker").alias("_found"))

@@ -6,7 +6,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tradeweave.functions import text as X
 
@@ -75,11 +74,10 @@ def family_postings(train: DataFrame, text: str, code: str, family: str, min_row
     with enough rows; df counts the families of a code that have the feature."""
     rows = train.filter(~X.is_blank(family, ("",)))
     families = rows.groupBy(code, family).agg(F.count("*").alias("rows"))
-    by_code = Window.partitionBy(code)
-    families = families.withColumns({"nf": F.count("*").over(by_code), "total": F.sum("rows").over(by_code)})
-    families = families.filter(F.col("total") >= min_rows).drop("total")
+    codes = families.groupBy(code).agg(F.count("*").alias("nf"), F.sum("rows").alias("total")).filter(F.col("total") >= min_rows)
+    families = families.join(codes.drop("total"), code)
     cnt = rows.select(code, family, F.explode(X.family_features(text, stop)).alias("feature")).groupBy(code, "feature", family).agg(F.count("*").alias("cnt"))
-    cnt = cnt.withColumn("df", F.count("*").over(Window.partitionBy(code, "feature")))
+    cnt = cnt.join(cnt.groupBy(code, "feature").agg(F.count("*").alias("df")), [code, "feature"])
     return cnt.join(families.select(code, family), [code, family], "left_semi"), families
 
 

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from tradeweave.functions import text as X
 
 from .aggregate import money, total
+from .fingerprint import rows_of_differing
 from .mapping import preserve_or_propose
 
 
@@ -80,13 +81,15 @@ def clusters(df: DataFrame, keys: Sequence[str], high: float, playbook: Mapping[
 
 
 def changed_rows(before: DataFrame, after: DataFrame, key: str, columns: Iterable[str]) -> DataFrame:
-    """Q7: rows whose columns differ, with the values before."""
+    """Q7: rows whose columns differ, with the values before. Only rows in buckets whose fingerprints differ
+    are joined."""
     columns = list(columns)
+    before, after = rows_of_differing(before.select(key, *columns), after.select(key, *columns), [key], columns)
     b = before.select(key, *[F.col(c).alias(f"before_{c}") for c in columns])
     differs = F.lit(False)
     for c in columns:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"before_{c}"))
-    return after.select(key, *columns).join(b, key).filter(differs)
+    return after.join(b, key).filter(differs)
 
 
 def screen(df: DataFrame, text: Column, wanted: str, unwanted: str | None = None) -> DataFrame:
@@ -126,11 +129,14 @@ def gold_template(df: DataFrame, key: str, buckets: Mapping[str, Column], caps:
         F.array(*[F.when(c, F.struct(F.lit(k).alias("rank"), F.lit(n).alias("bucket"))) for k, (n, c) in enumerate(buckets.items())]), lambda x: x.isNotNull()
     )
     rows = df.select(key, X.safe_number("value").alias("v"), F.explode(first).alias("b")).select(key, "v", "b.rank", "b.bucket")
-    cap = F.lit(None).cast("int")
-    for n, c in caps.items():
-        cap = F.when(F.col("bucket") == n, F.lit(c)).otherwise(cap)
-    n = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("v"), key))
-    kept = rows.withColumns({"n": n, "cap": cap}).filter(F.col("cap").isNull() | (F.col("n") <= F.col("cap")))
+    capped = {n: c for n, c in caps.items() if c is not None}
+    kept = rows.filter(~F.col("bucket").isin(*capped))
+    if capped:
+        cap = F.element_at(F.create_map(*[F.lit(x) for kv in capped.items() for x in kv]), F.col("bucket"))
+        n = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("v"), key))
+        # The literal limit lets each task pass on only so many rows of a bucket.
+        few = rows.filter(F.col("bucket").isin(*capped)).withColumn("n", n).filter((F.col("n") <= max(capped.values())) & (F.col("n") <= cap))
+        kept = kept.unionByName(few.drop("n"))
     return ranked(kept, [key], ["rank"], 1).select(key, "bucket", *[F.lit("").alias(c) for c in blank])
 
 

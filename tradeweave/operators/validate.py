@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .aggregate import money
+from .fingerprint import rows_of_differing
 
 
 def violations(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
@@ -58,7 +59,9 @@ def partition_reconciliation(source: DataFrame, parts: DataFrame, key: str) -> D
 
 
 def compare_aggregates(a: DataFrame, b: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """Keys missing on either side and absolute differences of measures, over a full outer join."""
+    """Keys missing on either side and absolute differences of measures, over a full outer join of what
+    lies in buckets whose fingerprints differ; other rows are equal and add nothing."""
+    a, b = rows_of_differing(a.select(*keys, *measures), b.select(*keys, *measures), keys, measures)
     x = a.select(*keys, *[F.col(m).alias(f"a_{m}") for m in measures], F.lit(1).alias("in_a"))
     y = b.select(*keys, *[F.col(m).alias(f"b_{m}") for m in measures], F.lit(1).alias("in_b"))
     j = x.join(y, list(keys), "full_outer")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import functions as F
 
 from tradeweave.functions import predicates as P
 from tradeweave.functions import text as X
-from tradeweave.operators import aggregate, audit, evaluate, evidence, gate, governance, lexicon, match, retrieval, review, validate
+from tradeweave.operators import aggregate, audit, evaluate, evidence, gate, governance, lexicon, match, registry, retrieval, review, validate
 from tradeweave.sources import fixtures as fx
 from tradeweave.sources import tables
 
@@ -24,12 +25,12 @@ ALIASES = {"Seven": "supplier 000000007"}
 GENERIC = ("small ring", "new gear")
 
 
-def evidenced(spark, sf_dir):
-    return stage(spark, sf_dir, "evidence", _build_evidence)
+def evidenced(spark, sf_dir, keep=True):
+    return stage(spark, sf_dir, "evidence", _build_evidence, keep)
 
 
 def _build_evidence(spark, sf_dir):
-    rows = gated(spark, sf_dir)
+    rows = gated(spark, sf_dir, keep=False)
     row = X.row_text("description", "importer", "exporter")
     return evidence.build_evidence(rows, row, RULES, NEGATIVE, ALIASES, GENERIC, "gizmo", ("9018", "9019", "9021", "9022"), ("9020",))
 
@@ -69,8 +70,8 @@ def ev_sql(body: str, **more: str) -> str:
     return sql(body, **_EV, **more)
 
 
-def routed(spark, sf_dir):
-    return evidence.route_rows(evidenced(spark, sf_dir))
+def routed(spark, sf_dir, keep=True):
+    return evidence.route_rows(evidenced(spark, sf_dir, keep))
 
 
 @query(ev_sql("SELECT row_id, product_group, candidate_segment, candidate_sub_segment, product_score FROM ev"))
@@ -440,41 +441,41 @@ def c09_status_summary(spark, sf_dir):
 # The audit mart.
 
 
-def facts(spark, sf_dir):
-    return stage(spark, sf_dir, "facts", lambda s, d: audit.row_facts(_with_flags(routed(s, d)), "row_id", ("precision",)))
+SAMPLE = audit.Sample({
+    "Vague": "generic_risk", "Guessed": "match_tier IN ('manufacturer', 'hs_prior')", "Missed": "tier <> 'Trusted' AND exists(hits, h -> h.rule_id = 'missed')",
+    "Not trusted": "tier <> 'Trusted'",
+})
+RETAINED = {"guessed": "tier <> 'Trusted' AND match_tier IN ('manufacturer', 'hs_prior')"}
+
 
+def shipment_registry() -> registry.Registry:
+    return registry.Registry.of(fx.REGISTRY)
 
-def _with_flags(rows):
-    """Routed rows with the flags that an audit heeds where a table has them."""
-    return rows.withColumns({
-        "extended_risk": (F.col("match_scope") == "extended") & (F.col("product_score") == 0),
-        "cue_suppressed": F.col("description").contains("plate"), "signal": F.col("product_score") > 0,
-    })
+
+def facts(spark, sf_dir):
+    return stage(spark, sf_dir, "facts", lambda s, d: audit.row_facts(routed(s, d, keep=False), "row_id", shipment_registry(), ["generic_risk"]))
 
 
 _FACTS = {
     "facts0": """SELECT *, CASE WHEN include = 'Y' THEN 'Trusted' WHEN qa_status LIKE 'Review%' OR qa_status LIKE 'Audit%' THEN 'Review' ELSE 'Excluded' END AS tier,
-      contains(lower(qa_status), 'precision') AS guard, match_scope = 'extended' AND product_score = 0 AS extended_risk, lower(coalesce(ref_valid, '')) AS rv FROM routed""",
-    "facts1": """SELECT *, CASE WHEN tier = 'Trusted' THEN ['accepted', 'routing'] WHEN guard THEN ['guard_conflict', 'guards'] WHEN rv <> '' AND rv NOT IN ('valid', 'y', 'yes', 'true', '1', 'reference-valid') THEN ['reference_invalid', 'reference']
-      WHEN scope_flag <> '' THEN ['scope_exclusion', 'scope'] WHEN negative_group <> '' THEN ['negative:' || negative_group, 'category'] WHEN generic_risk THEN ['generic_token', 'generic'] WHEN extended_risk THEN ['extended_unsupported', 'extended']
-      WHEN qa_status <> '' THEN [qa_status, 'routing'] WHEN tier = 'Review' THEN ['review_required', 'routing'] ELSE ['no_accepted_candidate', 'routing'] END AS why FROM facts0""",
-    "facts": """SELECT row_id, country AS output_id, maker, family, product, match_tier, match_scope, product_score, tier, negative_group, scope_flag, generic_risk, guard, extended_risk, value::DECIMAL(18,2) AS value, quantity::DECIMAL(18,2) AS volume,
-      rv = 'y' AS valid, description, importer, exporter, why[1] AS primary_reason, why[2] AS removal_stage FROM facts1""",
-    "states": """SELECT * FROM (
-      SELECT row_id, 1 AS o, 'load' AS stage_id, 'Passed' AS outcome FROM facts UNION ALL SELECT row_id, 2, 'eligibility', 'Passed' FROM facts
-      UNION ALL SELECT row_id, 3, 'cues', CASE WHEN product_score > 0 THEN 'Recovered' ELSE 'Suppressed' END FROM facts WHERE contains(description, 'plate')
-      UNION ALL SELECT row_id, 4, 'family', 'Passed' FROM facts WHERE match_tier = 'family'
-      UNION ALL SELECT row_id, 5, 'category', CASE WHEN negative_group <> '' THEN 'Suppressed' ELSE 'Passed' END FROM facts WHERE match_tier = 'category' OR negative_group <> ''
-      UNION ALL SELECT row_id, 6, 'maker', CASE WHEN tier = 'Trusted' THEN 'Passed' ELSE 'Review' END FROM facts WHERE match_tier = 'manufacturer'
-      UNION ALL SELECT row_id, 7, 'labels', 'Passed' FROM facts WHERE match_tier <> '' UNION ALL SELECT row_id, 8, 'reference', CASE WHEN valid THEN 'Passed' ELSE 'Review' END FROM facts WHERE match_tier <> ''
-      UNION ALL SELECT row_id, 9, 'scope', 'Suppressed' FROM facts WHERE scope_flag <> '' UNION ALL SELECT row_id, 10, 'generic', 'Review' FROM facts WHERE generic_risk
-      UNION ALL SELECT row_id, 11, 'extended', CASE WHEN extended_risk THEN 'Suppressed' ELSE 'Passed' END FROM facts WHERE match_scope = 'extended'
-      UNION ALL SELECT row_id, 12, 'prior', CASE WHEN tier = 'Trusted' THEN 'Recovered' ELSE 'Review' END FROM facts WHERE match_tier = 'hs_prior'
-      UNION ALL SELECT row_id, 13, 'guards', CASE tier WHEN 'Trusted' THEN 'Passed' WHEN 'Review' THEN 'Review' ELSE 'Suppressed' END FROM facts UNION ALL SELECT row_id, 14, 'routing', tier FROM facts)""",
-    "hits_": """SELECT row_id, 'guards' AS stage_id, 'guard_conflict' AS rule_id, '1' AS evidence FROM facts WHERE guard UNION ALL SELECT row_id, 'scope', 'scope_flag', scope_flag FROM facts WHERE scope_flag <> ''
-      UNION ALL SELECT row_id, 'category', 'negative_conflict', negative_group FROM facts WHERE negative_group <> '' UNION ALL SELECT row_id, 'generic', 'generic_token', '1' FROM facts WHERE generic_risk
-      UNION ALL SELECT row_id, 'extended', 'extended_unsupported', '1' FROM facts WHERE extended_risk
-      UNION ALL SELECT row_id, CASE match_tier WHEN 'manufacturer' THEN 'maker' ELSE 'prior' END, 'nonstandard_tier', match_tier FROM facts WHERE match_tier IN ('manufacturer', 'hs_prior')""",
+      contains(lower(qa_status), 'precision') AS precise, match_tier IN ('family', 'category') AND ref_valid <> 'Y' AS missing, generic_risk OR description LIKE '%small%plate%' AS vague FROM routed""",
+    "facts1": """SELECT *, CASE WHEN tier = 'Trusted' THEN ['accepted', 'desk'] WHEN precise THEN ['precision', 'reading'] WHEN scope_flag <> '' THEN ['beyond: ' || scope_flag, 'border'] WHEN negative_group <> '' THEN ['contradiction', 'reading']
+      WHEN missing THEN ['not_listed', 'listing'] WHEN vague THEN ['vague', 'reading'] WHEN qa_status <> '' THEN [qa_status, 'desk'] WHEN tier = 'Review' THEN ['review_required', 'desk'] ELSE ['no_accepted_candidate', 'desk'] END AS why FROM facts0""",
+    "facts": """SELECT row_id, country AS output_id, maker, family, product, match_tier, match_scope, product_score, tier, negative_group, scope_flag, generic_risk, precise, vague, include, qa_status, ref_valid, value::DECIMAL(18,2) AS value, quantity::DECIMAL(18,2) AS volume,
+      description, importer, exporter, why[1] AS primary_reason, why[2] AS removal_stage FROM facts1""",
+    "states": """SELECT row_id, 1 AS o, 'naming' AS stage_id, CASE WHEN match_tier IN ('family', 'category') THEN 'Named' WHEN match_tier <> '' THEN 'Guessed' ELSE 'Nameless' END AS outcome,
+        CASE match_tier WHEN 'family' THEN 'own_name' WHEN 'category' THEN 'kind_of_goods' WHEN '' THEN 'unnamed' ELSE 'guess by ' || match_tier END AS reason FROM facts
+      UNION ALL SELECT row_id, 2, 'reading', CASE WHEN negative_group = '' AND product_score > 0 THEN 'Agreed' ELSE 'Doubted' END,
+        CASE WHEN negative_group <> '' THEN 'contradicted by ' || negative_group WHEN product_score > 0 THEN 'supported' ELSE 'silent' END FROM facts WHERE match_tier <> ''
+      UNION ALL SELECT row_id, 3, 'listing', CASE WHEN ref_valid = 'Y' THEN 'Agreed' ELSE 'Doubted' END, CASE WHEN ref_valid = 'Y' THEN 'listed' ELSE 'unlisted' END FROM facts WHERE match_tier IN ('family', 'category')
+      UNION ALL SELECT row_id, 4, 'border', CASE WHEN scope_flag <> '' THEN 'Dropped' ELSE 'Doubted' END, CASE WHEN scope_flag <> '' THEN scope_flag ELSE 'at_the_edge' END FROM facts WHERE scope_flag <> '' OR match_scope = 'extended'
+      UNION ALL SELECT row_id, 5, 'desk', tier, primary_reason FROM facts""",
+    "hits_": """SELECT row_id, 'reading' AS stage_id, 'precision' AS rule_id, qa_status AS evidence FROM facts WHERE precise UNION ALL SELECT row_id, 'border', 'beyond_scope', scope_flag FROM facts WHERE scope_flag <> ''
+      UNION ALL SELECT row_id, 'reading', 'contradiction', negative_group FROM facts WHERE negative_group <> '' UNION ALL SELECT row_id, 'reading', 'vague', '1' FROM facts WHERE vague
+      UNION ALL SELECT row_id, 'naming', 'plate_cue', 'plate' FROM facts WHERE contains(description, 'plate') UNION ALL SELECT row_id, 'desk', 'missed', product_score::INT::VARCHAR FROM facts WHERE include <> 'Y' AND product_score > 0
+      UNION ALL SELECT row_id, 'naming', 'guessed', match_tier FROM facts WHERE match_tier IN ('manufacturer', 'hs_prior')""",
+    "stages_": """SELECT * FROM (VALUES ('naming', 10, 'What names the goods', 'candidate'), ('reading', 20, 'What the text says', 'candidate'), ('listing', 25, 'In the list of goods', 'candidate'), ('border', 40, 'Within the trade looked at', 'candidate'),
+      ('desk', 90, 'Decision', 'terminal')) v(stage_id, execution_order, label, stage_type)""",
 }
 _METRICS = "count(*) AS n_rows, sum(value)::DOUBLE AS value, sum(volume)::DOUBLE AS volume, 0 AS missing_value, 0 AS invalid_value, 0 AS missing_volume, 0 AS invalid_volume, CASE WHEN sum(volume) <> 0 THEN sum(value)::DOUBLE / sum(volume)::DOUBLE END AS weighted_price"
 
@@ -493,10 +494,26 @@ def u02_primary_reason(spark, sf_dir):
     return facts(spark, sf_dir).select("row_id", "primary_reason", "removal_stage")
 
 
-@query(fact_sql("SELECT row_id, string_agg(stage_id || '=' || outcome, ' ' ORDER BY o) AS path FROM states GROUP BY row_id"))
+@query(fact_sql("SELECT row_id, string_agg(stage_id || '=' || outcome || ':' || reason, ' ' ORDER BY o) AS path FROM states GROUP BY row_id"))
 def u03_stage_path(spark, sf_dir):
-    steps = F.transform("path", lambda s: F.concat_ws("=", s["stage_id"], s["outcome"]))
-    return facts(spark, sf_dir).select("row_id", F.array_join(steps, " ").alias("path"))
+    return facts(spark, sf_dir).select("row_id", _path_text().alias("path"))
+
+
+def _path_text():
+    steps = F.transform("path", lambda s: F.concat(s["stage_id"], F.lit("="), s["outcome"], F.lit(":"), s["reason"]))
+    return F.array_join(steps, " ")
+
+
+@query("""SELECT event_id, CASE WHEN value < 20 THEN 'arrival=Void:worthless' ELSE 'arrival=In:counted' || CASE WHEN value >= 60 THEN ' size=Large:large' ELSE '' END || ' end=Done:' || event_type END AS path,
+  CASE WHEN user_id % 2 = 0 THEN 'arrival:even_user:' || user_id ELSE '' END AS hits FROM events""")
+def u03_registry_of_events(spark, sf_dir):
+    """Any table and any stage names: the registry is read from a file."""
+    path = _shared(spark, "registry")
+    spark.createDataFrame([(json.dumps(fx.EVENT_REGISTRY),)], "value string").write.text(path)
+    found = registry.Registry.read(spark, path)
+    rows = found.prepared(fx.table(spark, sf_dir, "events")).select("event_id", found.path().alias("path"), found.hits().alias("hits"))
+    hits = F.array_join(F.transform("hits", lambda h: F.concat_ws(":", h["stage_id"], h["rule_id"], h["evidence"])), " ")
+    return rows.select("event_id", _path_text().alias("path"), hits.alias("hits"))
 
 
 @query(fact_sql("SELECT * FROM hits_"))
@@ -529,9 +546,9 @@ def u09_metrics(spark, sf_dir):
     return facts(spark, sf_dir).groupBy("tier").agg(*audit.metrics())
 
 
-@query(fact_sql(f"SELECT coalesce(output_id, 'OVERALL') AS output_id, stage_id, outcome, {_METRICS} FROM states JOIN facts USING (row_id) GROUP BY GROUPING SETS ((output_id, stage_id, outcome), (stage_id, outcome))"))
+@query(fact_sql(f"SELECT coalesce(output_id, 'OVERALL') AS output_id, stage_id, outcome, execution_order, label, stage_type, {_METRICS} FROM states JOIN facts USING (row_id) JOIN stages_ USING (stage_id) GROUP BY GROUPING SETS ((output_id, stage_id, outcome, execution_order, label, stage_type), (stage_id, outcome, execution_order, label, stage_type))"))
 def u10_funnel(spark, sf_dir):
-    return audit.funnel(facts(spark, sf_dir))
+    return audit.funnel(facts(spark, sf_dir), shipment_registry().stage_table(spark))
 
 
 _CUBE = """SELECT '{kind}' AS kind, CASE WHEN grouping(output_id) = 1 THEN 'OVERALL' ELSE output_id END AS output_id, stage, tier, reason, concat_ws('+', CASE WHEN grouping(maker) = 0 THEN 'maker' END, CASE WHEN grouping(family) = 0 THEN 'family' END, CASE WHEN grouping(product) = 0 THEN 'product' END) AS level,
@@ -547,29 +564,31 @@ def u11_removal_cube(spark, sf_dir):
     return audit.removal_cube(facts(spark, sf_dir))
 
 
+_RISKY = "(generic_risk OR match_tier IN ('manufacturer', 'hs_prior') OR tier <> 'Trusted')"
 _SAMPLE = {
-    "risky": "SELECT *, match_tier IN ('manufacturer', 'hs_prior') AS ns FROM facts WHERE generic_risk OR match_tier IN ('manufacturer', 'hs_prior') OR tier <> 'Trusted'",
-    "one": """SELECT output_id, row_id, 'Targeted risk' AS sample_type, CASE WHEN generic_risk THEN 'Generic token' WHEN ns THEN 'Non-standard tier' ELSE 'High-value Review/Excluded' END AS stratum FROM risky
-      QUALIFY row_number() OVER (PARTITION BY output_id ORDER BY generic_risk DESC, ns DESC, value DESC, row_id) <= 12""",
-    "two": """SELECT output_id, row_id, 'Deterministic random' AS sample_type, 'Random ' || tier AS stratum FROM facts WHERE row_id NOT IN (SELECT row_id FROM one)
+    "risky": f"SELECT output_id, row_id, value, generic_risk AS f1, match_tier IN ('manufacturer', 'hs_prior') AS f2, tier <> 'Trusted' AND include <> 'Y' AND product_score > 0 AS f3 FROM facts WHERE {_RISKY}",
+    "one": """SELECT output_id, row_id, 'Targeted risk' AS sample_type, CASE WHEN f1 THEN 'Vague' WHEN f2 THEN 'Guessed' WHEN f3 THEN 'Missed' ELSE 'Not trusted' END AS stratum FROM risky
+      QUALIFY row_number() OVER (PARTITION BY output_id ORDER BY f1 DESC, f2 DESC, f3 DESC, value DESC, row_id) <= 12""",
+    "two": """SELECT output_id, row_id, 'Deterministic stratified-random' AS sample_type, 'Deterministic random — ' || tier AS stratum FROM (SELECT f.output_id, f.row_id, f.tier FROM facts f ANTI JOIN one USING (row_id))
       QUALIFY row_number() OVER (PARTITION BY output_id, tier ORDER BY (('0x' || left(md5(row_id), 7))::BIGINT * 1103515245 + 12345) & 2147483647, row_id) <= CASE tier WHEN 'Trusted' THEN 5 ELSE 4 END""",
+    "sample_": "SELECT * FROM one UNION ALL SELECT * FROM two",
 }
 
 
-@query(fact_sql("SELECT * FROM one UNION ALL SELECT * FROM two", **_SAMPLE))
+@query(fact_sql("SELECT * FROM sample_", **_SAMPLE))
 def u12_review_sample(spark, sf_dir):
-    return audit.review_sample(facts(spark, sf_dir))
+    return audit.review_sample(facts(spark, sf_dir), SAMPLE)
 
 
 _CHECKS = {
-    "picked": "SELECT f.*, s.sample_type FROM facts f LEFT JOIN (SELECT * FROM one UNION ALL SELECT * FROM two) s USING (output_id, row_id)",
+    "picked": "SELECT f.*, s.sample_type FROM facts f LEFT JOIN sample_ s USING (output_id, row_id)",
     "free": "SELECT output_id, sum(least(n, CASE tier WHEN 'Trusted' THEN 5 ELSE 4 END)) AS design FROM (SELECT output_id, tier, count(*) AS n FROM picked WHERE sample_type IS DISTINCT FROM 'Targeted risk' GROUP BY ALL) GROUP BY 1",
-    "per": """SELECT output_id, count(*) AS n, count(*) FILTER (sample_type = 'Targeted risk') AS targeted, count(*) FILTER (sample_type <> 'Targeted risk') AS random, count(*) FILTER (generic_risk OR match_tier IN ('manufacturer', 'hs_prior') OR tier <> 'Trusted') AS risky,
+    "per": f"""SELECT output_id, count(*) AS n, count(*) FILTER (sample_type = 'Targeted risk') AS targeted, count(*) FILTER (sample_type <> 'Targeted risk') AS random, count(*) FILTER {_RISKY} AS risky,
       sum(value)::DOUBLE AS v, sum(volume)::DOUBLE AS q, count(*) FILTER (match_tier IN ('manufacturer', 'hs_prior') AND tier <> 'Trusted') AS odd FROM picked GROUP BY 1""",
-    "kept": "SELECT output_id, count(DISTINCT row_id) AS kept FROM hits_ JOIN facts USING (row_id) WHERE rule_id = 'nonstandard_tier' AND tier <> 'Trusted' GROUP BY 1",
-    "ends": "SELECT output_id, count(*) AS en, sum(value)::DOUBLE AS ev, sum(volume)::DOUBLE AS eq FROM states JOIN facts USING (row_id) WHERE stage_id = 'routing' GROUP BY 1",
+    "kept": "SELECT output_id, count(DISTINCT row_id) AS kept FROM hits_ JOIN facts USING (row_id) WHERE rule_id = 'guessed' AND tier <> 'Trusted' GROUP BY 1",
+    "ends": "SELECT output_id, count(*) AS en, sum(value)::DOUBLE AS ev, sum(volume)::DOUBLE AS eq FROM states JOIN facts USING (row_id) WHERE stage_id = 'desk' GROUP BY 1",
     "want": "SELECT country AS output_id, count(*) AS want FROM ship GROUP BY 1",
-    "checks": """SELECT output_id, unnest(['source rows', 'one terminal tier', 'targeted sample', 'random sample', 'value', 'volume', 'non-standard tiers kept']) AS check_name,
+    "checks": """SELECT output_id, unnest(['source rows', 'one terminal tier', 'targeted sample', 'random sample', 'value', 'volume', 'retained: guessed']) AS check_name,
       unnest([n, n, targeted, random, ev, eq, coalesce(kept, 0)]::DOUBLE[]) AS observed, unnest([want, want, least(12, risky), design, v, q, odd]::DOUBLE[]) AS expected
       FROM want JOIN per USING (output_id) LEFT JOIN free USING (output_id) LEFT JOIN kept USING (output_id) JOIN ends USING (output_id)
       UNION ALL SELECT 'OVERALL', unnest(['outputs add up: rows', 'outputs add up: value', 'outputs add up: volume']), unnest([count(*), sum(value), sum(volume)]::DOUBLE[]), unnest([count(*), sum(value), sum(volume)]::DOUBLE[]) FROM facts""",
@@ -580,14 +599,14 @@ _CHECKS = {
 def u13_reconciliation(spark, sf_dir):
     f = facts(spark, sf_dir)
     expected = fx.shipments(spark, sf_dir).groupBy(F.col("country").alias("output_id")).agg(F.count("*").alias("n_rows"))
-    out = audit.reconciliation(f, audit.review_sample(f), audit.funnel(f), audit.risk_inventory(f), expected)
+    out = audit.reconciliation(f, audit.review_sample(f, SAMPLE), audit.funnel(f), audit.risk_inventory(f), expected, SAMPLE, shipment_registry().last, RETAINED)
     return out.withColumns({"observed": F.round("observed", 2), "expected": F.round("expected", 2)})
 
 
-@query(fact_sql("SELECT s.*, tier, primary_reason, maker, family, product, value::DOUBLE AS value FROM (SELECT * FROM one UNION ALL SELECT * FROM two) s JOIN facts USING (output_id, row_id)", **_SAMPLE))
+@query(fact_sql("SELECT s.*, tier, primary_reason, maker, family, product, value::DOUBLE AS value FROM sample_ s JOIN facts USING (output_id, row_id)", **_SAMPLE))
 def u14_sample_view(spark, sf_dir):
     f = facts(spark, sf_dir)
-    return audit.sample_view(audit.review_sample(f), f).withColumn("value", F.col("value").cast("double"))
+    return audit.sample_view(audit.review_sample(f, SAMPLE), f).withColumn("value", F.col("value").cast("double"))
 
 
 # Governance.
@@ -818,11 +837,15 @@ def _shared(spark, label):
     return f"{tables.shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-@query("SELECT p_partkey::VARCHAR AS p_partkey, CASE WHEN p_size % 2 = 0 THEN p_name || ' \"x\"' ELSE p_name || ' é' END AS p_name, p_size::VARCHAR AS p_size FROM part")
+@query("SELECT p_partkey::VARCHAR AS p_partkey, CASE WHEN p_size % 2 = 0 THEN p_name || ' \"x\"' ELSE p_name || ' é México' END AS p_name, p_size::VARCHAR AS p_size FROM part")
 def s01_read_delimited(spark, sf_dir):
+    """A folder with files in UTF-8 and files in Latin-1."""
     path = _shared(spark, "delimited")
-    name = F.when(F.col("p_size") % 2 == 0, F.concat("p_name", F.lit(' "x"'))).otherwise(F.concat("p_name", F.lit(" é")))
-    fx.table(spark, sf_dir, "part").select("p_partkey", name.alias("p_name"), "p_size").write.csv(path, sep="\t", header=True, quote='"', escape='"')
+    name = F.when(F.col("p_size") % 2 == 0, F.concat("p_name", F.lit(' "x"'))).otherwise(F.concat("p_name", F.lit(" é México")))
+    rows = fx.table(spark, sf_dir, "part").select("p_partkey", name.alias("p_name"), "p_size")
+    for third, encoding in ((0, "ISO-8859-1"), (1, "UTF-8"), (2, "ISO-8859-1")):
+        part = rows.filter(F.col("p_partkey") % 3 == third)
+        part.write.mode("append").csv(path, sep="\t", header=True, quote='"', escape='"', encoding=encoding)
     return tables.read_delimited(spark, path, "\t", ["p_partkey", "p_name", "p_size"])
 
 
@@ -840,6 +863,25 @@ def s10_write_and_read_slices(spark, sf_dir):
     return tables.read_slices(spark, path).select("country", "segment", "upper_value")
 
 
+@query("""SELECT n_name AS country, count(*) AS n_rows, sum(round(l_extendedprice * 100)::BIGINT * CASE WHEN n_nationkey % 2 = 0 THEN 2 ELSE 1 END)::BIGINT AS cents
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""")
+def s12_publish_slices(spark, sf_dir):
+    """All slices are published; then those of even nations anew, and once with a wrong count, which fails
+    and changes nothing."""
+    path, nation = _shared(spark, "published"), fx.table(spark, sf_dir, "nation").select("n_name", "n_nationkey")
+    rows = fx.shipments(spark, sf_dir).select("row_id", "country", F.round(F.col("value").cast("double") * 100).cast("long").alias("cents"))
+    want = {r.country: (r.n, r.v) for r in rows.groupBy("country").agg(F.count("*").alias("n"), F.sum("cents").alias("v")).collect()}
+    tables.publish_slices(rows, path, {c: n for c, (n, _) in want.items()}, value="cents", totals={c: v for c, (_, v) in want.items()})
+    even = [r.n_name for r in nation.filter("n_nationkey % 2 = 0").collect() if r.n_name in want]
+    twice = rows.filter(F.col("country").isin(*even)).withColumn("cents", F.col("cents") * 2)
+    tables.publish_slices(twice, path, {c: want[c][0] for c in even}, value="cents", totals={c: 2 * want[c][1] for c in even})
+    try:
+        tables.publish_slices(twice.withColumn("cents", F.lit(0).cast("long")), path, {c: want[c][0] + 1 for c in even})
+    except ValueError:
+        pass
+    return tables.read_published(spark, path).groupBy("country").agg(F.count("*").alias("n_rows"), F.sum("cents").alias("cents"))
+
+
 @query(r"""SELECT src_file, maker, desc_key, code, value_key FROM (SELECT CASE WHEN p_size % 2 = 0 THEN 'even' ELSE 'odd' END AS src_file, CASE WHEN p_size % 2 = 0 THEN p_brand END AS maker, trim(regexp_replace(lower(p_name || '-' || p_type), '[^a-z0-9]+', ' ', 'g')) AS desc_key,
   p_partkey::VARCHAR AS code, round_even(p_retailprice, 0)::BIGINT AS value_key, p_size FROM part) WHERE p_size % 3 = 1""")
 def s11_ground_truth(spark, sf_dir):
@@ -858,10 +900,19 @@ def s12_row_count_gate(spark, sf_dir):
     return tables.assert_row_count(rows, fx.table(spark, sf_dir, "lineitem").count(), "shipments").groupBy("country").agg(F.count("*").alias("n"))
 
 
-@query("SELECT r_name AS stage_id, r_regionkey * 10 AS execution_order, 'Region ' || r_name AS label, CASE WHEN r_regionkey = 4 THEN 'terminal' ELSE 'candidate' END AS stage_type FROM region")
+@query("""SELECT r_name AS stage_id, '1' AS version, r_regionkey * 10 AS execution_order, 'Region ' || r_name AS label, CASE WHEN r_regionkey = 4 THEN 'terminal' ELSE 'candidate' END AS stage_type,
+  'On,Off' AS outcomes, CASE WHEN r_regionkey = 4 THEN '' ELSE 'On' END AS continues, 'first,second' AS reason_precedence FROM region""")
 def u15_registry_stages(spark, sf_dir):
+    """A registry whose stages are the regions, written by Spark and read as a file."""
     path, region = _shared(spark, "registry"), fx.table(spark, sf_dir, "region")
-    kind = F.when(F.col("r_regionkey") == 4, "terminal").otherwise("candidate")
-    one = F.struct(F.col("r_name").alias("stage_id"), (F.col("r_regionkey") * 10).alias("execution_order"), F.concat(F.lit("Region "), "r_name").alias("documentation_label"), kind.alias("stage_type"))
+    last = F.col("r_regionkey") == 4
+    goes_on = F.struct((~last).alias("On"), F.lit(False).alias("Off"))
+    case = F.struct(F.lit("first").alias("reason"), F.lit("On").alias("outcome"))
+    one = F.struct(
+        F.col("r_name").alias("stage_id"), F.lit("1").alias("version"), (F.col("r_regionkey") * 10).alias("execution_order"), F.concat(F.lit("Region "), "r_name").alias("documentation_label"),
+        F.when(last, "terminal").otherwise("candidate").alias("stage_type"), F.array(F.lit("On"), F.lit("Off")).alias("outcomes"), goes_on.alias("row_continues"),
+        F.array(F.lit("first"), F.lit("second")).alias("reason_precedence"), F.array(case).alias("cases"),
+    )
     region.agg(F.collect_list(one).alias("stages")).write.json(path)  # a registry has a few stages
-    return audit.registry_stages(spark, path)
+    out = audit.registry_stages(spark, path)
+    return out.withColumns({c: F.array_join(c, ",") for c in ("outcomes", "continues", "reason_precedence")})

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tradeweave.functions import predicates as P
 from tradeweave.operators import gate, guards, lexicon, mapping, match
@@ -26,34 +27,33 @@ class Rules:
     capital: str | None = None
 
 
+TEXT, PARTIES = ("description", "hs4", "hs_code"), ("importer", "exporter")
+
+
 def map_rows(
-    rows: DataFrame, strict: DataFrame, curated: DataFrame, cores: DataFrame, rules: Rules, keywords: DataFrame | None = None, key: str = "row_id"
+    rows: DataFrame, strict: DataFrame, curated: DataFrame, cores: DataFrame, rules: Rules, keywords: DataFrame | None = None
 ) -> DataFrame:
     """M6, G1, A1 and A2 over trade rows: the cascade with released hits, then standard labels.
 
-    Dictionaries and rows are read by several tiers, so what isn't a table yet becomes one.
+    Each distinct text with its codes, and each distinct pair of parties, is judged once; whole rows are
+    written once before that, and joined to the labels by the ids of both.
     """
-    rows = staged(rows, "rows")
+    rows = staged(match.with_ids(rows, {"_text": TEXT, "_party": PARTIES}), "rows")
     keywords = staged(lexicon.build_keywords(strict) if keywords is None else keywords, "keywords")
     phrases = staged(lexicon.build_phrases(curated, strict)[0], "phrases")
-    cores = staged(cores, "cores")
     allowed = P.match_allowed("hs4", rules.core, rules.exclude)
 
-    def family(df):
-        hits = match.match_keywords(df, key, "description", keywords, allowed, ["description"])
-        labelled = hits.join(keywords.select("keyword", "product"), "keyword")
-        return labelled.filter(~guards.conflict("product", "description", rules.guard_rules)).select(key, "keyword")
-
-    def category(df, one):
-        matched = one.join(keywords.select("keyword", "segment"), "keyword").join(rows.select(key, "hs_code"), key)
-        segments = match.code_segments(matched, "hs_code")
-        return match.match_category(df, key, "description", "hs_code", phrases, rules.heads, segments, rules.negative, allowed)
-
-    def maker(df):
-        return match.match_party(df, key, ("importer", "exporter"), cores, allowed=allowed).select(key, "maker")
-
-    matches = match.cascade(rows, key, family, category, maker, staged)
-    out = mapping.assemble(rows, key, matches, keywords, "hs4", rules.core)
+    texts = staged(match.distinct_by(rows, "_text", TEXT, "_text"), "texts")
+    hits = match.match_keywords(texts, "_text", "description", keywords, allowed, ["description", "hs_code", "n"])
+    labelled = hits.join(keywords.select("keyword", "product", "segment"), "keyword")
+    one = staged(labelled.filter(~guards.conflict("product", "description", rules.guard_rules)).select("_text", "keyword", "segment", "hs_code", "n"), "family")
+    segments = match.code_segments(one, "hs_code", weight="n")
+    rest = texts.join(one.select("_text"), "_text", "left_anti")
+    two = match.match_category(rest, "_text", "description", "hs_code", phrases, rules.heads, segments, rules.negative, allowed)
+    tiers = one.select("_text", "keyword", F.lit("family").alias("tier")).unionByName(two.withColumn("tier", F.lit("category")), allowMissingColumns=True)
+    labels = staged(mapping.match_labels(tiers.withColumn("maker", F.lit(None).cast("string")), "_text", keywords), "labels")
+    makers = staged(match.match_party(match.distinct_by(rows, "_party", PARTIES, "_party"), "_party", PARTIES, cores), "makers")
+    out = mapping.assemble_by_text(rows, "_text", labels, "_party", makers, allowed, "hs4", rules.core)
     return mapping.standardize(out, "value", "quantity")
 
 

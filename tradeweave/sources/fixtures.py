@@ -15,6 +15,89 @@ GUARD_RULES = [{"product_cue": "gear", "forbid": ["blue"], "allow": ["large"]}]
 CURATED_PHRASES = {"red bolt": "bolt", "cold rod": "rod"}
 GENERIC = ("old", "new")
 
+_CONTINUE = lambda *outcomes: dict.fromkeys(outcomes, True)
+#: What becomes of a shipment of the test tables, told as a registry (operators.registry).
+REGISTRY = {
+    "registry_version": "3",
+    "inputs": {"product_score": "double", "generic_risk": "boolean", "negative_group": "string"},
+    "stages": [
+        {
+            "stage_id": "naming", "version": "1", "execution_order": 10, "documentation_label": "What names the goods", "stage_type": "candidate",
+            "outcomes": ["Named", "Guessed", "Nameless"], "row_continues": _CONTINUE("Named", "Guessed", "Nameless"),
+            "reason_precedence": ["own_name", "kind_of_goods", "guess", "unnamed"],
+            "cases": [
+                {"reason": "unnamed", "outcome": "Nameless"}, {"reason": "own_name", "outcome": "Named", "when": "match_tier = 'family'"},
+                {"reason": "kind_of_goods", "outcome": "Named", "when": "match_tier = 'category'"},
+                {"reason": "guess", "outcome": "Guessed", "when": "match_tier <> ''", "text": "concat('guess by ', match_tier)"},
+            ],
+        },
+        {
+            "stage_id": "reading", "version": "1", "execution_order": 20, "documentation_label": "What the text says", "stage_type": "candidate",
+            "outcomes": ["Agreed", "Doubted"], "row_continues": _CONTINUE("Agreed", "Doubted"), "applies": "match_tier <> ''",
+            "reason_precedence": ["contradicted", "supported", "silent"],
+            "cases": [
+                {"reason": "contradicted", "outcome": "Doubted", "when": "negative_group <> ''", "text": "concat('contradicted by ', negative_group)"},
+                {"reason": "supported", "outcome": "Agreed", "when": "product_score > 0"}, {"reason": "silent", "outcome": "Doubted"},
+            ],
+        },
+        {
+            "stage_id": "listing", "version": "2", "execution_order": 25, "documentation_label": "In the list of goods", "stage_type": "candidate",
+            "outcomes": ["Agreed", "Doubted"], "row_continues": _CONTINUE("Agreed", "Doubted"), "applies": "match_tier IN ('family', 'category')",
+            "reason_precedence": ["listed", "unlisted"],
+            "cases": [{"reason": "listed", "outcome": "Agreed", "when": "ref_valid = 'Y'"}, {"reason": "unlisted", "outcome": "Doubted"}],
+        },
+        {
+            "stage_id": "border", "version": "1", "execution_order": 40, "documentation_label": "Within the trade looked at", "stage_type": "candidate",
+            "outcomes": ["Dropped", "Doubted"], "row_continues": _CONTINUE("Dropped", "Doubted"), "reason_precedence": ["beyond", "at_the_edge"],
+            "cases": [
+                {"reason": "beyond", "outcome": "Dropped", "when": "scope_flag <> ''", "text": "scope_flag"},
+                {"reason": "at_the_edge", "outcome": "Doubted", "when": "match_scope = 'extended'"},
+            ],
+        },
+        {
+            "stage_id": "desk", "version": "1", "execution_order": 90, "documentation_label": "Decision", "stage_type": "terminal",
+            "outcomes": ["Trusted", "Review", "Excluded"], "row_continues": dict.fromkeys(("Trusted", "Review", "Excluded"), False),
+            "reason_precedence": ["trusted", "review", "excluded"],
+            "cases": [
+                {"reason": "trusted", "outcome": "Trusted", "when": "tier = 'Trusted'", "text": "primary_reason"},
+                {"reason": "review", "outcome": "Review", "when": "tier = 'Review'", "text": "primary_reason"}, {"reason": "excluded", "outcome": "Excluded", "text": "primary_reason"},
+            ],
+        },
+        {
+            "stage_id": "report", "version": "1", "execution_order": 95, "documentation_label": "Tables for readers", "stage_type": "presentation",
+            "outcomes": ["Shown"], "row_continues": {"Shown": False}, "reason_precedence": ["summed"],
+        },
+    ],
+    "rules": [
+        {"rule_id": "precision", "stage_id": "reading", "when": "contains(lower(qa_status), 'precision')", "evidence": "qa_status", "precedence": 1},
+        {"rule_id": "beyond_scope", "stage_id": "border", "when": "scope_flag <> ''", "evidence": "scope_flag", "reason": "concat('beyond: ', scope_flag)", "precedence": 2},
+        {"rule_id": "contradiction", "stage_id": "reading", "when": "negative_group <> ''", "evidence": "negative_group", "precedence": 3},
+        {"rule_id": "not_listed", "stage_id": "listing", "when": "match_tier IN ('family', 'category') AND ref_valid <> 'Y'", "precedence": 4, "counts": False},
+        {"rule_id": "vague", "stage_id": "reading", "when": "generic_risk OR description LIKE '%small%plate%'", "precedence": 5},
+        {"rule_id": "plate_cue", "stage_id": "naming", "when": "contains(description, 'plate')", "evidence": "'plate'"},
+        {"rule_id": "missed", "stage_id": "desk", "when": "include <> 'Y' AND product_score > 0", "evidence": "cast(cast(product_score as int) as string)"},
+        {"rule_id": "guessed", "stage_id": "naming", "when": "match_tier IN ('manufacturer', 'hs_prior')", "evidence": "match_tier"},
+    ],
+}
+#: A second one, of the event stream: rows stop at the first stage that ends them.
+EVENT_REGISTRY = {
+    "stages": [
+        {
+            "stage_id": "arrival", "execution_order": 1, "documentation_label": "Arrival", "stage_type": "candidate", "outcomes": ["In", "Void"], "row_continues": {"In": True, "Void": False},
+            "reason_precedence": ["worthless", "counted"], "cases": [{"reason": "counted", "outcome": "In"}, {"reason": "worthless", "outcome": "Void", "when": "value < 20"}],
+        },
+        {
+            "stage_id": "size", "execution_order": 2, "documentation_label": "Size", "stage_type": "candidate", "outcomes": ["Large"], "row_continues": {"Large": True},
+            "reason_precedence": ["large"], "cases": [{"reason": "large", "outcome": "Large", "when": "value >= 60"}],
+        },
+        {
+            "stage_id": "end", "execution_order": 3, "documentation_label": "End", "stage_type": "terminal", "outcomes": ["Done"], "row_continues": {"Done": False},
+            "reason_precedence": ["done"], "cases": [{"reason": "done", "outcome": "Done", "text": "event_type"}],
+        },
+    ],
+    "rules": [{"rule_id": "even_user", "stage_id": "arrival", "when": "user_id % 2 = 0", "evidence": "cast(user_id as string)"}],
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
+import json
+import re
+import time
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -15,14 +18,14 @@ from pyspark.sql.window import Window
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Where it isn't set, a local master (tests) gets a temporary folder; a cluster is an error.
+    Where it isn't set and the master is local, a folder below the session's warehouse; on a cluster that
+    is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        found = tempfile.mkdtemp(prefix="tradeweave-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        found = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared"
     return found.rstrip("/")
 
 
@@ -45,16 +48,45 @@ def require_columns(df: DataFrame, columns: Iterable[str], where: str = "table")
     return df
 
 
+def file_state(spark: SparkSession, paths: Iterable[str]) -> str:
+    """A digest of the names, sizes and times of all files below ``paths``, from their listing alone."""
+    seen = None
+    for path in paths:  # one by one, as a path may be a file or a folder
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length", "modificationTime")
+        seen = files if seen is None else seen.unionByName(files)
+    return str(seen.agg(F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()[0])
+
+
 def read_delimited(spark: SparkSession, path: str, sep: str = "\t", required: Iterable[str] = (), multi_line: bool = False) -> DataFrame:
-    """Delimited files with a header as strings: UTF-8, or Latin-1 if the bytes of any aren't UTF-8.
+    """Delimited files with a header as strings, each file by itself UTF-8 or, where any of its bytes
+    aren't, Latin-1.
 
-    Line breaks within quotes need ``multi_line``, which makes each file one task; without it Spark
-    splits large files. The bytes are looked at line by line.
+    A first pass asks each file's lines whether they are UTF-8, and only the names of files that aren't
+    reach the driver; then every file is parsed once. Spark splits large files in both passes. Line breaks
+    within quotes need ``multi_line``, which makes each file one task of the second. Files may have
+    different columns if their encodings differ; what one lacks is null.
     """
-    broken = not spark.read.text(path).filter("NOT is_valid_utf8(value)").isEmpty()
-    df = spark.read.csv(path, sep=sep, header=True, encoding="ISO-8859-1" if broken else "UTF-8", quote='"', escape='"', multiLine=multi_line)
-    df = df.withColumnsRenamed({c: c.lstrip("\ufeff") for c in df.columns})
-    return require_columns(df, required, path)
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.expr("is_valid_utf8(value)").alias("ok"))
+    broken = {r.file for r in lines.groupBy("file").agg(F.bool_and("ok").alias("ok")).filter("NOT ok").collect()}
+
+    def parsed(files: str | list[str], encoding: str) -> DataFrame:
+        df = spark.read.csv(files, sep=sep, header=True, encoding=encoding, quote='"', escape='"', multiLine=multi_line)
+        return df.withColumnsRenamed({c: c.lstrip("\ufeff") for c in df.columns})
+
+    def plain(name: str) -> str:  # both listings, whichever way they write a name
+        return re.sub(r"^(\w+):/+", r"\1:/", unquote(name))
+
+    files, decoded = spark.read.text(path).inputFiles() if broken else [], {plain(f) for f in broken}
+    of: dict[bool, list[str]] = {False: [], True: []}
+    for f in files:
+        of[plain(f) in decoded].append(unquote(f))
+    if not broken:
+        out = parsed(path, "UTF-8")
+    elif not of[False]:
+        out = parsed(path, "ISO-8859-1")
+    else:
+        out = parsed(of[False], "UTF-8").unionByName(parsed(of[True], "ISO-8859-1"), allowMissingColumns=True)
+    return require_columns(out, required, path)
 
 
 def narrow(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -118,6 +150,60 @@ def read_slices(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).orderBy("country", "segment", "sub_segment", F.desc("upper_value"), "product", "family", "maker")
 
 
+def publish_slices(
+    df: DataFrame, path: str, expected: Mapping[str, int], key: str = "country", value: str | None = None, totals: Mapping[str, float] | None = None, tolerance: float = 0.005
+) -> str:
+    """S10, S12, C4 in one: writes a new version of the slices in ``expected``, and publishes it only if what
+    was written is what was expected; the version's name.
+
+    Rows and, for ``totals``, the sum of ``value`` of each slice are observed by the write itself. A slice
+    with other numbers, or rows of a slice that isn't expected, raise an error, and readers keep seeing the
+    versions before. So they do if the job is lost at any point: a version counts from the moment its
+    small entry is written, after all else.
+    """
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    seen, slices = Observation(version), list(expected)
+    metrics = [F.count(F.when(F.col(key) == s, 1)).alias(f"n{i}") for i, s in enumerate(slices)]
+    if totals:
+        money = F.col(value).cast("decimal(30,6)")
+        metrics += [F.coalesce(F.sum(F.when(F.col(key) == s, money)), F.lit(0)).cast("double").alias(f"v{i}") for i, s in enumerate(slices) if s in totals]
+    metrics.append(F.count(F.when(~F.coalesce(F.col(key).isin(*slices), F.lit(False)), 1)).alias("others"))
+    df.observe(seen, *metrics).withColumn("_slice", F.col(key)).write.partitionBy("_slice").parquet(f"{path}/versions/{version}")
+    got, wrong = seen.get, []
+    if got["others"]:
+        wrong.append(f"{got['others']} rows of other slices")
+    for i, s in enumerate(slices):
+        if got[f"n{i}"] != expected[s]:
+            wrong.append(f"{s}: {got[f'n{i}']} rows, expected {expected[s]}")
+        if totals and s in totals and abs(got[f"v{i}"] - totals[s]) > tolerance:
+            wrong.append(f"{s}: {value} {got[f'v{i}']}, expected {totals[s]}")
+    if wrong:
+        raise ValueError(f"not published: {'; '.join(wrong)}")
+    _publish(df.sparkSession, path, version, slices, df.schema.json())
+    return version
+
+
+_ENTRY = "version string, slice string, schema string"
+
+
+def _publish(spark: SparkSession, path: str, version: str, slices: Sequence[str], schema: str) -> None:
+    """Makes a version the one that readers see, by one small file."""
+    spark.createDataFrame([(version, s, schema) for s in slices], _ENTRY).coalesce(1).write.mode("append").json(f"{path}/published")
+
+
+def read_published(spark: SparkSession, path: str, key: str = "country") -> DataFrame:
+    """The rows of each slice's last published version."""
+    entries = spark.read.schema(_ENTRY).json(f"{path}/published")
+    last = entries.groupBy(F.col("slice").alias("_slice")).agg(F.max(F.struct("version", "schema")).alias("e")).select("_slice", F.col("e.version").alias("_version"), "e.schema")
+    rows = None
+    for r in last.select("_version", "schema").distinct().collect():  # at most one a slice
+        kept = T.StructType.fromJson(json.loads(r.schema))
+        part = spark.read.schema(kept).parquet(f"{path}/versions/{r[0]}").drop("_slice").withColumn("_of", F.lit(r[0]))
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    own = (F.col(key) == F.col("_slice")) & (F.col("_of") == F.col("_version"))
+    return rows.join(last, own, "left_semi").drop("_of")
+
+
 def build_ground_truth(files: Mapping[str, DataFrame], keep: Sequence[str], year_column: str, year: str) -> DataFrame:
     """The files' rows of one fiscal year with the columns that exist, src_file and join keys."""
     from tradeweave.functions import text as X
