@@ -360,6 +360,22 @@ def test_only_buckets_that_differ_are_joined(spark):
     assert fingerprint.differing_buckets(fingerprint.merged(halves[0].unionByName(halves[1])), whole).count() == 0
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_quotas_that_are_data(spark, hot):
+    """Groups of any size and many equal places give the same rows as a sort of each group."""
+    from tradeweave.operators import quota
+
+    rng = random.Random(4)
+    rows = [(k, "a" if hot or k % 3 else rng.choice(["b", "c", None]), rng.choice([5, 5, rng.randrange(2**31)]) if k % 2 else rng.randrange(2**31)) for k in range(3000)]
+    quotas = [("a", 700), ("b", 0), ("c", 10**6), (None, 17), ("unused", 3)]
+    want = set()
+    for g, n in quotas:
+        want |= {k for _, k in sorted((p, k) for k, h, p in rows if h == g)[:n]}
+    df = spark.createDataFrame(rows, "k long, g string, p long").repartition(5)
+    out = [r.k for r in quota.first_by_quota(df, ["g"], F.col("p"), "k", spark.createDataFrame(quotas, "g string, quota long")).collect()]
+    assert len(out) == len(set(out)) and set(out) == want
+
+
 def test_capped_buckets_keep_their_top_rows(spark):
     from tradeweave.operators import review
 

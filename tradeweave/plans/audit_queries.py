@@ -863,6 +863,14 @@ def s10_write_and_read_slices(spark, sf_dir):
     return tables.read_slices(spark, path).select("country", "segment", "upper_value")
 
 
+@query("""SELECT 'lineitem' AS "table", 'l_orderkey' AS "column", true AS found, count(*) AS n_rows, count(*) - count(l_orderkey) AS n_missing FROM lineitem
+  UNION ALL SELECT 'lineitem', 'l_unit', false, count(*), NULL FROM lineitem UNION ALL SELECT 'labels', 'toxic', true, count(*), count(*) - count(toxic) FROM labels
+  UNION ALL SELECT 'documents', 'text', true, count(*), count(*) - count(text) FROM documents UNION ALL SELECT 'documents', 'licence', false, count(*), NULL FROM documents""")
+def s02_column_check(spark, sf_dir):
+    required = {"lineitem": ["l_orderkey", "l_unit"], "labels": ["toxic"], "documents": ["text", "licence"]}
+    return tables.column_check({n: fx.table(spark, sf_dir, n) for n in required}, required)
+
+
 @query("""SELECT n_name AS country, count(*) AS n_rows, sum(round(l_extendedprice * 100)::BIGINT * CASE WHEN n_nationkey % 2 = 0 THEN 2 ELSE 1 END)::BIGINT AS cents
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""")
 def s12_publish_slices(spark, sf_dir):

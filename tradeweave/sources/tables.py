@@ -48,6 +48,21 @@ def require_columns(df: DataFrame, columns: Iterable[str], where: str = "table")
     return df
 
 
+def column_check(tables: Mapping[str, DataFrame], required: Mapping[str, Sequence[str]]) -> DataFrame:
+    """S2 as a table: (table, column, found, n_rows, n_missing) for each required column; the values that lack
+    are counted in one pass over each table, null where the column lacks as a whole."""
+    out = None
+    for name, columns in required.items():
+        df = tables[name]
+        lacks = [F.count(F.when(F.col(f"`{c}`").isNull(), 1)).alias(f"m{k}") for k, c in enumerate(columns) if c in df.columns]
+        one = df.agg(F.count("*").alias("n"), *lacks)
+        missing = [F.col(f"m{k}") if c in df.columns else F.lit(None).cast("long") for k, c in enumerate(columns)]
+        rows = F.array(*(F.struct(F.lit(c).alias("column"), F.lit(c in df.columns).alias("found"), m.alias("n_missing")) for c, m in zip(columns, missing)))
+        part = one.select(F.lit(name).alias("table"), F.col("n").alias("n_rows"), F.explode(rows).alias("r")).select("table", "r.column", "r.found", "n_rows", "r.n_missing")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def file_state(spark: SparkSession, paths: Iterable[str]) -> str:
     """A digest of the names, sizes and times of all files below ``paths``, from their listing alone."""
     seen = None
