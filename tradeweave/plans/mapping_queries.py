@@ -90,6 +90,13 @@ def gated(spark, sf_dir, keep: bool = True) -> DataFrame:
     return stage(spark, sf_dir, "gated", build_gated, keep)
 
 
+def trusted(spark, sf_dir) -> DataFrame:
+    """What lists, line items and roll-ups need of trusted rows. The gate's columns become a narrow table
+    first: pushed below them, the filter would repeat their expressions beyond what Spark compiles."""
+    columns = ("row_id", "product", "maker", "family", "value", "quantity", "unit_price", "match_tier", "match_scope", "include")
+    return aggregate.trusted(stage(spark, sf_dir, "judged", lambda s, d: gated(s, d, keep=False).select(*columns)))
+
+
 CTES = {
     "ship": fx.SHIPMENTS_SQL,
     "master": fx.MASTER_SQL,
@@ -578,7 +585,7 @@ def r11_route_by_tree(spark, sf_dir):
 
 @query(sql(_BOUNDS))
 def d01_value_bounds(spark, sf_dir):
-    return aggregate.value_bounds(gated(spark, sf_dir, keep=False))
+    return aggregate.value_bounds(gated(spark, sf_dir))
 
 
 _TRUSTED = "SELECT * FROM gated WHERE match_tier IN ('family', 'category') AND match_scope = 'core' AND include = 'Y'"
@@ -586,7 +593,7 @@ _TRUSTED = "SELECT * FROM gated WHERE match_tier IN ('family', 'category') AND m
 
 @query(sql(f"SELECT row_id FROM ({_TRUSTED})"))
 def d02_trusted(spark, sf_dir):
-    return aggregate.trusted(gated(spark, sf_dir, keep=False)).select("row_id")
+    return trusted(spark, sf_dir).select("row_id")
 
 
 _LINES = "sum(value::DECIMAL(18,2))::DOUBLE AS revenue, sum(quantity::DECIMAL(18,2))::DOUBLE AS volume, min(unit_price) AS min_price, max(unit_price) AS max_price, count(*) AS shipments"
@@ -594,54 +601,54 @@ _LINES = "sum(value::DECIMAL(18,2))::DOUBLE AS revenue, sum(quantity::DECIMAL(18
 
 @query(sql(f"SELECT *, revenue / volume AS avg_price FROM (SELECT product, maker, family, {_LINES} FROM ({_TRUSTED}) GROUP BY ALL)"))
 def d03_line_items(spark, sf_dir):
-    return aggregate.line_items(aggregate.trusted(gated(spark, sf_dir, keep=False)), ["product", "maker", "family"])
+    return aggregate.line_items(trusted(spark, sf_dir), ["product", "maker", "family"])
 
 
 @query(sql(f"SELECT product, maker, family, {_LINES}, (3 - (grouping(product) + grouping(maker) + grouping(family)))::INT AS level FROM ({_TRUSTED}) GROUP BY ROLLUP (product, maker, family)"))
 def d04_roll_up(spark, sf_dir):
-    return aggregate.roll_up(aggregate.trusted(gated(spark, sf_dir, keep=False)), ["product", "maker", "family"])
+    return aggregate.roll_up(trusted(spark, sf_dir), ["product", "maker", "family"])
 
 
 @query(sql("""SELECT coalesce(bucket, 'total') AS bucket, count(*) AS n_rows, sum(value::DECIMAL(18,2))::DOUBLE AS value FROM (
   SELECT value, CASE WHEN include = 'Y' THEN 'core trusted' WHEN qa_status = 'Review - extended scope' THEN 'extended pending' END AS bucket FROM gated) WHERE bucket IS NOT NULL GROUP BY ROLLUP (bucket)"""))
 def d05_scope_table(spark, sf_dir):
-    return aggregate.scope_table(gated(spark, sf_dir, keep=False))
+    return aggregate.scope_table(gated(spark, sf_dir))
 
 
 @query(sql("SELECT match_tier, segment, sub_segment, product, count(*) AS n_rows FROM gated GROUP BY ALL"))
 def d06_match_summary(spark, sf_dir):
-    return aggregate.match_summary(gated(spark, sf_dir, keep=False))
+    return aggregate.match_summary(gated(spark, sf_dir))
 
 
 @query(sql("SELECT qa_status, count(*) AS n_rows, sum(value::DECIMAL(18,2))::DOUBLE AS value FROM gated GROUP BY ALL"))
 def d07_qa_by_status(spark, sf_dir):
-    return aggregate.qa_by_status(gated(spark, sf_dir, keep=False))
+    return aggregate.qa_by_status(gated(spark, sf_dir))
 
 
 @query(sql("SELECT product, count(*) AS n_rows, sum(value::DECIMAL(18,2))::DOUBLE AS value FROM gated WHERE qa_status LIKE 'Review%' GROUP BY ALL ORDER BY value DESC, product LIMIT 25"))
 def d07_qa_top_labels(spark, sf_dir):
-    return aggregate.qa_top_labels(gated(spark, sf_dir, keep=False), "product", F.col("qa_status").startswith("Review"), 25)
+    return aggregate.qa_top_labels(gated(spark, sf_dir), "product", F.col("qa_status").startswith("Review"), 25)
 
 
 @query(sql("SELECT *, CASE WHEN quantity > 0 THEN value / quantity END AS unit_price FROM (SELECT country, segment, product, maker, family, count(*) AS n_rows, sum(quantity::DECIMAL(18,2))::DOUBLE AS quantity, sum(value::DECIMAL(18,2))::DOUBLE AS value FROM gated GROUP BY ALL)"))
 def d08_dashboard(spark, sf_dir):
-    return aggregate.dashboard(gated(spark, sf_dir, keep=False), ["country", "segment", "product", "maker", "family"])
+    return aggregate.dashboard(gated(spark, sf_dir), ["country", "segment", "product", "maker", "family"])
 
 
 @query(sql(f"""SELECT *, round(upper_value - lower_value, 2) AS gap, CASE WHEN upper_value > 0 THEN lower_value / upper_value END AS coverage FROM (
   SELECT country, sum(lower_value::DECIMAL(20,2))::DOUBLE AS lower_value, sum(upper_value::DECIMAL(20,2))::DOUBLE AS upper_value, count(*) AS n_lines FROM ({_BOUNDS}) WHERE upper_value >= 1000 AND segment <> 'PROMO' GROUP BY country)"""))
 def d09_country_comparison(spark, sf_dir):
-    return aggregate.country_comparison(aggregate.value_bounds(gated(spark, sf_dir, keep=False)), F.col("segment") != "PROMO", 1000.0)
+    return aggregate.country_comparison(aggregate.value_bounds(gated(spark, sf_dir)), F.col("segment") != "PROMO", 1000.0)
 
 
 @query(sql("SELECT CASE WHEN grouping(match_tier) = 1 THEN 'total' ELSE match_tier END AS match_tier, count(*) AS n_rows, sum(value::DECIMAL(18,2))::DOUBLE AS value FROM gated GROUP BY ROLLUP (match_tier)"))
 def d10_tier_summary(spark, sf_dir):
-    return aggregate.tier_summary(gated(spark, sf_dir, keep=False), "match_tier")
+    return aggregate.tier_summary(gated(spark, sf_dir), "match_tier")
 
 
 @query(sql("SELECT t::DOUBLE AS threshold, count(*) AS n_rows, sum(value::DECIMAL(18,2))::DOUBLE AS value FROM gated, (VALUES (0), (10000), (25000), (50000), (100000)) v(t) WHERE qa_status LIKE 'Review%' AND value::DOUBLE >= t GROUP BY 1"))
 def d10_review_burden(spark, sf_dir):
-    return aggregate.review_burden(gated(spark, sf_dir, keep=False), F.col("qa_status").startswith("Review"), (0, 10_000, 25_000, 50_000, 100_000))
+    return aggregate.review_burden(gated(spark, sf_dir), F.col("qa_status").startswith("Review"), (0, 10_000, 25_000, 50_000, 100_000))
 
 
 @query(sql("""SELECT *, CASE WHEN trusted_rows > 0 THEN strict_rows / trusted_rows END AS precision_proxy, CASE WHEN trusted_rows + review_rows > 0 THEN trusted_rows / (trusted_rows + review_rows) END AS recall_proxy,
@@ -650,4 +657,4 @@ def d10_review_burden(spark, sf_dir):
     count(*) FILTER (include = 'Y' AND ref_valid = 'Y' AND match_tier = 'family') AS strict_rows, coalesce(sum(value::DECIMAL(18,2)) FILTER (include = 'Y'), 0)::DOUBLE AS trusted_value,
     coalesce(sum(value::DECIMAL(18,2)) FILTER (qa_status LIKE 'Review%'), 0)::DOUBLE AS review_value FROM gated GROUP BY country, year)"""))
 def d11_compliance_metrics(spark, sf_dir):
-    return aggregate.compliance_metrics(gated(spark, sf_dir, keep=False))
+    return aggregate.compliance_metrics(gated(spark, sf_dir))
