@@ -6,8 +6,10 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tradeweave.functions import text as X
+from tradeweave.sources.tables import small, staged
 
 from .lexicon import dominant, first_by
 
@@ -72,13 +74,14 @@ def corroboration_vocabulary(train: DataFrame, text: str, label: str = "label",
 def family_postings(train: DataFrame, text: str, code: str, family: str, min_rows: int = 3, stop: Iterable[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Postings (code, feature, family, cnt, df) and families (code, family, rows, nf), of codes
     with enough rows; df counts the families of a code that have the feature."""
-    rows = train.filter(~X.is_blank(family, ("",)))
+    rows = train.filter(~X.is_blank(family, ("",)) & F.col(code).isNotNull())
     families = rows.groupBy(code, family).agg(F.count("*").alias("rows"))
     codes = families.groupBy(code).agg(F.count("*").alias("nf"), F.sum("rows").alias("total")).filter(F.col("total") >= min_rows)
-    families = families.join(codes.drop("total"), code)
+    families = staged(families.join(codes.drop("total"), code), "families")
+    # Codes go as a whole, and before their rows are taken apart; what is left is dealt out by feature once.
+    rows = rows.join(small(families.select(code, family)), [code, family], "left_semi")
     cnt = rows.select(code, family, F.explode(X.family_features(text, stop)).alias("feature")).groupBy(code, "feature", family).agg(F.count("*").alias("cnt"))
-    cnt = cnt.join(cnt.groupBy(code, "feature").agg(F.count("*").alias("df")), [code, "feature"])
-    return cnt.join(families.select(code, family), [code, family], "left_semi"), families
+    return cnt.withColumn("df", F.count("*").over(Window.partitionBy(code, "feature"))), families
 
 
 def score_families(rows: DataFrame, key: str, text: str, code: str, postings: DataFrame, families: DataFrame, family: str, stop: Iterable[str] = ()) -> DataFrame:
@@ -88,8 +91,10 @@ def score_families(rows: DataFrame, key: str, text: str, code: str, postings: Da
     score = sum of w * idf * ln(1 + cnt), w 4 for codes, 2 for pairs, 1 for words; and 0.01 of the
     logarithm of the family's rows. Rounded to nine places; of equals the first by name.
     """
-    f = rows.select(key, code, F.explode(X.family_features(text, stop)).alias("feature")).groupBy(key, code, "feature").agg(F.count("*").alias("times"))
-    hits = f.join(postings, [code, "feature"]).join(families, [code, family])
+    # Rows are dealt out by key before they are taken apart, as their features are many times as large.
+    dealt = rows.select(key, code, text).repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    f = dealt.select(key, code, F.explode(X.family_features(text, stop)).alias("feature")).groupBy(key, code, "feature").agg(F.count("*").alias("times"))
+    hits = f.join(postings, [code, "feature"]).join(small(families), [code, family])
     w = F.when(F.col("feature").startswith("C_"), 4.0).when(F.col("feature").contains("_"), 2.0).otherwise(1.0)
     idf = F.log((F.col("nf") + 1) / (F.col("df") + 1)) + 0.1
     # Sums of whole billionths don't depend on the order of rows.
@@ -97,8 +102,9 @@ def score_families(rows: DataFrame, key: str, text: str, code: str, postings: Da
     scores = hits.groupBy(key, family, "rows").agg(F.sum(part).alias("s"))
     scores = scores.select(key, family, F.round(F.col("s").cast("double") / 1e9 + 0.01 * F.log(1.0 + F.col("rows")), 6).alias("score"))
     best = scores.groupBy(key).agg(F.min(F.struct((-F.col("score")).alias("m"), family)).alias("b")).select(key, F.col(f"b.{family}").alias(family), (-F.col("b.m")).alias("score"))
+    best = staged(best, "best-families")  # read twice
     common = families.groupBy(code).agg(F.min(F.struct((-F.col("rows")).alias("m"), family)).alias("c"))
-    rest = rows.join(common, code).join(best.select(key), key, "left_anti").select(key, F.col(f"c.{family}").alias(family), F.lit(0.0).alias("score"))
+    rest = rows.select(key, code).join(common, code).join(best.select(key), key, "left_anti").select(key, F.col(f"c.{family}").alias(family), F.lit(0.0).alias("score"))
     return best.unionByName(rest)
 
 

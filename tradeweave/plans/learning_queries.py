@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tradeweave.functions import text as X
 from tradeweave.operators import evaluate, lexicon, priors
 from tradeweave.sources import fixtures as fx
 
@@ -24,12 +25,12 @@ def _test_keys(spark, sf_dir):
 
 
 def train(spark, sf_dir):
-    rows = priors.train_rows(_labelled(spark, sf_dir), _test_keys(spark, sf_dir), "doc_id")
-    return rows.withColumn("coarse", F.substring("code", 1, 4))
+    """Whether a row is held out follows from its own key, so no text is shuffled for it."""
+    return _labelled(spark, sf_dir).filter(~X.held_out("doc_id")).withColumn("coarse", F.substring("code", 1, 4))
 
 
 def test(spark, sf_dir):
-    return _labelled(spark, sf_dir).join(_test_keys(spark, sf_dir), "doc_id", "left_semi").withColumn("coarse", F.substring("code", 1, 4))
+    return _labelled(spark, sf_dir).filter(X.held_out("doc_id")).withColumn("coarse", F.substring("code", 1, 4))
 
 
 def _dominant_sql(keys: str, label: str, source: str, having: str = "") -> str:
@@ -46,7 +47,7 @@ def k01_attach_labels(spark, sf_dir):
 
 @query(f"WITH {_TRAIN} SELECT doc_id, label FROM train")
 def k02_train_rows(spark, sf_dir):
-    return train(spark, sf_dir).select("doc_id", "label")
+    return priors.train_rows(_labelled(spark, sf_dir), _test_keys(spark, sf_dir), "doc_id").select("doc_id", "label")
 
 
 @query(f"WITH {_L} " + _dominant_sql("code", "label", "l"))
